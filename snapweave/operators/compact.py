@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ROW = "__row"
+# Salt values per output part: hashing n * 64 salts into n parts leaves each
+# part within a few percent of its share of a run of identical copies.
+SALTS_PER_PART = 64
 
 
 def orderable(name: str, dtype: T.DataType) -> Column:
@@ -42,7 +45,7 @@ def compact(df: DataFrame, num_files: int, cluster: str = "hash") -> DataFrame:
     row = F.monotonically_increasing_id()
     salted = df.withColumn(_ROW, row)
     if cluster == "hash":
-        spread = salted.repartition(num_files, *keys, F.col(_ROW) % num_files)
+        spread = salted.repartition(num_files, *keys, F.col(_ROW) % (num_files * SALTS_PER_PART))
     elif cluster == "range":
         spread = salted.repartitionByRange(num_files, *keys, F.col(_ROW))
     else:

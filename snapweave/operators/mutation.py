@@ -72,28 +72,41 @@ def _mask_order(order: str) -> Column:
     raise ValueError(f"order must be 'reference' or 'chronological', not {order!r}")
 
 
-def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
-                   num_ranges: int | None = None) -> DataFrame:
-    """One row per neighbouring pair of versions: ``fields``, ``diffmaskIn``, ``diffmaskOut``."""
+def _check(masked: DataFrame, key: str) -> None:
     if MASK_COLUMN not in masked.columns:
         raise ValueError(f"input has no {MASK_COLUMN!r} column")
     if key not in masked.columns or key == MASK_COLUMN:
         raise KeyError(f"grouping field {key!r} is not a data column")
+
+
+def range_layout(masked: DataFrame, key: str, order: str = "reference",
+                 num_ranges: int | None = None):
+    """The range-partitioned rows the pair scan walks, with their sort keys.
+
+    Returns ``(ranged, sort_keys, carried)``: ``ranged`` has the key text,
+    the data columns, the mask and the range id of each row.
+    """
+    _check(masked, key)
     spark = masked.sparkSession
     fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
-    names = [f.name for f in fields]
     n = int(num_ranges or spark.conf.get("spark.sql.shuffle.partitions"))
     if not 1 <= n <= MAX_RANGES:
         raise ValueError(f"num_ranges must be within 1..{MAX_RANGES}")
-
     base = masked.where(F.col(key).isNotNull()).select(
-        F.col(key).cast("string").alias(_KEY), *names, MASK_COLUMN)
+        F.col(key).cast("string").alias(_KEY), *[f.name for f in fields], MASK_COLUMN)
     sort_keys = [F.col(_KEY), _mask_order(order)] + [orderable(f.name, f.dataType) for f in fields]
-    carried = [_KEY, *names, MASK_COLUMN]
-
+    carried = [_KEY, *[f.name for f in fields], MASK_COLUMN]
     # An explicit range count keeps AQE from re-cutting the ranges, so both
     # consumers of this shuffle see the same partition ids.
     ranged = base.repartitionByRange(n, *sort_keys).withColumn(_PART, F.spark_partition_id())
+    return ranged, sort_keys, carried
+
+
+def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
+                   num_ranges: int | None = None) -> DataFrame:
+    """One row per neighbouring pair of versions: ``fields``, ``diffmaskIn``, ``diffmaskOut``."""
+    ranged, sort_keys, carried = range_layout(masked, key, order, num_ranges)
+    fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
 
     heads = ranged.groupBy(_PART).agg(F.min_by(F.struct(*carried), F.struct(*sort_keys)).alias(_HEAD))
     # At most one row per range partition: a bounded, single-partition window.

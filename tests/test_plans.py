@@ -1,0 +1,112 @@
+"""Physical-plan and scale properties: exchanges, aggregate kinds, skew spread."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from snapweave import diff, extract, merge, mutation_stats, to_date
+from snapweave.operators.mutation import range_layout
+from snapweave.plans import inspect
+from snapweave.sources import derived
+from tests.conftest import SF_ORACLE, SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def merged_path(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("merged") / "orders_merged")
+    merge(derived.order_snapshots(spark, SF_SMALL)).write.parquet(path)
+    return path
+
+
+def test_diff_is_one_partial_hash_aggregate(spark):
+    s = derived.order_snapshots(spark, SF_SMALL)
+    a, b = list(s.values())[:2]
+    plan = inspect.summary(diff(a, b))
+    assert plan["exchange"] == 1
+    assert plan["sort_aggregate"] == 0 and plan["object_hash_aggregate"] == 0
+    assert plan["hash_aggregate"] == 2  # partial + final
+    assert "partial_bit_or" in inspect.physical_plan(diff(a, b))
+
+
+def test_merge_is_one_exchange(spark):
+    plan = inspect.summary(merge(derived.order_snapshots(spark, SF_SMALL)))
+    assert plan["exchange"] == 1 and plan["sort_aggregate"] == 0 and plan["python"] == 0
+
+
+def test_extract_and_to_date_are_narrow(spark, merged_path):
+    masked = spark.read.parquet(merged_path)
+    assert inspect.exchanges(extract(masked, derived.ORDER_LABELS[1])) == 0
+    assert inspect.exchanges(to_date(masked)) == 0
+
+
+def test_legend_survives_parquet(spark, merged_path):
+    from snapweave import legend_of
+    assert legend_of(spark.read.parquet(merged_path)) == list(derived.ORDER_LABELS)
+
+
+def test_scan_prunes_columns(spark, merged_path):
+    masked = spark.read.parquet(merged_path)
+    plan = inspect.physical_plan(extract(masked, derived.ORDER_LABELS[0]).select("o_orderkey"))
+    assert "ReadSchema: struct<o_orderkey:bigint,diffmask:string>" in plan or \
+        "struct<o_orderkey:bigint,diffmask:string>" in plan
+
+
+def test_mutation_has_no_per_key_window(spark, merged_path):
+    masked = spark.read.parquet(merged_path)
+    plan = inspect.physical_plan(mutation_stats(masked, "o_orderkey"))
+    assert "rangepartitioning" in plan
+    # The only window runs over the range heads (one row per range), never per key.
+    windows = [line for line in plan.splitlines() if "Window [" in line or "Window(" in line]
+    assert all("__range" in line for line in windows)
+
+
+def test_hot_key_spreads_over_ranges(spark):
+    """One grouping value holds half of all rows."""
+    masked = merge(derived.order_snapshots(spark, SF_ORACLE))
+    masked = masked.withColumn(
+        "grp", F.when(F.col("o_orderkey") % 2 == 0, F.lit("hot")).otherwise(F.col("o_orderkey").cast("string")))
+    ranged, _, _ = range_layout(masked, "grp", num_ranges=8)
+    per_range = ranged.groupBy("__range", "__key").count().collect()
+    total = sum(r["count"] for r in per_range)
+    hot_key = max({r["__key"] for r in per_range},
+                  key=lambda k: sum(r["count"] for r in per_range if r["__key"] == k))
+    hot_total = sum(r["count"] for r in per_range if r["__key"] == hot_key)
+    assert hot_total > total / 3
+    ranges_of_hot = [r["count"] for r in per_range if r["__key"] == hot_key]
+    assert len(ranges_of_hot) >= 3                     # the hot key is split
+    per_task = {}
+    for r in per_range:
+        per_task[r["__range"]] = per_task.get(r["__range"], 0) + r["count"]
+    assert max(per_task.values()) < total / 4          # no task near the hot key's size
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 8, 29])
+def test_hot_key_result_independent_of_range_count(spark, ranges):
+    masked = merge(derived.order_snapshots(spark, SF_SMALL))
+    base = sorted(map(tuple, mutation_stats(masked, "o_orderstatus", num_ranges=2)
+                      .selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut", "count")
+                      .collect()))
+    got = sorted(map(tuple, mutation_stats(masked, "o_orderstatus", num_ranges=ranges)
+                     .selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut", "count")
+                     .collect()))
+    assert got == base
+
+
+def test_registered_queries_cover_survey_rows():
+    names = set(entry.queries())
+    for required in ("diff", "diff_count_mode", "diff_summary", "compact", "merge",
+                     "merge_incremental", "merge_evolved", "extract_0", "extract_1", "extract_2",
+                     "to_date", "mutation_pairs", "mutation_stats", "nearest_label",
+                     "snapshot_times"):
+        assert required in names
+    assert set(entry.oracle_sql()) == names
+
+
+@pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="driver tables missing")
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert "type" in df.columns and df.count() > 0
