@@ -1,0 +1,10 @@
+"""Streams.
+
+The snapshot jobs are bounded batch jobs; none of them keeps state across
+arriving data, so there is no streaming operator here.  The two row-wise
+operators, :func:`snapweave.extract` and :func:`snapweave.to_date`, are plain
+projections and filters and therefore run unchanged on a streaming DataFrame
+(``spark.readStream``).  File streams carry no column metadata, so pass the
+legend explicitly (``snapshots=[...]``).  ``tests/test_io.py`` runs both on a
+parquet stream into a memory sink.
+"""
