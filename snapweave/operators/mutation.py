@@ -12,15 +12,23 @@ descending, earliest first appearance first.  Records with a null grouping
 value are left out.
 
 Plan (skew-proof).  A per-key window would push a hot key -- say a third of
-all rows -- through one task.  Instead the rows are globally range-partitioned
-on (key text, mask, columns): the partitioner cuts anywhere in that order, so
-a hot key spreads over as many tasks as its size needs.  Each sorted range is
-then walked once by an Arrow kernel that pairs every row with its successor.
-Only the last row of each range needs a row from elsewhere: the first row of
-the next non-empty range.  Those heads (one row per range, so bounded by the
-partition count) come from a partial aggregate over the same, reused shuffle
-and are broadcast back.  One full exchange for the pairs, then one
-partially-aggregated exchange for the counts.
+all rows -- through one task, so groups are handled by size:
+
+* Hot keys are found first: a sampled key count, aggregated in Spark; only
+  the short, size-checked list of hot keys reaches the driver.
+* Ordinary keys: one hash exchange on the key and ``lead`` over a window per
+  key.  Every group is below the hot threshold, so each fits a task.
+* Hot keys: the rows are range-partitioned on (key text, mask, columns).  The
+  partitioner cuts anywhere in that order, so one key spreads over as many
+  tasks as its size needs.  Each sorted range is walked once by an Arrow
+  kernel pairing every row with its successor.  Only the last row of a range
+  needs a row from elsewhere, the first row of the next non-empty range;
+  those heads (one per range, bounded by the range count) come from a partial
+  aggregate over the same, reused shuffle and are broadcast back.
+
+Either way each key is handled whole by one strategy and both are exact, so a
+misjudged key costs time, never correctness.  The counts of
+:func:`mutation_stats` are one more partially aggregated exchange.
 """
 
 from __future__ import annotations
@@ -53,6 +61,14 @@ _NEXT = "__next_"
 # Heads are one row per range partition and are broadcast; refuse layouts
 # whose head table could outgrow a broadcast.
 MAX_RANGES = 200_000
+# A group above this many rows is split over several tasks.
+HOT_KEY_ROWS = 1_000_000
+# Hot-key detection: expected sampled rows of a key at the threshold, the
+# sample seed, and the most hot keys handled by name (beyond it every key
+# takes the split strategy).
+SAMPLE_HITS = 100
+SAMPLE_SEED = 7
+MAX_HOT_KEYS = 10_000
 
 
 def _differs(a: Column, b: Column, dtype: T.DataType) -> Column:
@@ -79,35 +95,71 @@ def _check(masked: DataFrame, key: str) -> None:
         raise KeyError(f"grouping field {key!r} is not a data column")
 
 
-def range_layout(masked: DataFrame, key: str, order: str = "reference",
-                 num_ranges: int | None = None):
-    """The range-partitioned rows the pair scan walks, with their sort keys.
-
-    Returns ``(ranged, sort_keys, carried)``: ``ranged`` has the key text,
-    the data columns, the mask and the range id of each row.
+class _Layout:
+    """Column roles shared by both pair strategies."""
+
+    def __init__(self, masked: DataFrame, key: str, order: str):
+        _check(masked, key)
+        self.fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
+        names = [f.name for f in self.fields]
+        self.keyed = masked.where(F.col(key).isNotNull()).select(
+            F.col(key).cast("string").alias(_KEY), *names, MASK_COLUMN)
+        self.within_key = [_mask_order(order)] + [orderable(f.name, f.dataType) for f in self.fields]
+        self.sort_keys = [F.col(_KEY)] + self.within_key
+        self.carried = [_KEY, *names, MASK_COLUMN]
+
+    def pairs(self, df: DataFrame, following: dict) -> DataFrame:
+        """Pair rows with their successor values (``following[column]``) and name the changes."""
+        changed = F.array_compact(F.array(*[
+            F.when(_differs(F.col(f.name), following[f.name], f.dataType), F.lit(f.name))
+            for f in sorted(self.fields, key=lambda f: f.name)
+        ]))
+        return df.select(changed.alias(FIELDS), F.col(MASK_COLUMN).alias(MASK_IN),
+                         following[MASK_COLUMN].alias(MASK_OUT))
+
+
+def hot_keys(keyed: DataFrame, threshold: int) -> list[str] | None:
+    """Key texts whose group may exceed ``threshold`` rows, or None if there are too many.
+
+    Counted on a Bernoulli sample sized so a key at the threshold expects
+    ``SAMPLE_HITS`` sampled rows; the count runs as a Spark aggregate and only
+    the (size-checked) list of hot keys reaches the driver.  A misjudged key
+    only changes which exact strategy handles it, never the result.
     """
-    _check(masked, key)
-    spark = masked.sparkSession
-    fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
-    n = int(num_ranges or spark.conf.get("spark.sql.shuffle.partitions"))
+    fraction = min(1.0, SAMPLE_HITS / threshold)
+    keys = keyed.select(_KEY)
+    if fraction < 1.0:
+        keys, cut = keys.sample(fraction=fraction, seed=SAMPLE_SEED), SAMPLE_HITS // 2
+    else:
+        cut = threshold + 1
+    found = (keys.groupBy(_KEY).count().where(F.col("count") >= cut).select(_KEY)
+             .limit(MAX_HOT_KEYS + 1).collect())
+    if len(found) > MAX_HOT_KEYS:
+        return None
+    return sorted(r[_KEY] for r in found)
+
+
+def _window_pairs(layout: _Layout, keyed: DataFrame) -> DataFrame:
+    """Bounded groups: one hash exchange on the key, then ``lead`` inside each group."""
+    w = Window.partitionBy(_KEY).orderBy(*layout.within_key)
+    nxt = F.lead(F.struct(*layout.carried[1:])).over(w)
+    walked = keyed.select("*", nxt.alias(_HEAD)).where(F.col(_HEAD).isNotNull())
+    return layout.pairs(walked, {c: F.col(_HEAD)[c] for c in layout.carried[1:]})
+
+
+def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
+    n = int(num_ranges or keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not 1 <= n <= MAX_RANGES:
         raise ValueError(f"num_ranges must be within 1..{MAX_RANGES}")
-    base = masked.where(F.col(key).isNotNull()).select(
-        F.col(key).cast("string").alias(_KEY), *[f.name for f in fields], MASK_COLUMN)
-    sort_keys = [F.col(_KEY), _mask_order(order)] + [orderable(f.name, f.dataType) for f in fields]
-    carried = [_KEY, *[f.name for f in fields], MASK_COLUMN]
     # An explicit range count keeps AQE from re-cutting the ranges, so both
     # consumers of this shuffle see the same partition ids.
-    ranged = base.repartitionByRange(n, *sort_keys).withColumn(_PART, F.spark_partition_id())
-    return ranged, sort_keys, carried
-
+    return keyed.repartitionByRange(n, *layout.sort_keys).withColumn(_PART, F.spark_partition_id())
 
-def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
-                   num_ranges: int | None = None) -> DataFrame:
-    """One row per neighbouring pair of versions: ``fields``, ``diffmaskIn``, ``diffmaskOut``."""
-    ranged, sort_keys, carried = range_layout(masked, key, order, num_ranges)
-    fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
 
+def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
+    """Any group size: global range split, Arrow walk per range, heads stitched back."""
+    ranged = _ranged(layout, keyed, num_ranges)
+    carried, sort_keys = layout.carried, layout.sort_keys
     heads = ranged.groupBy(_PART).agg(F.min_by(F.struct(*carried), F.struct(*sort_keys)).alias(_HEAD))
     # At most one row per range partition: a bounded, single-partition window.
     successors = heads.select(_PART, F.lead(_HEAD).over(Window.orderBy(_PART)).alias(_HEAD))
@@ -124,18 +176,40 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
     nxt = {c: F.when(F.col(_LAST), F.col(_HEAD)[c]).otherwise(F.col(nn))
            for c, nn in zip(carried, next_names)}
     pairs = stitched.where(nxt[_KEY].isNotNull() & (nxt[_KEY] == F.col(_KEY)))
-    changed = F.array_compact(F.array(*[
-        F.when(_differs(F.col(f.name), nxt[f.name], f.dataType), F.lit(f.name))
-        for f in sorted(fields, key=lambda f: f.name)
-    ]))
-    return pairs.select(changed.alias(FIELDS), F.col(MASK_COLUMN).alias(MASK_IN),
-                        nxt[MASK_COLUMN].alias(MASK_OUT))
+    return layout.pairs(pairs, nxt)
+
+
+def range_layout(masked: DataFrame, key: str, order: str = "reference",
+                 num_ranges: int | None = None) -> DataFrame:
+    """The range-partitioned rows the split strategy walks (key text, columns, mask, range id)."""
+    layout = _Layout(masked, key, order)
+    return _ranged(layout, layout.keyed, num_ranges)
+
+
+def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
+                   hot_key_rows: int = HOT_KEY_ROWS, num_ranges: int | None = None) -> DataFrame:
+    """One row per neighbouring pair of versions: ``fields``, ``diffmaskIn``, ``diffmaskOut``.
+
+    Groups of at most about ``hot_key_rows`` rows are walked by a per-key
+    window; larger (hot) groups by the range-split strategy, which spreads one
+    group over many tasks.  ``num_ranges`` sets the range count of the latter.
+    """
+    layout = _Layout(masked, key, order)
+    keyed = layout.keyed
+    hot = hot_keys(keyed, hot_key_rows)
+    if hot is None:
+        return _range_pairs(layout, keyed, num_ranges)
+    if not hot:
+        return _window_pairs(layout, keyed)
+    is_hot = F.col(_KEY).isin(hot)
+    return _window_pairs(layout, keyed.where(~is_hot)).unionByName(
+        _range_pairs(layout, keyed.where(is_hot), num_ranges))
 
 
 def mutation_stats(masked: DataFrame, key: str, order: str = "reference",
-                   num_ranges: int | None = None) -> DataFrame:
+                   hot_key_rows: int = HOT_KEY_ROWS, num_ranges: int | None = None) -> DataFrame:
     """Count of each (``fields``, ``diffmaskIn``, ``diffmaskOut``) mutation."""
-    return count_mutations(mutation_pairs(masked, key, order, num_ranges))
+    return count_mutations(mutation_pairs(masked, key, order, hot_key_rows, num_ranges))
 
 
 def count_mutations(pairs: DataFrame) -> DataFrame:

@@ -55,45 +55,52 @@ def test_scan_prunes_columns(spark, merged_path):
         "struct<o_orderkey:bigint,diffmask:string>" in plan
 
 
-def test_mutation_has_no_per_key_window(spark, merged_path):
+def test_mutation_ordinary_keys_stay_in_the_jvm(spark, merged_path):
     masked = spark.read.parquet(merged_path)
-    plan = inspect.physical_plan(mutation_stats(masked, "o_orderkey"))
-    assert "rangepartitioning" in plan
-    # The only window runs over the range heads (one row per range), never per key.
-    windows = [line for line in plan.splitlines() if "Window [" in line or "Window(" in line]
-    assert all("__range" in line for line in windows)
+    plan = inspect.summary(mutation_stats(masked, "o_orderkey"))
+    assert plan["python"] == 0 and plan["window"] == 1
+    assert "rangepartitioning" not in inspect.physical_plan(mutation_stats(masked, "o_orderkey"))
+
+
+def test_mutation_hot_keys_are_range_split(spark, merged_path):
+    masked = spark.read.parquet(merged_path)
+    plan = inspect.physical_plan(mutation_stats(masked, "o_orderstatus", hot_key_rows=1))
+    assert "rangepartitioning" in plan and "MapInArrow" in plan
+    # The heads window runs over the range ids (one row per range).
+    assert "windowspecdefinition(__range" in plan
 
 
 def test_hot_key_spreads_over_ranges(spark):
     """One grouping value holds half of all rows."""
+    from snapweave.operators.mutation import _KEY, _Layout, hot_keys
     masked = merge(derived.order_snapshots(spark, SF_ORACLE))
     masked = masked.withColumn(
         "grp", F.when(F.col("o_orderkey") % 2 == 0, F.lit("hot")).otherwise(F.col("o_orderkey").cast("string")))
-    ranged, _, _ = range_layout(masked, "grp", num_ranges=8)
-    per_range = ranged.groupBy("__range", "__key").count().collect()
+    assert hot_keys(_Layout(masked, "grp", "reference").keyed, 2000) == ["hot"]
+    ranged = range_layout(masked, "grp", num_ranges=8)
+    per_range = ranged.groupBy("__range", _KEY).count().collect()
     total = sum(r["count"] for r in per_range)
-    hot_key = max({r["__key"] for r in per_range},
-                  key=lambda k: sum(r["count"] for r in per_range if r["__key"] == k))
-    hot_total = sum(r["count"] for r in per_range if r["__key"] == hot_key)
+    hot_total = sum(r["count"] for r in per_range if r[_KEY] == "hot")
     assert hot_total > total / 3
-    ranges_of_hot = [r["count"] for r in per_range if r["__key"] == hot_key]
-    assert len(ranges_of_hot) >= 3                     # the hot key is split
+    assert len([r for r in per_range if r[_KEY] == "hot"]) >= 3   # the hot key is split
     per_task = {}
     for r in per_range:
         per_task[r["__range"]] = per_task.get(r["__range"], 0) + r["count"]
     assert max(per_task.values()) < total / 4          # no task near the hot key's size
 
 
-@pytest.mark.parametrize("ranges", [1, 3, 8, 29])
-def test_hot_key_result_independent_of_range_count(spark, ranges):
+def _stats(df):
+    return sorted(map(tuple, df.selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut",
+                                           "count").collect()))
+
+
+@pytest.mark.parametrize("hot_rows,ranges", [(10**9, None), (1, 1), (1, 3), (1, 29), (100, 8)])
+def test_mutation_strategies_agree(spark, hot_rows, ranges):
     masked = merge(derived.order_snapshots(spark, SF_SMALL))
-    base = sorted(map(tuple, mutation_stats(masked, "o_orderstatus", num_ranges=2)
-                      .selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut", "count")
-                      .collect()))
-    got = sorted(map(tuple, mutation_stats(masked, "o_orderstatus", num_ranges=ranges)
-                     .selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut", "count")
-                     .collect()))
-    assert got == base
+    masked = masked.withColumn(
+        "grp", F.when(F.col("o_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.col("o_orderkey").cast("string")))
+    base = _stats(mutation_stats(masked, "grp", hot_key_rows=10**9))
+    assert _stats(mutation_stats(masked, "grp", hot_key_rows=hot_rows, num_ranges=ranges)) == base
 
 
 def test_registered_queries_cover_survey_rows():
