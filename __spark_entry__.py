@@ -87,6 +87,16 @@ def q_compact(spark, sf_dir):
     return compact(derived.duplicated_origin(spark, sf_dir), num_files=8)
 
 
+def q_compact_range(spark, sf_dir):
+    return compact(derived.duplicated_origin(spark, sf_dir), num_files=8, cluster="range")
+
+
+def q_diff_reader_schema(spark, sf_dir):
+    # Both imports read through a narrower reader schema: key and status only.
+    s = list(_orders(spark, sf_dir).values())
+    return diff(s[0], s[1], columns=["o_orderkey", "o_orderstatus"])
+
+
 def q_merge(spark, sf_dir):
     return _merged_orders(spark, sf_dir)
 
@@ -110,6 +120,12 @@ def _q_extract(i):
     return run
 
 
+def q_extract_nearest(spark, sf_dir):
+    # A misspelt label (the 19th written as "19x") resolves to the closest legend entry.
+    label = derived.ORDER_LABELS[1].replace("-19T", "-19xT")
+    return extract(_merged_orders(spark, sf_dir), label, match="nearest")
+
+
 def q_to_date(spark, sf_dir):
     return to_date(_merged_orders(spark, sf_dir))
 
@@ -131,6 +147,11 @@ def q_mutation_stats_hot_key(spark, sf_dir):
                                        "o_orderstatus", hot_key_rows=500))
 
 
+def q_mutation_stats_chronological(spark, sf_dir):
+    return _fields_text(mutation_stats(_staged_merge(_merged_orders(spark, sf_dir), "orders"),
+                                       "o_orderkey", order="chronological"))
+
+
 def q_nearest_label(spark, sf_dir):
     nation = derived.table(spark, sf_dir, "nation")
     region = derived.table(spark, sf_dir, "region")
@@ -171,16 +192,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "diff_count_mode": q_diff_count_mode,
         "diff_summary": q_diff_summary,
         "compact": q_compact,
+        "compact_range": q_compact_range,
+        "diff_reader_schema": q_diff_reader_schema,
         "merge": q_merge,
         "merge_incremental": q_merge_incremental,
         "merge_evolved": q_merge_evolved,
         "extract_0": _q_extract(0),
         "extract_1": _q_extract(1),
         "extract_2": _q_extract(2),
+        "extract_nearest": q_extract_nearest,
         "to_date": q_to_date,
         "mutation_pairs": q_mutation_pairs,
         "mutation_stats": q_mutation_stats,
         "mutation_stats_hot_key": q_mutation_stats_hot_key,
+        "mutation_stats_chronological": q_mutation_stats_chronological,
         "nearest_label": q_nearest_label,
         "snapshot_times": q_snapshot_times,
         "diff_lineitem": q_diff_lineitem,
@@ -221,9 +246,9 @@ def _diff_sql(cols, ctes) -> str:
             f"UNION ALL SELECT {c}, 'del' AS type FROM (SELECT {c} FROM s0 EXCEPT SELECT {c} FROM s1)")
 
 
-def _pairs_sql(cols, key) -> str:
+def _pairs_sql(cols, key, mask_order="ASC") -> str:
     """Select list over ``m`` for neighbouring pairs, ordered like the Spark operator."""
-    order = ", ".join(["diffmask"] + [f"{c} NULLS FIRST" for c in cols])
+    order = ", ".join([f"diffmask {mask_order}"] + [f"{c} NULLS FIRST" for c in cols])
     leads = ", ".join(f"lead({c}) OVER w AS n_{c}" for c in cols)
     changed = ", ".join(f"CASE WHEN {c} IS DISTINCT FROM n_{c} THEN '{c}' END" for c in sorted(cols))
     return (f", l AS (SELECT *, {leads}, lead(diffmask) OVER w AS n_diffmask, lead(1) OVER w AS has_next "
@@ -233,8 +258,8 @@ def _pairs_sql(cols, key) -> str:
             f"n_diffmask AS diffmaskOut FROM l WHERE has_next IS NOT NULL)\n")
 
 
-def _stats_sql(cols, ctes, key) -> str:
-    return (_merged_sql(cols, ctes) + _pairs_sql(cols, key)
+def _stats_sql(cols, ctes, key, mask_order="ASC") -> str:
+    return (_merged_sql(cols, ctes) + _pairs_sql(cols, key, mask_order)
             + "SELECT fields, diffmaskIn, diffmaskOut, CAST(count(*) AS INTEGER) AS count "
               "FROM p GROUP BY fields, diffmaskIn, diffmaskOut")
 
@@ -261,6 +286,13 @@ def oracle_sql() -> dict[str, str]:
         "diff_summary": (f"SELECT type, count(*) AS records FROM ({_diff_sql(oc, _order_ctes())}) d "
                          "GROUP BY type"),
         "compact": dup + "SELECT * FROM o",
+        "compact_range": dup + "SELECT * FROM o",
+        "diff_reader_schema": (
+            f"WITH {_order_ctes()},\n"
+            "a AS (SELECT o_orderkey, o_orderstatus FROM s0), b AS (SELECT o_orderkey, o_orderstatus FROM s1)\n"
+            "SELECT *, 'kernel' AS type FROM (SELECT * FROM a INTERSECT SELECT * FROM b)\n"
+            "UNION ALL SELECT *, 'add' AS type FROM (SELECT * FROM b EXCEPT SELECT * FROM a)\n"
+            "UNION ALL SELECT *, 'del' AS type FROM (SELECT * FROM a EXCEPT SELECT * FROM b)"),
         "merge": _merged_sql(oc, _order_ctes()) + "\nSELECT * FROM m",
         "merge_incremental": _merged_sql(oc, _order_ctes()) + "\nSELECT * FROM m",
         "merge_evolved": (_merged_sql(oc, _order_ctes(), n=2, projections=evolved_proj)
@@ -268,6 +300,7 @@ def oracle_sql() -> dict[str, str]:
         "extract_0": _extract_sql(0),
         "extract_1": _extract_sql(1),
         "extract_2": _extract_sql(2),
+        "extract_nearest": _extract_sql(1),
         "to_date": _merged_sql(oc, _order_ctes()) + (
             f"\nSELECT *, CASE WHEN {first} > 0 THEN ({times})[greatest({first} - 1, 1)] END "
             f"AS dm_from_datetime, CASE WHEN {first} > 0 THEN ({times})[{last}] END AS dm_to_datetime "
@@ -276,6 +309,7 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT * FROM p",
         "mutation_stats": _stats_sql(oc, _order_ctes(), "o_orderkey"),
         "mutation_stats_hot_key": _stats_sql(oc, _order_ctes(), "o_orderstatus"),
+        "mutation_stats_chronological": _stats_sql(oc, _order_ctes(), "o_orderkey", "DESC"),
         "nearest_label": (
             "SELECT n_nationkey, n_name, r_name AS nearest_label, distance FROM ("
             "SELECT n_nationkey, n_name, r_name, CAST(levenshtein(n_name, r_name) AS INTEGER) AS distance, "

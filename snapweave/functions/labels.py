@@ -8,12 +8,13 @@ for ``:`` and ``p`` for ``+`` in the UTC offset.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the path-time format.
 TIME_KEY = "importdatetime"
-TIME_PATTERN = r"(?:^|/)importdatetime=([^/]+)"
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 TIME_ESCAPES_FROM = "_p"
 TIME_ESCAPES_TO = ":+"
@@ -23,9 +24,14 @@ TIME_ESCAPES_TO = ":+"
 MAX_LITERAL_CANDIDATES = 10_000
 
 
+def path_value(path: Column, key: str) -> Column:
+    """Value of the ``key=value`` component of a path ('' when absent)."""
+    return F.regexp_extract(path, r"(?:^|/)" + re.escape(key) + r"=([^/]+)", 1)
+
+
 def snapshot_time_ms(path: Column) -> Column:
     """Epoch milliseconds of the ``importdatetime=`` component of a path, else null."""
-    raw = F.regexp_extract(path, TIME_PATTERN, 1)
+    raw = path_value(path, TIME_KEY)
     text = F.translate(raw, TIME_ESCAPES_FROM, TIME_ESCAPES_TO)
     return F.unix_millis(F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
 

@@ -1,0 +1,97 @@
+"""Algebraic properties on random small snapshot series (hypothesis).
+
+* extract(merge(S), s) = distinct(S[s])
+* merge(merge(S[:k]), S[k:]) = merge(S)
+* diff: kernel ∪ add = distinct(dest), kernel ∪ del = distinct(orig), classes disjoint
+* mutation: pairs per key = versions of the key - 1; both strategies agree
+* to_date: the interval brackets the first and last appearance
+"""
+
+from __future__ import annotations
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from snapweave import diff, extract, merge, mutation_pairs, to_date
+from tests.conftest import rows
+
+SCHEMA = "key int, value int, tag string"
+record = st.tuples(st.integers(0, 4), st.integers(0, 2), st.sampled_from([None, "a", "b"]))
+snapshot = st.lists(record, max_size=8)
+series = st.lists(snapshot, min_size=1, max_size=4)
+
+SETTINGS = settings(max_examples=8, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _labels(n):
+    return [f"/t/importdatetime=2014-01-{10 + i}T00_00_00p00_00" for i in range(n)]
+
+
+def _frames(spark, snaps):
+    return {label: spark.createDataFrame(s, SCHEMA) for label, s in zip(_labels(len(snaps)), snaps)}
+
+
+def _distinct(records):
+    return sorted(set(records), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+@SETTINGS
+@given(series)
+def test_extract_inverts_merge(spark, snaps):
+    merged = merge(_frames(spark, snaps)).cache()
+    for label, s in zip(_labels(len(snaps)), snaps):
+        assert rows(extract(merged, label)) == _distinct(s)
+    merged.unpersist()
+
+
+@SETTINGS
+@given(series, st.integers(1, 3))
+def test_incremental_merge(spark, snaps, k):
+    frames = _frames(spark, snaps)
+    labels = list(frames)
+    k = min(k, len(labels))
+    first = merge({lab: frames[lab] for lab in labels[:k]})
+    rest = {lab: frames[lab] for lab in labels[k:]}
+    assert rows(merge({"first": first, **rest})) == rows(merge(frames))
+
+
+@SETTINGS
+@given(snapshot, snapshot)
+def test_diff_partitions_the_union(spark, a, b):
+    d = diff(spark.createDataFrame(a, SCHEMA), spark.createDataFrame(b, SCHEMA))
+    got = rows(d, "type", "key", "value", "tag")
+    by = {t: [r[1:] for r in got if r[0] == t] for t in ("kernel", "add", "del")}
+    assert sorted(by["kernel"] + by["add"], key=str) == sorted(_distinct(b), key=str)
+    assert sorted(by["kernel"] + by["del"], key=str) == sorted(_distinct(a), key=str)
+    assert len(got) == len(set(got))
+
+
+@SETTINGS
+@given(series)
+def test_mutation_pairs_per_key(spark, snaps):
+    merged = merge(_frames(spark, snaps)).cache()
+    versions = Counter(r["key"] for r in merged.collect())
+    for hot in (10**9, 1):
+        pairs = mutation_pairs(merged, "key", hot_key_rows=hot, num_ranges=3)
+        assert pairs.count() == sum(v - 1 for v in versions.values())
+    window = rows(mutation_pairs(merged, "key", hot_key_rows=10**9).selectExpr(
+        "array_join(fields, ',') AS f", "diffmaskIn", "diffmaskOut"))
+    split = rows(mutation_pairs(merged, "key", hot_key_rows=1, num_ranges=5).selectExpr(
+        "array_join(fields, ',') AS f", "diffmaskIn", "diffmaskOut"))
+    assert window == split
+    merged.unpersist()
+
+
+@SETTINGS
+@given(series)
+def test_to_date_brackets_presence(spark, snaps):
+    day = 86_400_000
+    t0 = 1389312000000  # 2014-01-10T00:00:00Z
+    for r in to_date(merge(_frames(spark, snaps))).collect():
+        mask = r["diffmask"]
+        first, last = mask.index("1"), mask.rindex("1")
+        assert r["dm_from_datetime"] == t0 + max(first - 1, 0) * day
+        assert r["dm_to_datetime"] == t0 + last * day

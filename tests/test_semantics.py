@@ -215,3 +215,30 @@ def test_schema_types_and_order(spark):
     assert [(f.name, f.dataType.simpleString()) for f in out.fields] == [
         ("a", "string"), ("b", "bigint"), ("z", "string")]
     assert all(f.nullable for f in out.fields)
+
+
+def test_labels_with_commas_round_trip(spark, tmp_path):
+    labels = ["a,b|1", "c\nd"]
+    frames = {labels[0]: spark.createDataFrame([("1", 1)], KV), labels[1]: spark.createDataFrame([("2", 2)], KV)}
+    out = str(tmp_path / "m")
+    merge(frames).write.parquet(out)
+    back = spark.read.parquet(out)
+    assert legend_of(back) == sorted(labels)
+    assert rows(extract(back, "a,b|1")) == [("1", 1)]
+
+
+def test_path_value(spark):
+    from snapweave.functions import path_value
+    got = spark.range(1).select(
+        path_value(F.lit("/bi/fromtable=T/importdatetime=X/part"), "fromtable").alias("a"),
+        path_value(F.lit("fromtable=T"), "fromtable").alias("b"),
+        path_value(F.lit("/x/y"), "fromtable").alias("c")).first()
+    assert (got["a"], got["b"], got["c"]) == ("T", "T", "")
+
+
+def test_empty_snapshot_directory_raises(spark, tmp_path):
+    from snapweave import read_snapshot
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|Unable to infer"):
+        read_snapshot(spark, str(empty))
