@@ -1,23 +1,21 @@
 """Arrow batch kernels run inside Spark tasks (``mapInArrow``).
 
-Only pyarrow and numpy are imported here, and the module is shipped to the
+Only pyarrow is imported here, and the module is shipped to the
 workers by value, so executors do not need the package installed.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 
 
 def _pair_batch(cur: pa.RecordBatch, head: pa.RecordBatch | None, carried: list[str],
-                next_names: list[str], last_name: str) -> pa.RecordBatch:
+                next_names: list[str]) -> pa.RecordBatch:
     """``cur`` plus, for each carried column, the value of the following row.
 
     The following row of the batch's last row is ``head`` (first row of the
-    next batch) or, at the end of the partition, null with the last-row flag set.
+    next batch) or, at the end of the partition, null.
     """
-    n = cur.num_rows
     arrays = list(cur.columns)
     names = list(cur.schema.names)
     for name, next_name in zip(carried, next_names):
@@ -25,15 +23,10 @@ def _pair_batch(cur: pa.RecordBatch, head: pa.RecordBatch | None, carried: list[
         following = head.column(name) if head is not None else pa.nulls(1, column.type)
         arrays.append(pa.concat_arrays([column.slice(1), following]))
         names.append(next_name)
-    flags = np.zeros(n, dtype=bool)
-    if head is None:
-        flags[-1] = True
-    arrays.append(pa.array(flags))
-    names.append(last_name)
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def shift_within_partition(carried: list[str], next_names: list[str], last_name: str):
+def shift_within_partition(carried: list[str], next_names: list[str]):
     """Build a ``mapInArrow`` function pairing each row of a sorted partition with the next.
 
     Streams batch by batch, holding one batch back so the boundary row of each
@@ -45,8 +38,8 @@ def shift_within_partition(carried: list[str], next_names: list[str], last_name:
             if batch.num_rows == 0:
                 continue
             if pending is not None:
-                yield _pair_batch(pending, batch.slice(0, 1), carried, next_names, last_name)
+                yield _pair_batch(pending, batch.slice(0, 1), carried, next_names)
             pending = batch
         if pending is not None:
-            yield _pair_batch(pending, None, carried, next_names, last_name)
+            yield _pair_batch(pending, None, carried, next_names)
     return run

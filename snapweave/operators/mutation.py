@@ -22,9 +22,10 @@ all rows -- through one task, so groups are handled by size:
   partitioner cuts anywhere in that order, so one key spreads over as many
   tasks as its size needs.  Each sorted range is walked once by an Arrow
   kernel pairing every row with its successor.  Only the last row of a range
-  needs a row from elsewhere, the first row of the next non-empty range;
-  those heads (one per range, bounded by the range count) come from a partial
-  aggregate over the same, reused shuffle and are broadcast back.
+  needs a row from elsewhere, the first row of the next non-empty range.  The
+  first and last row of every range come from one partial aggregate over the
+  same, reused shuffle and are paired by a window over those ends: one row per
+  range, bounded by the range count, not by the data.  Nothing is broadcast.
 
 Either way each key is handled whole by one strategy and both are exact, so a
 misjudged key costs time, never correctness.  The counts of
@@ -54,12 +55,12 @@ COUNT = "count"
 
 _KEY = "__key"
 _PART = "__range"
-_LAST = "__last"
 _HEAD = "__head"
+_TAIL = "__tail"
 _NEXT = "__next_"
 
-# Heads are one row per range partition and are broadcast; refuse layouts
-# whose head table could outgrow a broadcast.
+# The ends of all ranges (one row per range) meet in one task to be paired;
+# keep their number bounded.
 MAX_RANGES = 200_000
 # A group above this many rows is split over several tasks.
 HOT_KEY_ROWS = 1_000_000
@@ -157,26 +158,32 @@ def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFr
 
 
 def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
-    """Any group size: global range split, Arrow walk per range, heads stitched back."""
+    """Any group size: global range split, Arrow walk per range, boundaries paired apart."""
     ranged = _ranged(layout, keyed, num_ranges)
     carried, sort_keys = layout.carried, layout.sort_keys
-    heads = ranged.groupBy(_PART).agg(F.min_by(F.struct(*carried), F.struct(*sort_keys)).alias(_HEAD))
-    # At most one row per range partition: a bounded, single-partition window.
-    successors = heads.select(_PART, F.lead(_HEAD).over(Window.orderBy(_PART)).alias(_HEAD))
 
+    # Inside each range: pair every row with the next one (the last row has none).
     next_names = [_NEXT + c for c in carried]
     out_schema = T.StructType(
         ranged.schema.fields
-        + [T.StructField(nn, ranged.schema[c].dataType, True) for c, nn in zip(carried, next_names)]
-        + [T.StructField(_LAST, T.BooleanType(), False)])
+        + [T.StructField(nn, ranged.schema[c].dataType, True) for c, nn in zip(carried, next_names)])
     walked = ranged.sortWithinPartitions(*sort_keys).mapInArrow(
-        _arrow_kernels.shift_within_partition(carried, next_names, _LAST), out_schema)
-
-    stitched = walked.join(F.broadcast(successors), on=_PART, how="left")
-    nxt = {c: F.when(F.col(_LAST), F.col(_HEAD)[c]).otherwise(F.col(nn))
-           for c, nn in zip(carried, next_names)}
-    pairs = stitched.where(nxt[_KEY].isNotNull() & (nxt[_KEY] == F.col(_KEY)))
-    return layout.pairs(pairs, nxt)
+        _arrow_kernels.shift_within_partition(carried, next_names), out_schema)
+    inner = walked.where(F.col(_NEXT + _KEY) == F.col(_KEY))
+    inner_pairs = layout.pairs(inner, {c: F.col(nn) for c, nn in zip(carried, next_names)})
+
+    # Across ranges: the last row of a range and the first row of the next
+    # non-empty range.  One partial aggregate over the reused shuffle gives both
+    # ends of every range, and one window ordered by range id pairs each tail
+    # with the following head.  That window holds one row per range (at most
+    # MAX_RANGES), so its single task is bounded by the layout, not the data.
+    row, order = F.struct(*carried), F.struct(*sort_keys)
+    ends = ranged.groupBy(_PART).agg(F.min_by(row, order).alias(_HEAD), F.max_by(row, order).alias(_TAIL))
+    seams = (ends.select(_TAIL, F.lead(_HEAD).over(Window.orderBy(_PART)).alias(_HEAD))
+             .where(F.col(_TAIL)[_KEY] == F.col(_HEAD)[_KEY])
+             .select(F.col(_TAIL + ".*"), _HEAD))
+    seam_pairs = layout.pairs(seams, {c: F.col(_HEAD)[c] for c in carried})
+    return inner_pairs.unionByName(seam_pairs)
 
 
 def range_layout(masked: DataFrame, key: str, order: str = "reference",
