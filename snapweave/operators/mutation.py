@@ -96,18 +96,35 @@ def _check(masked: DataFrame, key: str) -> None:
         raise KeyError(f"grouping field {key!r} is not a data column")
 
 
+# Types whose text form is one-to-one with the value: grouping on the column
+# itself gives the same groups as grouping on its text, without a text copy.
+_TEXT_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.BooleanType,
+               T.DateType, T.DecimalType)
+
+
 class _Layout:
-    """Column roles shared by both pair strategies."""
+    """Column roles shared by both pair strategies.
+
+    ``key`` names the grouping column of ``keyed``: the field itself when its
+    text is one-to-one with its value, else an added text copy.
+    """
 
     def __init__(self, masked: DataFrame, key: str, order: str):
         _check(masked, key)
         self.fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
         names = [f.name for f in self.fields]
-        self.keyed = masked.where(F.col(key).isNotNull()).select(
-            F.col(key).cast("string").alias(_KEY), *names, MASK_COLUMN)
+        present = masked.where(F.col(key).isNotNull())
+        if isinstance(masked.schema[key].dataType, _TEXT_EXACT):
+            self.key = key
+            self.keyed = present.select(*names, MASK_COLUMN)
+            self.carried = [*names, MASK_COLUMN]
+        else:
+            self.key = _KEY
+            self.keyed = present.select(F.col(key).cast("string").alias(_KEY), *names, MASK_COLUMN)
+            self.carried = [_KEY, *names, MASK_COLUMN]
+        self.payload = [*names, MASK_COLUMN]
         self.within_key = [_mask_order(order)] + [orderable(f.name, f.dataType) for f in self.fields]
-        self.sort_keys = [F.col(_KEY)] + self.within_key
-        self.carried = [_KEY, *names, MASK_COLUMN]
+        self.sort_keys = [F.col(self.key)] + self.within_key
 
     def pairs(self, df: DataFrame, following: dict) -> DataFrame:
         """Pair rows with their successor values (``following[column]``) and name the changes."""
@@ -119,8 +136,8 @@ class _Layout:
                          following[MASK_COLUMN].alias(MASK_OUT))
 
 
-def hot_keys(keyed: DataFrame, threshold: int) -> list[str] | None:
-    """Key texts whose group may exceed ``threshold`` rows, or None if there are too many.
+def hot_keys(keyed: DataFrame, key: str, threshold: int) -> list | None:
+    """Keys whose group may exceed ``threshold`` rows, or None if there are too many.
 
     Counted on a Bernoulli sample sized so a key at the threshold expects
     ``SAMPLE_HITS`` sampled rows; the count runs as a Spark aggregate and only
@@ -128,24 +145,24 @@ def hot_keys(keyed: DataFrame, threshold: int) -> list[str] | None:
     only changes which exact strategy handles it, never the result.
     """
     fraction = min(1.0, SAMPLE_HITS / threshold)
-    keys = keyed.select(_KEY)
+    keys = keyed.select(key)
     if fraction < 1.0:
         keys, cut = keys.sample(fraction=fraction, seed=SAMPLE_SEED), SAMPLE_HITS // 2
     else:
         cut = threshold + 1
-    found = (keys.groupBy(_KEY).count().where(F.col("count") >= cut).select(_KEY)
+    found = (keys.groupBy(key).count().where(F.col("count") >= cut).select(key)
              .limit(MAX_HOT_KEYS + 1).collect())
     if len(found) > MAX_HOT_KEYS:
         return None
-    return sorted(r[_KEY] for r in found)
+    return sorted(r[0] for r in found)
 
 
 def _window_pairs(layout: _Layout, keyed: DataFrame) -> DataFrame:
     """Bounded groups: one hash exchange on the key, then ``lead`` inside each group."""
-    w = Window.partitionBy(_KEY).orderBy(*layout.within_key)
-    nxt = F.lead(F.struct(*layout.carried[1:])).over(w)
+    w = Window.partitionBy(layout.key).orderBy(*layout.within_key)
+    nxt = F.lead(F.struct(*layout.payload)).over(w)
     walked = keyed.select("*", nxt.alias(_HEAD)).where(F.col(_HEAD).isNotNull())
-    return layout.pairs(walked, {c: F.col(_HEAD)[c] for c in layout.carried[1:]})
+    return layout.pairs(walked, {c: F.col(_HEAD)[c] for c in layout.payload})
 
 
 def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
@@ -169,7 +186,7 @@ def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> D
         + [T.StructField(nn, ranged.schema[c].dataType, True) for c, nn in zip(carried, next_names)])
     walked = ranged.sortWithinPartitions(*sort_keys).mapInArrow(
         _arrow_kernels.shift_within_partition(carried, next_names), out_schema)
-    inner = walked.where(F.col(_NEXT + _KEY) == F.col(_KEY))
+    inner = walked.where(F.col(_NEXT + layout.key) == F.col(layout.key))
     inner_pairs = layout.pairs(inner, {c: F.col(nn) for c, nn in zip(carried, next_names)})
 
     # Across ranges: the last row of a range and the first row of the next
@@ -180,7 +197,7 @@ def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> D
     row, order = F.struct(*carried), F.struct(*sort_keys)
     ends = ranged.groupBy(_PART).agg(F.min_by(row, order).alias(_HEAD), F.max_by(row, order).alias(_TAIL))
     seams = (ends.select(_TAIL, F.lead(_HEAD).over(Window.orderBy(_PART)).alias(_HEAD))
-             .where(F.col(_TAIL)[_KEY] == F.col(_HEAD)[_KEY])
+             .where(F.col(_TAIL)[layout.key] == F.col(_HEAD)[layout.key])
              .select(F.col(_TAIL + ".*"), _HEAD))
     seam_pairs = layout.pairs(seams, {c: F.col(_HEAD)[c] for c in carried})
     return inner_pairs.unionByName(seam_pairs)
@@ -188,7 +205,7 @@ def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> D
 
 def range_layout(masked: DataFrame, key: str, order: str = "reference",
                  num_ranges: int | None = None) -> DataFrame:
-    """The range-partitioned rows the split strategy walks (key text, columns, mask, range id)."""
+    """The range-partitioned rows the split strategy walks (columns, mask, range id)."""
     layout = _Layout(masked, key, order)
     return _ranged(layout, layout.keyed, num_ranges)
 
@@ -203,12 +220,12 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
     """
     layout = _Layout(masked, key, order)
     keyed = layout.keyed
-    hot = hot_keys(keyed, hot_key_rows)
+    hot = hot_keys(keyed, layout.key, hot_key_rows)
     if hot is None:
         return _range_pairs(layout, keyed, num_ranges)
     if not hot:
         return _window_pairs(layout, keyed)
-    is_hot = F.col(_KEY).isin(hot)
+    is_hot = F.col(layout.key).isin(hot)
     return _window_pairs(layout, keyed.where(~is_hot)).unionByName(
         _range_pairs(layout, keyed.where(is_hot), num_ranges))
 

@@ -72,11 +72,13 @@ def test_mutation_hot_keys_are_range_split(spark, merged_path):
 
 def test_hot_key_spreads_over_ranges(spark):
     """One grouping value holds half of all rows."""
-    from snapweave.operators.mutation import _KEY, _Layout, hot_keys
+    from snapweave.operators.mutation import _Layout, hot_keys
     masked = merge(derived.order_snapshots(spark, SF_ORACLE))
     masked = masked.withColumn(
         "grp", F.when(F.col("o_orderkey") % 2 == 0, F.lit("hot")).otherwise(F.col("o_orderkey").cast("string")))
-    assert hot_keys(_Layout(masked, "grp", "reference").keyed, 2000) == ["hot"]
+    layout = _Layout(masked, "grp", "reference")
+    _KEY = layout.key
+    assert hot_keys(layout.keyed, _KEY, 2000) == ["hot"]
     ranged = range_layout(masked, "grp", num_ranges=8)
     per_range = ranged.groupBy("__range", _KEY).count().collect()
     total = sum(r["count"] for r in per_range)

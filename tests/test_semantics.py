@@ -242,3 +242,14 @@ def test_empty_snapshot_directory_raises(spark, tmp_path):
     empty.mkdir()
     with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|Unable to infer"):
         read_snapshot(spark, str(empty))
+
+
+def test_mutation_groups_on_text_of_float_keys(spark):
+    df = attach_legend(spark.createDataFrame(
+        [(1.5, 1, "10"), (1.5, 2, "01"), (-0.0, 1, "10"), (0.0, 2, "01")],
+        "key double, value int, diffmask string"), ["a", "b"])
+    for hot in (10**9, 1):
+        got = [(tuple(r["fields"]), r["diffmaskIn"], r["diffmaskOut"])
+               for r in mutation_pairs(df, "key", hot_key_rows=hot).collect()]
+        # -0.0 and 0.0 print differently, so they are different groups: one pair only.
+        assert got == [(("value",), "01", "10")]
