@@ -33,6 +33,12 @@ def orderable(name: str, dtype: T.DataType) -> Column:
     return col
 
 
+def _fixed_row_order(df: DataFrame) -> bool:
+    """True when no exchange precedes: partitions come straight from the scan."""
+    from ..plans.inspect import exchanges
+    return exchanges(df) == 0
+
+
 def compact(df: DataFrame, num_files: int, cluster: str = "hash") -> DataFrame:
     """``df`` laid out as ``num_files`` partitions (write it to get that many files)."""
     if num_files < 1:
@@ -40,10 +46,12 @@ def compact(df: DataFrame, num_files: int, cluster: str = "hash") -> DataFrame:
     if cluster == "none":
         return df.repartition(num_files)
     keys = [orderable(f.name, f.dataType) for f in df.schema.fields]
-    # Position of the row in its input split: deterministic, so a retried task
-    # routes every row exactly as the first attempt did.
-    row = F.monotonically_increasing_id()
-    salted = df.withColumn(_ROW, row)
+    # The salt is the row's position in its input partition.  A file scan
+    # yields rows in a fixed order, but a shuffle read does not; then each input
+    # partition is sorted by content first, so positions depend only on the
+    # partition's contents and a retried task routes every row as before.
+    source = df if _fixed_row_order(df) else df.sortWithinPartitions(*keys)
+    salted = source.withColumn(_ROW, F.monotonically_increasing_id())
     if cluster == "hash":
         spread = salted.repartition(num_files, *keys, F.col(_ROW) % (num_files * SALTS_PER_PART))
     elif cluster == "range":

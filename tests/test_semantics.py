@@ -253,3 +253,11 @@ def test_mutation_groups_on_text_of_float_keys(spark):
                for r in mutation_pairs(df, "key", hot_key_rows=hot).collect()]
         # -0.0 and 0.0 print differently, so they are different groups: one pair only.
         assert got == [(("value",), "01", "10")]
+
+
+def test_compact_of_shuffled_input_sorts_before_salting(spark):
+    from snapweave.plans.inspect import physical_plan
+    shuffled = spark.createDataFrame([("1", 1)] * 20 + [("2", 2)] * 5, KV).repartition(3)
+    plan = physical_plan(compact(shuffled, 4))
+    assert plan.count("Sort [") >= 2  # content sort before the salt, and inside each part
+    assert rows(compact(shuffled, 4)) == rows(shuffled)
