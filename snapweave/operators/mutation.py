@@ -218,6 +218,8 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
     window; larger (hot) groups by the range-split strategy, which spreads one
     group over many tasks.  ``num_ranges`` sets the range count of the latter.
     """
+    if hot_key_rows < 1:
+        raise ValueError("hot_key_rows must be positive")
     layout = _Layout(masked, key, order)
     keyed = layout.keyed
     hot = hot_keys(keyed, layout.key, hot_key_rows)

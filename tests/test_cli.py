@@ -49,3 +49,13 @@ def test_jobs_chain(spark, snapshot_dirs, tmp_path):
 
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         cli.run(spark, ["todate", str(out / "merged"), str(out / "dated")])
+
+
+def test_incremental_merge_through_cli(spark, snapshot_dirs, tmp_path):
+    first = str(tmp_path / "first")
+    cli.run(spark, ["merge", ",".join(snapshot_dirs[:2]), first])
+    cli.run(spark, ["merge", ",".join([first, snapshot_dirs[2]]), str(tmp_path / "all")])
+    cli.run(spark, ["merge", ",".join(snapshot_dirs), str(tmp_path / "once")])
+    incremental = spark.read.parquet(str(tmp_path / "all"))
+    assert legend_of(incremental) == sorted(snapshot_dirs)
+    assert rows(incremental) == rows(spark.read.parquet(str(tmp_path / "once")))

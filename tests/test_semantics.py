@@ -261,3 +261,12 @@ def test_compact_of_shuffled_input_sorts_before_salting(spark):
     plan = physical_plan(compact(shuffled, 4))
     assert plan.count("Sort [") >= 2  # content sort before the salt, and inside each part
     assert rows(compact(shuffled, 4)) == rows(shuffled)
+
+
+def test_intervals_as_timestamps(spark):
+    from snapweave import intervals
+    df = spark.createDataFrame([("01",)], "diffmask string")
+    out = intervals(df, snapshots=["a", "b"], times=[0, 86_400_000], as_timestamp=True)
+    assert dict(out.dtypes)["dm_to_datetime"] == "timestamp"
+    r = out.selectExpr("cast(dm_from_datetime as string) f", "cast(dm_to_datetime as string) t").first()
+    assert (r["f"], r["t"]) == ("1970-01-01 00:00:00", "1970-01-02 00:00:00")
