@@ -36,17 +36,22 @@ def snapshot_time_ms(path: Column) -> Column:
     return F.unix_millis(F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
 
 
+_TIMES_SEEN: dict[tuple[str, ...], list[int]] = {}
+
+
 def snapshot_times(spark: SparkSession, labels) -> list[int]:
     """Times of a legend, one per label, evaluated with :func:`snapshot_time_ms`.
 
     The legend is driver metadata (one label per snapshot); it is evaluated as a
-    single-row projection of literals so the parse rule has one definition.
-    Raises when a label has no readable time, because a skipped label would
-    shift every later time against the mask positions.
+    single-row projection of literals so the parse rule has one definition, and
+    remembered per legend.  Raises when a label has no readable time, because a
+    skipped label would shift every later time against the mask positions.
     """
-    labels = list(labels)
+    labels = tuple(labels)
     if not labels:
         return []
+    if labels in _TIMES_SEEN:
+        return list(_TIMES_SEEN[labels])
     row = spark.range(1).select(
         *[snapshot_time_ms(F.lit(label)).alias(f"t{i}") for i, label in enumerate(labels)]
     ).first()
@@ -54,7 +59,8 @@ def snapshot_times(spark: SparkSession, labels) -> list[int]:
     bad = [label for label, t in zip(labels, times) if t is None]
     if bad:
         raise ValueError(f"no readable {TIME_KEY}=... component in labels: {bad}")
-    return times
+    _TIMES_SEEN[labels] = times
+    return list(times)
 
 
 def _check_candidates(candidates) -> list[str]:
