@@ -130,10 +130,9 @@ def last_set(mask: Column) -> Column:
 
 def mask_or(left: Column, right: Column) -> Column:
     """Position-wise OR of two masks of equal length and legend (row level)."""
-    n = F.greatest(F.length(left), F.length(right))
     chars = F.zip_with(F.split(left, ""), F.split(right, ""),
                        lambda a, b: F.when((a == ONE) | (b == ONE), F.lit(ONE)).otherwise(F.lit(ZERO)))
-    return F.when(n.isNull(), F.lit(None)).otherwise(F.array_join(chars, ""))
+    return F.array_join(chars, "")
 
 
 # ---------------------------------------------------------------- legends
