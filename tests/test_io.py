@@ -75,3 +75,22 @@ def test_row_wise_operators_accept_streams(spark, tmp_path):
     got = spark.table("extract_stream")
     assert got.count() == extract(static, labels[1]).count()
     assert got.where("dm_to_datetime IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_formats_without_metadata_take_an_explicit_legend(spark, tmp_path, fmt):
+    from snapweave.cli import run
+    merged = merge(derived.order_snapshots(spark, SF_SMALL))
+    out = str(tmp_path / "m")
+    write_output(merged, out, fmt, compression=None)
+    back = read_snapshot(spark, out, fmt)
+    assert legend_of(back) is None
+    labels = list(derived.ORDER_LABELS)
+    with pytest.raises(ValueError, match="legend"):
+        extract(back, labels[0])
+    assert extract(back, labels[0], snapshots=labels).count() == extract(merged, labels[0]).count()
+    # The command line takes the same legend through --snapshots.
+    run(spark, ["--format", fmt, "--compression", "none", "--snapshots", ",".join(labels),
+                "todate", out, str(tmp_path / "dated")])
+    dated = read_snapshot(spark, str(tmp_path / "dated"), fmt)
+    assert dated.where("dm_to_datetime IS NULL").count() == 0
