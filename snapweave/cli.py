@@ -11,7 +11,7 @@
 
 Common options: ``--format`` (read and write, default parquet), ``--compression``
 (default snappy), ``--snapshots`` (comma-joined legend for masked inputs whose
-format dropped the column metadata).  Outputs must not exist yet.  An unknown
+format dropped the column metadata; a legend stored with the data wins).  Outputs must not exist yet.  An unknown
 job prints the usage and exits with status 255.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 
 from .operators import (compact, diff, extract, merge, mutation_pairs, mutation_stats, to_date,
                         write_diff)
+from .functions.mask import legend_of
 from .session import ensure_checkpoint_dir
 from .sources import read_snapshot, write_output
 
@@ -98,7 +99,9 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     if args.job == "merge":
         paths = [p for p in args.inputs.split(",") if p]
         frames = {p: read(p) for p in paths}
-        legends = {p: legend for p in paths} if legend else None
+        # --snapshots only fills in for masked inputs whose format dropped the legend.
+        legends = {p: legend for p, df in frames.items()
+                   if legend and "diffmask" in df.columns and not legend_of(df)} or None
         write(merge(frames, legends), args.output)
         return {"job": "merge", "inputs": len(paths)}
     if args.job == "extract":
