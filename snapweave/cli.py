@@ -9,10 +9,11 @@
     todate   <masked input> <output>
     mutation <masked input> <output> <field> [--order reference|chronological] [--pairs]
 
-Common options: ``--format`` (read and write, default parquet), ``--compression``
-(default snappy), ``--snapshots`` (comma-joined legend for masked inputs whose
-format dropped the column metadata; a legend stored with the data wins).  Outputs must not exist yet.  An unknown
-job prints the usage and exits with status 255.
+Common options, given before the job: ``--format`` (read and write, default
+parquet), ``--compression`` (default snappy), ``--snapshots`` (comma-joined
+legend for masked inputs whose format dropped the column metadata; a legend
+stored with the data wins).  Outputs must not exist yet.  An unknown job prints
+the usage and exits with status 255.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import SparkSession
 
 from .operators import (compact, diff, extract, merge, mutation_pairs, mutation_stats, to_date,
                         write_diff)
-from .functions.mask import legend_of
+from .functions.mask import attach_legend, legend_of
 from .session import ensure_checkpoint_dir
 from .sources import read_snapshot, write_output
 
@@ -111,21 +112,29 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         write(to_date(read(args.input), legend), args.output)
         return {"job": "todate"}
     masked = read(args.input)
-    if legend:
-        from .functions.mask import attach_legend
+    if legend and not legend_of(masked):
         masked = attach_legend(masked, legend)
     op = mutation_pairs if args.pairs else mutation_stats
     write(op(masked, args.field, args.order), args.output)
     return {"job": "mutation"}
 
 
+def _job_name(argv: list[str]) -> str | None:
+    """The first token that is not a global option or its value."""
+    i = 0
+    while i < len(argv) and argv[i].startswith("--"):
+        i += 1 if "=" in argv[i] else 2
+    return argv[i] if i < len(argv) else None
+
+
 def main(argv: list[str] | None = None) -> int:
     argv = list(sys.argv[1:] if argv is None else argv)
-    if not argv or argv[0] not in JOBS:
-        sys.stderr.write(f"unknown job {argv[0] if argv else ''!r}; jobs: {', '.join(JOBS)}\n")
+    job = _job_name(argv)
+    if job not in JOBS:
+        sys.stderr.write(f"unknown job {job!r}; jobs: {', '.join(JOBS)}\n")
         sys.stderr.write(__doc__ or "")
         return 255
-    spark = SparkSession.builder.appName(f"snapweave-{argv[0]}").getOrCreate()
+    spark = SparkSession.builder.appName(f"snapweave-{job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     report = run(spark, argv)
     print(json.dumps(report))

@@ -22,7 +22,10 @@ def snapshot_dirs(spark, tmp_path_factory):
 
 def test_unknown_job_exits_255(capsys):
     assert cli.main(["nope"]) == 255
+    assert cli.main(["--format", "orc", "nope"]) == 255
+    assert cli.main([]) == 255
     assert "unknown job" in capsys.readouterr().err
+    assert cli._job_name(["--format", "orc", "--compression=zstd", "todate", "a", "b"]) == "todate"
 
 
 def test_jobs_chain(spark, snapshot_dirs, tmp_path):
