@@ -94,3 +94,19 @@ def test_formats_without_metadata_take_an_explicit_legend(spark, tmp_path, fmt):
                 "todate", out, str(tmp_path / "dated")])
     dated = read_snapshot(spark, str(tmp_path / "dated"), fmt)
     assert dated.where("dm_to_datetime IS NULL").count() == 0
+
+
+def test_avro_round_trip_when_module_present(spark, tmp_path):
+    probe = str(tmp_path / "probe")
+    try:
+        spark.range(1).write.format("avro").save(probe)
+    except Exception as exc:  # noqa: BLE001
+        if "avro" in str(exc).lower():
+            pytest.skip("spark-avro module not on the classpath")
+        raise
+    merged = merge(derived.order_snapshots(spark, SF_SMALL))
+    out = str(tmp_path / "m")
+    write_output(merged, out, "avro", compression="snappy")
+    back = read_snapshot(spark, out, "avro")
+    labels = list(derived.ORDER_LABELS)
+    assert extract(back, labels[0], snapshots=labels).count() == extract(merged, labels[0]).count()
