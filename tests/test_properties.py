@@ -95,3 +95,73 @@ def test_to_date_brackets_presence(spark, snaps):
         first, last = mask.index("1"), mask.rindex("1")
         assert r["dm_from_datetime"] == t0 + max(first - 1, 0) * day
         assert r["dm_to_datetime"] == t0 + last * day
+
+
+# ---------------------------------------------------------------- Python models
+
+def _model_diff_count(a, b):
+    """Occurrence-count rule: 2 copies in total -> kernel, 1 -> its side, more -> dropped."""
+    seen = Counter()
+    side = {}
+    for r in a:
+        seen[r] += 1
+        side[r] = "del"
+    for r in b:
+        seen[r] += 1
+        side[r] = "add"
+    out = []
+    for r, n in seen.items():
+        if n == 2:
+            out.append(("kernel",) + r)
+        elif n == 1:
+            out.append((side[r],) + r)
+    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+@SETTINGS
+@given(snapshot, snapshot)
+def test_diff_count_mode_matches_model(spark, a, b):
+    d = diff(spark.createDataFrame(a, SCHEMA), spark.createDataFrame(b, SCHEMA), mode="count")
+    assert rows(d, "type", "key", "value", "tag") == _model_diff_count(a, b)
+
+
+@SETTINGS
+@given(series)
+def test_merge_matches_model(spark, snaps):
+    labels = _labels(len(snaps))
+    expect = {}
+    for i, s in enumerate(snaps):
+        for r in s:
+            expect.setdefault(r, ["0"] * len(snaps))[i] = "1"
+    want = sorted((r + ("".join(m),) for r, m in expect.items()),
+                  key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert rows(merge(_frames(spark, snaps))) == want
+    assert labels == sorted(labels)
+
+
+masked_row = st.tuples(st.integers(0, 3), st.sampled_from([None, 1, 2]), st.sampled_from(["01", "10", "11"]))
+
+
+def _model_pairs(data):
+    """Adjacent pairs per key, ordered by mask then columns (nulls first)."""
+    def order(r):
+        key, value, mask = r
+        return (mask, key, value is not None, value if value is not None else 0)
+    out = []
+    for key in {r[0] for r in data}:
+        group = sorted((r for r in data if r[0] == key), key=order)
+        for x, y in zip(group, group[1:]):
+            fields = [n for n, i in (("key", 0), ("value", 1)) if x[i] != y[i]]
+            out.append((",".join(fields), x[2], y[2]))
+    return sorted(out)
+
+
+@SETTINGS
+@given(st.lists(masked_row, max_size=14))
+def test_mutation_pairs_match_model(spark, data):
+    from snapweave.functions.mask import attach_legend
+    df = attach_legend(spark.createDataFrame(data, "key int, value int, diffmask string"), ["a", "b"])
+    for hot, ranges in ((10**9, None), (1, 3)):
+        got = sorted(tuple(r) for r in mutation_pairs(df, "key", hot_key_rows=hot, num_ranges=ranges)
+                     .selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut").collect())
+        assert got == _model_pairs(data)
