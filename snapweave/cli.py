@@ -1,6 +1,7 @@
 """Command-line jobs, one sub-command per operator.
 
-    spark-submit --py-files snapweave.zip -m snapweave.cli <job> [args]
+    spark-submit --py-files snapweave.zip snapweave_submit.py <job> [args]
+    python -m snapweave.cli <job> [args]          (local session)
 
     compact  <input> <output> [--num-files N] [--cluster hash|range|none]
     diff     <origin> <dest> <output> [--schema DDL] [--mode set|count]

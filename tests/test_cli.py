@@ -62,3 +62,13 @@ def test_incremental_merge_through_cli(spark, snapshot_dirs, tmp_path):
     incremental = spark.read.parquet(str(tmp_path / "all"))
     assert legend_of(incremental) == sorted(snapshot_dirs)
     assert rows(incremental) == rows(spark.read.parquet(str(tmp_path / "once")))
+
+
+def test_submit_script_exit_code():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, os.path.join(root, "snapweave_submit.py"), "nope"],
+                          capture_output=True, text=True, timeout=120, cwd=root)
+    assert done.returncode == 255 and "unknown job" in done.stderr
