@@ -270,3 +270,22 @@ def test_intervals_as_timestamps(spark):
     assert dict(out.dtypes)["dm_to_datetime"] == "timestamp"
     r = out.selectExpr("cast(dm_from_datetime as string) f", "cast(dm_to_datetime as string) t").first()
     assert (r["f"], r["t"]) == ("1970-01-01 00:00:00", "1970-01-02 00:00:00")
+
+
+def test_nested_types_through_every_job(spark):
+    schema = "id int, tags array<string>, attrs struct<a:int,b:string>, props map<string,int>"
+    s0 = spark.createDataFrame([(1, ["x"], (1, "p"), {"k": 1}), (2, [], (2, None), {})], schema)
+    s1 = spark.createDataFrame([(1, ["x"], (1, "p"), {"k": 1}), (2, ["y"], (2, None), {"k": 2})], schema)
+    d = rows(diff(s0, s1), "type", "id")
+    assert d == [("add", 2), ("del", 2), ("kernel", 1)]
+    merged = merge({"a": s0, "b": s1})
+    assert sorted(r["diffmask"] for r in merged.collect()) == ["01", "10", "11"]
+    assert extract(merged, "b").count() == 2
+    pairs = [(tuple(r["fields"]), r["diffmaskIn"], r["diffmaskOut"])
+             for r in mutation_pairs(merged, "id").collect()]
+    assert pairs == [(("props", "tags"), "01", "10")]
+    split = [(tuple(r["fields"]), r["diffmaskIn"], r["diffmaskOut"])
+             for r in mutation_pairs(merged, "id", hot_key_rows=1, num_ranges=2).collect()]
+    assert split == pairs
+    for cluster in ("hash", "range", "none"):
+        assert compact(s1, 2, cluster=cluster).count() == 2
