@@ -18,7 +18,7 @@ all rows -- through one task, so groups are handled by size:
   the short, size-checked list of hot keys reaches the driver.
 * Ordinary keys: one hash exchange on the key and ``lead`` over a window per
   key.  Every group is below the hot threshold, so each fits a task.
-* Hot keys: the rows are range-partitioned on (key text, mask, columns).  The
+* Hot keys: the rows are range-partitioned on (key, mask, columns).  The
   partitioner cuts anywhere in that order, so one key spreads over as many
   tasks as its size needs.  Each sorted range is walked once by an Arrow
   kernel pairing every row with its successor.  Only the last row of a range
@@ -217,6 +217,10 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
     Groups of at most about ``hot_key_rows`` rows are walked by a per-key
     window; larger (hot) groups by the range-split strategy, which spreads one
     group over many tasks.  ``num_ranges`` sets the range count of the latter.
+
+    The hot-key sample runs as soon as this is called and reads ``masked``
+    once more; give a stored table (or :func:`snapweave.sources.stage.stage_table`
+    of an expensive plan) so that read is a cheap column scan.
     """
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be positive")
