@@ -112,8 +112,17 @@ def render_mask(words: list[Column], layout: MaskLayout) -> Column:
     return pieces[0] if len(pieces) == 1 else F.concat(*pieces)
 
 
-def bit_is_set(mask: Column, position: int) -> Column:
-    """True where snapshot ``position`` (0-based) is present."""
+def bit_is_set(mask: Column, position: int, size: int | None = None) -> Column:
+    """True where snapshot ``position`` (0-based) of a ``size``-snapshot legend is present.
+
+    The first and the last position are written as prefix / suffix tests, which
+    Spark pushes into Parquet scans (``StringStartsWith`` / ``StringEndsWith``);
+    a middle position is a plain character test.
+    """
+    if position == 0:
+        return mask.startswith(ONE)
+    if size is not None and position == size - 1:
+        return mask.endswith(ONE) & (F.length(mask) == size)
     return F.substring(mask, position + 1, 1) == ONE
 
 

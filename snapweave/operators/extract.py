@@ -2,7 +2,8 @@
 
 A narrow filter on the snapshot's mask character followed by dropping the
 mask; no exchange.  On a merged table the result is the distinct records of
-that snapshot.
+that snapshot.  For the first and the last snapshot of the legend the filter
+reaches the Parquet scan as a prefix / suffix predicate.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def extract(masked: DataFrame, label: str, snapshots=None, match: str = "exact")
     """
     labels = resolve_legend(masked, snapshots)
     position = resolve_label(masked.sparkSession, label, labels, match)
-    return masked.where(bit_is_set(F.col(MASK_COLUMN), position)).drop(MASK_COLUMN)
+    return masked.where(bit_is_set(F.col(MASK_COLUMN), position, len(labels))).drop(MASK_COLUMN)
 
 
 def extract_at(masked: DataFrame, position: int) -> DataFrame:

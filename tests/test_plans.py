@@ -43,6 +43,14 @@ def test_extract_and_to_date_are_narrow(spark, merged_path):
     assert inspect.exchanges(to_date(masked)) == 0
 
 
+def test_first_and_last_snapshot_filters_reach_the_scan(spark, merged_path):
+    masked = spark.read.parquet(merged_path)
+    first = inspect.physical_plan(extract(masked, derived.ORDER_LABELS[0]))
+    last = inspect.physical_plan(extract(masked, derived.ORDER_LABELS[-1]))
+    assert "StringStartsWith(diffmask,1)" in first
+    assert "StringEndsWith(diffmask,1)" in last
+
+
 def test_legend_survives_parquet(spark, merged_path):
     from snapweave import legend_of
     assert legend_of(spark.read.parquet(merged_path)) == list(derived.ORDER_LABELS)
