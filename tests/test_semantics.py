@@ -289,3 +289,21 @@ def test_nested_types_through_every_job(spark):
     assert split == pairs
     for cluster in ("hash", "range", "none"):
         assert compact(s1, 2, cluster=cluster).count() == 2
+
+
+def test_float_zero_signs_and_nan_compare_equal(spark):
+    """Documented choice: Spark grouping treats -0.0 = 0.0 and NaN = NaN."""
+    a = spark.createDataFrame([(-0.0,), (float("nan"),)], "x double")
+    b = spark.createDataFrame([(0.0,), (float("nan"),)], "x double")
+    assert sorted(r["type"] for r in diff(a, b).collect()) == ["kernel", "kernel"]
+    assert merge({"a": a, "b": b}).count() == 2
+
+
+def test_negative_offsets_need_explicit_times(spark):
+    """Only 'p' (plus) has a spelling in labels; other offsets take times=."""
+    legend = ["/x/importdatetime=2014-01-10T00_00_00m05_00", "/x/importdatetime=2014-01-11T00_00_00m05_00"]
+    df = attach_legend(spark.createDataFrame([("11",)], "diffmask string"), legend)
+    with pytest.raises(ValueError, match="importdatetime"):
+        to_date(df)
+    out = to_date(df, times=[1, 2]).first()
+    assert (out["dm_from_datetime"], out["dm_to_datetime"]) == (1, 2)
