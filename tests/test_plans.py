@@ -127,3 +127,21 @@ def test_registered_queries_cover_survey_rows():
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert "type" in df.columns and df.count() > 0
+
+
+def _partition_contents(df):
+    tagged = df.withColumn("__p", F.spark_partition_id())
+    return sorted(map(tuple, tagged.groupBy("__p", *df.columns).count().collect()),
+                  key=lambda t: tuple(str(x) for x in t))
+
+
+def test_partition_assignment_is_repeatable(spark):
+    """Re-running a plan (as a retried stage does) routes every row the same way."""
+    shuffled = derived.duplicated_origin(spark, SF_SMALL).repartition(5)
+    from snapweave import compact
+    for cluster in ("hash", "range"):
+        assert _partition_contents(compact(shuffled, 6, cluster)) == \
+            _partition_contents(compact(shuffled, 6, cluster))
+    masked = merge(derived.order_snapshots(spark, SF_SMALL))
+    assert _partition_contents(range_layout(masked, "o_orderstatus", num_ranges=7)) == \
+        _partition_contents(range_layout(masked, "o_orderstatus", num_ranges=7))
