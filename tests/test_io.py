@@ -110,3 +110,23 @@ def test_avro_round_trip_when_module_present(spark, tmp_path):
     back = read_snapshot(spark, out, "avro")
     labels = list(derived.ORDER_LABELS)
     assert extract(back, labels[0], snapshots=labels).count() == extract(merged, labels[0]).count()
+
+
+def test_read_snapshots_and_multi_column_partitioning(spark, tmp_path):
+    from snapweave import read_snapshots
+    df = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, p string")
+    out = str(tmp_path / "parts")
+    write_output(df, out, partition_by=["p", "k"])
+    assert sorted(os.listdir(out))[-2:] == ["p=x", "p=y"]
+    snaps = read_snapshots(spark, [out])
+    assert list(snaps) == [out]
+    assert rows(snaps[out], "k", "v", "p") == rows(df, "k", "v", "p")
+
+
+def test_merge_of_one_masked_input_is_identity(spark):
+    from snapweave.functions.mask import attach_legend
+    masked = attach_legend(spark.createDataFrame([("1", 1, "101"), ("2", 2, "010")],
+                                                 "key string, value int, diffmask string"), ["a", "b", "c"])
+    out = merge({"m": masked})
+    assert legend_of(out) == ["a", "b", "c"]
+    assert rows(out) == rows(masked)
