@@ -136,13 +136,14 @@ class _Layout:
                          following[MASK_COLUMN].alias(MASK_OUT))
 
 
-def hot_keys(keyed: DataFrame, key: str, threshold: int) -> list | None:
-    """Keys whose group may exceed ``threshold`` rows, or None if there are too many.
+def hot_keys(keyed: DataFrame, key: str, threshold: int) -> tuple[list | None, int]:
+    """Keys whose group may exceed ``threshold`` rows, and the estimated rows they hold.
 
     Counted on a Bernoulli sample sized so a key at the threshold expects
     ``SAMPLE_HITS`` sampled rows; the count runs as a Spark aggregate and only
-    the (size-checked) list of hot keys reaches the driver.  A misjudged key
-    only changes which exact strategy handles it, never the result.
+    the (size-checked) list of hot keys reaches the driver.  The key list is
+    None when there are more than ``MAX_HOT_KEYS``.  A misjudged key only
+    changes which exact strategy handles it, never the result.
     """
     fraction = min(1.0, SAMPLE_HITS / threshold)
     keys = keyed.select(key)
@@ -150,11 +151,12 @@ def hot_keys(keyed: DataFrame, key: str, threshold: int) -> list | None:
         keys, cut = keys.sample(fraction=fraction, seed=SAMPLE_SEED), SAMPLE_HITS // 2
     else:
         cut = threshold + 1
-    found = (keys.groupBy(key).count().where(F.col("count") >= cut).select(key)
+    found = (keys.groupBy(key).count().where(F.col("count") >= cut)
              .limit(MAX_HOT_KEYS + 1).collect())
+    rows = int(sum(r["count"] for r in found) / fraction)
     if len(found) > MAX_HOT_KEYS:
-        return None
-    return sorted(r[0] for r in found)
+        return None, rows
+    return sorted(r[0] for r in found), rows
 
 
 def _window_pairs(layout: _Layout, keyed: DataFrame) -> DataFrame:
@@ -216,7 +218,9 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
 
     Groups of at most about ``hot_key_rows`` rows are walked by a per-key
     window; larger (hot) groups by the range-split strategy, which spreads one
-    group over many tasks.  ``num_ranges`` sets the range count of the latter.
+    group over many tasks.  ``num_ranges`` sets the range count of the latter;
+    by default it is sized from the sampled hot-row volume (about
+    ``hot_key_rows`` rows per range, at most ``spark.sql.shuffle.partitions``).
 
     The hot-key sample runs as soon as this is called and reads ``masked``
     once more; give a stored table (or :func:`snapweave.sources.stage.stage_table`
@@ -226,11 +230,16 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
         raise ValueError("hot_key_rows must be positive")
     layout = _Layout(masked, key, order)
     keyed = layout.keyed
-    hot = hot_keys(keyed, layout.key, hot_key_rows)
+    hot, hot_rows = hot_keys(keyed, layout.key, hot_key_rows)
     if hot is None:
         return _range_pairs(layout, keyed, num_ranges)
     if not hot:
         return _window_pairs(layout, keyed)
+    if num_ranges is None:
+        # About one hot-key group's worth of rows per range: a single hot key
+        # on a huge cluster gets a handful of ranges, not one per shuffle partition.
+        most = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        num_ranges = max(1, min(most, MAX_RANGES, -(-hot_rows // hot_key_rows)))
     is_hot = F.col(layout.key).isin(hot)
     return _window_pairs(layout, keyed.where(~is_hot)).unionByName(
         _range_pairs(layout, keyed.where(is_hot), num_ranges))
