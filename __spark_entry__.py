@@ -231,7 +231,10 @@ def _line_ctes() -> str:
 def _merged_sql(cols, ctes, n=3, projections=None) -> str:
     """CTEs ending in ``m``: the merge of s0..s{n-1} with a text mask."""
     projections = projections or [_cols(cols)] * n
-    flags = lambda i: ", ".join(f"{int(i == j)} AS f{j}" for j in range(n))
+
+    def flags(i):
+        return ", ".join(f"{int(i == j)} AS f{j}" for j in range(n))
+
     union = "\nUNION ALL ".join(f"SELECT {projections[i]}, {flags(i)} FROM s{i}" for i in range(n))
     mask = " || ".join(f"CAST(max(f{j}) AS VARCHAR)" for j in range(n))
     return (f"WITH {ctes},\nu AS ({union}),\n"
