@@ -11,9 +11,10 @@
     mutation <masked input> <output> <field> [--order reference|chronological] [--pairs]
 
 Common options, given before the job: ``--format`` (read and write, default
-parquet), ``--compression`` (default snappy), ``--snapshots`` (comma-joined
-legend for masked inputs whose format dropped the column metadata; a legend
-stored with the data wins).  Outputs must not exist yet.  An unknown job prints
+parquet), ``--compression`` (default snappy), ``--num-files`` (files per
+output; default: the plan's partitions after AQE), ``--snapshots``
+(comma-joined legend for masked inputs whose format dropped the column
+metadata; a legend stored with the data wins).  Outputs must not exist yet.  An unknown job prints
 the usage and exits with status 255.
 """
 
@@ -39,6 +40,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet")
     p.add_argument("--compression", default="snappy")
     p.add_argument("--snapshots", default=None, help="comma-joined legend for masked inputs")
+    p.add_argument("--num-files", type=int, default=None, dest="out_files",
+                   help="files per output (default: as many as the plan's partitions)")
     sub = p.add_subparsers(dest="job", required=True)
 
     c = sub.add_parser("compact")
@@ -87,7 +90,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         return read_snapshot(spark, path, fmt, schema=schema)
 
     def write(df, path):
-        write_output(df, path, fmt, compression=comp)
+        write_output(df, path, fmt, compression=comp, num_files=args.out_files)
 
     if args.job == "compact":
         write_output(compact(read(args.input), args.num_files, args.cluster), args.output, fmt,
@@ -96,7 +99,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     if args.job == "diff":
         dest = read(args.dest, args.schema)
         orig = read(args.origin, args.schema)
-        counts = write_diff(diff(orig, dest, mode=args.mode), args.output, fmt, compression=comp)
+        counts = write_diff(diff(orig, dest, mode=args.mode), args.output, fmt, compression=comp,
+                            num_files=args.out_files)
         return {"job": "diff", "counts": counts}
     if args.job == "merge":
         paths = [p for p in args.inputs.split(",") if p]

@@ -72,3 +72,10 @@ def test_submit_script_exit_code():
     done = subprocess.run([sys.executable, os.path.join(root, "snapweave_submit.py"), "nope"],
                           capture_output=True, text=True, timeout=120, cwd=root)
     assert done.returncode == 255 and "unknown job" in done.stderr
+
+
+def test_global_num_files(spark, snapshot_dirs, tmp_path):
+    import os
+    out = str(tmp_path / "merged3")
+    cli.run(spark, ["--num-files", "3", "merge", ",".join(snapshot_dirs), out])
+    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 3
