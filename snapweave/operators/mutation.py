@@ -160,11 +160,17 @@ def hot_keys(keyed: DataFrame, key: str, threshold: int) -> tuple[list | None, i
 
 
 def _window_pairs(layout: _Layout, keyed: DataFrame) -> DataFrame:
-    """Bounded groups: one hash exchange on the key, then ``lead`` inside each group."""
+    """Bounded groups: one hash exchange on the key, then ``lead`` inside each group.
+
+    One ``lead`` per column: a ``lead(struct(...))`` would be pre-projected below
+    the exchange and ship every field twice.  The key is never null here, so its
+    ``lead`` marks whether a successor exists.
+    """
     w = Window.partitionBy(layout.key).orderBy(*layout.within_key)
-    nxt = F.lead(F.struct(*layout.payload)).over(w)
-    walked = keyed.select("*", nxt.alias(_HEAD)).where(F.col(_HEAD).isNotNull())
-    return layout.pairs(walked, {c: F.col(_HEAD)[c] for c in layout.payload})
+    following = {c: F.lead(c).over(w).alias(_NEXT + c) for c in layout.payload}
+    exists = F.lead(layout.key).over(w).alias(_HEAD)
+    walked = keyed.select("*", exists, *following.values()).where(F.col(_HEAD).isNotNull())
+    return layout.pairs(walked, {c: F.col(_NEXT + c) for c in layout.payload})
 
 
 def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
