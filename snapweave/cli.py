@@ -9,6 +9,7 @@
     extract  <masked input> <label> <output> [--match exact|nearest]
     todate   <masked input> <output>
     mutation <masked input> <output> <field> [--order reference|chronological] [--pairs]
+             [--hot-key-rows N] [--num-ranges N]
 
 Common options, given before the job: ``--format`` (read and write, default
 parquet), ``--compression`` (default snappy), ``--num-files`` (files per
@@ -77,6 +78,9 @@ def _parser() -> argparse.ArgumentParser:
     u.add_argument("field")
     u.add_argument("--order", default="reference", choices=["reference", "chronological"])
     u.add_argument("--pairs", action="store_true", help="write the pairs, not the counts")
+    u.add_argument("--hot-key-rows", type=int, default=None,
+                   help="groups above this many rows are split over tasks")
+    u.add_argument("--num-ranges", type=int, default=None, help="range count of the hot-key split")
     return p
 
 
@@ -120,7 +124,10 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     if legend and not legend_of(masked):
         masked = attach_legend(masked, legend)
     op = mutation_pairs if args.pairs else mutation_stats
-    write(op(masked, args.field, args.order), args.output)
+    tuning = {"num_ranges": args.num_ranges}
+    if args.hot_key_rows is not None:
+        tuning["hot_key_rows"] = args.hot_key_rows
+    write(op(masked, args.field, args.order, **tuning), args.output)
     return {"job": "mutation"}
 
 

@@ -46,6 +46,12 @@ def test_jobs_chain(spark, snapshot_dirs, tmp_path):
 
     cli.run(spark, ["mutation", str(out / "merged"), str(out / "mut"), "o_orderkey"])
     assert spark.read.parquet(str(out / "mut")).count() > 0
+    cli.run(spark, ["mutation", str(out / "merged"), str(out / "mut_split"), "o_orderkey",
+                    "--hot-key-rows", "1", "--num-ranges", "3"])
+    assert rows(spark.read.parquet(str(out / "mut_split")).selectExpr(
+        "array_join(fields, ',')", "diffmaskIn", "diffmaskOut", "count")) == rows(
+        spark.read.parquet(str(out / "mut")).selectExpr(
+            "array_join(fields, ',')", "diffmaskIn", "diffmaskOut", "count"))
 
     cli.run(spark, ["compact", snapshot_dirs[0], str(out / "compact"), "--num-files", "3"])
     assert rows(spark.read.parquet(str(out / "compact"))) == rows(spark.read.parquet(snapshot_dirs[0]))
