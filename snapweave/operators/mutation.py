@@ -78,6 +78,16 @@ def _differs(a: Column, b: Column, dtype: T.DataType) -> Column:
     return ~a.eqNullSafe(b)
 
 
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return False
+
+
 def _mask_order(order: str) -> Column:
     mask = F.col(MASK_COLUMN)
     if order == "reference":
@@ -202,8 +212,19 @@ def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> D
     # ends of every range, and one window ordered by range id pairs each tail
     # with the following head.  That window holds one row per range (at most
     # MAX_RANGES), so its single task is bounded by the layout, not the data.
-    row, order = F.struct(*carried), F.struct(*sort_keys)
-    ends = ranged.groupBy(_PART).agg(F.min_by(row, order).alias(_HEAD), F.max_by(row, order).alias(_TAIL))
+    if any(_has_map(f.dataType) for f in layout.fields):
+        # Maps are not comparable: order by the sortable stand-ins, carry the row.
+        row, order = F.struct(*carried), F.struct(*sort_keys)
+        ends = ranged.groupBy(_PART).agg(F.min_by(row, order).alias(_HEAD),
+                                         F.max_by(row, order).alias(_TAIL))
+    else:
+        # One struct that sorts like the range order and carries the row, each
+        # field once: (key, mask order, fields..., mask).  Plain min/max over
+        # it are cheaper than min_by/max_by over two structs.
+        lead_key = F.col(layout.key).alias(_KEY if layout.key == _KEY else "__o0")
+        keyed_row = F.struct(lead_key, sort_keys[1].alias("__o1"),
+                             *[F.col(f.name) for f in layout.fields], F.col(MASK_COLUMN))
+        ends = ranged.groupBy(_PART).agg(F.min(keyed_row).alias(_HEAD), F.max(keyed_row).alias(_TAIL))
     seams = (ends.select(_TAIL, F.lead(_HEAD).over(Window.orderBy(_PART)).alias(_HEAD))
              .where(F.col(_TAIL)[layout.key] == F.col(_HEAD)[layout.key])
              .select(F.col(_TAIL + ".*"), _HEAD))
