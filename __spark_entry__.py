@@ -70,24 +70,29 @@ def _fields_text(df: DataFrame) -> DataFrame:
 
 
 def q_diff(spark, sf_dir):
+    """diff: imports 0 and 1 of orders, every distinct record with its class."""
     s = list(_orders(spark, sf_dir).values())
     return diff(s[0], s[1])
 
 
 def q_diff_count_mode(spark, sf_dir):
+    """diff with the occurrence-count rule; the origin holds second copies of some rows."""
     s1 = derived.order_snapshot(spark, sf_dir, 1)
     return diff(derived.duplicated_origin(spark, sf_dir), s1, mode="count")
 
 
 def q_diff_summary(spark, sf_dir):
+    """Records per diff class (the per-output counters)."""
     return diff_summary(q_diff(spark, sf_dir))
 
 
 def q_compact(spark, sf_dir):
+    """compact of an import with duplicates into 8 parts (hash layout): same rows."""
     return compact(derived.duplicated_origin(spark, sf_dir), num_files=8)
 
 
 def q_compact_range(spark, sf_dir):
+    """compact with the global-sort layout: same rows."""
     return compact(derived.duplicated_origin(spark, sf_dir), num_files=8, cluster="range")
 
 
@@ -98,10 +103,12 @@ def q_diff_reader_schema(spark, sf_dir):
 
 
 def q_merge(spark, sf_dir):
+    """merge of three imports of orders: one row per distinct record with its mask."""
     return _merged_orders(spark, sf_dir)
 
 
 def q_merge_incremental(spark, sf_dir):
+    """merge(merge(import 0, import 1), import 2): equals the one-shot merge."""
     labels = derived.ORDER_LABELS
     s = _orders(spark, sf_dir)
     first = merge({labels[0]: s[labels[0]], labels[1]: s[labels[1]]})
@@ -109,6 +116,7 @@ def q_merge_incremental(spark, sf_dir):
 
 
 def q_merge_evolved(spark, sf_dir):
+    """merge where import 0 lacks a column: the union schema with nulls."""
     labels = derived.ORDER_LABELS
     s = _orders(spark, sf_dir)
     return merge({labels[0]: s[labels[0]].drop("o_orderpriority"), labels[1]: s[labels[1]]})
@@ -127,20 +135,24 @@ def q_extract_nearest(spark, sf_dir):
 
 
 def q_to_date(spark, sf_dir):
+    """Validity interval of every merged record from the times in the legend."""
     return to_date(_merged_orders(spark, sf_dir))
 
 
 def q_mutation_pairs(spark, sf_dir):
+    """Neighbouring versions of each order and the fields that changed."""
     return _fields_text(mutation_pairs(_staged_merge(_merged_orders(spark, sf_dir), "orders"),
                                        "o_orderkey"))
 
 
 def q_mutation_stats(spark, sf_dir):
+    """Counts of (changed fields, mask in, mask out) over all orders."""
     return _fields_text(mutation_stats(_staged_merge(_merged_orders(spark, sf_dir), "orders"),
                                        "o_orderkey"))
 
 
 def q_mutation_stats_hot_key(spark, sf_dir):
+    """Mutation counts grouped by order status: few, large groups."""
     # A low hot-key threshold sends every status group (thousands of rows each)
     # through the range-split strategy, so the oracle checks that path too.
     return _fields_text(mutation_stats(_staged_merge(_merged_orders(spark, sf_dir), "orders"),
@@ -153,6 +165,7 @@ def q_mutation_stats_chronological(spark, sf_dir):
 
 
 def q_nearest_label(spark, sf_dir):
+    """Each nation name matched to the closest region name by edit distance."""
     nation = derived.table(spark, sf_dir, "nation")
     region = derived.table(spark, sf_dir, "region")
     return nearest_label(nation.select("n_nationkey", "n_name"), "n_name", region,
@@ -160,6 +173,7 @@ def q_nearest_label(spark, sf_dir):
 
 
 def q_snapshot_times(spark, sf_dir):
+    """Epoch ms parsed from an import path built from each order date."""
     orders = derived.table(spark, sf_dir, "orders")
     label = F.concat(F.lit("/bi/orders/importdatetime="),
                      F.date_format("o_orderdate", "yyyy-MM-dd'T'HH_mm_ss"), F.lit("p01_00"))
@@ -168,15 +182,18 @@ def q_snapshot_times(spark, sf_dir):
 
 
 def q_diff_lineitem(spark, sf_dir):
+    """diff of two imports of lineitem (larger, 11 columns)."""
     s = list(derived.lineitem_snapshots(spark, sf_dir).values())
     return diff(s[0], s[1])
 
 
 def q_merge_lineitem(spark, sf_dir):
+    """merge of three imports of lineitem."""
     return _merged_lineitem(spark, sf_dir)
 
 
 def q_mutation_stats_lineitem(spark, sf_dir):
+    """Mutation counts over lineitem grouped by order key (several lines per key)."""
     return _fields_text(mutation_stats(_staged_merge(_merged_lineitem(spark, sf_dir), "lineitem"),
                                        "l_orderkey"))
 
