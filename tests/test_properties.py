@@ -165,3 +165,13 @@ def test_mutation_pairs_match_model(spark, data):
         got = sorted(tuple(r) for r in mutation_pairs(df, "key", hot_key_rows=hot, num_ranges=ranges)
                      .selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut").collect())
         assert got == _model_pairs(data)
+
+
+@SETTINGS
+@given(st.lists(record, max_size=40), st.integers(1, 6), st.sampled_from(["hash", "range", "none"]))
+def test_compact_keeps_the_multiset(spark, data, parts, cluster):
+    from snapweave import compact
+    df = spark.createDataFrame(data, SCHEMA)
+    out = compact(df, parts, cluster=cluster)
+    assert out.rdd.getNumPartitions() == parts
+    assert Counter(map(tuple, out.collect())) == Counter(data)
