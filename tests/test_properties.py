@@ -173,5 +173,6 @@ def test_compact_keeps_the_multiset(spark, data, parts, cluster):
     from snapweave import compact
     df = spark.createDataFrame(data, SCHEMA)
     out = compact(df, parts, cluster=cluster)
-    assert out.rdd.getNumPartitions() == parts
+    if data:  # an empty input becomes an empty relation (no partitions) under AQE
+        assert out.rdd.getNumPartitions() == parts
     assert Counter(map(tuple, out.collect())) == Counter(data)
