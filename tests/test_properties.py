@@ -174,5 +174,7 @@ def test_compact_keeps_the_multiset(spark, data, parts, cluster):
     df = spark.createDataFrame(data, SCHEMA)
     out = compact(df, parts, cluster=cluster)
     if data:  # an empty input becomes an empty relation (no partitions) under AQE
-        assert out.rdd.getNumPartitions() == parts
+        n = out.rdd.getNumPartitions()
+        # The range layout cannot cut more ranges than there are rows.
+        assert n == parts if cluster != "range" else 1 <= n <= parts
     assert Counter(map(tuple, out.collect())) == Counter(data)
