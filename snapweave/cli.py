@@ -4,7 +4,7 @@
     python -m snapweave.cli <job> [args]          (local session)
 
     compact  <input> <output> [--num-files N] [--cluster hash|range|none]
-    diff     <origin> <dest> <output> [--schema DDL] [--mode set|count]
+    diff     <origin> <dest> <output> [--schema DDL|file.avsc|file.json] [--mode set|count]
     merge    <dir,dir,...> <output>
     extract  <masked input> <label> <output> [--match exact|nearest]
     todate   <masked input> <output>
@@ -32,6 +32,7 @@ from .operators import (compact, diff, extract, merge, mutation_pairs, mutation_
 from .functions.mask import attach_legend, legend_of
 from .session import ensure_checkpoint_dir
 from .sources import read_snapshot, write_output
+from .sources.schemas import load_schema
 
 JOBS = ("compact", "diff", "merge", "extract", "todate", "mutation")
 
@@ -55,7 +56,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("origin")
     d.add_argument("dest")
     d.add_argument("output")
-    d.add_argument("--schema", default=None, help="reader schema (DDL) for both inputs")
+    d.add_argument("--schema", default=None,
+                   help="reader schema for both inputs: DDL, or a .avsc / Spark .json file")
     d.add_argument("--mode", default="set", choices=["set", "count"])
 
     m = sub.add_parser("merge")
@@ -101,8 +103,9 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
                      compression=comp)
         return {"job": "compact"}
     if args.job == "diff":
-        dest = read(args.dest, args.schema)
-        orig = read(args.origin, args.schema)
+        schema = load_schema(args.schema) if args.schema else None
+        dest = read(args.dest, schema)
+        orig = read(args.origin, schema)
         counts = write_diff(diff(orig, dest, mode=args.mode), args.output, fmt, compression=comp,
                             num_files=args.out_files)
         return {"job": "diff", "counts": counts}

@@ -85,3 +85,39 @@ def test_global_num_files(spark, snapshot_dirs, tmp_path):
     out = str(tmp_path / "merged3")
     cli.run(spark, ["--num-files", "3", "merge", ",".join(snapshot_dirs), out])
     assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 3
+
+
+def test_diff_with_avro_reader_schema_file(spark, snapshot_dirs, tmp_path):
+    import json
+    from snapweave.sources.schemas import load_schema
+    avsc = {"type": "record", "name": "Order", "namespace": "t", "fields": [
+        {"name": "o_orderkey", "type": "long"},
+        {"name": "o_orderstatus", "type": ["null", "string"], "default": None},
+        {"name": "o_comment", "type": ["null", "string"], "default": None}]}
+    path = tmp_path / "orders.avsc"
+    path.write_text(json.dumps(avsc))
+    schema = load_schema(str(path))
+    assert [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields] == [
+        ("o_orderkey", "bigint", False), ("o_orderstatus", "string", True), ("o_comment", "string", True)]
+    out = str(tmp_path / "diff")
+    report = cli.run(spark, ["diff", snapshot_dirs[0], snapshot_dirs[1], out, "--schema", str(path)])
+    assert sum(report["counts"].values()) > 0
+    back = spark.read.parquet(out)
+    assert sorted(back.columns) == ["o_comment", "o_orderkey", "o_orderstatus", "type"]
+    assert back.where("o_comment IS NOT NULL").count() == 0
+
+
+def test_avro_schema_conversion_covers_nested_types():
+    from snapweave.sources.schemas import avro_record
+    node = {"type": "record", "name": "r", "fields": [
+        {"name": "tags", "type": {"type": "array", "items": "string"}},
+        {"name": "props", "type": {"type": "map", "values": ["null", "int"]}},
+        {"name": "kind", "type": {"type": "enum", "name": "k", "symbols": ["A", "B"]}},
+        {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+        {"name": "amount", "type": {"type": "bytes", "logicalType": "decimal", "precision": 10, "scale": 2}},
+        {"name": "inner", "type": {"type": "record", "name": "i", "fields": [{"name": "a", "type": "double"}]}}]}
+    assert avro_record(node).simpleString() == (
+        "struct<tags:array<string>,props:map<string,int>,kind:string,day:date,"
+        "amount:decimal(10,2),inner:struct<a:double>>")
+    with pytest.raises(ValueError):
+        avro_record({"type": "record", "name": "x", "fields": [{"name": "u", "type": ["int", "string"]}]})
