@@ -307,3 +307,18 @@ def test_negative_offsets_need_explicit_times(spark):
         to_date(df)
     out = to_date(df, times=[1, 2]).first()
     assert (out["dm_from_datetime"], out["dm_to_datetime"]) == (1, 2)
+
+
+def test_mutation_strategies_agree_on_special_doubles(spark):
+    nan = float("nan")
+    data = [("k", v, m) for v in (nan, -0.0, 0.0, 1.5, None, nan) for m in ("01", "10", "11")]
+    df = attach_legend(spark.createDataFrame(data, "key string, x double, diffmask string"), ["a", "b"])
+
+    def run(hot, ranges):
+        return sorted(map(tuple, mutation_pairs(df, "key", hot_key_rows=hot, num_ranges=ranges)
+                          .selectExpr("array_join(fields, ',')", "diffmaskIn", "diffmaskOut").collect()))
+
+    window = run(10**9, None)
+    assert len(window) == len(data) - 1
+    for ranges in (1, 2, 3, 5):
+        assert run(1, ranges) == window
