@@ -43,15 +43,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
     reach; it is read from the session and never replaced.  Only when nothing
-    is configured (local tests) is a fresh scratch folder used.
+    is configured (local tests) is a fresh scratch folder used.  Sessions
+    without a SparkContext (remote clients) only need the path.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: no SparkContext
+        sc = None
+    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(CHECKPOINT_CONF, None)
     if configured:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="snapweave-ckpt-")
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     spark.conf.set(CHECKPOINT_CONF, path)
     return path
