@@ -322,3 +322,9 @@ def test_mutation_strategies_agree_on_special_doubles(spark):
     assert len(window) == len(data) - 1
     for ranges in (1, 2, 3, 5):
         assert run(1, ranges) == window
+
+
+def test_to_date_keeps_the_legend(spark):
+    legend = [f"/x/importdatetime=2014-01-{d}T00_00_00p00_00" for d in (10, 11)]
+    df = attach_legend(spark.createDataFrame([("10",)], "diffmask string"), legend)
+    assert legend_of(to_date(df)) == legend
