@@ -35,6 +35,7 @@ misjudged key costs time, never correctness.  The counts of
 from __future__ import annotations
 
 import sys
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -58,6 +59,8 @@ _PART = "__range"
 _HEAD = "__head"
 _TAIL = "__tail"
 _NEXT = "__next_"
+_BITS = "__changed"
+WORD_BITS = 63
 
 # The ends of all ranges (one row per range) meet in one task to be paired;
 # keep their number bounded.
@@ -119,8 +122,9 @@ class _Layout:
     text is one-to-one with its value, else an added text copy.
     """
 
-    def __init__(self, masked: DataFrame, key: str, order: str):
+    def __init__(self, masked: DataFrame, key: str, order: str, as_bits: bool = False):
         _check(masked, key)
+        self.as_bits = as_bits
         self.fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
         names = [f.name for f in self.fields]
         present = masked.where(F.col(key).isNotNull())
@@ -136,14 +140,40 @@ class _Layout:
         self.within_key = [_mask_order(order)] + [orderable(f.name, f.dataType) for f in self.fields]
         self.sort_keys = [F.col(self.key)] + self.within_key
 
+    @property
+    def sorted_fields(self) -> list[T.StructField]:
+        return sorted(self.fields, key=lambda f: f.name)
+
+    def bit_names(self) -> list[str]:
+        return [f"{_BITS}{k}" for k in range(-(-len(self.fields) // WORD_BITS) or 1)]
+
     def pairs(self, df: DataFrame, following: dict) -> DataFrame:
-        """Pair rows with their successor values (``following[column]``) and name the changes."""
-        changed = F.array_compact(F.array(*[
-            F.when(_differs(F.col(f.name), following[f.name], f.dataType), F.lit(f.name))
-            for f in sorted(self.fields, key=lambda f: f.name)
-        ]))
-        return df.select(changed.alias(FIELDS), F.col(MASK_COLUMN).alias(MASK_IN),
-                         following[MASK_COLUMN].alias(MASK_OUT))
+        """Pair rows with their successor values (``following[column]``) and name the changes.
+
+        With ``as_bits`` the changed fields come as BIGINT words (bit i of word k
+        is sorted field 63k+i), a fixed-width key for counting; :meth:`names`
+        turns them back into the sorted name array.
+        """
+        masks = [F.col(MASK_COLUMN).alias(MASK_IN), following[MASK_COLUMN].alias(MASK_OUT)]
+        flags = [_differs(F.col(f.name), following[f.name], f.dataType) for f in self.sorted_fields]
+        if not self.as_bits:
+            changed = F.array_compact(F.array(*[
+                F.when(flag, F.lit(f.name)) for flag, f in zip(flags, self.sorted_fields)]))
+            return df.select(changed.alias(FIELDS), *masks)
+        words = []
+        for k, name in enumerate(self.bit_names()):
+            part = flags[k * WORD_BITS:(k + 1) * WORD_BITS]
+            bits = [F.when(flag, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                    for i, flag in enumerate(part)] or [F.lit(0).cast("bigint")]
+            words.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(name))
+        return df.select(*words, *masks)
+
+    def names(self) -> Column:
+        """Sorted names of the fields whose bit is set in the words of :meth:`pairs`."""
+        return F.array_compact(F.array(*[
+            F.when(F.col(self.bit_names()[i // WORD_BITS]).bitwiseAND(F.lit(1 << (i % WORD_BITS))) != 0,
+                   F.lit(f.name))
+            for i, f in enumerate(self.sorted_fields)]))
 
 
 def hot_keys(keyed: DataFrame, key: str, threshold: int) -> tuple[list | None, int]:
@@ -253,9 +283,12 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
     once more; give a stored table (or :func:`snapweave.sources.stage.stage_table`
     of an expensive plan) so that read is a cheap column scan.
     """
+    return _pairs(_Layout(masked, key, order), hot_key_rows, num_ranges)
+
+
+def _pairs(layout: _Layout, hot_key_rows: int, num_ranges: int | None) -> DataFrame:
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be positive")
-    layout = _Layout(masked, key, order)
     keyed = layout.keyed
     hot, hot_rows = hot_keys(keyed, layout.key, hot_key_rows)
     if hot is None:
@@ -274,8 +307,17 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
 
 def mutation_stats(masked: DataFrame, key: str, order: str = "reference",
                    hot_key_rows: int = HOT_KEY_ROWS, num_ranges: int | None = None) -> DataFrame:
-    """Count of each (``fields``, ``diffmaskIn``, ``diffmaskOut``) mutation."""
-    return count_mutations(mutation_pairs(masked, key, order, hot_key_rows, num_ranges))
+    """Count of each (``fields``, ``diffmaskIn``, ``diffmaskOut``) mutation.
+
+    The pairs are counted by a fixed-width key (changed-field bit words and the
+    two masks) with map-side partial counts; field names are attached to the
+    counted rows only.
+    """
+    layout = _Layout(masked, key, order, as_bits=True)
+    pairs = _pairs(layout, hot_key_rows, num_ranges)
+    counted = pairs.groupBy(*layout.bit_names(), MASK_IN, MASK_OUT).agg(
+        F.count(F.lit(1)).cast("int").alias(COUNT))
+    return counted.select(layout.names().alias(FIELDS), MASK_IN, MASK_OUT, COUNT)
 
 
 def count_mutations(pairs: DataFrame) -> DataFrame:

@@ -328,3 +328,20 @@ def test_to_date_keeps_the_legend(spark):
     legend = [f"/x/importdatetime=2014-01-{d}T00_00_00p00_00" for d in (10, 11)]
     df = attach_legend(spark.createDataFrame([("10",)], "diffmask string"), legend)
     assert legend_of(to_date(df)) == legend
+
+
+def test_mutation_stats_with_more_fields_than_one_word(spark):
+    from snapweave import mutation_stats
+    names = [f"c{i:02d}" for i in range(70)]
+    base = {n: 0 for n in names}
+    v1 = dict(base, key="k", diffmask="10")
+    v2 = dict(base, key="k", diffmask="01", c02=1, c65=1, c69=1)
+    cols = ["key"] + names + ["diffmask"]
+    schema = ", ".join(["key string"] + [f"{n} int" for n in names] + ["diffmask string"])
+    rows_ = [tuple(v[c] for c in cols) for v in (v1, v2)]
+    df = attach_legend(spark.createDataFrame(rows_, schema), ["a", "b"])
+    got = [(tuple(r["fields"]), r["diffmaskIn"], r["diffmaskOut"], r["count"])
+           for r in mutation_stats(df, "key").collect()]
+    assert got == [(("c02", "c65", "c69"), "01", "10", 1)]
+    split = [(tuple(r["fields"]), r["count"]) for r in mutation_stats(df, "key", hot_key_rows=1).collect()]
+    assert split == [(("c02", "c65", "c69"), 1)]
