@@ -144,6 +144,9 @@ def _job_name(argv: list[str]) -> str | None:
 
 def main(argv: list[str] | None = None) -> int:
     argv = list(sys.argv[1:] if argv is None else argv)
+    if argv and argv[0] in ("-h", "--help"):
+        sys.stdout.write(__doc__ or "")
+        return 0
     job = _job_name(argv)
     if job not in JOBS:
         sys.stderr.write(f"unknown job {job!r}; jobs: {', '.join(JOBS)}\n")

@@ -26,6 +26,8 @@ def test_unknown_job_exits_255(capsys):
     assert cli.main([]) == 255
     assert "unknown job" in capsys.readouterr().err
     assert cli._job_name(["--format", "orc", "--compression=zstd", "todate", "a", "b"]) == "todate"
+    assert cli.main(["--help"]) == 0
+    assert "todate" in capsys.readouterr().out
 
 
 def test_jobs_chain(spark, snapshot_dirs, tmp_path):
