@@ -15,7 +15,8 @@ Common options, given before the job: ``--format`` (read and write, default
 parquet), ``--compression`` (default snappy), ``--num-files`` (files per
 output; default: the plan's partitions after AQE), ``--snapshots``
 (comma-joined legend for masked inputs whose format dropped the column
-metadata; a legend stored with the data wins).  Outputs must not exist yet.  An unknown job prints
+metadata; a legend stored with the data wins), ``--explain`` (print the
+physical plan and write nothing).  Outputs must not exist yet.  An unknown job prints
 the usage and exits with status 255.
 """
 
@@ -44,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--snapshots", default=None, help="comma-joined legend for masked inputs")
     p.add_argument("--num-files", type=int, default=None, dest="out_files",
                    help="files per output (default: as many as the plan's partitions)")
+    p.add_argument("--explain", action="store_true",
+                   help="print the formatted physical plan instead of running the job")
     sub = p.add_subparsers(dest="job", required=True)
 
     c = sub.add_parser("compact")
@@ -95,19 +98,24 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     def read(path, schema=None):
         return read_snapshot(spark, path, fmt, schema=schema)
 
-    def write(df, path):
-        write_output(df, path, fmt, compression=comp, num_files=args.out_files)
+    def write(df, path, num_files=None):
+        if args.explain:
+            df.explain("formatted")
+            return
+        write_output(df, path, fmt, compression=comp, num_files=num_files or args.out_files)
 
     if args.job == "compact":
-        write_output(compact(read(args.input), args.num_files, args.cluster), args.output, fmt,
-                     compression=comp)
+        write(compact(read(args.input), args.num_files, args.cluster), args.output)
         return {"job": "compact"}
     if args.job == "diff":
         schema = load_schema(args.schema) if args.schema else None
         dest = read(args.dest, schema)
         orig = read(args.origin, schema)
-        counts = write_diff(diff(orig, dest, mode=args.mode), args.output, fmt, compression=comp,
-                            num_files=args.out_files)
+        diffed = diff(orig, dest, mode=args.mode)
+        if args.explain:
+            diffed.explain("formatted")
+            return {"job": "diff"}
+        counts = write_diff(diffed, args.output, fmt, compression=comp, num_files=args.out_files)
         return {"job": "diff", "counts": counts}
     if args.job == "merge":
         paths = [p for p in args.inputs.split(",") if p]

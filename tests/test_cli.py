@@ -123,3 +123,12 @@ def test_avro_schema_conversion_covers_nested_types():
         "amount:decimal(10,2),inner:struct<a:double>>")
     with pytest.raises(ValueError):
         avro_record({"type": "record", "name": "x", "fields": [{"name": "u", "type": ["int", "string"]}]})
+
+
+def test_explain_writes_nothing(spark, snapshot_dirs, tmp_path, capsys):
+    import os
+    out = str(tmp_path / "never")
+    cli.run(spark, ["--explain", "merge", ",".join(snapshot_dirs), out])
+    cli.run(spark, ["--explain", "diff", snapshot_dirs[0], snapshot_dirs[1], out])
+    assert not os.path.exists(out)
+    assert "HashAggregate" in capsys.readouterr().out
