@@ -98,14 +98,16 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     def read(path, schema=None):
         return read_snapshot(spark, path, fmt, schema=schema)
 
-    def write(df, path, num_files=None):
+    def write(df, path, relayout=True):
         if args.explain:
             df.explain("formatted")
             return
-        write_output(df, path, fmt, compression=comp, num_files=num_files or args.out_files)
+        write_output(df, path, fmt, compression=comp,
+                     num_files=args.out_files if relayout else None)
 
     if args.job == "compact":
-        write(compact(read(args.input), args.num_files, args.cluster), args.output)
+        # compact lays out its own files (its --num-files); keep that layout.
+        write(compact(read(args.input), args.num_files, args.cluster), args.output, relayout=False)
         return {"job": "compact"}
     if args.job == "diff":
         schema = load_schema(args.schema) if args.schema else None

@@ -132,3 +132,10 @@ def test_explain_writes_nothing(spark, snapshot_dirs, tmp_path, capsys):
     cli.run(spark, ["--explain", "diff", snapshot_dirs[0], snapshot_dirs[1], out])
     assert not os.path.exists(out)
     assert "HashAggregate" in capsys.readouterr().out
+
+
+def test_compact_keeps_its_layout_under_global_num_files(spark, snapshot_dirs, tmp_path):
+    import os
+    out = str(tmp_path / "c")
+    cli.run(spark, ["--num-files", "7", "compact", snapshot_dirs[0], out, "--num-files", "3"])
+    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 3
