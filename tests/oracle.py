@@ -38,6 +38,17 @@ def _norm(v):
     return v
 
 
+# Spark and DuckDB spellings of the same value types.
+_FAMILY = {"bigint": "int64", "BIGINT": "int64", "int": "int32", "INTEGER": "int32",
+           "string": "text", "VARCHAR": "text", "double": "float64", "DOUBLE": "float64",
+           "timestamp_ntz": "timestamp", "TIMESTAMP": "timestamp", "boolean": "bool",
+           "BOOLEAN": "bool"}
+
+
+def _family(name: str) -> str:
+    return _FAMILY.get(name, name)
+
+
 def _canon(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     names = [columns[i] for i in order]
@@ -56,10 +67,12 @@ def compare(spark, con, name, build, sql, sf_dir):
     duck_rows = rel.fetchall()
     s_names, s_data = _canon(sdf.columns, spark_rows)
     d_names, d_data = _canon(duck_cols, duck_rows)
+    s_types = {c: _family(t) for c, t in sdf.dtypes}
+    d_types = {d[0]: _family(str(d[1])) for d in rel.description}
     result = {
         "name": name, "spark_rows": len(s_data), "oracle_rows": len(d_data),
-        "columns_match": s_names == d_names, "values_match": s_data == d_data,
-        "spark_sec": round(t1 - t0, 2),
+        "columns_match": s_names == d_names, "types_match": s_types == d_types,
+        "values_match": s_data == d_data, "spark_sec": round(t1 - t0, 2),
     }
     if not result["values_match"] and s_names == d_names:
         sset, dset = set(s_data), set(d_data)
@@ -88,7 +101,8 @@ def main(argv):
             print(name, "no oracle")
             continue
         r = compare(spark, con, name, build, sqls[name], sf_dir)
-        ok = r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"]
+        ok = (r["columns_match"] and r["types_match"] and r["values_match"]
+              and r["spark_rows"] == r["oracle_rows"])
         bad += not ok
         print(("OK  " if ok else "FAIL"), r)
     return bad

@@ -25,5 +25,6 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     result = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF_SMALL)
     assert result["columns_match"], result
+    assert result["types_match"], result
     assert result["spark_rows"] == result["oracle_rows"], result
     assert result["values_match"], result
