@@ -98,6 +98,13 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     def read(path, schema=None):
         return read_snapshot(spark, path, fmt, schema=schema)
 
+    def read_masked(path):
+        # --snapshots only fills in for inputs whose format dropped the legend.
+        df = read(path)
+        if legend and "diffmask" in df.columns and not legend_of(df):
+            df = attach_legend(df, legend)
+        return df
+
     def write(df, path, relayout=True):
         if args.explain:
             df.explain("formatted")
@@ -121,21 +128,15 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         return {"job": "diff", "counts": counts}
     if args.job == "merge":
         paths = [p for p in args.inputs.split(",") if p]
-        frames = {p: read(p) for p in paths}
-        # --snapshots only fills in for masked inputs whose format dropped the legend.
-        legends = {p: legend for p, df in frames.items()
-                   if legend and "diffmask" in df.columns and not legend_of(df)} or None
-        write(merge(frames, legends), args.output)
+        write(merge({p: read_masked(p) for p in paths}), args.output)
         return {"job": "merge", "inputs": len(paths)}
     if args.job == "extract":
-        write(extract(read(args.input), args.label, legend, args.match), args.output)
+        write(extract(read_masked(args.input), args.label, match=args.match), args.output)
         return {"job": "extract"}
     if args.job == "todate":
-        write(to_date(read(args.input), legend), args.output)
+        write(to_date(read_masked(args.input)), args.output)
         return {"job": "todate"}
-    masked = read(args.input)
-    if legend and not legend_of(masked):
-        masked = attach_legend(masked, legend)
+    masked = read_masked(args.input)
     op = mutation_pairs if args.pairs else mutation_stats
     tuning = {"num_ranges": args.num_ranges}
     if args.hot_key_rows is not None:
