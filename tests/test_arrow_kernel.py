@@ -1,0 +1,32 @@
+"""The Arrow walk on its own: successor values across batch boundaries."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+
+from snapweave.operators._arrow_kernels import shift_within_partition
+
+
+def _batches(sizes):
+    start = 0
+    for n in sizes:
+        yield pa.RecordBatch.from_arrays([pa.array(list(range(start, start + n)), pa.int64()),
+                                          pa.array([f"m{i}" for i in range(start, start + n)])],
+                                         names=["k", "m"])
+        start += n
+
+
+def test_successors_cross_batches():
+    run = shift_within_partition(["k", "m"], ["nk", "nm"])
+    out = pa.Table.from_batches(list(run(_batches([3, 0, 1, 4, 1]))))
+    assert out.column("k").to_pylist() == list(range(9))
+    assert out.column("nk").to_pylist() == list(range(1, 9)) + [None]
+    assert out.column("nm").to_pylist() == [f"m{i}" for i in range(1, 9)] + [None]
+
+
+def test_empty_and_single_row_partitions():
+    run = shift_within_partition(["k", "m"], ["nk", "nm"])
+    assert list(run(_batches([]))) == []
+    assert list(run(_batches([0, 0]))) == []
+    single = pa.Table.from_batches(list(run(_batches([1]))))
+    assert single.column("nk").to_pylist() == [None]
