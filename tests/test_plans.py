@@ -146,3 +146,17 @@ def test_partition_assignment_is_repeatable(spark):
     masked = merge(derived.order_snapshots(spark, SF_SMALL))
     assert _partition_contents(range_layout(masked, "o_orderstatus", num_ranges=7)) == \
         _partition_contents(range_layout(masked, "o_orderstatus", num_ranges=7))
+
+
+def test_range_split_with_tiny_arrow_batches(spark):
+    """Many Arrow batches per range: successors must carry across batch edges."""
+    masked = merge(derived.order_snapshots(spark, SF_SMALL))
+    key = "o_orderstatus"
+    base = _stats(mutation_stats(masked, key, hot_key_rows=10**9))
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "3")
+    try:
+        assert _stats(mutation_stats(masked, key, hot_key_rows=1, num_ranges=4)) == base
+    finally:
+        spark.conf.set(conf, old)
