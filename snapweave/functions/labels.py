@@ -90,7 +90,10 @@ def nearest_index(value: Column, candidates) -> Column:
 def nearest_label(value: Column, candidates) -> Column:
     """The candidate string chosen by :func:`nearest_index`."""
     candidates = _check_candidates(candidates)
-    return F.element_at(F.array(*[F.lit(c) for c in candidates]), nearest_index(value, candidates) + 1)
+    idx = nearest_index(value, candidates)
+    # Guarded: element_at on a literal array was seen to return the last
+    # element, not null, for a null index.
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(c) for c in candidates]), idx + 1))
 
 
 def resolve_label(spark: SparkSession, name: str, candidates, match: str = "exact") -> int:

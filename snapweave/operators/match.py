@@ -38,7 +38,9 @@ def nearest_label(df: DataFrame, column: str, candidates, output: str = "nearest
     candidates = [str(c) for c in candidates]
     value = F.col(column)
     idx = nearest_index(value, candidates)
-    choice = F.element_at(F.array(*[F.lit(c) for c in candidates]), idx + 1)
+    # Guarded: element_at on a literal array was seen to return the last
+    # element, not null, for a null index.
+    choice = F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(c) for c in candidates]), idx + 1))
     out = df.withColumn(output, choice)
     if distance:
         out = out.withColumn(distance, F.levenshtein(value, F.col(output)))

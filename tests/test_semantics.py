@@ -345,3 +345,25 @@ def test_mutation_stats_with_more_fields_than_one_word(spark):
     assert got == [(("c02", "c65", "c69"), "01", "10", 1)]
     split = [(tuple(r["fields"]), r["count"]) for r in mutation_stats(df, "key", hot_key_rows=1).collect()]
     assert split == [(("c02", "c65", "c69"), 1)]
+
+
+def test_extract_at_position(spark):
+    from snapweave import extract_at
+    df = spark.createDataFrame([("1", "101"), ("2", "010")], "key string, diffmask string")
+    assert rows(extract_at(df, 1)) == [("2",)]
+    assert rows(extract_at(df, 2)) == [("1",)]
+
+
+def test_nearest_label_with_list_and_nulls(spark):
+    from snapweave import nearest_label
+    df = spark.createDataFrame([("ASIA",), ("EURO",), (None,)], "name string")
+    got = {r["name"]: (r["nearest_label"], r["distance"])
+           for r in nearest_label(df, "name", ["AFRICA", "ASIA", "EUROPE"]).collect()}
+    assert got == {"ASIA": ("ASIA", 0), "EURO": ("EUROPE", 2), None: (None, None)}
+
+
+def test_nearest_label_function_on_nulls(spark):
+    from snapweave.functions import nearest_label as nearest
+    got = spark.createDataFrame([(None,), ("ASIA",)], "name string").select(
+        "name", nearest(F.col("name"), ["AFRICA", "ASIA"]).alias("n")).collect()
+    assert {r["name"]: r["n"] for r in got} == {None: None, "ASIA": "ASIA"}
