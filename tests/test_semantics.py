@@ -367,3 +367,10 @@ def test_nearest_label_function_on_nulls(spark):
     got = spark.createDataFrame([(None,), ("ASIA",)], "name string").select(
         "name", nearest(F.col("name"), ["AFRICA", "ASIA"]).alias("n")).collect()
     assert {r["name"]: r["n"] for r in got} == {None: None, "ASIA": "ASIA"}
+
+
+def test_to_date_null_mask(spark):
+    df = spark.createDataFrame([(None, "n"), ("01", "x")], "diffmask string, v string")
+    out = {r["v"]: (r["dm_from_datetime"], r["dm_to_datetime"])
+           for r in to_date(df, snapshots=["a", "b"], times=[10, 20]).collect()}
+    assert out == {"n": (None, None), "x": (10, 20)}
