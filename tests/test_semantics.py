@@ -374,3 +374,17 @@ def test_to_date_null_mask(spark):
     out = {r["v"]: (r["dm_from_datetime"], r["dm_to_datetime"])
            for r in to_date(df, snapshots=["a", "b"], times=[10, 20]).collect()}
     assert out == {"n": (None, None), "x": (10, 20)}
+
+
+def test_empty_inputs_give_empty_results(spark):
+    from snapweave import diff_summary, mutation_stats
+    e = spark.createDataFrame([], KV)
+    assert diff(e, e).count() == 0 and diff(e, e, mode="count").count() == 0
+    assert diff_summary(diff(e, e)).count() == 0
+    labels = ["/x/importdatetime=2014-01-10T00_00_00p00_00", "/x/importdatetime=2014-01-11T00_00_00p00_00"]
+    m = merge({labels[0]: e, labels[1]: e})
+    assert m.count() == 0 and legend_of(m) == labels
+    assert extract(m, labels[0]).count() == 0 and to_date(m).count() == 0
+    assert mutation_stats(m, "key").count() == 0
+    assert mutation_stats(m, "key", hot_key_rows=1, num_ranges=3).count() == 0
+    assert all(compact(e, 3, c).count() == 0 for c in ("hash", "range", "none"))
