@@ -27,7 +27,8 @@ SALTS_PER_PART = 64
 
 def orderable(name: str, dtype: T.DataType) -> Column:
     """A sortable and hashable stand-in for a column (maps become sorted entry arrays)."""
-    col = F.col(name)
+    from ..plans.schema import named
+    col = named(name)
     if isinstance(dtype, T.MapType):
         return F.array_sort(F.map_entries(col))
     return col

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.schema import conform_columns
+from ..plans.schema import conform_columns, named
 from ..sources.snapshots import write_output
 
 # The diff classes.
@@ -58,19 +58,20 @@ def diff(orig: DataFrame, dest: DataFrame, columns=None, mode: str = "set") -> D
     names = target.fieldNames()
     tagged = (orig.select(*conform_columns(orig, target), F.lit(ORIGIN_BIT).alias(_SIDE))
               .unionByName(dest.select(*conform_columns(dest, target), F.lit(DEST_BIT).alias(_SIDE))))
-    grouped = tagged.groupBy(*names)
+    keys = [named(n) for n in names]
+    grouped = tagged.groupBy(*keys)
     if mode == "set":
         sides = F.col(_SIDES)
         out = grouped.agg(F.bit_or(_SIDE).alias(_SIDES))
         kind = (F.when(sides == ORIGIN_BIT | DEST_BIT, F.lit(KERNEL))
                 .when(sides == DEST_BIT, F.lit(ADD))
                 .otherwise(F.lit(DEL)))
-        return out.select(*names, kind.alias(TYPE_COLUMN))
+        return out.select(*keys, kind.alias(TYPE_COLUMN))
     out = grouped.agg(F.count(F.lit(1)).alias(_COUNT), F.bit_or(_SIDE).alias(_SIDES))
     kind = (F.when(F.col(_COUNT) == 2, F.lit(KERNEL))
             .when(F.col(_SIDES) == DEST_BIT, F.lit(ADD))
             .otherwise(F.lit(DEL)))
-    return out.where(F.col(_COUNT) <= 2).select(*names, kind.alias(TYPE_COLUMN))
+    return out.where(F.col(_COUNT) <= 2).select(*keys, kind.alias(TYPE_COLUMN))
 
 
 def diff_summary(diffed: DataFrame) -> DataFrame:

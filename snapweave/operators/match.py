@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import MAX_LITERAL_CANDIDATES, nearest_index
+from ..plans.schema import named
 
 
 def candidate_list(candidates: DataFrame, label: str, order_by: str) -> list[str]:
     """Labels of a small candidate table, in ``order_by`` order, size-checked."""
-    rows = (candidates.select(label, order_by).orderBy(order_by)
+    rows = (candidates.select(named(label).alias("label"), named(order_by).alias("order"))
+            .orderBy("order")
             .limit(MAX_LITERAL_CANDIDATES + 1).collect())
     if len(rows) > MAX_LITERAL_CANDIDATES:
         raise ValueError(f"candidate table exceeds {MAX_LITERAL_CANDIDATES} labels")
-    return [r[label] for r in rows]
+    return [r["label"] for r in rows]
 
 
 def nearest_label(df: DataFrame, column: str, candidates, output: str = "nearest_label",
@@ -36,12 +38,12 @@ def nearest_label(df: DataFrame, column: str, candidates, output: str = "nearest
             raise ValueError("a candidate table needs label= and order_by=")
         candidates = candidate_list(candidates, label, order_by)
     candidates = [str(c) for c in candidates]
-    value = F.col(column)
+    value = named(column)
     idx = nearest_index(value, candidates)
     # Guarded: element_at on a literal array was seen to return the last
     # element, not null, for a null index.
     choice = F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(c) for c in candidates]), idx + 1))
     out = df.withColumn(output, choice)
     if distance:
-        out = out.withColumn(distance, F.levenshtein(value, F.col(output)))
+        out = out.withColumn(distance, F.levenshtein(value, named(output)))
     return out

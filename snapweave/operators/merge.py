@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.mask import (MASK_COLUMN, MaskLayout, legend_of, one_hot_words, realign_words,
                               render_mask, with_legend)
-from ..plans.schema import conform_columns, reconcile
+from ..plans.schema import conform_columns, named, reconcile
 
 
 def _inputs(snapshots) -> list[tuple[str, DataFrame]]:
@@ -71,6 +71,7 @@ def merge(snapshots, legends=None) -> DataFrame:
         branches.append(df.select(*conform_columns(df, target),
                                   *[b.alias(w) for b, w in zip(bits, words)]))
     union = reduce(lambda a, b: a.unionByName(b), branches)
-    merged = union.groupBy(*names).agg(*[F.coalesce(F.bit_or(w), F.lit(0)).alias(w) for w in words])
+    keys = [named(n) for n in names]
+    merged = union.groupBy(*keys).agg(*[F.coalesce(F.bit_or(w), F.lit(0)).alias(w) for w in words])
     mask = render_mask([F.col(w) for w in words], layout)
-    return merged.select(*names, with_legend(mask, labels))
+    return merged.select(*keys, with_legend(mask, labels))

@@ -44,6 +44,7 @@ from pyspark.sql import types as T
 
 from ..functions.mask import MASK_COLUMN
 from . import _arrow_kernels
+from ..plans.schema import named
 from .compact import orderable
 
 cloudpickle.register_pickle_by_value(sys.modules[_arrow_kernels.__name__])
@@ -127,18 +128,19 @@ class _Layout:
         self.as_bits = as_bits
         self.fields = [f for f in masked.schema.fields if f.name != MASK_COLUMN]
         names = [f.name for f in self.fields]
-        present = masked.where(F.col(key).isNotNull())
+        present = masked.where(named(key).isNotNull())
         if isinstance(masked.schema[key].dataType, _TEXT_EXACT):
             self.key = key
-            self.keyed = present.select(*names, MASK_COLUMN)
+            self.keyed = present.select(*[named(n) for n in names], MASK_COLUMN)
             self.carried = [*names, MASK_COLUMN]
         else:
             self.key = _KEY
-            self.keyed = present.select(F.col(key).cast("string").alias(_KEY), *names, MASK_COLUMN)
+            self.keyed = present.select(named(key).cast("string").alias(_KEY),
+                                        *[named(n) for n in names], MASK_COLUMN)
             self.carried = [_KEY, *names, MASK_COLUMN]
         self.payload = [*names, MASK_COLUMN]
         self.within_key = [_mask_order(order)] + [orderable(f.name, f.dataType) for f in self.fields]
-        self.sort_keys = [F.col(self.key)] + self.within_key
+        self.sort_keys = [named(self.key)] + self.within_key
 
     @property
     def sorted_fields(self) -> list[T.StructField]:
@@ -155,7 +157,7 @@ class _Layout:
         turns them back into the sorted name array.
         """
         masks = [F.col(MASK_COLUMN).alias(MASK_IN), following[MASK_COLUMN].alias(MASK_OUT)]
-        flags = [_differs(F.col(f.name), following[f.name], f.dataType) for f in self.sorted_fields]
+        flags = [_differs(named(f.name), following[f.name], f.dataType) for f in self.sorted_fields]
         if not self.as_bits:
             changed = F.array_compact(F.array(*[
                 F.when(flag, F.lit(f.name)) for flag, f in zip(flags, self.sorted_fields)]))
@@ -186,12 +188,12 @@ def hot_keys(keyed: DataFrame, key: str, threshold: int) -> tuple[list | None, i
     changes which exact strategy handles it, never the result.
     """
     fraction = min(1.0, SAMPLE_HITS / threshold)
-    keys = keyed.select(key)
+    keys = keyed.select(named(key).alias("k"))
     if fraction < 1.0:
         keys, cut = keys.sample(fraction=fraction, seed=SAMPLE_SEED), SAMPLE_HITS // 2
     else:
         cut = threshold + 1
-    found = (keys.groupBy(key).count().where(F.col("count") >= cut)
+    found = (keys.groupBy("k").count().where(F.col("count") >= cut)
              .limit(MAX_HOT_KEYS + 1).collect())
     rows = int(sum(r["count"] for r in found) / fraction)
     if len(found) > MAX_HOT_KEYS:
@@ -206,11 +208,11 @@ def _window_pairs(layout: _Layout, keyed: DataFrame) -> DataFrame:
     the exchange and ship every field twice.  The key is never null here, so its
     ``lead`` marks whether a successor exists.
     """
-    w = Window.partitionBy(layout.key).orderBy(*layout.within_key)
-    following = {c: F.lead(c).over(w).alias(_NEXT + c) for c in layout.payload}
-    exists = F.lead(layout.key).over(w).alias(_HEAD)
+    w = Window.partitionBy(named(layout.key)).orderBy(*layout.within_key)
+    following = {c: F.lead(named(c)).over(w).alias(_NEXT + c) for c in layout.payload}
+    exists = F.lead(named(layout.key)).over(w).alias(_HEAD)
     walked = keyed.select("*", exists, *following.values()).where(F.col(_HEAD).isNotNull())
-    return layout.pairs(walked, {c: F.col(_NEXT + c) for c in layout.payload})
+    return layout.pairs(walked, {c: named(_NEXT + c) for c in layout.payload})
 
 
 def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
@@ -228,14 +230,24 @@ def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> D
     carried, sort_keys = layout.carried, layout.sort_keys
 
     # Inside each range: pair every row with the next one (the last row has none).
-    next_names = [_NEXT + c for c in carried]
+    # The walk sees positional column names: mapInArrow resolves columns by
+    # name and would read a dot in a field name as nesting.
+    names = ranged.columns
+    safe = [f"__c{i}" for i in range(len(names))]
+    safe_of = dict(zip(names, safe))
+    safe_next = [f"__n{i}" for i in range(len(carried))]
     out_schema = T.StructType(
-        ranged.schema.fields
-        + [T.StructField(nn, ranged.schema[c].dataType, True) for c, nn in zip(carried, next_names)])
-    walked = ranged.sortWithinPartitions(*sort_keys).mapInArrow(
-        _arrow_kernels.shift_within_partition(carried, next_names), out_schema)
-    inner = walked.where(F.col(_NEXT + layout.key) == F.col(layout.key))
-    inner_pairs = layout.pairs(inner, {c: F.col(nn) for c, nn in zip(carried, next_names)})
+        [T.StructField(sn, f.dataType, f.nullable) for sn, f in zip(safe, ranged.schema.fields)]
+        + [T.StructField(sn, ranged.schema[c].dataType, True) for c, sn in zip(carried, safe_next)])
+    sorted_ranges = ranged.sortWithinPartitions(*sort_keys).select(
+        *[named(n).alias(sn) for n, sn in zip(names, safe)])
+    walked = sorted_ranges.mapInArrow(
+        _arrow_kernels.shift_within_partition([safe_of[c] for c in carried], safe_next), out_schema)
+    next_names = [_NEXT + c for c in carried]
+    walked = walked.select(*[F.col(sn).alias(n) for sn, n in zip(safe, names)],
+                           *[F.col(sn).alias(nn) for sn, nn in zip(safe_next, next_names)])
+    inner = walked.where(named(_NEXT + layout.key) == named(layout.key))
+    inner_pairs = layout.pairs(inner, {c: named(nn) for c, nn in zip(carried, next_names)})
 
     # Across ranges: the last row of a range and the first row of the next
     # non-empty range.  One partial aggregate over the reused shuffle gives both
@@ -244,16 +256,16 @@ def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> D
     # MAX_RANGES), so its single task is bounded by the layout, not the data.
     if any(_has_map(f.dataType) for f in layout.fields):
         # Maps are not comparable: order by the sortable stand-ins, carry the row.
-        row, order = F.struct(*carried), F.struct(*sort_keys)
+        row, order = F.struct(*[named(c) for c in carried]), F.struct(*sort_keys)
         ends = ranged.groupBy(_PART).agg(F.min_by(row, order).alias(_HEAD),
                                          F.max_by(row, order).alias(_TAIL))
     else:
         # One struct that sorts like the range order and carries the row, each
         # field once: (key, mask order, fields..., mask).  Plain min/max over
         # it are cheaper than min_by/max_by over two structs.
-        lead_key = F.col(layout.key).alias(_KEY if layout.key == _KEY else "__o0")
+        lead_key = named(layout.key).alias(_KEY if layout.key == _KEY else "__o0")
         keyed_row = F.struct(lead_key, sort_keys[1].alias("__o1"),
-                             *[F.col(f.name) for f in layout.fields], F.col(MASK_COLUMN))
+                             *[named(f.name) for f in layout.fields], F.col(MASK_COLUMN))
         ends = ranged.groupBy(_PART).agg(F.min(keyed_row).alias(_HEAD), F.max(keyed_row).alias(_TAIL))
     seams = (ends.select(_TAIL, F.lead(_HEAD).over(Window.orderBy(_PART)).alias(_HEAD))
              .where(F.col(_TAIL)[layout.key] == F.col(_HEAD)[layout.key])
@@ -300,7 +312,7 @@ def _pairs(layout: _Layout, hot_key_rows: int, num_ranges: int | None) -> DataFr
         # on a huge cluster gets a handful of ranges, not one per shuffle partition.
         most = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         num_ranges = max(1, min(most, MAX_RANGES, -(-hot_rows // hot_key_rows)))
-    is_hot = F.col(layout.key).isin(hot)
+    is_hot = named(layout.key).isin(hot)
     return _window_pairs(layout, keyed.where(~is_hot)).unionByName(
         _range_pairs(layout, keyed.where(is_hot), num_ranges))
 

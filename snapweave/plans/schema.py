@@ -20,6 +20,11 @@ from pyspark.sql import types as T
 _NUMERIC_LADDER = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
+def named(name: str) -> Column:
+    """A top-level column by its exact name: dots or spaces are not nesting."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 class SchemaConflict(TypeError):
     """Two inputs define one field with types that do not widen."""
 
@@ -94,9 +99,9 @@ def conform_columns(df: DataFrame, target: T.StructType) -> list[Column]:
             if not can_widen(have[field.name], field.dataType):
                 raise SchemaConflict(f"field {field.name!r}: {have[field.name].simpleString()} "
                                      f"cannot be read as {field.dataType.simpleString()}")
-            cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            cols.append(named(field.name).cast(field.dataType).alias(field.name))
         else:
-            cols.append(F.col(field.name))
+            cols.append(named(field.name))
     return cols
 
 

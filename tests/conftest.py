@@ -26,6 +26,8 @@ def spark():
 
 def rows(df, *cols):
     """Sorted list of tuples, for exact comparison of full result sets."""
+    from snapweave.plans.schema import named
+
     cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()),
-                  key=lambda t: tuple((x is None, str(x)) for x in t))
+    picked = df.select(*[named(c) for c in cols]).collect()
+    return sorted((tuple(r) for r in picked), key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -388,3 +388,19 @@ def test_empty_inputs_give_empty_results(spark):
     assert mutation_stats(m, "key").count() == 0
     assert mutation_stats(m, "key", hot_key_rows=1, num_ranges=3).count() == 0
     assert all(compact(e, 3, c).count() == 0 for c in ("hash", "range", "none"))
+
+
+def test_column_names_with_dots_and_spaces(spark):
+    from snapweave import mutation_stats, nearest_label
+    a = spark.createDataFrame([("1", 1), ("2", 2)], "`my.key` string, `a value` int")
+    b = spark.createDataFrame([("1", 1), ("2", 3)], "`my.key` string, `a value` int")
+    assert sorted(r["type"] for r in diff(a, b).collect()) == ["add", "del", "kernel"]
+    labels = ["/x/importdatetime=2014-01-10T00_00_00p00_00", "/x/importdatetime=2014-01-11T00_00_00p00_00"]
+    m = merge({labels[0]: a, labels[1]: b})
+    assert rows(m) == [("1", 1, "11"), ("2", 2, "10"), ("2", 3, "01")]
+    assert extract(m, labels[1]).count() == 2 and to_date(m).count() == 3
+    assert compact(a, 2).count() == 2 and compact(a, 2, "range").count() == 2
+    for hot in (10**9, 1):
+        got = [(tuple(r["fields"]), r["count"]) for r in mutation_stats(m, "my.key", hot_key_rows=hot).collect()]
+        assert got == [(("a value",), 1)]
+    assert nearest_label(a, "my.key", ["1", "2"]).where("distance = 0").count() == 2
