@@ -404,3 +404,18 @@ def test_column_names_with_dots_and_spaces(spark):
         got = [(tuple(r["fields"]), r["count"]) for r in mutation_stats(m, "my.key", hot_key_rows=hot).collect()]
         assert got == [(("a value",), 1)]
     assert nearest_label(a, "my.key", ["1", "2"]).where("distance = 0").count() == 2
+
+
+def test_non_ascii_labels_and_values(spark, tmp_path):
+    from snapweave import mutation_stats, nearest_label
+    a = spark.createDataFrame([("ключ", "été"), ("鍵", "値")], "k string, v string")
+    b = spark.createDataFrame([("ключ", "зима"), ("鍵", "値")], "k string, v string")
+    labels = ["/données/été", "/données/hiver"]
+    out = str(tmp_path / "m")
+    merge({labels[0]: a, labels[1]: b}).write.parquet(out)
+    back = spark.read.parquet(out)
+    assert legend_of(back) == sorted(labels)
+    assert rows(extract(back, "/données/hiver")) == [("ключ", "зима"), ("鍵", "値")]
+    assert [(tuple(r["fields"]), r["count"]) for r in mutation_stats(back, "k").collect()] == [(("v",), 1)]
+    got = {r["v"]: r["nearest_label"] for r in nearest_label(a, "v", ["ete", "été", "値"]).collect()}
+    assert got == {"été": "été", "値": "値"}
