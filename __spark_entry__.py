@@ -203,8 +203,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_diff(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and oracles of the optional subpackage; empty when its folder or the pipeline is absent."""
+    try:
+        from snapweave.llm.queries import ORACLES, QUERIES
+        import corpus_pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("snapweave.llm", "snapweave.llm.queries", "corpus_pipeline"):
+            raise
+        return {}, {}
+    oracles = dict(ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **_training_data()[0],
         "diff": q_diff,
         "diff_count_mode": q_diff_count_mode,
         "diff_summary": q_diff_summary,
@@ -298,6 +314,7 @@ def oracle_sql() -> dict[str, str]:
            f"o AS (SELECT {c} FROM s0 UNION ALL SELECT {c} FROM s0 WHERE o_orderkey % 11 = 0)\n")
     evolved_proj = [_cols(oc[:-1]) + ", CAST(NULL AS VARCHAR) AS o_orderpriority", c]
     return {
+        **_training_data()[1],
         "diff": _diff_sql(oc, _order_ctes()),
         "diff_count_mode": dup + (
             f", u AS (SELECT {c}, 1 AS side FROM o UNION ALL SELECT {c}, 2 AS side FROM s1)\n"
