@@ -71,9 +71,9 @@ LABELLED = (
 class UrlParams:
     grams: tuple[int, ...] = (3, 4, 5)
     buckets: int = 1 << 13
-    epochs: int = 300
+    epochs: int = 600
     rate: float = 0.5
-    decay: float = 0.001
+    decay: float = 0.0003
     threshold: float = 0.5
     max_labelled: int = 2000      # refuses more: training keeps all products of labelled URLs
 
