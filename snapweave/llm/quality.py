@@ -17,6 +17,7 @@ repeated rows are judged alike; extra columns are carried by
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,8 +58,17 @@ class References:
 def repeated_words(words: Column, window: int) -> Column:
     """Words inside windows of ``window`` words that occur at least twice."""
     starts = F.size(words) - window + 1
-    hashes = F.when(starts >= 2, F.transform(F.sequence(F.lit(1), starts),
-                                             lambda i: F.xxhash64(F.slice(words, i, window))))
+
+    def doubled(size):
+        # a window of ``2 * size`` words is the pair of the windows of ``size`` at its two ends
+        return lambda h: F.zip_with(h, F.slice(h, size + 1, F.size(h)), lambda a, b: F.xxhash64(a, b))
+
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    size = 1
+    while size < window:
+        step = min(size, window - size)
+        hashes, size = let(hashes, doubled(step)), size + step
+    hashes = F.when(starts >= 2, F.slice(hashes, F.lit(1), starts))
 
     def covered(h):
         ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -85,9 +95,13 @@ def _runs(ids: Column) -> Column:
     return let(F.sort_array(ids), count)
 
 
+def _short_words(words: Column, p: QualityParams) -> Column:
+    return F.transform(F.filter(words, lambda w: F.length(w) <= p.common_word_chars), lambda w: F.lower(w))
+
+
 def common_words(docs: DataFrame, p: QualityParams, text: str = "text", lang: str = "lang") -> list[str]:
     """The most frequent short words of each language, counted over all documents."""
-    short = F.filter(word_array(F.lower(F.col(text))), lambda w: F.length(w) <= p.common_word_chars)
+    short = _short_words(word_array(F.col(text)), p)
     counts = (docs.where(F.col(lang).isNotNull())
               .select(F.col(lang).alias("lang"), F.explode(short).alias("word"))
               .groupBy("lang", "word").count())
@@ -100,9 +114,9 @@ def with_features(docs: DataFrame, words: list[str], p: QualityParams, text: str
     """``docs`` plus one struct column of counts; the text is read in the same row."""
     t = F.coalesce(F.col(text), F.lit(""))
     listed = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    lines = F.filter(F.split(t, "\n"), lambda line: F.trim(F.regexp_replace(line, WORD_GAP, " ")) != "")
+    lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     ids = F.array().cast("array<int>") if not words else F.transform(
-        F.filter(F.transform(F.col("__words"), F.lower), lambda w: w.isin(words)),
+        F.filter(_short_words(F.col("__words"), p), lambda w: w.isin(words)),
         lambda w: F.array_position(listed, w).cast("int") - 1)
     counted = docs.withColumn("__words", word_array(F.col(text))).withColumn("__base", F.struct(
         F.size("__words").cast("long").alias("n_words"),
@@ -147,53 +161,60 @@ def references(features: DataFrame, words: list[str], lang: str = "lang") -> Ref
     return out
 
 
-def js_distance(runs: Column, total: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2) of counted runs from a reference distribution.
+def _entropy_term(x: float) -> float:
+    return x * math.log2(x) if x > 0 else 0.0
+
+
+def js_distance(shares: Column, reference: list[float]) -> Column:
+    """Jensen-Shannon distance (base 2) of ``array<struct<k, p>>``, all p > 0, from a reference.
 
-    Entries missing from ``runs`` add their reference share, so only the entries
-    that occur are visited.
+    With m = (p + q) / 2 the divergence is (sum p log p + sum q log q) / 2 - sum m log m.
+    Entries missing from ``shares`` have m = q / 2, so their part of the last sum is
+    known beforehand; visiting an entry takes its own part out again.
     """
-    q_of = F.array(*[F.lit(float(x)) for x in reference])
+    q = F.lit([float(x) for x in reference])
+    unseen = F.lit([_entropy_term(x / 2) for x in reference])
+    known = sum(_entropy_term(x) for x in reference) / 2 - sum(_entropy_term(x / 2) for x in reference)
 
-    def step(acc, r):
-        pk = r["n"] / total
-        qk = F.get(q_of, r["k"])
-        m = (pk + qk) / 2
-        gain = F.when(pk > 0, pk * F.log2(pk / m)).otherwise(0.0) + F.when(qk > 0, qk * F.log2(qk / m)).otherwise(0.0)
-        return F.struct((acc["s"] + gain).alias("s"), (acc["q"] + qk).alias("q"))
+    def step(acc, s):
+        m = (s["p"] + F.get(q, s["k"])) / 2
+        return acc + F.get(unseen, s["k"]) - m * F.log2(m)
 
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
-    div = F.aggregate(runs, zero, step, lambda a: (a["s"] + F.greatest(F.lit(sum(reference)) - a["q"], F.lit(0.0))) / 2)
-    return F.when(total > 0, F.sqrt(F.greatest(F.least(div, F.lit(1.0)), F.lit(0.0))))
+    own = F.aggregate(shares, F.lit(0.0), lambda a, s: a + s["p"] * F.log2(s["p"])) / 2
+    div = own + F.aggregate(shares, F.lit(known), step)
+    return F.when(F.size(shares) > 0, F.sqrt(F.greatest(F.least(div, F.lit(1.0)), F.lit(0.0))))
 
 
 def with_verdict(features: DataFrame, refs: References, p: QualityParams) -> DataFrame:
     """Add the two distances, the nearest language and the verdict (names with ``__``, so none clash)."""
     f = F.col(FEATURES)
-    classes = F.transform(f["classes"], lambda n, i: F.struct(i.alias("k"), n.alias("n")))
     n_chars = F.aggregate(f["classes"], F.lit(0), lambda a, x: a + x)
     n_common = F.aggregate(f["common"], F.lit(0), lambda a, r: a + r["n"])
+    classes = F.filter(F.transform(f["classes"], lambda n, i: F.struct(i.alias("k"), (n / F.greatest(F.col("__n"), F.lit(1))).alias("p"))),
+                       lambda s: s["p"] > 0)
+    common = F.transform(f["common"], lambda r: F.struct(r["k"].alias("k"), (r["n"] / F.greatest(F.col("__m"), F.lit(1))).alias("p")))
     if not refs.chars:
         return features.withColumns({"__char_distance": F.lit(None).cast("double"),
                                      "__word_distance": F.lit(None).cast("double"),
                                      "__nearest_lang": F.lit(None).cast("string"), "__kept": ~f["base_failed"]})
     each = []
     for name in refs.chars:
-        dc = js_distance(classes, n_chars, refs.chars[name])
-        dw = js_distance(f["common"], n_common, refs.common[name])
+        dc = js_distance(F.col("__classes"), refs.chars[name])
+        dw = js_distance(F.col("__common"), refs.common[name])
         each.append(F.struct(dc.alias("c"), dw.alias("w"), F.lit(name).alias("lang")))
     best = F.array_min(F.transform(F.array(*each), lambda e: F.struct(
         (F.coalesce(e["c"], F.lit(1.0)) + F.coalesce(e["w"], F.lit(1.0))).alias("s"), e.alias("e"))))["e"]
-    judged = features.withColumn("__best", best)
+    judged = (features.withColumns({"__n": n_chars, "__m": n_common})
+              .withColumns({"__classes": classes, "__common": common}).withColumn("__best", best))
     far_chars = (f["n_words"] >= p.guard_words) & (F.col("__best.c") > p.max_char_distance)
     # a long text without common words has no word distance: it is as far as can be
-    far_words = F.when(n_common >= p.guard_common, F.col("__best.w") > p.max_word_distance).otherwise(
-        (f["n_words"] >= 4 * p.guard_words) & (n_common == 0))
+    far_words = F.when(F.col("__m") >= p.guard_common, F.col("__best.w") > p.max_word_distance).otherwise(
+        (f["n_words"] >= 4 * p.guard_words) & (F.col("__m") == 0))
     far_words = (f["n_words"] >= p.guard_words) & far_words
     return judged.withColumns({
         "__char_distance": F.col("__best.c"), "__word_distance": F.col("__best.w"), "__nearest_lang": F.col("__best.lang"),
         "__kept": ~f["base_failed"] & ~F.coalesce(far_chars, F.lit(False)) & ~F.coalesce(far_words, F.lit(False)),
-    }).drop("__best")
+    }).drop("__best", "__n", "__m", "__classes", "__common")
 
 
 def _judged(docs: DataFrame, p: QualityParams, text: str, lang: str, keep: list[str]) -> DataFrame:
