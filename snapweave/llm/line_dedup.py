@@ -124,7 +124,8 @@ def near_lines(lines: DataFrame) -> DataFrame:
 def dropped_lines(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, version, dropped``: per text the sorted numbers of its dropped lines."""
     lines = _lines(docs, doc_id, text, min_chars)
-    keepers = near_lines(lines)
+    # staged, so that the join below reads two plain exchanges and a hot line's rows can be split
+    keepers = staged(near_lines(lines), "line-keepers")
     rows = lines.select("id", "version", "line_no", *_digest(F.col("line")), _position().alias("at"))
     gone = rows.join(keepers, ["h1", "h2"]).where(F.col("keeper") < F.col("at"))
     return gone.groupBy("id", "version").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))

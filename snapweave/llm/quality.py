@@ -101,9 +101,9 @@ def _short_words(words: Column, p: QualityParams) -> Column:
 
 def common_words(docs: DataFrame, p: QualityParams, text: str = "text", lang: str = "lang") -> list[str]:
     """The most frequent short words of each language, counted over all documents."""
-    short = _short_words(word_array(F.col(text)), p)
-    counts = (docs.where(F.col(lang).isNotNull())
-              .select(F.col(lang).alias("lang"), F.explode(short).alias("word"))
+    short = _short_words(word_array(F.col(quoted(text))), p)
+    counts = (docs.where(F.col(quoted(lang)).isNotNull())
+              .select(F.col(quoted(lang)).alias("lang"), F.explode(short).alias("word"))
               .groupBy("lang", "word").count())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("count").desc(), "word"))
     top = counts.withColumn("rank", rank).where(F.col("rank") <= p.common_words)
@@ -112,13 +112,13 @@ def common_words(docs: DataFrame, p: QualityParams, text: str = "text", lang: st
 
 def with_features(docs: DataFrame, words: list[str], p: QualityParams, text: str = "text") -> DataFrame:
     """``docs`` plus one struct column of counts; the text is read in the same row."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    t = F.coalesce(F.col(quoted(text)), F.lit(""))
     listed = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
     lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     ids = F.array().cast("array<int>") if not words else F.transform(
         F.filter(_short_words(F.col("__words"), p), lambda w: w.isin(words)),
         lambda w: F.array_position(listed, w).cast("int") - 1)
-    counted = docs.withColumn("__words", word_array(F.col(text))).withColumn("__base", F.struct(
+    counted = docs.withColumn("__words", word_array(F.col(quoted(text)))).withColumn("__base", F.struct(
         F.size("__words").cast("long").alias("n_words"),
         count_chars(t, WORD_GAP).cast("long").alias("word_chars"),
         F.length(t).alias("n_chars"),
@@ -140,11 +140,11 @@ def with_features(docs: DataFrame, words: list[str], p: QualityParams, text: str
 
 def references(features: DataFrame, words: list[str], lang: str = "lang") -> References:
     """Class and common-word shares of each language, summed over all sound documents."""
-    sound = features.where(F.col(lang).isNotNull() & ~F.col(f"{FEATURES}.base_failed"))
+    sound = features.where(F.col(quoted(lang)).isNotNull() & ~F.col(f"{FEATURES}.base_failed"))
     flat = F.concat(
         F.transform(F.col(f"{FEATURES}.classes"), lambda n, i: F.struct((-i - 1).alias("k"), n.alias("n"))),
         F.col(f"{FEATURES}.common"))
-    rows = (sound.select(F.col(lang).alias("lang"), F.explode(flat).alias("e"))
+    rows = (sound.select(F.col(quoted(lang)).alias("lang"), F.explode(flat).alias("e"))
             .groupBy("lang", F.col("e.k").alias("k")).agg(F.sum(F.col("e.n").cast("long")).alias("n")).collect())
     out = References(words=words)
     for name in sorted({r["lang"] for r in rows}):
@@ -185,56 +185,69 @@ def js_distance(shares: Column, reference: list[float]) -> Column:
     return F.when(F.size(shares) > 0, F.sqrt(F.greatest(F.least(div, F.lit(1.0)), F.lit(0.0))))
 
 
-def with_verdict(features: DataFrame, refs: References, p: QualityParams) -> DataFrame:
-    """Add the two distances, the nearest language and the verdict (names with ``__``, so none clash)."""
+def _verdict(refs: References, p: QualityParams) -> Column:
+    """``struct<char_distance, word_distance, lang, kept>`` of a features row.
+
+    One expression with every shared part bound once, so a filter on it costs no
+    more than the column.
+    """
     f = F.col(FEATURES)
+    nothing = F.lit(None).cast("double")
+    if not refs.chars:
+        return F.struct(nothing.alias("char_distance"), nothing.alias("word_distance"),
+                        F.lit(None).cast("string").alias("lang"), (~f["base_failed"]).alias("kept"))
+
+    def shares(classes, common, n, m):
+        by_class = F.filter(F.transform(classes, lambda x, i: F.struct(i.alias("k"), (x / n).alias("p"))), lambda s: s["p"] > 0)
+        by_word = F.transform(common, lambda r: F.struct(r["k"].alias("k"), (r["n"] / m).alias("p")))
+        return F.struct(by_class.alias("classes"), by_word.alias("common"))
+
+    def nearest(s):
+        each = [F.struct(js_distance(s["classes"], refs.chars[name]).alias("c"),
+                         js_distance(s["common"], refs.common[name]).alias("w"), F.lit(name).alias("lang")) for name in refs.chars]
+        total = lambda e: F.coalesce(e["c"], F.lit(1.0)) + F.coalesce(e["w"], F.lit(1.0))
+        return F.array_min(F.transform(F.array(*each), lambda e: F.struct(total(e).alias("s"), e.alias("e"))))["e"]
+
     n_chars = F.aggregate(f["classes"], F.lit(0), lambda a, x: a + x)
     n_common = F.aggregate(f["common"], F.lit(0), lambda a, r: a + r["n"])
-    classes = F.filter(F.transform(f["classes"], lambda n, i: F.struct(i.alias("k"), (n / F.greatest(F.col("__n"), F.lit(1))).alias("p"))),
-                       lambda s: s["p"] > 0)
-    common = F.transform(f["common"], lambda r: F.struct(r["k"].alias("k"), (r["n"] / F.greatest(F.col("__m"), F.lit(1))).alias("p")))
-    if not refs.chars:
-        return features.withColumns({"__char_distance": F.lit(None).cast("double"),
-                                     "__word_distance": F.lit(None).cast("double"),
-                                     "__nearest_lang": F.lit(None).cast("string"), "__kept": ~f["base_failed"]})
-    each = []
-    for name in refs.chars:
-        dc = js_distance(F.col("__classes"), refs.chars[name])
-        dw = js_distance(F.col("__common"), refs.common[name])
-        each.append(F.struct(dc.alias("c"), dw.alias("w"), F.lit(name).alias("lang")))
-    best = F.array_min(F.transform(F.array(*each), lambda e: F.struct(
-        (F.coalesce(e["c"], F.lit(1.0)) + F.coalesce(e["w"], F.lit(1.0))).alias("s"), e.alias("e"))))["e"]
-    judged = (features.withColumns({"__n": n_chars, "__m": n_common})
-              .withColumns({"__classes": classes, "__common": common}).withColumn("__best", best))
-    far_chars = (f["n_words"] >= p.guard_words) & (F.col("__best.c") > p.max_char_distance)
-    # a long text without common words has no word distance: it is as far as can be
-    far_words = F.when(F.col("__m") >= p.guard_common, F.col("__best.w") > p.max_word_distance).otherwise(
-        (f["n_words"] >= 4 * p.guard_words) & (F.col("__m") == 0))
-    far_words = (f["n_words"] >= p.guard_words) & far_words
-    return judged.withColumns({
-        "__char_distance": F.col("__best.c"), "__word_distance": F.col("__best.w"), "__nearest_lang": F.col("__best.lang"),
-        "__kept": ~f["base_failed"] & ~F.coalesce(far_chars, F.lit(False)) & ~F.coalesce(far_words, F.lit(False)),
-    }).drop("__best", "__n", "__m", "__classes", "__common")
-
-
-def _judged(docs: DataFrame, p: QualityParams, text: str, lang: str, keep: list[str]) -> DataFrame:
+
+    def judged(best):
+        far_chars = (f["n_words"] >= p.guard_words) & (best["c"] > p.max_char_distance)
+        # a long text without common words has no word distance: it is as far as can be
+        far_words = (f["n_words"] >= p.guard_words) & F.when(n_common >= p.guard_common, best["w"] > p.max_word_distance) \
+            .otherwise((f["n_words"] >= 4 * p.guard_words) & (n_common == 0))
+        kept = ~f["base_failed"] & ~F.coalesce(far_chars, F.lit(False)) & ~F.coalesce(far_words, F.lit(False))
+        return F.struct(best["c"].alias("char_distance"), best["w"].alias("word_distance"), best["lang"].alias("lang"),
+                        kept.alias("kept"))
+
+    positive = lambda x: F.greatest(x, F.lit(1))
+    of_counts = let(F.struct(positive(n_chars).alias("n"), positive(n_common).alias("m")),
+                    lambda c: shares(f["classes"], f["common"], c["n"], c["m"]))
+    return let(let(of_counts, nearest), judged)
+
+
+def _features_and_references(docs: DataFrame, p: QualityParams, text: str, lang: str,
+                             keep: list[str]) -> tuple[DataFrame, References]:
     words = common_words(docs, p, text, lang)
     features = staged(with_features(docs, words, p, text).select(*[quoted(c) for c in keep], FEATURES), "quality")
-    return with_verdict(features, references(features, words, lang), p)
+    return features, references(features, words, lang)
 
 
 def judge(docs: DataFrame, params: QualityParams = QualityParams(), doc_id: str = "doc_id",
           text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per document: base counts, distances and the verdict ``kept``."""
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    narrow = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).alias("text"),
+                         F.col(quoted(lang)).alias("lang"))
+    features, refs = _features_and_references(narrow, params, "text", "lang", ["doc_id", "lang"])
     f = f"{FEATURES}."
-    return _judged(narrow, params, "text", "lang", ["doc_id", "lang"]).select(
+    return features.withColumn("v", _verdict(refs, params)).select(
         "doc_id", f + "n_words", f + "word_chars", f + "n_symbols", f + "n_dup_lines", f + "n_repeat_words",
-        f + "base_failed", F.col("__kept").alias("kept"), F.round("__char_distance", 6).alias("char_distance"),
-        F.round("__word_distance", 6).alias("word_distance"), F.col("__nearest_lang").alias("nearest_lang"))
+        f + "base_failed", "v.kept", F.round("v.char_distance", 6).alias("char_distance"),
+        F.round("v.word_distance", 6).alias("word_distance"), F.col("v.lang").alias("nearest_lang"))
 
 
 def filter_quality(docs: DataFrame, params: QualityParams = QualityParams(),
                    text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that are kept, with their own columns."""
-    return _judged(docs, params, text, lang, docs.columns).where("__kept").select(*[quoted(c) for c in docs.columns])
+    features, refs = _features_and_references(docs, params, text, lang, docs.columns)
+    return features.where(_verdict(refs, params)["kept"]).select(*[quoted(c) for c in docs.columns])

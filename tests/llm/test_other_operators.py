@@ -1,0 +1,221 @@
+"""Token counts, language identification, PII, URL rules and archives."""
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapweave.llm import langid, pii, token_counts, urls, warc
+
+PAGES = "page_id long, url string, html string, digest string, bytes int"
+
+
+# ------------------------------------------------------------------ token counts
+
+def direct(rows, p):
+    encode = token_counts.encoder(p.vocabulary, p.pattern).encode_ordinary
+    return sorted((-1 if i is None else i, len(encode(t or ""))) for i, t in rows)
+
+
+def counted(df):
+    return sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"]) for r in df.collect())
+
+
+def test_token_counts_across_blocks(documents, doc_rows):
+    p = token_counts.TokenParams(block_tokens=701)
+    assert counted(token_counts.token_counts(documents, p)) == direct([(i, t) for i, t, _, _ in doc_rows], p)
+
+
+def test_token_count_edges(edge_docs, no_docs):
+    p = token_counts.TokenParams(block_tokens=2)
+    small = edge_docs.where("doc_id IS NULL OR doc_id <> 5")
+    assert counted(token_counts.token_counts(small, p)) == direct([(r["doc_id"], r["text"]) for r in small.collect()], p)
+    whole = token_counts.TokenParams()
+    assert counted(token_counts.token_counts(edge_docs, whole)) == direct([(r["doc_id"], r["text"]) for r in edge_docs.collect()], whole)
+    assert token_counts.token_counts(no_docs).collect() == []
+
+
+def test_a_file_without_a_last_separator(spark, tmp_path):
+    import numpy as np
+    p = token_counts.TokenParams(block_tokens=4)
+    end = p.end
+    np.array([1, 2, 3, 4, 5, 6, 7, 8, 9, end, end, 1, end, 3, 4], p.dtype).tofile(tmp_path / "a.tokens")
+    np.array([end], p.dtype).tofile(tmp_path / "b.tokens")
+    rows = token_counts.scan_tokens(spark, f"file://{tmp_path}", p).collect()
+    assert sorted(map(tuple, rows)) == [("a.tokens", 0, 9), ("a.tokens", 1, 0), ("a.tokens", 2, 1), ("a.tokens", 3, 2), ("b.tokens", 0, 0)]
+
+
+# ------------------------------------------------------------------ language
+
+def test_language_accuracy_on_the_held_out_fold(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learned = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))), langid.LanguageParams())
+    rows = langid.identify(docs, learned).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    test = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    assert len(test) > 150 and sum(r["lang"] == r["lang_pred"] for r in test) >= 0.95 * len(test)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_held_out_fold_is_never_learned(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} of some words", "en") for i in range(40)] + [(None, "no id", "xx")],
+                                 "doc_id long, text string, lang string")
+    learned = dict(langid.learn(docs.where(~langid.held_out(F.col("doc_id"))), langid.LanguageParams()))
+    out = {i for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert out and set(learned) == {"en", "xx"}
+    assert {int(n) for n in re.findall(rb"number (\d+)", learned["en"])} == set(range(40)) - out
+
+
+def test_language_edges(edge_docs, no_docs):
+    learned = langid.learn(edge_docs, langid.LanguageParams())
+    rows = langid.identify(edge_docs, learned).collect()
+    assert len(rows) == edge_docs.count()
+    und = sorted(r["doc_id"] for r in rows if r["lang_pred"] == "und")
+    assert und == [2, 3, 4, 7]
+    assert {r["lang_pred"] for r in langid.identify(edge_docs, []).collect()} == {"und"}
+    assert langid.learn(no_docs, langid.LanguageParams()) == [] and langid.identify(no_docs, learned).collect() == []
+
+
+# ------------------------------------------------------------------ personal data
+
+PLAIN = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def luhn(digits):
+    twice = [d * (1 + i % 2) for i, d in enumerate(map(int, reversed(digits)))]
+    return sum(d - 9 if d > 9 else d for d in twice) % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in PLAIN:
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in m.group().split(".")),
+                    "card": 16 <= len(digits) <= 19 and luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return ",".join(out)
+
+
+def base(df):
+    return df.select("doc_id", pii.spans_text(pii.base_spans(F.coalesce("text", F.lit("")))).alias("s")).collect()
+
+
+def test_base_spans_on_random_texts(spark):
+    r = random.Random(3)
+    bits = list("ab1234567890..@@--  ++()é%_") + ["0", "10.0.0.1", "007", "4111111111111111", "a@b.c", "+1 (555) 123-4567", "\U0001F600"]
+    texts = [(i, "".join(r.choice(bits) for _ in range(r.randrange(120)))) for i in range(2000)]
+    found = base(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {x["doc_id"]: x["s"] for x in found} == {i: plain_spans(t) for i, t in texts}
+
+
+def test_base_spans_on_the_table_and_on_long_runs(spark, documents, doc_rows):
+    assert {x["doc_id"]: x["s"] for x in base(documents)} == {i: plain_spans(t) for i, t, _, _ in doc_rows}
+    runs = [(1, "1 " * 50_000), (2, "a" * 200_000 + "@b.c"), (3, "1." * 50_000), (4, "+1" + " " * 50_000)]
+    found = {x["doc_id"]: x["s"] for x in base(spark.createDataFrame(runs, "doc_id long, text string"))}
+    assert found[2] == "email:0:200004" and found[1] == "" and found[4] == ""
+
+
+def test_patterns_find_unseen_identifiers(spark):
+    cards = ["4111111111111111", "5500005555555559", "4012888888881881", "6011111111111117", "3530111333300000", "5105105105105100",
+             "4222222222222220", "4000056655665556", "5200828282828210", "4242424242424242"]
+    texts = [(i, f"Customer paid with card number {c}, thanks") for i, c in enumerate(cards)]
+    texts += [(50, "Customer paid with card number 1234567890123456 once"), (51, "the number 1234567890123457 alone is nothing"),
+              (52, "lot of year 20245678 or so")]
+    rows = pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")).select(
+        "doc_id", pii.spans_text(F.col("base")).alias("base"), pii.spans_text(F.col("spans")).alias("spans")).collect()
+    more = {r["doc_id"]: r["spans"] for r in rows if r["spans"] != r["base"]}
+    assert more == {50: "card:31:47"}
+
+
+def test_pii_edges(edge_docs, no_docs):
+    rows = pii.find_pii(edge_docs).select("doc_id", pii.spans_text(F.col("base")).alias("s")).collect()
+    want = sorted((str(r["doc_id"]), plain_spans(r["text"])) for r in edge_docs.collect())
+    assert sorted((str(r["doc_id"]), r["s"]) for r in rows) == want
+    assert pii.find_pii(no_docs).collect() == []
+
+
+# ------------------------------------------------------------------ URLs
+
+def test_rules_and_parts(spark):
+    cases = [
+        ("http://a.example.net/en/1", "a.example.net", "/en/1", "example.net/en/", "allow"),
+        ("HTTP://EXAMPLE.NET/en?x#y", "example.net", "/en", "net/", "block"),
+        ("http://net/x", "net", "/x", "net/", "block"), ("http://net", "net", "", None, None),
+        ("http://planet.example.com/de/1?u=http://q.net/", "planet.example.com", "/de/1", "example.com/de/", "block"),
+        ("http://x.org/fr/", "x.org", "/fr/", "org/fr/", "allow"), ("http://x.org/FR/", "x.org", "/FR/", None, None),
+        ("http://notexample.net/en/", "notexample.net", "/en/", "net/", "block"), ("nothing", "", "", None, None),
+        (None, "", "", None, None), ("a\nb://ÄA.org/fr/x", "Äa.org", "/fr/x", "org/fr/", "allow"), ("x://?a", "", "", None, None),
+    ]
+    df = spark.createDataFrame([(i, c[0], None, "d", 1) for i, c in enumerate(cases)], PAGES)
+    rows = {r["page_id"]: r for r in urls.judge_urls(df).collect()}
+    for i, (_, host, path, rule, verdict) in enumerate(cases):
+        assert (rows[i]["host"], rows[i]["path"], rows[i]["rule"]) == (host, path, rule)
+        assert rows[i]["verdict"] in ((verdict,) if verdict else ("allow", "block"))
+    assert urls.judge_urls(df.limit(0)).collect() == []
+
+
+def test_model_separates_its_table_and_new_hosts(spark):
+    df = urls.labelled_urls(spark).select(F.monotonically_increasing_id().alias("page_id"), "url", "label")
+    rows = urls.judge_urls(df, rules=()).join(df, "page_id").collect()
+    assert sum((r["verdict"] == "block") == r["label"] for r in rows) >= 0.97 * len(rows)
+    new = [("http://casino-bets.example.com/en/4", "block"), ("http://www.cheap-pills.example.org/de/8", "block"),
+           ("http://garden-books.example.com/en/4", "allow"), ("http://museum-letters.example.org/de/8", "allow")]
+    found = urls.judge_urls(spark.createDataFrame([(i, u) for i, (u, _) in enumerate(new)], "page_id long, url string")).collect()
+    assert {r["page_id"]: r["verdict"] for r in found} == {i: v for i, (_, v) in enumerate(new)}
+
+
+# ------------------------------------------------------------------ archives
+
+def archive_of(rows, least=0):
+    top = {}
+    for i, html in rows:
+        key = (html or "").encode()
+        top[key] = max((x for x in (top.get(key), i) if x is not None), default=None)
+    out = []
+    for i, html in rows:
+        key = (html or "").encode()
+        again = len(key) >= least and i != top[key]
+        digest = base64.b32encode(hashlib.sha1(key).digest()).decode()
+        out.append((i, len(key), digest, "revisit" if again else "response", top[key] if again else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("chunk,least,file_bytes", [(7, 0, 200), (1 << 20, 0, 1 << 30), (64, 9, 1 << 30)])
+def test_archives_round_trip(spark, long_text, chunk, least, file_bytes):
+    rows = [(1, "same page"), (2, "same page"), (3, None), (4, ""), (5, "short"), (6, "short"), (None, "same page"), (None, "alone"),
+            (7, "é\r\n\r\nWARC/1.1\r\n" * 3), (9, "twice the same row"), (9, "twice the same row")]
+    if chunk == 1 << 20:
+        rows.append((8, long_text * 4))
+    df = spark.createDataFrame([(i, None if i == 1 else f"http://x/{i}\r\nX: y", h, "clash", 1) for i, h in rows], PAGES)
+    p = warc.WarcParams(min_revisit=least, chunk_bytes=chunk, max_file_bytes=file_bytes)
+    assert sorted((tuple(r) for r in warc.round_trip(df, p).collect()), key=str) == archive_of(rows, least)
+    folder, files = warc.write_archives(df, p)
+    chunks = warc.read_archives(spark, folder, files, p).where("record_type = 'response' AND page_id <> 9").collect()
+    assert all(len(r["data"]) <= chunk for r in chunks)
+    texts = {}
+    for r in sorted(chunks, key=lambda r: r["chunk"]):
+        texts[r["page_id"]] = texts.get(r["page_id"], b"") + bytes(r["data"])
+        if r["page_id"] is not None:
+            assert r["digest_so_far"] == base64.b32encode(hashlib.sha1(texts[r["page_id"]]).digest()).decode()
+            assert r["bytes_so_far"] == len(texts[r["page_id"]])
+    assert texts[7] == ("é\r\n\r\nWARC/1.1\r\n" * 3).encode()
+
+
+def test_archives_of_the_table_and_of_nothing(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    want = archive_of([(r["page_id"], r["html"]) for r in pages.collect()])
+    assert sorted((tuple(r) for r in warc.round_trip(pages).collect()), key=str) == want
+    assert warc.round_trip(pages.limit(0)).collect() == []
+
+
+def test_a_damaged_payload_is_refused():
+    import io
+    row = {"record": 1, "page_id": 1, "url": "u", "digest": hashlib.sha1(b"good").hexdigest(), "bytes": 4, "refers_to": None}
+    good = warc._header(row) + b"good\r\n\r\n"
+    assert len(list(warc.read_records(io.BytesIO(good), 2, True))) == 2
+    with pytest.raises(ValueError, match="digest"):
+        list(warc.read_records(io.BytesIO(good.replace(b"good\r\n", b"evil\r\n")), 2, True))
