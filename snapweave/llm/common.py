@@ -33,31 +33,45 @@ def count_chars(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, ""))
 
 
+SPANS = "array<struct<start:int,stop:int,value:string,piece:string>>"
+CHUNK = 256
+
+
 def match_spans(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as ``array<struct<start, stop, value>>``.
+    """Leftmost non-overlapping matches as ``array<struct<start, stop, value, piece>>``.
 
-    Offsets are code points, ``stop`` exclusive.  Splitting at the matches gives
-    the pieces between them, so running lengths of pieces and matches are the
-    offsets.  ``pattern`` must not match the empty string.
+    Offsets are code points, ``stop`` exclusive; ``piece`` is the text between the
+    match and the one before.  Splitting at the matches gives the pieces, so running
+    lengths of pieces and matches are the offsets.  They run within chunks first, as
+    appending to one long array would cost the square of the matches.  ``pattern``
+    must not match the empty string.
     """
-    start = F.struct(F.lit(0).alias("at"),
-                     F.array().cast("array<struct<start:int,stop:int,value:string>>").alias("out"))
+    none = F.array().cast(SPANS)
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc, item):
         begin = acc["at"] + F.length(item["piece"])
         stop = begin + F.length(item["value"])
         return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            begin.alias("start"), stop.alias("stop"), item["value"].alias("value")))).alias("out"))
+            begin.alias("start"), stop.alias("stop"), item["value"].alias("value"), item["piece"].alias("piece")))).alias("out"))
+
+    def chunked(items):
+        numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int"))
+        return F.transform(numbers, lambda c: F.aggregate(F.slice(items, c * CHUNK + 1, F.lit(CHUNK)), start, step))
+
+    def joined(chunks):
+        offsets = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                              lambda a, c: F.struct((a["at"] + c["at"]).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+                              lambda a: a["out"])
+        return F.flatten(F.zip_with(chunks, offsets, lambda c, by: F.transform(c["out"], lambda x: F.struct(
+            (x["start"] + by).alias("start"), (x["stop"] + by).alias("stop"), x["value"].alias("value"), x["piece"].alias("piece")))))
 
     def from_found(found):
-        pieces = F.split(text, pattern, -1)
-        zipped = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found,
-                            lambda p, v: F.struct(p.alias("piece"), v.alias("value")))
-        return F.aggregate(zipped, start, step, lambda acc: acc["out"])
-
-    empty = F.array().cast("array<struct<start:int,stop:int,value:string>>")
-    return F.coalesce(F.when(text.rlike(pattern),
-                             let(F.regexp_extract_all(text, F.lit(pattern), 0), from_found)), empty)
+        pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        items = F.zip_with(pieces, found, lambda p, v: F.struct(p.alias("piece"), v.alias("value")))
+        return let(let(items, chunked), joined)
+
+    return F.coalesce(F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), 0), from_found)), none)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -13,11 +13,14 @@ from .common import shared_folder
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A fresh folder name under the shared folder, as a URI every task can open."""
+    """A fresh, empty folder under the shared folder, as a URI every task can open."""
     root = shared_folder(spark)
     if "://" not in root:
         root = "file://" + (root.removeprefix("file:") if root.startswith("file:") else root)
-    return f"{root}/llm-{kind}-{uuid.uuid4().hex}"
+    folder = f"{root}/llm-{kind}-{uuid.uuid4().hex}"
+    fs, path = open_folder(folder)
+    fs.create_dir(path, recursive=True)
+    return folder
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:

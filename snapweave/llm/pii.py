@@ -100,17 +100,20 @@ def token_kind(token: Column) -> Column:
 
 def digit_tokens(text: Column, p: PiiParams) -> Column:
     """``array<struct<start, stop, token, context>>``: tokens with a digit and the two words before."""
-    def trimmed(s):
-        head = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], f"^{EDGE}+", ""))
-        tail = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], f"{EDGE}+$", ""))
-        before = F.lower(F.substring(text, F.greatest(s["start"] - p.context_chars, F.lit(0)) + 1,
-                                     F.least(s["start"], F.lit(p.context_chars))))
-        return F.struct(
-            (s["start"] + head).alias("start"), (s["stop"] - tail).alias("stop"),
-            F.substring(s["value"], head + 1, F.length(s["value"]) - head - tail).alias("token"),
-            F.when(before.rlike(CONTEXT), F.concat_ws(" ", F.regexp_extract(before, CONTEXT, 1),
-                                                      F.regexp_extract(before, CONTEXT, 2))).alias("context"))
-    tokens = F.transform(match_spans(text, TOKEN), trimmed)
+    def of(spans):
+        def trimmed(s, i):
+            head = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], f"^{EDGE}+", ""))
+            tail = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], f"{EDGE}+$", ""))
+            # the two words before lie in the piece before, or are the digit tokens before that
+            one, two = F.get(spans, i - 1), F.get(spans, i - 2)
+            before = F.lower(F.right(F.concat_ws("", two["value"], one["piece"], one["value"], s["piece"]), F.lit(p.context_chars)))
+            return F.struct(
+                (s["start"] + head).alias("start"), (s["stop"] - tail).alias("stop"),
+                F.substring(s["value"], head + 1, F.length(s["value"]) - head - tail).alias("token"),
+                F.when(before.rlike(CONTEXT), F.concat_ws(" ", F.regexp_extract(before, CONTEXT, 1),
+                                                          F.regexp_extract(before, CONTEXT, 2))).alias("context"))
+        return F.transform(spans, trimmed)
+    tokens = let(match_spans(text, TOKEN), of)
     return F.filter(tokens, lambda t: t["context"].isNotNull() & (F.length(t["token"]) >= p.min_token_chars))
 
 
@@ -140,21 +143,19 @@ def find_pii(docs: DataFrame, params: PiiParams = PiiParams(), doc_id: str = "do
     held = staged(docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.xxhash64(body).alias("version"),
                               base_spans(body).alias("base"), digit_tokens(body, params).alias("tokens")), "pii")
 
-    def free(t):
-        return ~F.exists("base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"]))
-
     seen = held.where(F.size("tokens") > 0)
     tokens = seen.select(F.explode("tokens").alias("t")).select("t.context", "t.token").distinct()
     patterns = confident_patterns(tokens.withColumn("seed", token_kind(F.col("token"))), params)
-    loose = (seen.select("doc_id", "version", F.explode(F.filter("tokens", free)).alias("t"))
+    loose = (seen.select("doc_id", "version", F.explode("tokens").alias("t"))
              .where(token_kind(F.col("t.token")).isNull())
              .select("doc_id", "version", "t.start", "t.stop", "t.context"))
     more = (loose.join(patterns, "context").groupBy("doc_id", "version")
             .agg(F.collect_set(F.struct("kind", "start", "stop")).alias("more"))
             .withColumnsRenamed({"doc_id": "__id", "version": "__v"}))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__v"))
-    return held.join(more, same, "left").select("doc_id", "base", F.sort_array(F.concat(
-        "base", F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,stop:int>>")))).alias("spans"))
+    free = F.filter(F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,stop:int>>")), lambda t: ~F.exists(
+        "base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
+    return held.join(more, same, "left").select("doc_id", "base", F.sort_array(F.concat("base", free)).alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:
