@@ -66,6 +66,6 @@ def test_oracles(spark):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, sql in queries.ORACLES.items():
         got = queries.QUERIES[name](spark, SF)
-        want = con.execute(sql).fetch_arrow_table().to_pylist()
+        want = con.execute(sql).to_arrow_table().to_pylist()
         flat = lambda rows: sorted(tuple(sorted((k, str(v)) for k, v in r.items())) for r in rows)
         assert flat(r.asDict() for r in got.collect()) == flat(want), name
