@@ -21,6 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _ROOT = os.path.dirname(os.path.abspath(__file__))
 if _ROOT not in sys.path:
@@ -30,7 +31,8 @@ from snapweave import (compact, diff, diff_summary, extract, merge, mutation_pai
                        mutation_stats, nearest_label, to_date)
 from snapweave.functions.labels import snapshot_time_ms  # noqa: E402
 from snapweave.sources import derived  # noqa: E402
-from snapweave.sources.stage import stage_table  # noqa: E402
+from snapweave.sources import read_snapshot, write_output  # noqa: E402
+from snapweave.sources.stage import stage_path, stage_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -87,13 +89,13 @@ def q_diff_summary(spark, sf_dir):
 
 
 def q_compact(spark, sf_dir):
-    """compact of an import with duplicates into 8 parts (hash layout): same rows."""
-    return compact(derived.duplicated_origin(spark, sf_dir), num_files=8)
+    """compact of all orders with some second copies: packed without a shuffle, same rows."""
+    return compact(derived.duplicated_orders(spark, sf_dir))
 
 
 def q_compact_range(spark, sf_dir):
     """compact with the global-sort layout: same rows."""
-    return compact(derived.duplicated_origin(spark, sf_dir), num_files=8, cluster="range")
+    return compact(derived.duplicated_orders(spark, sf_dir), cluster="range")
 
 
 def q_diff_reader_schema(spark, sf_dir):
@@ -122,21 +124,28 @@ def q_merge_evolved(spark, sf_dir):
     return merge({labels[0]: s[labels[0]].drop("o_orderpriority"), labels[1]: s[labels[1]]})
 
 
+def _stored_orders(spark, sf_dir) -> DataFrame:
+    """The merge as the merge job leaves it: written by mask, read again with its legend."""
+    path = stage_path(spark, "stored-merge")
+    write_output(_merged_orders(spark, sf_dir).sortWithinPartitions("diffmask"), path)
+    return read_snapshot(spark, path)
+
+
 def _q_extract(i):
     def run(spark, sf_dir):
-        return extract(_merged_orders(spark, sf_dir), derived.ORDER_LABELS[i])
+        return extract(_stored_orders(spark, sf_dir), derived.ORDER_LABELS[i])
     return run
 
 
 def q_extract_nearest(spark, sf_dir):
     # A misspelt label (the 19th written as "19x") resolves to the closest legend entry.
     label = derived.ORDER_LABELS[1].replace("-19T", "-19xT")
-    return extract(_merged_orders(spark, sf_dir), label, match="nearest")
+    return extract(_stored_orders(spark, sf_dir), label, match="nearest")
 
 
 def q_to_date(spark, sf_dir):
     """Validity interval of every merged record from the times in the legend."""
-    return to_date(_merged_orders(spark, sf_dir))
+    return to_date(_stored_orders(spark, sf_dir))
 
 
 def q_mutation_pairs(spark, sf_dir):
@@ -164,6 +173,47 @@ def q_mutation_stats_chronological(spark, sf_dir):
                                        "o_orderkey", order="chronological"))
 
 
+def q_mutation_stats_by_date(spark, sf_dir):
+    """Mutation counts grouped by a timestamp."""
+    return _fields_text(mutation_stats(_staged_merge(_merged_orders(spark, sf_dir), "orders"), "o_orderdate"))
+
+
+def q_mutation_stats_by_price(spark, sf_dir):
+    """Mutation counts grouped by a double, which is compared as text."""
+    return _fields_text(mutation_stats(_staged_merge(_merged_orders(spark, sf_dir), "orders"), "o_totalprice"))
+
+
+WIDE = 1 << 24  # above it a float no longer holds every integer
+
+
+def q_merge_widened(spark, sf_dir):
+    """merge of an int key with a float key: both read as double, distinct integers stay apart."""
+    orders, key = derived.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    return merge({"a": orders.select((key + WIDE).cast("int").alias("k")),
+                  "b": orders.select((2 * key + WIDE).cast("float").alias("k"))})  # even, so exact
+
+
+LOWEST = "5-LOW"  # Fixed value: the default of the reader schema below.
+
+
+def q_diff_reader_defaults(spark, sf_dir):
+    """diff through read_snapshot: the origin was stored without a column, and its default decides."""
+    first, second = list(_orders(spark, sf_dir).values())[:2]
+    paths = [stage_path(spark, "import") for _ in range(2)]
+    write_output(first.drop("o_orderpriority"), paths[0])
+    write_output(second, paths[1])
+    fields = [T.StructField(f.name, f.dataType, True, {"default": LOWEST} if f.name == "o_orderpriority" else None)
+              for f in second.schema.fields]
+    orig, dest = (read_snapshot(spark, path, schema=T.StructType(fields)) for path in paths)
+    return diff(orig, dest)
+
+
+def q_nearest_supplier(spark, sf_dir):
+    """Each part name matched to the closest supplier name by edit distance."""
+    part, supplier = derived.table(spark, sf_dir, "part"), derived.table(spark, sf_dir, "supplier")
+    return nearest_label(part.select("p_partkey", "p_name"), "p_name", supplier, label="s_name", order_by="s_suppkey")
+
+
 def q_nearest_label(spark, sf_dir):
     """Each nation name matched to the closest region name by edit distance."""
     nation = derived.table(spark, sf_dir, "nation")
@@ -239,6 +289,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mutation_stats": q_mutation_stats,
         "mutation_stats_hot_key": q_mutation_stats_hot_key,
         "mutation_stats_chronological": q_mutation_stats_chronological,
+        "mutation_stats_by_date": q_mutation_stats_by_date,
+        "mutation_stats_by_price": q_mutation_stats_by_price,
+        "merge_widened": q_merge_widened,
+        "diff_reader_defaults": q_diff_reader_defaults,
+        "nearest_supplier": q_nearest_supplier,
         "nearest_label": q_nearest_label,
         "snapshot_times": q_snapshot_times,
         "diff_lineitem": q_diff_lineitem,
@@ -296,7 +351,7 @@ def _pairs_sql(cols, key, mask_order="ASC") -> str:
 
 def _stats_sql(cols, ctes, key, mask_order="ASC") -> str:
     return (_merged_sql(cols, ctes) + _pairs_sql(cols, key, mask_order)
-            + "SELECT fields, diffmaskIn, diffmaskOut, CAST(count(*) AS INTEGER) AS count "
+            + "SELECT fields, diffmaskIn, diffmaskOut, count(*) AS count "
               "FROM p GROUP BY fields, diffmaskIn, diffmaskOut")
 
 
@@ -310,6 +365,8 @@ def oracle_sql() -> dict[str, str]:
     times = "[" + ", ".join(str(t) for t in SNAPSHOT_MS) + "]::BIGINT[]"
     first = "instr(diffmask, '1')"
     last = "(length(diffmask) + 1 - instr(reverse(diffmask), '1'))"
+    twice = f"SELECT {c} FROM orders UNION ALL SELECT {c} FROM orders WHERE o_orderkey % 11 = 0"
+    defaulted = [x if x != "o_orderpriority" else f"'{LOWEST}' AS o_orderpriority" for x in oc]
     dup = (f"WITH {_order_ctes()},\n"
            f"o AS (SELECT {c} FROM s0 UNION ALL SELECT {c} FROM s0 WHERE o_orderkey % 11 = 0)\n")
     evolved_proj = [_cols(oc[:-1]) + ", CAST(NULL AS VARCHAR) AS o_orderpriority", c]
@@ -322,8 +379,20 @@ def oracle_sql() -> dict[str, str]:
             f"ELSE 'del' END AS type FROM u GROUP BY {c} HAVING count(*) <= 2"),
         "diff_summary": (f"SELECT type, count(*) AS records FROM ({_diff_sql(oc, _order_ctes())}) d "
                          "GROUP BY type"),
-        "compact": dup + "SELECT * FROM o",
-        "compact_range": dup + "SELECT * FROM o",
+        "compact": twice,
+        "compact_range": twice,
+        "mutation_stats_by_date": _stats_sql(oc, _order_ctes(), "o_orderdate"),
+        "mutation_stats_by_price": _stats_sql(oc, _order_ctes(), "o_totalprice"),
+        "merge_widened": (
+            "WITH u AS (SELECT CAST(CAST(o_orderkey + 16777216 AS INTEGER) AS DOUBLE) AS k, 1 AS a, 0 AS b FROM orders "
+            "UNION ALL SELECT CAST(CAST(2 * o_orderkey + 16777216 AS FLOAT) AS DOUBLE), 0, 1 FROM orders) "
+            "SELECT k, CAST(max(a) AS VARCHAR) || CAST(max(b) AS VARCHAR) AS diffmask FROM u GROUP BY k"),
+        "diff_reader_defaults": _diff_sql(oc, _order_ctes()).replace(
+            "s0 AS (", "raw0 AS (", 1).replace("s1 AS (", f"s0 AS (SELECT {_cols(defaulted)} FROM raw0),\ns1 AS (", 1),
+        "nearest_supplier": (
+            "SELECT p_partkey, p_name, s_name AS nearest_label, distance FROM (SELECT p_partkey, p_name, s_name, "
+            "CAST(levenshtein(p_name, s_name) AS INTEGER) AS distance, row_number() OVER (PARTITION BY p_partkey "
+            "ORDER BY levenshtein(p_name, s_name), s_suppkey) AS rn FROM part CROSS JOIN supplier) t WHERE rn = 1"),
         "diff_reader_schema": (
             f"WITH {_order_ctes()},\n"
             "a AS (SELECT o_orderkey, o_orderstatus FROM s0), b AS (SELECT o_orderkey, o_orderstatus FROM s1)\n"

@@ -6,16 +6,16 @@ Spark's own expressions, aggregates and exchanges.
 """
 
 from .functions.mask import LEGEND_KEY, MASK_COLUMN, attach_legend, legend_of
-from .operators import (compact, count_mutations, diff, diff_summary, extract, extract_at,
+from .operators import (compact, diff, diff_summary, extract, extract_at,
                         intervals, merge, mutation_pairs, mutation_stats, nearest_label, to_date,
                         write_diff)
-from .sources import read_snapshot, read_snapshots, stage_table, write_output
+from .sources import drop_staged, read_snapshot, read_snapshots, stage_table, write_output
 
 __version__ = "0.1.0"
 
 __all__ = [
-    "LEGEND_KEY", "MASK_COLUMN", "attach_legend", "legend_of", "compact", "count_mutations",
+    "LEGEND_KEY", "MASK_COLUMN", "attach_legend", "legend_of", "compact",
     "diff", "diff_summary", "extract", "extract_at", "intervals", "merge", "mutation_pairs",
     "mutation_stats", "nearest_label", "to_date", "write_diff", "read_snapshot",
-    "read_snapshots", "stage_table", "write_output",
+    "read_snapshots", "stage_table", "drop_staged", "write_output",
 ]

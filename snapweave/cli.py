@@ -3,7 +3,7 @@
     spark-submit --py-files snapweave.zip snapweave_submit.py <job> [args]
     python -m snapweave.cli <job> [args]          (local session)
 
-    compact  <input> <output> [--num-files N] [--cluster hash|range|none]
+    compact  <input> <output> [--num-files N | --target-mb N] [--cluster none|range]
     diff     <origin> <dest> <output> [--schema DDL|file.avsc|file.json] [--mode set|count]
     merge    <dir,dir,...> <output>
     extract  <masked input> <label> <output> [--match exact|nearest]
@@ -31,10 +31,11 @@ from pyspark.sql import SparkSession
 from .operators import (compact, diff, extract, merge, mutation_pairs, mutation_stats, to_date,
                         write_diff)
 from .functions.mask import attach_legend, legend_of
-from .session import ensure_checkpoint_dir
-from .sources import read_snapshot, write_output
+from .sources import drop_staged, read_snapshot, write_output
 from .sources.schemas import load_schema
 
+# Global options that take no value.
+FLAGS = ("--explain",)
 JOBS = ("compact", "diff", "merge", "extract", "todate", "mutation")
 
 
@@ -52,8 +53,9 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("compact")
     c.add_argument("input")
     c.add_argument("output")
-    c.add_argument("--num-files", type=int, default=30)
-    c.add_argument("--cluster", default="hash", choices=["hash", "range", "none"])
+    c.add_argument("--num-files", type=int, default=None, help="parts (default: by --target-mb)")
+    c.add_argument("--cluster", default="none", choices=["none", "range"])
+    c.add_argument("--target-mb", type=int, default=128, help="size of a part when --num-files is not given")
 
     d = sub.add_parser("diff")
     d.add_argument("origin")
@@ -114,7 +116,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
 
     if args.job == "compact":
         # compact lays out its own files (its --num-files); keep that layout.
-        write(compact(read(args.input), args.num_files, args.cluster), args.output, relayout=False)
+        write(compact(read(args.input), args.num_files, args.cluster, args.target_mb << 20), args.output, relayout=False)
         return {"job": "compact"}
     if args.job == "diff":
         schema = load_schema(args.schema) if args.schema else None
@@ -149,7 +151,7 @@ def _job_name(argv: list[str]) -> str | None:
     """The first token that is not a global option or its value."""
     i = 0
     while i < len(argv) and argv[i].startswith("--"):
-        i += 1 if "=" in argv[i] else 2
+        i += 1 if "=" in argv[i] or argv[i] in FLAGS else 2
     return argv[i] if i < len(argv) else None
 
 
@@ -164,8 +166,10 @@ def main(argv: list[str] | None = None) -> int:
         sys.stderr.write(__doc__ or "")
         return 255
     spark = SparkSession.builder.appName(f"snapweave-{job}").getOrCreate()
-    ensure_checkpoint_dir(spark)
-    report = run(spark, argv)
+    try:
+        report = run(spark, argv)
+    finally:
+        drop_staged(spark)
     print(json.dumps(report))
     return 0
 

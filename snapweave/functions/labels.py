@@ -19,9 +19,9 @@ TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 TIME_ESCAPES_FROM = "_p"
 TIME_ESCAPES_TO = ":+"
 
-# A literal candidate list becomes part of every row's expression; keep it a
-# label set, not a table.
-MAX_LITERAL_CANDIDATES = 10_000
+# The candidates travel as one literal with every task; a larger list than this
+# many characters is refused (about a million labels of usual length).
+MAX_CANDIDATE_CHARS = 1 << 24
 
 
 def path_value(path: Column, key: str) -> Column:
@@ -67,33 +67,43 @@ def _check_candidates(candidates) -> list[str]:
     candidates = [str(c) for c in candidates]
     if not candidates:
         raise ValueError("nearest-label lookup needs at least one candidate")
-    if len(candidates) > MAX_LITERAL_CANDIDATES:
-        raise ValueError(f"{len(candidates)} candidates exceed the literal bound "
-                         f"{MAX_LITERAL_CANDIDATES}; this lookup is meant for label sets")
+    size = sum(map(len, candidates))
+    if size > MAX_CANDIDATE_CHARS:
+        raise ValueError(f"candidates of {size} characters exceed {MAX_CANDIDATE_CHARS}")
     return candidates
 
 
-def nearest_index(value: Column, candidates) -> Column:
-    """0-based index of the candidate with the smallest Levenshtein distance.
+def _literal(candidates: list[str]) -> Column:
+    """One array literal, so the plan's size does not depend on the number of labels."""
+    for mark in ("\x00", "\x01", "\x1f"):
+        if not any(mark in c for c in candidates):
+            return F.split(F.lit(mark.join(candidates)), mark, -1)
+    return F.lit(candidates)
+
 
-    Ties go to the lowest index.  Null input gives null.  Pure projection: the
-    candidates are literals, so no join and no shuffle.
+def nearest_scored(value: Column, candidates) -> Column:
+    """``struct<d, i>``: the smallest Levenshtein distance and the first candidate that has it.
+
+    Null input gives null.  One fold over one literal: no join and no shuffle.
     """
-    candidates = _check_candidates(candidates)
-    scored = F.array(*[
-        F.struct(F.levenshtein(value, F.lit(c)).alias("d"), F.lit(i).alias("i"))
-        for i, c in enumerate(candidates)
-    ])
-    return F.when(value.isNull(), F.lit(None)).otherwise(F.array_min(scored)["i"])
+    none = F.struct(F.lit(2 ** 31 - 1).alias("d"), F.lit(-1).alias("i"), F.lit(0).alias("at"))
+
+    def step(best, candidate):
+        d = F.levenshtein(value, candidate)
+        return F.struct(F.least(best["d"], d).alias("d"), F.when(d < best["d"], best["at"]).otherwise(best["i"]).alias("i"),
+                        (best["at"] + 1).alias("at"))
+
+    return F.when(value.isNotNull(), F.aggregate(_literal(_check_candidates(candidates)), none, step))
+
+
+def nearest_index(value: Column, candidates) -> Column:
+    """0-based index of the candidate with the smallest distance; ties go to the lowest index."""
+    return nearest_scored(value, candidates)["i"]
 
 
 def nearest_label(value: Column, candidates) -> Column:
     """The candidate string chosen by :func:`nearest_index`."""
-    candidates = _check_candidates(candidates)
-    idx = nearest_index(value, candidates)
-    # Guarded: element_at on a literal array was seen to return the last
-    # element, not null, for a null index.
-    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(c) for c in candidates]), idx + 1))
+    return F.get(_literal(_check_candidates(candidates)), nearest_index(value, candidates))
 
 
 def resolve_label(spark: SparkSession, name: str, candidates, match: str = "exact") -> int:

@@ -70,6 +70,10 @@ class MaskLayout:
         return [f"{prefix}{k}" for k in range(self.num_words)]
 
 
+# 2 ** (LISTED - 1) masks have a given position set; Parquet lists up to ten values.
+LISTED = 4
+
+
 def one_hot_words(layout: MaskLayout, position: int) -> list[Column]:
     """Word literals with the single bit of ``position`` set (a raw snapshot)."""
     word, bit = layout.locate(position)
@@ -84,6 +88,7 @@ def realign_words(mask: Column, local_labels, layout: MaskLayout) -> list[Column
     (the incremental case) costs a handful of substring parses per row.
     """
     targets = [layout.index(label) for label in local_labels]
+    mask = checked_mask(mask, len(targets))
     runs: list[tuple[int, int, int, int]] = []  # (local start, length, word, lowest bit)
     for i, pos in enumerate(targets):
         word, bit = layout.locate(pos)
@@ -106,6 +111,12 @@ def realign_words(mask: Column, local_labels, layout: MaskLayout) -> list[Column
             for parts in per_word]
 
 
+def checked_mask(mask: Column, size: int) -> Column:
+    """``mask``, or an error where it is null or not as long as its legend."""
+    fault = F.concat(F.lit(f"a mask of the legend's {size} snapshots is expected, not "), F.coalesce(mask, F.lit("null")))
+    return F.when(F.length(mask) == size, mask).otherwise(F.raise_error(fault))
+
+
 def render_mask(words: list[Column], layout: MaskLayout) -> Column:
     """Mask string from word columns."""
     pieces = [F.lpad(F.bin(w), layout.width(k), ZERO) for k, w in enumerate(words)]
@@ -116,13 +127,18 @@ def bit_is_set(mask: Column, position: int, size: int | None = None) -> Column:
     """True where snapshot ``position`` (0-based) of a ``size``-snapshot legend is present.
 
     The first and the last position are written as prefix / suffix tests, which
-    Spark pushes into Parquet scans (``StringStartsWith`` / ``StringEndsWith``);
-    a middle position is a plain character test.
+    Spark pushes into Parquet scans (``StringStartsWith`` / ``StringEndsWith``).
+    A middle position of a legend of at most ``LISTED`` snapshots is membership
+    in its few masks, which is pushed as well; of a longer one it is a plain
+    character test.
     """
     if position == 0:
         return mask.startswith(ONE)
     if size is not None and position == size - 1:
         return mask.endswith(ONE) & (F.length(mask) == size)
+    if size is not None and size <= LISTED:
+        masks = [format(m, f"0{size}b") for m in range(1 << size)]
+        return mask.isin([m for m in masks if m[position] == ONE])
     return F.substring(mask, position + 1, 1) == ONE
 
 
@@ -137,13 +153,6 @@ def last_set(mask: Column) -> Column:
     return F.when(from_end == 0, F.lit(0)).otherwise(F.length(mask) - from_end + 1)
 
 
-def mask_or(left: Column, right: Column) -> Column:
-    """Position-wise OR of two masks of equal length and legend (row level)."""
-    chars = F.zip_with(F.split(left, ""), F.split(right, ""),
-                       lambda a, b: F.when((a == ONE) | (b == ONE), F.lit(ONE)).otherwise(F.lit(ZERO)))
-    return F.array_join(chars, "")
-
-
 # ---------------------------------------------------------------- legends
 
 def legend_of(df: DataFrame, column: str = MASK_COLUMN) -> list[str] | None:

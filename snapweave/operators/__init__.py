@@ -6,9 +6,9 @@ from .extract import extract, extract_at
 from .history import intervals, to_date
 from .match import nearest_label
 from .merge import merge
-from .mutation import count_mutations, mutation_pairs, mutation_stats
+from .mutation import mutation_pairs, mutation_stats
 
 __all__ = [
     "compact", "diff", "diff_summary", "write_diff", "extract", "extract_at", "intervals",
-    "to_date", "nearest_label", "merge", "count_mutations", "mutation_pairs", "mutation_stats",
+    "to_date", "nearest_label", "merge", "mutation_pairs", "mutation_stats",
 ]

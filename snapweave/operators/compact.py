@@ -1,16 +1,16 @@
-"""Compaction: rewrite a snapshot as a chosen number of parts, keeping every row.
+"""Compaction: rewrite a snapshot as fewer parts, keeping every row.
 
-Three layouts:
+Two layouts:
 
-* ``cluster="hash"`` (default): parts are hash-partitioned on the whole record
-  and sorted inside, so equal and similar records sit together (better
-  encoding).  A per-row salt spreads runs of identical copies over all parts,
-  so a record repeated a billion times cannot pile into one task.
+* ``cluster="none"`` (default): input partitions are packed together without a
+  shuffle.  A pack never splits a partition, so it gives at most as many parts
+  as the scan has.
 * ``cluster="range"``: a global sort; parts cover disjoint record ranges, which
-  gives the tightest min/max statistics for later scans.  Costs one sampling
-  pass over the input on top of the shuffle; the same per-row tie-breaker lets
-  the range partitioner cut through long runs of identical records.
-* ``cluster="none"``: round-robin into equal parts, no sort.
+  gives tight min/max statistics for later scans.  Costs one sampling pass and
+  a shuffle; a per-row tie-breaker lets the range partitioner cut through long
+  runs of identical records.
+
+The number of parts follows from a target file size unless it is given.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ROW = "__row"
-# Salt values per output part: hashing n * 64 salts into n parts leaves each
-# part within a few percent of its share of a run of identical copies.
-SALTS_PER_PART = 64
+TARGET_FILE_BYTES = 128 << 20
+# Spark's size of a plan without statistics is the largest long.
+UNKNOWN_BYTES = (1 << 63) - 1
 
 
 def orderable(name: str, dtype: T.DataType) -> Column:
@@ -34,36 +34,30 @@ def orderable(name: str, dtype: T.DataType) -> Column:
     return col
 
 
-def _fixed_row_order(df: DataFrame) -> bool:
-    """True when no exchange precedes: partitions come straight from the scan.
+def file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Parts of about ``target_bytes``, from the plan's size (a scan's is its files' bytes).
 
-    Reads the physical plan; where it cannot be read (e.g. a remote session),
-    the answer is False and the safe content sort is used.
+    Where Spark knows no size, the number of partitions stays.
     """
-    from ..plans.inspect import exchanges
-    try:
-        return exchanges(df) == 0
-    except Exception:  # noqa: BLE001 - no plan access: assume the order may vary
-        return False
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= UNKNOWN_BYTES:
+        return max(1, df.rdd.getNumPartitions())
+    return max(1, -(-size // target_bytes))
 
 
-def compact(df: DataFrame, num_files: int, cluster: str = "hash") -> DataFrame:
-    """``df`` laid out as ``num_files`` partitions (write it to get that many files)."""
+def compact(df: DataFrame, num_files: int | None = None, cluster: str = "none",
+            target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """``df`` laid out as at most ``num_files`` partitions (write it to get that many files)."""
+    if num_files is None:
+        num_files = file_count(df, target_bytes)
     if num_files < 1:
         raise ValueError("num_files must be positive")
     if cluster == "none":
-        return df.repartition(num_files)
+        return df.coalesce(num_files)
+    if cluster != "range":
+        raise ValueError(f"cluster must be 'none' or 'range', not {cluster!r}")
+    # The hash breaks ties by content, so a repeated task routes every row as
+    # before; copies of one record are told apart by their place in the input.
     keys = [orderable(f.name, f.dataType) for f in df.schema.fields]
-    # The salt is the row's position in its input partition.  A file scan
-    # yields rows in a fixed order, but a shuffle read does not; then each input
-    # partition is sorted by content first, so positions depend only on the
-    # partition's contents and a retried task routes every row as before.
-    source = df if _fixed_row_order(df) else df.sortWithinPartitions(*keys)
-    salted = source.withColumn(_ROW, F.monotonically_increasing_id())
-    if cluster == "hash":
-        spread = salted.repartition(num_files, *keys, F.col(_ROW) % (num_files * SALTS_PER_PART))
-    elif cluster == "range":
-        spread = salted.repartitionByRange(num_files, *keys, F.col(_ROW))
-    else:
-        raise ValueError(f"cluster must be 'hash', 'range' or 'none', not {cluster!r}")
-    return spread.sortWithinPartitions(*keys).drop(_ROW)
+    placed = df.sortWithinPartitions(*keys).withColumn(_ROW, F.monotonically_increasing_id())
+    return placed.repartitionByRange(num_files, *keys, F.col(_ROW)).sortWithinPartitions(*keys).drop(_ROW)

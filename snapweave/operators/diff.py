@@ -43,19 +43,23 @@ def _target(dest: DataFrame, columns) -> T.StructType:
     return T.StructType([fields[c] for c in columns])
 
 
-def diff(orig: DataFrame, dest: DataFrame, columns=None, mode: str = "set") -> DataFrame:
+def diff(orig: DataFrame, dest: DataFrame, columns=None, mode: str = "set", output: str = TYPE_COLUMN) -> DataFrame:
     """Classify the distinct records of two snapshots.
 
     ``mode="set"`` (default) classifies by presence and never loses a record.
     ``mode="count"`` applies the occurrence-count rule: a record seen twice in
     total is ``kernel`` (even if both copies are on one side), once is that
     side's class, three times or more is dropped.  Both agree when neither
-    input holds duplicate records.
+    input holds duplicate records.  ``output`` names the class column; choose
+    another where the records have a column of that name.
     """
     if mode not in ("set", "count"):
         raise ValueError(f"mode must be 'set' or 'count', not {mode!r}")
     target = _target(dest, columns)
     names = target.fieldNames()
+    taken = {output, _SIDE, _SIDES, _COUNT} & set(names)
+    if taken:
+        raise ValueError(f"the records have columns {sorted(taken)}; pass output= or rename them")
     tagged = (orig.select(*conform_columns(orig, target), F.lit(ORIGIN_BIT).alias(_SIDE))
               .unionByName(dest.select(*conform_columns(dest, target), F.lit(DEST_BIT).alias(_SIDE))))
     keys = [named(n) for n in names]
@@ -66,32 +70,33 @@ def diff(orig: DataFrame, dest: DataFrame, columns=None, mode: str = "set") -> D
         kind = (F.when(sides == ORIGIN_BIT | DEST_BIT, F.lit(KERNEL))
                 .when(sides == DEST_BIT, F.lit(ADD))
                 .otherwise(F.lit(DEL)))
-        return out.select(*keys, kind.alias(TYPE_COLUMN))
+        return out.select(*keys, kind.alias(output))
     out = grouped.agg(F.count(F.lit(1)).alias(_COUNT), F.bit_or(_SIDE).alias(_SIDES))
     kind = (F.when(F.col(_COUNT) == 2, F.lit(KERNEL))
             .when(F.col(_SIDES) == DEST_BIT, F.lit(ADD))
             .otherwise(F.lit(DEL)))
-    return out.where(F.col(_COUNT) <= 2).select(*keys, kind.alias(TYPE_COLUMN))
+    return out.where(F.col(_COUNT) <= 2).select(*keys, kind.alias(output))
 
 
-def diff_summary(diffed: DataFrame) -> DataFrame:
+def diff_summary(diffed: DataFrame, output: str = TYPE_COLUMN) -> DataFrame:
     """Record count per class (the per-output counters of a diff run)."""
-    return diffed.groupBy(TYPE_COLUMN).agg(F.count(F.lit(1)).alias("records"))
+    return diffed.groupBy(named(output)).agg(F.count(F.lit(1)).alias("records"))
 
 
-def _class_counts() -> list[Column]:
-    t = F.col(TYPE_COLUMN)
+def _class_counts(output: str) -> list[Column]:
+    t = named(output)
     return [F.count_if(t == KERNEL).alias(KERNEL), F.count_if(t == ADD).alias(ADD),
             F.count_if(t == DEL).alias(DEL)]
 
 
-def write_diff(diffed: DataFrame, path: str, fmt: str = "parquet", **write_options) -> dict[str, int]:
-    """Write ``type=add|del|kernel`` partitions and return the class counts.
+def write_diff(diffed: DataFrame, path: str, fmt: str = "parquet", output: str = TYPE_COLUMN,
+               **write_options) -> dict[str, int]:
+    """Write ``type=add|del|kernel`` partitions (or of the ``output`` column) and return the class counts.
 
     The counts are gathered by an ``Observation`` during the same write, so the
     result is not scanned twice.
     """
     obs = Observation("diff_counts")
-    write_output(diffed.observe(obs, *_class_counts()), path, fmt, partition_by=TYPE_COLUMN,
+    write_output(diffed.observe(obs, *_class_counts(output)), path, fmt, partition_by=output,
                  **write_options)
     return {k: int(v) for k, v in obs.get.items()}

@@ -27,6 +27,9 @@ def extract(masked: DataFrame, label: str, snapshots=None, match: str = "exact")
     return masked.where(bit_is_set(F.col(MASK_COLUMN), position, len(labels))).drop(MASK_COLUMN)
 
 
-def extract_at(masked: DataFrame, position: int) -> DataFrame:
-    """Rows present at a 0-based legend position."""
-    return masked.where(bit_is_set(F.col(MASK_COLUMN), position)).drop(MASK_COLUMN)
+def extract_at(masked: DataFrame, position: int, snapshots=None) -> DataFrame:
+    """Rows present at a 0-based legend position; a position outside the legend raises."""
+    size = len(resolve_legend(masked, snapshots))
+    if not 0 <= position < size:
+        raise IndexError(f"position {position} is outside the legend of {size} snapshots")
+    return masked.where(bit_is_set(F.col(MASK_COLUMN), position, size)).drop(MASK_COLUMN)

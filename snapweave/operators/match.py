@@ -2,8 +2,8 @@
 
 Each value of a string column is matched to the candidate with the smallest
 Levenshtein distance; ties go to the earliest candidate.  Candidates are a
-label set (snapshot names, region names...), carried into the plan as
-literals, so every row is scored by a projection: no join and no shuffle.
+label set (snapshot names, supplier names...), carried into the plan as one
+literal.  Each distinct value is scored once, then joined back.
 """
 
 from __future__ import annotations
@@ -11,18 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import MAX_LITERAL_CANDIDATES, nearest_index
+from ..functions.labels import MAX_CANDIDATE_CHARS, nearest_scored, _literal
 from ..plans.schema import named
 
 
 def candidate_list(candidates: DataFrame, label: str, order_by: str) -> list[str]:
-    """Labels of a small candidate table, in ``order_by`` order, size-checked."""
-    rows = (candidates.select(named(label).alias("label"), named(order_by).alias("order"))
-            .orderBy("order")
-            .limit(MAX_LITERAL_CANDIDATES + 1).collect())
-    if len(rows) > MAX_LITERAL_CANDIDATES:
-        raise ValueError(f"candidate table exceeds {MAX_LITERAL_CANDIDATES} labels")
-    return [r["label"] for r in rows]
+    """Labels of a small candidate table, in ``order_by`` order, size-checked before they are fetched."""
+    size = candidates.agg(F.sum(F.length(named(label)))).first()[0] or 0
+    if size > MAX_CANDIDATE_CHARS:
+        raise ValueError(f"candidate table of {size} characters exceeds {MAX_CANDIDATE_CHARS}")
+    rows = candidates.select(named(label).alias("label"), named(order_by).alias("order")).orderBy("order").collect()
+    return [r["label"] for r in rows if r["label"] is not None]
 
 
 def nearest_label(df: DataFrame, column: str, candidates, output: str = "nearest_label",
@@ -38,12 +37,12 @@ def nearest_label(df: DataFrame, column: str, candidates, output: str = "nearest
             raise ValueError("a candidate table needs label= and order_by=")
         candidates = candidate_list(candidates, label, order_by)
     candidates = [str(c) for c in candidates]
-    value = named(column)
-    idx = nearest_index(value, candidates)
-    # Guarded: element_at on a literal array was seen to return the last
-    # element, not null, for a null index.
-    choice = F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(c) for c in candidates]), idx + 1))
-    out = df.withColumn(output, choice)
+    best = nearest_scored(F.col("__value"), candidates)
+    scored = (df.select(named(column).alias("__value")).where(F.col("__value").isNotNull()).distinct()
+              .withColumn("__best", best))
+    joined = df.join(scored, named(column) == F.col("__value"), "left")
+    out = [named(c) for c in df.columns if c not in (output, distance)]
+    out.append(F.get(_literal(candidates), F.col("__best.i")).alias(output))
     if distance:
-        out = out.withColumn(distance, F.levenshtein(value, named(output)))
-    return out
+        out.append(F.col("__best.d").alias(distance))
+    return joined.select(*out)

@@ -14,41 +14,36 @@ value are left out.
 Plan (skew-proof).  A per-key window would push a hot key -- say a third of
 all rows -- through one task, so groups are handled by size:
 
-* Hot keys are found first: a sampled key count, aggregated in Spark; only
-  the short, size-checked list of hot keys reaches the driver.
+* Keys are counted with map-side partial counts; those above the threshold are
+  the hot keys.  They stay a (staged) table of at most rows / threshold keys.
+  A semi and an anti join part the rows; the hot side is broadcast while its
+  counted size allows, and shuffled otherwise.
 * Ordinary keys: one hash exchange on the key and ``lead`` over a window per
   key.  Every group is below the hot threshold, so each fits a task.
-* Hot keys: the rows are range-partitioned on (key, mask, columns).  The
-  partitioner cuts anywhere in that order, so one key spreads over as many
-  tasks as its size needs.  Each sorted range is walked once by an Arrow
-  kernel pairing every row with its successor.  Only the last row of a range
-  needs a row from elsewhere, the first row of the next non-empty range.  The
-  first and last row of every range come from one partial aggregate over the
-  same, reused shuffle and are paired by a window over those ends: one row per
-  range, bounded by the range count, not by the data.  Nothing is broadcast.
-
-Either way each key is handled whole by one strategy and both are exact, so a
-misjudged key costs time, never correctness.  The counts of
-:func:`mutation_stats` are one more partially aggregated exchange.
+* Hot keys: the rows are range-partitioned on (key, mask, columns) and written
+  once to the shared folder *with their range number as a column*, so every
+  later read sees the same ranges.  ``lead`` over (range, key) pairs the rows
+  inside a range.  A key's last row in a range is paired with its first row in
+  its next range by a window over those end rows, per key.
+
+Either way each key is handled whole by one strategy and both are exact under
+any setting.  The counts of :func:`mutation_stats` are one more partially
+aggregated exchange.
 """
 
 from __future__ import annotations
 
-import sys
 from functools import reduce
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.mask import MASK_COLUMN
-from . import _arrow_kernels
 from ..plans.schema import named
+from ..sources.stage import stage_table
 from .compact import orderable
 
-cloudpickle.register_pickle_by_value(sys.modules[_arrow_kernels.__name__])
-
 # The mutation record.
 FIELDS = "fields"
 MASK_IN = "diffmaskIn"
@@ -59,21 +54,17 @@ _KEY = "__key"
 _PART = "__range"
 _HEAD = "__head"
 _TAIL = "__tail"
+_END = "__end"
+_MORE = "__more"
 _NEXT = "__next_"
 _BITS = "__changed"
 WORD_BITS = 63
 
-# The ends of all ranges (one row per range) meet in one task to be paired;
-# keep their number bounded.
-MAX_RANGES = 200_000
 # A group above this many rows is split over several tasks.
 HOT_KEY_ROWS = 1_000_000
-# Hot-key detection: expected sampled rows of a key at the threshold, the
-# sample seed, and the most hot keys handled by name (beyond it every key
-# takes the split strategy).
-SAMPLE_HITS = 100
-SAMPLE_SEED = 7
-MAX_HOT_KEYS = 10_000
+# Up to this many hot keys are broadcast to part the rows (8 million rows of a
+# long key are 64 MB); beyond it the same joins shuffle.
+BROADCAST_KEYS = 1_000_000
 
 
 def _differs(a: Column, b: Column, dtype: T.DataType) -> Column:
@@ -110,10 +101,11 @@ def _check(masked: DataFrame, key: str) -> None:
         raise KeyError(f"grouping field {key!r} is not a data column")
 
 
-# Types whose text form is one-to-one with the value: grouping on the column
-# itself gives the same groups as grouping on its text, without a text copy.
+# Types grouped by the column itself, without a text copy: their text is
+# one-to-one with the value, or (timestamps) would be but for the session zone,
+# where two instants share one text at a clock change.
 _TEXT_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.BooleanType,
-               T.DateType, T.DecimalType)
+               T.DateType, T.DecimalType, T.TimestampType, T.TimestampNTZType)
 
 
 class _Layout:
@@ -178,27 +170,10 @@ class _Layout:
             for i, f in enumerate(self.sorted_fields)]))
 
 
-def hot_keys(keyed: DataFrame, key: str, threshold: int) -> tuple[list | None, int]:
-    """Keys whose group may exceed ``threshold`` rows, and the estimated rows they hold.
-
-    Counted on a Bernoulli sample sized so a key at the threshold expects
-    ``SAMPLE_HITS`` sampled rows; the count runs as a Spark aggregate and only
-    the (size-checked) list of hot keys reaches the driver.  The key list is
-    None when there are more than ``MAX_HOT_KEYS``.  A misjudged key only
-    changes which exact strategy handles it, never the result.
-    """
-    fraction = min(1.0, SAMPLE_HITS / threshold)
-    keys = keyed.select(named(key).alias("k"))
-    if fraction < 1.0:
-        keys, cut = keys.sample(fraction=fraction, seed=SAMPLE_SEED), SAMPLE_HITS // 2
-    else:
-        cut = threshold + 1
-    found = (keys.groupBy("k").count().where(F.col("count") >= cut)
-             .limit(MAX_HOT_KEYS + 1).collect())
-    rows = int(sum(r["count"] for r in found) / fraction)
-    if len(found) > MAX_HOT_KEYS:
-        return None, rows
-    return sorted(r[0] for r in found), rows
+def hot_keys(keyed: DataFrame, key: str, threshold: int) -> DataFrame:
+    """``k, rows``: the keys with more than ``threshold`` rows (a lazy, pre-aggregated table)."""
+    return (keyed.groupBy(named(key).alias("k")).agg(F.count(F.lit(1)).alias("rows"))
+            .where(F.col("rows") > threshold))
 
 
 def _window_pairs(layout: _Layout, keyed: DataFrame) -> DataFrame:
@@ -215,85 +190,52 @@ def _window_pairs(layout: _Layout, keyed: DataFrame) -> DataFrame:
     return layout.pairs(walked, {c: named(_NEXT + c) for c in layout.payload})
 
 
-def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
-    n = int(num_ranges or keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not 1 <= n <= MAX_RANGES:
-        raise ValueError(f"num_ranges must be within 1..{MAX_RANGES}")
-    # An explicit range count keeps AQE from re-cutting the ranges, so both
-    # consumers of this shuffle see the same partition ids.
-    return keyed.repartitionByRange(n, *layout.sort_keys).withColumn(_PART, F.spark_partition_id())
+def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int) -> DataFrame:
+    """Rows with their range number, written once so that the number is data.
+
+    Positional column names, so that any field name can be stored.
+    """
+    if num_ranges < 1:
+        raise ValueError("num_ranges must be positive")
+    cut = keyed.repartitionByRange(num_ranges, *layout.sort_keys).withColumn(_PART, F.spark_partition_id())
+    names = cut.columns
+    stored = stage_table(cut.select(*[named(n).alias(f"c{i}") for i, n in enumerate(names)]), "ranges")
+    return stored.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
 
 
-def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int | None) -> DataFrame:
-    """Any group size: global range split, Arrow walk per range, boundaries paired apart."""
+def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int) -> DataFrame:
+    """Any group size: a global range split, pairs inside ranges, then pairs across their ends."""
     ranged = _ranged(layout, keyed, num_ranges)
-    carried, sort_keys = layout.carried, layout.sort_keys
-
-    # Inside each range: pair every row with the next one (the last row has none).
-    # The walk sees positional column names: mapInArrow resolves columns by
-    # name and would read a dot in a field name as nesting.
-    names = ranged.columns
-    safe = [f"__c{i}" for i in range(len(names))]
-    safe_of = dict(zip(names, safe))
-    safe_next = [f"__n{i}" for i in range(len(carried))]
-    out_schema = T.StructType(
-        [T.StructField(sn, f.dataType, f.nullable) for sn, f in zip(safe, ranged.schema.fields)]
-        + [T.StructField(sn, ranged.schema[c].dataType, True) for c, sn in zip(carried, safe_next)])
-    sorted_ranges = ranged.sortWithinPartitions(*sort_keys).select(
-        *[named(n).alias(sn) for n, sn in zip(names, safe)])
-    walked = sorted_ranges.mapInArrow(
-        _arrow_kernels.shift_within_partition([safe_of[c] for c in carried], safe_next), out_schema)
-    next_names = [_NEXT + c for c in carried]
-    walked = walked.select(*[F.col(sn).alias(n) for sn, n in zip(safe, names)],
-                           *[F.col(sn).alias(nn) for sn, nn in zip(safe_next, next_names)])
-    inner = walked.where(named(_NEXT + layout.key) == named(layout.key))
-    inner_pairs = layout.pairs(inner, {c: named(nn) for c, nn in zip(carried, next_names)})
-
-    # Across ranges: the last row of a range and the first row of the next
-    # non-empty range.  One partial aggregate over the reused shuffle gives both
-    # ends of every range, and one window ordered by range id pairs each tail
-    # with the following head.  That window holds one row per range (at most
-    # MAX_RANGES), so its single task is bounded by the layout, not the data.
-    if any(_has_map(f.dataType) for f in layout.fields):
-        # Maps are not comparable: order by the sortable stand-ins, carry the row.
-        row, order = F.struct(*[named(c) for c in carried]), F.struct(*sort_keys)
-        ends = ranged.groupBy(_PART).agg(F.min_by(row, order).alias(_HEAD),
-                                         F.max_by(row, order).alias(_TAIL))
-    else:
-        # One struct that sorts like the range order and carries the row, each
-        # field once: (key, mask order, fields..., mask).  Plain min/max over
-        # it are cheaper than min_by/max_by over two structs.
-        lead_key = named(layout.key).alias(_KEY if layout.key == _KEY else "__o0")
-        keyed_row = F.struct(lead_key, sort_keys[1].alias("__o1"),
-                             *[named(f.name) for f in layout.fields], F.col(MASK_COLUMN))
-        ends = ranged.groupBy(_PART).agg(F.min(keyed_row).alias(_HEAD), F.max(keyed_row).alias(_TAIL))
-    seams = (ends.select(_TAIL, F.lead(_HEAD).over(Window.orderBy(_PART)).alias(_HEAD))
-             .where(F.col(_TAIL)[layout.key] == F.col(_HEAD)[layout.key])
-             .select(F.col(_TAIL + ".*"), _HEAD))
-    seam_pairs = layout.pairs(seams, {c: F.col(_HEAD)[c] for c in carried})
-    return inner_pairs.unionByName(seam_pairs)
-
-
-def range_layout(masked: DataFrame, key: str, order: str = "reference",
-                 num_ranges: int | None = None) -> DataFrame:
-    """The range-partitioned rows the split strategy walks (columns, mask, range id)."""
-    layout = _Layout(masked, key, order)
-    return _ranged(layout, layout.keyed, num_ranges)
+    key = named(layout.key)
+    w = Window.partitionBy(_PART, key).orderBy(*layout.within_key)
+    following = {c: F.lead(named(c)).over(w).alias(_NEXT + c) for c in layout.payload}
+    walked = ranged.select("*", F.lag(key).over(w).isNull().alias(_HEAD), F.lead(key).over(w).isNull().alias(_TAIL),
+                           *following.values())
+    inner = layout.pairs(walked.where(~F.col(_TAIL)), {c: named(_NEXT + c) for c in layout.payload})
+
+    # a key's ends: its first and its last row of each range; a row can be both
+    ends = walked.where(F.col(_HEAD) | F.col(_TAIL)).select(
+        *[named(c) for c in dict.fromkeys([layout.key, *layout.payload])], _PART, F.explode(F.array_compact(F.array(
+            F.when(F.col(_HEAD), F.lit(0)), F.when(F.col(_TAIL), F.lit(1))))).alias(_END))
+    across = Window.partitionBy(key).orderBy(_PART, _END)
+    following = {c: F.lead(named(c)).over(across).alias(_NEXT + c) for c in layout.payload}
+    seams = ends.select("*", F.lead(key).over(across).isNotNull().alias(_MORE), *following.values()).where(
+        (F.col(_END) == 1) & F.col(_MORE))
+    return inner.unionByName(layout.pairs(seams, {c: named(_NEXT + c) for c in layout.payload}))
 
 
 def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
                    hot_key_rows: int = HOT_KEY_ROWS, num_ranges: int | None = None) -> DataFrame:
     """One row per neighbouring pair of versions: ``fields``, ``diffmaskIn``, ``diffmaskOut``.
 
-    Groups of at most about ``hot_key_rows`` rows are walked by a per-key
-    window; larger (hot) groups by the range-split strategy, which spreads one
-    group over many tasks.  ``num_ranges`` sets the range count of the latter;
-    by default it is sized from the sampled hot-row volume (about
-    ``hot_key_rows`` rows per range, at most ``spark.sql.shuffle.partitions``).
+    Groups of at most ``hot_key_rows`` rows are walked by a per-key window;
+    larger (hot) groups by the range split, which spreads one group over many
+    tasks.  ``num_ranges`` sets the range count of the latter; by default a
+    range has about ``hot_key_rows`` rows.
 
-    The hot-key sample runs as soon as this is called and reads ``masked``
+    The keys are counted as soon as this is called, which reads the key column
     once more; give a stored table (or :func:`snapweave.sources.stage.stage_table`
-    of an expensive plan) so that read is a cheap column scan.
+    of an expensive plan) so that this is a cheap column scan.
     """
     return _pairs(_Layout(masked, key, order), hot_key_rows, num_ranges)
 
@@ -302,19 +244,16 @@ def _pairs(layout: _Layout, hot_key_rows: int, num_ranges: int | None) -> DataFr
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be positive")
     keyed = layout.keyed
-    hot, hot_rows = hot_keys(keyed, layout.key, hot_key_rows)
-    if hot is None:
-        return _range_pairs(layout, keyed, num_ranges)
-    if not hot:
+    hot = stage_table(hot_keys(keyed, layout.key, hot_key_rows), "hot-keys")
+    n_keys, n_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    if not n_keys:
         return _window_pairs(layout, keyed)
-    if num_ranges is None:
-        # About one hot-key group's worth of rows per range: a single hot key
-        # on a huge cluster gets a handful of ranges, not one per shuffle partition.
-        most = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        num_ranges = max(1, min(most, MAX_RANGES, -(-hot_rows // hot_key_rows)))
-    is_hot = named(layout.key).isin(hot)
-    return _window_pairs(layout, keyed.where(~is_hot)).unionByName(
-        _range_pairs(layout, keyed.where(is_hot), num_ranges))
+    names = hot.select("k")
+    if n_keys <= BROADCAST_KEYS:
+        names = F.broadcast(names)
+    is_hot = named(layout.key) == F.col("k")
+    return _window_pairs(layout, keyed.join(names, is_hot, "left_anti")).unionByName(
+        _range_pairs(layout, keyed.join(names, is_hot, "left_semi"), num_ranges or -(-n_rows // hot_key_rows)))
 
 
 def mutation_stats(masked: DataFrame, key: str, order: str = "reference",
@@ -328,10 +267,6 @@ def mutation_stats(masked: DataFrame, key: str, order: str = "reference",
     layout = _Layout(masked, key, order, as_bits=True)
     pairs = _pairs(layout, hot_key_rows, num_ranges)
     counted = pairs.groupBy(*layout.bit_names(), MASK_IN, MASK_OUT).agg(
-        F.count(F.lit(1)).cast("int").alias(COUNT))
+        F.count(F.lit(1)).alias(COUNT))
     return counted.select(layout.names().alias(FIELDS), MASK_IN, MASK_OUT, COUNT)
 
-
-def count_mutations(pairs: DataFrame) -> DataFrame:
-    """Count identical mutation records (map-side partial counts, one exchange)."""
-    return pairs.groupBy(FIELDS, MASK_IN, MASK_OUT).agg(F.count(F.lit(1)).cast("int").alias(COUNT))

@@ -1,4 +1,4 @@
-"""Driver-side planning: schema reconciliation and plan inspection."""
+"""Driver-side planning: schema reconciliation."""
 
 from .schema import SchemaConflict, can_widen, conform, conform_columns, reconcile, widen
 

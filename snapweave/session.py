@@ -6,7 +6,10 @@ DataFrames.  These helpers only exist for the entry points that need one.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,13 +41,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """True where driver and tasks share one process, hence one disk."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is read from the session and never replaced.  Only when nothing
-    is configured (local tests) is a fresh scratch folder used.  Sessions
-    without a SparkContext (remote clients) only need the path.
+    reach; it is read from the session and never replaced.  Only in local mode
+    is a fresh scratch folder used when nothing is configured, and removed at
+    exit; with any other master a missing setting raises.
     """
     try:
         sc = spark.sparkContext
@@ -57,8 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
+    if sc is None or not is_local(sc.master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="snapweave-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(path)
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    sc.setCheckpointDir(path)
     spark.conf.set(CHECKPOINT_CONF, path)
     return path

@@ -1,6 +1,6 @@
 """Snapshot sources and sinks."""
 
 from .snapshots import read_snapshot, read_snapshots, write_output
-from .stage import stage_table
+from .stage import drop_staged, stage_table
 
-__all__ = ["read_snapshot", "read_snapshots", "write_output", "stage_table"]
+__all__ = ["read_snapshot", "read_snapshots", "write_output", "stage_table", "drop_staged"]

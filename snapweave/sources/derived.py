@@ -49,6 +49,12 @@ def duplicated_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s0.unionByName(s0.where(F.col("o_orderkey") % 11 == 0))
 
 
+def duplicated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``orders`` plus a second copy of the rows with ``o_orderkey % 11 = 0``."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.unionByName(orders.where(F.col("o_orderkey") % 11 == 0))
+
+
 def lineitem_snapshot(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey")

@@ -14,6 +14,8 @@ import os
 
 from pyspark.sql import types as T
 
+from ..plans.schema import DEFAULT_KEY
+
 # Avro primitive type names and their Spark types.
 _PRIMITIVES = {
     "null": T.NullType(),
@@ -40,42 +42,58 @@ def _logical(node: dict) -> T.DataType | None:
     return None
 
 
-def avro_type(node) -> tuple[T.DataType, bool]:
-    """(Spark type, nullable) of an Avro schema node."""
+def avro_type(node, names: dict | None = None) -> tuple[T.DataType, bool]:
+    """(Spark type, nullable) of an Avro schema node; ``names`` holds the named types met so far."""
+    names = {} if names is None else names
     if isinstance(node, str):
-        if node not in _PRIMITIVES:
-            raise ValueError(f"named type references are not supported: {node!r}")
-        return _PRIMITIVES[node], node == "null"
+        if node in _PRIMITIVES:
+            return _PRIMITIVES[node], node == "null"
+        if names.get(node) is None:
+            raise ValueError(f"named type {node!r} is unknown here, or refers to itself")
+        return names[node], False
     if isinstance(node, list):
         members = [m for m in node if m != "null"]
         if len(members) != 1:
             raise ValueError(f"union {node} has no Spark equivalent (only [null, T] has)")
-        dtype, _ = avro_type(members[0])
+        dtype, _ = avro_type(members[0], names)
         return dtype, len(members) != len(node)
     kind = node.get("type")
     logical = _logical(node)
-    if logical is not None:
-        return logical, False
     if kind == "record":
-        return avro_record(node), False
-    if kind == "array":
-        element, nullable = avro_type(node["items"])
+        dtype = avro_record(node, names)
+    elif logical is not None:
+        dtype = logical
+    elif kind == "array":
+        element, nullable = avro_type(node["items"], names)
         return T.ArrayType(element, nullable), False
-    if kind == "map":
-        value, nullable = avro_type(node["values"])
+    elif kind == "map":
+        value, nullable = avro_type(node["values"], names)
         return T.MapType(T.StringType(), value, nullable), False
-    if kind == "enum":
-        return T.StringType(), False
-    if kind == "fixed":
-        return T.BinaryType(), False
-    return avro_type(kind)
+    elif kind == "enum":
+        dtype = T.StringType()
+    elif kind == "fixed":
+        dtype = T.BinaryType()
+    else:
+        return avro_type(kind, names)
+    if "name" in node:
+        _remember(node, dtype, names)
+    return dtype, False
+
+
+def _remember(node: dict, dtype: T.DataType, names: dict) -> None:
+    names[node["name"]] = dtype
+    if node.get("namespace"):
+        names[f"{node['namespace']}.{node['name']}"] = dtype
 
 
-def avro_record(node: dict) -> T.StructType:
+def avro_record(node: dict, names: dict | None = None) -> T.StructType:
+    """A record's fields; a default other than null is kept in the field's metadata."""
+    names = {} if names is None else names
     fields = []
     for field in node["fields"]:
-        dtype, nullable = avro_type(field["type"])
-        fields.append(T.StructField(field["name"], dtype, nullable))
+        dtype, nullable = avro_type(field["type"], names)
+        default = field.get("default")
+        fields.append(T.StructField(field["name"], dtype, nullable, None if default is None else {DEFAULT_KEY: default}))
     return T.StructType(fields)
 
 

@@ -19,8 +19,8 @@ def read_snapshot(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
                   schema: T.StructType | str | None = None, **options) -> DataFrame:
     """Read one snapshot directory.
 
-    ``schema`` is a reader schema (projection plus typed nulls for absent
-    fields); without it the schema is inferred from the files.  An empty
+    ``schema`` is a reader schema (projection; an absent field reads as its
+    default, else as a typed null); without it the schema is inferred from the files.  An empty
     directory raises Spark's ``UNABLE_TO_INFER_SCHEMA``.  ``fmt="avro"`` needs
     the spark-avro module on the classpath.
     """

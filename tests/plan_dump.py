@@ -59,7 +59,7 @@ def main(argv):
         ("extract, last snapshot, two columns", extract(merged, paths[2]).select("o_orderkey", "o_totalprice")),
         ("extract, middle snapshot", extract(merged, paths[1])),
         ("to_date", to_date(merged)),
-        ("compact (hash layout)", compact(snaps[0], 4)),
+        ("compact", compact(snaps[0])),
         ("mutation_stats, ordinary keys (per-key window)", mutation_stats(merged, "o_orderkey")),
         ("mutation_stats, half the rows in one key (range split)",
          mutation_stats(hot, "grp", hot_key_rows=500)),

@@ -13,7 +13,7 @@ import sys
 def main(argv):
     sys.path.insert(0, ".")
     import __spark_entry__ as entry
-    from snapweave.plans import inspect
+    from tests import inspect_plan as inspect
     from snapweave.session import local_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"

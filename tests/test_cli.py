@@ -137,5 +137,12 @@ def test_explain_writes_nothing(spark, snapshot_dirs, tmp_path, capsys):
 def test_compact_keeps_its_layout_under_global_num_files(spark, snapshot_dirs, tmp_path):
     import os
     out = str(tmp_path / "c")
-    cli.run(spark, ["--num-files", "7", "compact", snapshot_dirs[0], out, "--num-files", "3"])
+    cli.run(spark, ["--num-files", "7", "compact", snapshot_dirs[0], out, "--num-files", "3", "--cluster", "range"])
     assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 3
+
+
+def test_explain_before_the_job(spark, snapshot_dirs, tmp_path, capsys):
+    from snapweave import cli
+    out = str(tmp_path / "x")
+    assert cli.main(["--explain", "diff", snapshot_dirs[0], snapshot_dirs[1], out]) == 0
+    assert "Physical Plan" in capsys.readouterr().out and not (tmp_path / "x").exists()

@@ -22,7 +22,7 @@ def frame(spark, data, schema, legend=None):
 
 def test_compact_keeps_rows(spark):
     df = frame(spark, [("2", 2)], BASE)
-    for cluster in ("hash", "range", "none"):
+    for cluster in ("range", "none"):
         assert rows(compact(df, 1, cluster=cluster)) == [("2", 2)]
 
 
