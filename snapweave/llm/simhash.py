@@ -32,7 +32,6 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -69,9 +68,9 @@ def fingerprint_of(data: bytes | None, width: int, seed: int) -> int:
 
 
 def fingerprint(text: Column, width: int, seed: int = 42) -> Column:
-    @F.pandas_udf("long")
-    def run(data: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint_of(x, width, seed) for x in data], dtype="int64")
+    @F.arrow_udf("long")
+    def run(data: pa.Array) -> pa.Array:
+        return pa.array([fingerprint_of(x.as_py(), width, seed) for x in data], pa.int64())
 
     return run(text.cast("binary"))
 
