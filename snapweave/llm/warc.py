@@ -57,8 +57,10 @@ def _decisions(records: DataFrame, p: WarcParams) -> DataFrame:
     """``record, page_id, url, digest, bytes, refers_to``: a revisit has ``refers_to``."""
     narrow = records.select("record", "page_id", "url", F.sha1("body").alias("digest"),
                             F.octet_length("body").cast("long").alias("bytes"))
-    keeper = narrow.groupBy("digest", "bytes").agg(F.max("page_id").alias("keeper"))
-    decided = narrow.join(keeper, ["digest", "bytes"])
+    # staged, so that the join reads two plain exchanges and a hot payload's rows can be split
+    keeper = staged(narrow.groupBy("digest", "bytes").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
+                    .where("n > 1").drop("n"), "warc-keepers")
+    decided = narrow.join(keeper, ["digest", "bytes"], "left")
     revisit = (F.col("bytes") >= p.min_revisit) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     return decided.withColumn("refers_to", F.when(revisit, F.col("keeper")))
 
