@@ -48,7 +48,8 @@ def _position() -> Column:
 
 def _shared(keys: DataFrame) -> DataFrame:
     """Rows whose ``key`` another line has too."""
-    often = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # staged, so that the join reads two plain exchanges and a hot key's rows can be split
+    often = staged(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
     return keys.join(often, "key")
 
 
