@@ -216,9 +216,10 @@ def links(fingerprints: DataFrame, max_bits: int, exact_blocks: int = 2, tile: i
     keys = F.array(*[F.struct(F.lit(i).alias("combo"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
                      for i, m in enumerate(_masks(max_bits, exact_blocks))])
     rows = fingerprints.select("fp", F.explode(keys).alias("k")).select("fp", "k.combo", "k.key")
-    sizes = rows.groupBy("combo", "key").count()
-    # a bucket of one has no links; the others learn how many tiles they need
-    sized = rows.join(sizes.where("count > 1"), ["combo", "key"])
+    # a bucket of one has no links; the others learn how many tiles they need.  Staged, so
+    # that the join reads two plain exchanges and a hot bucket's rows can be split
+    sizes = staged(rows.groupBy("combo", "key").count().where("count > 1"), "buckets")
+    sized = rows.join(sizes, ["combo", "key"])
     tiles = F.ceil(F.col("count") / tile).cast("int")
     mine = F.pmod(F.xxhash64("fp"), tiles).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(
