@@ -5,8 +5,8 @@ kept.  Stages return the columns of documents; the last adds the output shard.
 
 1. quality rules: documents that fail the base rules or lie far from every
    language reference go;
-2. line dedup: lines equal to an earlier line or one edit from it are cut out of
-   the texts, and a document without a word left goes;
+2. line dedup: lines of any length that are equal to an earlier line or one edit
+   from it are cut out of the texts, and a document without a word left goes;
 3. SimHash: of each group of near-duplicates the document of smallest id stays;
 4. decontamination: stretches shared with benchmark items are cut out, and
    documents mostly made of them go;
@@ -39,7 +39,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(line_dedup.dedup_lines(docs))
+    return _recounted(line_dedup.dedup_lines(docs, min_chars=1))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

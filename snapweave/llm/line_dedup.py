@@ -17,7 +17,8 @@ character also agree without any stretch that holds it.
 Lines are hashed to 128 bits, grouped and joined by hash; texts travel only for
 lines whose half met another.  Counts per key are pre-aggregated.
 
-Defined results: lines shorter than ``min_chars`` or without a word are left
+Defined results: lines without a word, or shorter than ``min_chars`` (1 in the
+query and the pipeline, so that every line with a word takes part), are left
 alone; a null text has no lines; null ids come last; lines at the same id and
 number (repeated rows) do not drop one another; an empty table gives an empty
 result; extra columns are carried by :func:`dedup_lines`.

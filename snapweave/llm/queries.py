@@ -13,7 +13,7 @@ from .common import table
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents that repeat an earlier line, or are one edit from it."""
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), min_chars=1)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
