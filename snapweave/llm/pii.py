@@ -1,12 +1,15 @@
 """PII: base patterns, widened by bootstrapped contextual extraction.
 
 Base spans (email, ip, card, phone) come from fixed patterns with their checks.
-Tokens with a digit, each with the two words before it, form a graph of
-instances (token texts) and lexical patterns (contexts).  Tokens that are base
-entities seed it.  A pattern's score for a kind is the mean belief of its
+Each, whole and with the spaces inside it, is a seed under its context: the two
+words before it, or what there is at the start of the text.  Contexts with
+enough distinct seeds of one kind are patterns.  Every other place under such a
+context is an instance too: a word without the punctuation around it, or, where
+words with a digit follow one another, the whole run of them.  Instances and
+patterns form a graph.  A pattern's score for a kind is the mean belief of its
 distinct instances; an instance that is no seed takes the noisy-or of its
-patterns' scores.  After some rounds, patterns of high score and enough distinct
-seeds extract their other instances as further spans of the same kind.
+patterns' scores.  After some rounds, patterns of high score extract their other
+instances as further spans of the same kind.
 
 Counts are of distinct instances, so copies of a passage do not add weight, and
 every join is on contexts or token texts that are aggregated first.
@@ -36,8 +39,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?"
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-CONTEXT = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$"
+WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 EDGE = r"[\p{Punct}&&[^+]]"
 
 
@@ -45,9 +48,8 @@ EDGE = r"[\p{Punct}&&[^+]]"
 class PiiParams:
     min_support: int = 5          # distinct seeds of a pattern
     min_score: float = 0.9
-    min_token_chars: int = 6
     rounds: int = 3
-    context_chars: int = 80
+    context_chars: int = 80       # a longer pair of words counts by its digest
 
 
 def _digits(value: Column) -> Column:
@@ -72,60 +74,91 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _context(two: Column, one: Column, p: PiiParams) -> Column:
+    """The two words before a place; a word missing at the start of the text is empty."""
+    words = F.lower(F.concat(F.coalesce(two, F.lit("")), F.lit(" "), F.coalesce(one, F.lit(""))))
+    return F.when(F.length(words) > p.context_chars, F.sha2(words, 256)).otherwise(words)
+
+
+def seed_spans(text: Column, p: PiiParams) -> Column:
+    """``array<struct<kind, start, stop, token, context>>`` of the base spans by kind, then start."""
+    marks = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+
+    def of(number: int, kind: str):
+        def each(spans):
+            def seed(s, i):
+                # the two words before lie in the piece before, or are the matches before that
+                one, two = F.get(spans, i - 1), F.get(spans, i - 2)
+                before = F.concat_ws("", two["piece"], two["value"], one["piece"], one["value"], s["piece"])
+                open_ = F.regexp_replace(before, rf"(?<![^\x20\x09-\x0D]){EDGE}++$", "")
+                words = F.array_remove(F.split(open_, SPACE), "")
+                return F.struct(F.lit(number).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("token"),
+                                let(words, lambda w: _context(F.get(w, F.size(w) - 2), F.get(w, F.size(w) - 1), p)).alias("context"))
+            return F.filter(F.transform(spans, lambda s, i: F.when(valid(kind, s["value"]), seed(s, i))), lambda s: s.isNotNull())
+        return let(match_spans(text if marks[kind] is None else F.when(text.contains(marks[kind]), text), PATTERNS[kind]), each)
+
+    return F.concat(*[of(number, kind) for number, kind in enumerate(KINDS)])
+
+
 def base_spans(text: Column) -> Column:
     """``array<struct<kind int, start, stop>>`` by kind, then start."""
-    marks = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-    lists = []
-    for number, kind in enumerate(KINDS):
-        spans = match_spans(text if marks[kind] is None else F.when(text.contains(marks[kind]), text), PATTERNS[kind])
-        lists.append(F.transform(_checked(spans, kind), _with_kind(number)))
-    return F.concat(*lists)
+    return _places(seed_spans(text, PiiParams()))
+
+
+def _places(seeds: Column) -> Column:
+    return F.transform(seeds, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
+
 
+def contexts(text: Column, p: PiiParams) -> Column:
+    """The context of each word, in order."""
+    return let(F.array_remove(F.split(text, SPACE), ""), lambda w: F.transform(
+        w, lambda _, i: _context(F.get(w, i - 2), F.get(w, i - 1), p)))
 
-def _checked(spans: Column, kind: str) -> Column:
-    return F.filter(spans, lambda s: valid(kind, s["value"]))
 
+def instances(text: Column, hits: Column) -> Column:
+    """``array<struct<start, stop, token, context>>`` at ``hits``, an array of ``struct<i, context>`` by word number."""
+    def length(parts, n):
+        return F.length(F.array_join(F.slice(parts, F.lit(1), n), ""))
 
-def _with_kind(number: int):
-    return lambda s: F.struct(F.lit(number).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))
+    def of(t):
+        def instance(h):
+            # a run of words with a digit counts as one instance where it starts
+            inside = F.substring(t["digits"], h["i"], F.lit(1)) == "1"
+            run = F.length(F.regexp_extract(F.substring(t["digits"], h["i"] + 1, F.length(t["digits"])), "^1*+", 0))
+            n = F.when((h["i"] > 0) & inside, F.least(run, F.lit(1))).otherwise(run)
+            last = h["i"] + F.greatest(n, F.lit(1))
+            start = length(t["words"], h["i"]) + length(t["gaps"], h["i"] + 1)
+            stop = length(t["words"], last) + length(t["gaps"], last)
+            return let(F.struct(start.alias("start"), stop.alias("stop"), h["context"].alias("context")), trimmed)
 
+        def trimmed(s):
+            open_ = F.regexp_replace(F.substring(text, s["start"] + 1, s["stop"] - s["start"]), f"^{EDGE}++", "")
+            token = F.regexp_replace(open_, rf"(?<!{EDGE}){EDGE}++$", "")
+            return let(F.struct((s["stop"] - F.length(open_)).alias("start"), token.alias("token")), lambda x: F.struct(
+                x["start"].alias("start"), (x["start"] + F.length(x["token"])).alias("stop"),
+                x["token"].alias("token"), s["context"].alias("context")))
 
-def token_kind(token: Column) -> Column:
-    """The kind whose pattern is the whole token, or null."""
-    out = F.lit(None).cast("int")
-    for number, kind in reversed(list(enumerate(KINDS))):
-        out = F.when(token.rlike(f"^(?:{PATTERNS[kind]})$") & valid(kind, token), number).otherwise(out)
-    return out
+        return F.transform(hits, instance)
 
+    words = F.array_remove(F.split(text, SPACE), "")
+    digits = F.array_join(F.transform(words, lambda w: F.when(w.rlike("[0-9]"), "1").otherwise("0")), "")
+    parts = F.struct(words.alias("words"), F.split(text, WORD).alias("gaps"), digits.alias("digits"))
+    return F.filter(let(parts, of), lambda t: t["stop"] > t["start"])
 
-def digit_tokens(text: Column, p: PiiParams) -> Column:
-    """``array<struct<start, stop, token, context>>``: tokens with a digit and the two words before."""
-    def of(spans):
-        def trimmed(s, i):
-            head = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], f"^{EDGE}+", ""))
-            tail = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], f"{EDGE}+$", ""))
-            # the two words before lie in the piece before, or are the digit tokens before that
-            one, two = F.get(spans, i - 1), F.get(spans, i - 2)
-            before = F.lower(F.right(F.concat_ws("", two["value"], one["piece"], one["value"], s["piece"]), F.lit(p.context_chars)))
-            return F.struct(
-                (s["start"] + head).alias("start"), (s["stop"] - tail).alias("stop"),
-                F.substring(s["value"], head + 1, F.length(s["value"]) - head - tail).alias("token"),
-                F.when(before.rlike(CONTEXT), F.concat_ws(" ", F.regexp_extract(before, CONTEXT, 1),
-                                                          F.regexp_extract(before, CONTEXT, 2))).alias("context"))
-        return F.transform(spans, trimmed)
-    tokens = let(match_spans(text, TOKEN), of)
-    return F.filter(tokens, lambda t: t["context"].isNotNull() & (F.length(t["token"]) >= p.min_token_chars))
 
+def supported(seeds: DataFrame, p: PiiParams) -> DataFrame:
+    """``context, kind, support`` of contexts with enough distinct seeds, from distinct ``context, token, seed``."""
+    counts = seeds.groupBy("context", F.col("seed").alias("kind")).agg(F.count("*").alias("support"))
+    return counts.where(F.col("support") >= p.min_support)
 
-def confident_patterns(edges: DataFrame, p: PiiParams) -> DataFrame:
+
+def confident_patterns(edges: DataFrame, support: DataFrame, p: PiiParams) -> DataFrame:
     """``context, kind`` of high score, from distinct ``context, token, seed`` (seed: kind or null)."""
-    edges = staged(edges, "pii-edges")
-    support = (edges.where("seed IS NOT NULL").groupBy("context", F.col("seed").alias("kind"))
-               .agg(F.count("*").alias("support")).where(F.col("support") >= p.min_support))
     # only contexts with enough seeds of one kind are patterns
     graph = staged(edges.join(support, "context").select("context", "kind", "token", "support", F.when(
         F.col("seed").isNotNull(), (F.col("seed") == F.col("kind")).cast("double")).alias("fixed")), "pii-graph")
-    belief = graph.select("token", "kind", F.coalesce("fixed", F.lit(0.0)).alias("belief")).distinct()
+    belief = graph.select("token", "kind", F.coalesce("fixed", F.lit(0.0)).alias("belief")) \
+        .groupBy("token", "kind").agg(F.max("belief").alias("belief"))
     scores = None
     for _ in range(p.rounds):
         scores = (graph.join(belief, ["token", "kind"]).groupBy("context", "kind")
@@ -140,22 +173,34 @@ def confident_patterns(edges: DataFrame, p: PiiParams) -> DataFrame:
 def find_pii(docs: DataFrame, params: PiiParams = PiiParams(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, base, spans``, arrays of ``struct<kind, start, stop>`` by kind, then start."""
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
-    held = staged(docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.xxhash64(body).alias("version"),
-                              base_spans(body).alias("base"), digit_tokens(body, params).alias("tokens")), "pii")
-
-    seen = held.where(F.size("tokens") > 0)
-    tokens = seen.select(F.explode("tokens").alias("t")).select("t.context", "t.token").distinct()
-    patterns = confident_patterns(tokens.withColumn("seed", token_kind(F.col("token"))), params)
-    loose = (seen.select("doc_id", "version", F.explode("tokens").alias("t"))
-             .where(token_kind(F.col("t.token")).isNull())
-             .select("doc_id", "version", "t.start", "t.stop", "t.context"))
+    version = F.xxhash64(body).alias("version")
+    held = staged(docs.select(F.col(quoted(doc_id)).alias("doc_id"), version, seed_spans(body, params).alias("seeds")), "pii")
+
+    seeds = held.select(F.explode("seeds").alias("s")).select("s.context", "s.token", F.col("s.kind").alias("seed")).distinct()
+    # staged, as several joins read it
+    support = staged(supported(seeds, params), "pii-support")
+    # contexts alone first, so that spans are made only of the words under a supported one
+    key, mark = F.col(quoted(doc_id)).alias("__id"), F.xxhash64(body).alias("__v")
+    hits = (docs.select(key, mark, F.posexplode(contexts(body, params)).alias("i", "context"))
+            .join(support.select("context").distinct(), "context")
+            .groupBy("__id", "__v").agg(F.collect_set(F.struct("i", "context")).alias("hits")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__v"))
+    texts = docs.select(F.col(quoted(doc_id)).alias("doc_id"), version, body.alias("text"))
+    found = (texts.join(hits, same).select("doc_id", "version", F.explode(instances(F.col("text"), F.col("hits"))).alias("t"))
+             .groupBy("doc_id", "version").agg(F.collect_set("t").alias("found"))
+             .withColumnsRenamed({"doc_id": "__id", "version": "__v"}))
+    off_base = held.join(found, same).select("doc_id", "version", F.filter("found", lambda t: ~F.exists(
+        "seeds", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"]))).alias("found"))
+    loose = staged(off_base.select("doc_id", "version", F.explode("found").alias("t")).select("doc_id", "version", "t.*"), "pii-instances")
+    edges = staged(seeds.unionByName(loose.select("context", "token", F.lit(None).cast("int").alias("seed")))
+                   .groupBy("context", "token").agg(F.min("seed").alias("seed")), "pii-edges")
+    patterns = confident_patterns(edges, support, params)
     more = (loose.join(patterns, "context").groupBy("doc_id", "version")
             .agg(F.collect_set(F.struct("kind", "start", "stop")).alias("more"))
             .withColumnsRenamed({"doc_id": "__id", "version": "__v"}))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__v"))
-    free = F.filter(F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,stop:int>>")), lambda t: ~F.exists(
-        "base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
-    return held.join(more, same, "left").select("doc_id", "base", F.sort_array(F.concat("base", free)).alias("spans"))
+    free = F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,stop:int>>"))
+    return held.join(more, same, "left").select("doc_id", _places(F.col("seeds")).alias("base"), free.alias("more")) \
+        .select("doc_id", "base", F.sort_array(F.concat("base", "more")).alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:

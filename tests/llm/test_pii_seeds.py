@@ -1,0 +1,41 @@
+"""Seeds and unseen identifiers with spaces, without a digit, short, or at the start of a text."""
+
+from pyspark.sql import functions as F
+
+from snapweave.llm import pii
+
+
+def more(spark, texts):
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select(
+        "doc_id", pii.spans_text(F.col("base")).alias("base"), pii.spans_text(F.col("spans")).alias("spans")).collect()
+    assert all(set(r["base"].split(",")) <= {*r["spans"].split(","), ""} for r in rows)
+    return {texts[r["doc_id"]]: r["spans"] for r in rows if r["spans"] != r["base"]}
+
+
+def test_spaced_phones_are_seeds_and_runs_are_found(spark):
+    texts = [f"You can call me +1 (017) 555-77{i} any day" for i in range(10, 20)]
+    assert more(spark, [*texts, "Do call me 017 555 77 then", "then call us 017 555 77"]) == {"Do call me 017 555 77 then": "phone:11:21"}
+
+
+def test_identifiers_without_a_digit(spark):
+    texts = [f"You may write to {n}@example.com, please" for n in ("jane.doe", "john", "ann", "bob", "carl", "dora", "eve", "fay", "gus", "hal")]
+    assert more(spark, [*texts, "or write to (ida-at-example) today"]) == {"or write to (ida-at-example) today": "email:13:27"}
+
+
+def test_short_ones_long_words_and_the_start_of_a_text(spark):
+    long = "x" * 100
+    texts = [f"Host 10.0.0.{i} is up" for i in range(10)] + [f"y {long} {long} 10.0.1.{i}" for i in range(10)]
+    assert more(spark, [*texts, "Host ab1 is up", "no host ab1 is up", f"y {long} {long} srv"]) == {
+        "Host ab1 is up": "ip:5:8", f"y {long} {long} srv": "ip:204:207"}
+
+
+def test_common_words_hold_a_pattern_down(spark):
+    texts = [f"Then call me +1 (017) 555-77{i}" for i in range(10, 20)] + [f"Then call me word{chr(97 + i)} now" for i in range(20)]
+    assert more(spark, texts) == {}
+
+
+def test_offsets_between_odd_gaps(spark):
+    texts = [f"\t call\n\nme  +1 (017) 555-77{i}" for i in range(10, 20)]
+    odd = "  \U0001F600 é\t\tCall  me \n (55  66,\t77!) zz"
+    at = odd.index("55")
+    assert more(spark, [*texts, odd]) == {odd: f"phone:{at}:{odd.index('77') + 2}"}
