@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, mixing, pii, quality, simhash, spelling, token_counts, urls, warc, whitening
+from . import (decontaminate, langid, line_dedup, mixing, pii, quality, simhash, spelling, token_counts, toxicity, urls,
+               warc, whitening)
 from .common import table
 
 
@@ -70,6 +71,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document after deobfuscation; the fold with remainder 0 teaches no label."""
+    docs = table(spark, sf_dir, "documents")
+    params = toxicity.ToxicityParams()
+    scored = toxicity.score_texts(docs, toxicity.learn(docs, table(spark, sf_dir, "labels"), params), params)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents with their near words, the form each is a variant of, and the last form."""
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
@@ -82,7 +91,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_token_counts, op4_language_id, op5_decontamination,
-                            op6_pii, op7_mixing, op8_simhash, op9_url_filter, op10_warc, op12_spelling_variants,
+                            op6_pii, op7_mixing, op8_simhash, op9_url_filter, op10_warc, op11_toxicity, op12_spelling_variants,
                             op13_whitening)}
 
 ORACLES: dict[str, str] = {

@@ -55,7 +55,7 @@ def test_edge_tables_pass_every_stage(spark, edge_docs, no_docs, tmp_path):
 def test_every_query_is_registered():
     import __spark_entry__
     names = set(__spark_entry__.queries())
-    assert {*queries.QUERIES, "pipeline"} <= names and len(queries.QUERIES) == 10
+    assert {*queries.QUERIES, "pipeline"} <= names and len(queries.QUERIES) == 13
     assert set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
