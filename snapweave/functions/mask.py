@@ -66,7 +66,10 @@ class MaskLayout:
         except ValueError:
             raise KeyError(f"label {label!r} is not in the mask legend {list(self.labels)}") from None
 
-    def word_names(self, prefix: str = "__w") -> list[str]:
+    def word_names(self, prefix: str = "__w", taken=()) -> list[str]:
+        """Names of the word columns, none of them among ``taken``."""
+        while any(name.lower().startswith(prefix) for name in taken):
+            prefix += "_"
         return [f"{prefix}{k}" for k in range(self.num_words)]
 
 
@@ -117,6 +120,12 @@ def checked_mask(mask: Column, size: int) -> Column:
     return F.when(F.length(mask) == size, mask).otherwise(F.raise_error(fault))
 
 
+def fits_legend(mask: Column, size: int) -> Column:
+    """True, or an error where a mask is not as long as its legend; a null mask is let pass."""
+    fault = F.concat(F.lit(f"a mask of the legend's {size} snapshots is expected, not "), mask)
+    return F.when(F.coalesce(F.length(mask), F.lit(size)) == size, F.lit(True)).otherwise(F.raise_error(fault).cast("boolean"))
+
+
 def render_mask(words: list[Column], layout: MaskLayout) -> Column:
     """Mask string from word columns."""
     pieces = [F.lpad(F.bin(w), layout.width(k), ZERO) for k, w in enumerate(words)]

@@ -3,7 +3,8 @@
 A narrow filter on the snapshot's mask character followed by dropping the
 mask; no exchange.  On a merged table the result is the distinct records of
 that snapshot.  For the first and the last snapshot of the legend the filter
-reaches the Parquet scan as a prefix / suffix predicate.
+reaches the Parquet scan as a prefix / suffix predicate.  A mask that is not as
+long as the legend raises (in the row groups that are read); a null one is absent.
 """
 
 from __future__ import annotations
@@ -12,7 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import resolve_label
-from ..functions.mask import MASK_COLUMN, bit_is_set, resolve_legend
+from ..functions.mask import MASK_COLUMN, bit_is_set, fits_legend, resolve_legend
+
+
+def _present(masked: DataFrame, position: int, size: int) -> DataFrame:
+    mask = F.col(MASK_COLUMN)
+    return masked.where(fits_legend(mask, size) & bit_is_set(mask, position, size)).drop(MASK_COLUMN)
 
 
 def extract(masked: DataFrame, label: str, snapshots=None, match: str = "exact") -> DataFrame:
@@ -24,7 +30,7 @@ def extract(masked: DataFrame, label: str, snapshots=None, match: str = "exact")
     """
     labels = resolve_legend(masked, snapshots)
     position = resolve_label(masked.sparkSession, label, labels, match)
-    return masked.where(bit_is_set(F.col(MASK_COLUMN), position, len(labels))).drop(MASK_COLUMN)
+    return _present(masked, position, len(labels))
 
 
 def extract_at(masked: DataFrame, position: int, snapshots=None) -> DataFrame:
@@ -32,4 +38,4 @@ def extract_at(masked: DataFrame, position: int, snapshots=None) -> DataFrame:
     size = len(resolve_legend(masked, snapshots))
     if not 0 <= position < size:
         raise IndexError(f"position {position} is outside the legend of {size} snapshots")
-    return masked.where(bit_is_set(F.col(MASK_COLUMN), position, size)).drop(MASK_COLUMN)
+    return _present(masked, position, size)

@@ -4,7 +4,8 @@ For each record: ``dm_from_datetime`` is the time of the snapshot *before* its
 first appearance (a lower bound of when it came to exist; the first snapshot
 uses its own time) and ``dm_to_datetime`` the time of its last appearance,
 both epoch milliseconds.  Gaps (``101``) collapse to one interval.  A record
-present nowhere (all-zero mask) gets nulls.
+present nowhere (all-zero mask) gets nulls, as does a null mask; a mask that is not
+as long as the legend raises.
 
 A projection only: the per-snapshot times are a literal array built on the
 driver from the legend, so the plan has no exchange and no join.
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import snapshot_times
-from ..functions.mask import MASK_COLUMN, first_set, last_set, resolve_legend
+from ..functions.mask import MASK_COLUMN, first_set, fits_legend, last_set, resolve_legend
 
 # Output column names.
 FROM_COLUMN = "dm_from_datetime"
@@ -38,7 +39,7 @@ def to_date(masked: DataFrame, snapshots=None, times=None) -> DataFrame:
     table = F.array(*[F.lit(t).cast("bigint") for t in times])
     mask = F.col(MASK_COLUMN)
     first, last = first_set(mask), last_set(mask)
-    present = first > 0
+    present = fits_legend(mask, len(labels)) & (first > 0)
     start = F.when(present, F.try_element_at(table, F.greatest(first - 1, F.lit(1))))
     end = F.when(present, F.try_element_at(table, last))
     return masked.select("*", start.alias(FROM_COLUMN), end.alias(TO_COLUMN))

@@ -60,7 +60,7 @@ def merge(snapshots, legends=None) -> DataFrame:
     layout = MaskLayout.of(labels)
     target = reconcile([df.schema for _, df, _ in planned], exclude={MASK_COLUMN})
     names = target.fieldNames()
-    words = layout.word_names()
+    words = layout.word_names(taken=names)
 
     branches = []
     for label, df, inner in planned:

@@ -58,13 +58,17 @@ _END = "__end"
 _MORE = "__more"
 _NEXT = "__next_"
 _BITS = "__changed"
+_HOT = "__hot"
+_RESERVED = (_KEY, _PART, _HEAD, _TAIL, _END, _MORE, _NEXT, _BITS, _HOT)
 WORD_BITS = 63
 
 # A group above this many rows is split over several tasks.
 HOT_KEY_ROWS = 1_000_000
-# Up to this many hot keys are broadcast to part the rows (8 million rows of a
-# long key are 64 MB); beyond it the same joins shuffle.
+# Hot keys up to this many, and of at most so many bytes in all, are broadcast to
+# part the rows; beyond either the same joins shuffle.
 BROADCAST_KEYS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 32            # what a broadcast row takes beside its key
 
 
 def _differs(a: Column, b: Column, dtype: T.DataType) -> Column:
@@ -99,6 +103,9 @@ def _check(masked: DataFrame, key: str) -> None:
         raise ValueError(f"input has no {MASK_COLUMN!r} column")
     if key not in masked.columns or key == MASK_COLUMN:
         raise KeyError(f"grouping field {key!r} is not a data column")
+    taken = [c for c in masked.columns if c.lower().startswith(_RESERVED)]
+    if taken:
+        raise ValueError(f"the records have columns {taken}; rename them, those names are used here")
 
 
 # Types grouped by the column itself, without a text copy: their text is
@@ -244,14 +251,15 @@ def _pairs(layout: _Layout, hot_key_rows: int, num_ranges: int | None) -> DataFr
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be positive")
     keyed = layout.keyed
-    hot = stage_table(hot_keys(keyed, layout.key, hot_key_rows), "hot-keys")
-    n_keys, n_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    hot = stage_table(hot_keys(keyed, layout.key, hot_key_rows).withColumnRenamed("k", _HOT), "hot-keys")
+    key_bytes = F.octet_length(F.col(_HOT).cast("string")) + ROW_BYTES
+    n_keys, n_rows, n_bytes = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0)), F.sum(key_bytes)).first()
     if not n_keys:
         return _window_pairs(layout, keyed)
-    names = hot.select("k")
-    if n_keys <= BROADCAST_KEYS:
+    names = hot.select(_HOT)
+    if n_keys <= BROADCAST_KEYS and n_bytes <= BROADCAST_BYTES:
         names = F.broadcast(names)
-    is_hot = named(layout.key) == F.col("k")
+    is_hot = named(layout.key) == F.col(_HOT)
     return _window_pairs(layout, keyed.join(names, is_hot, "left_anti")).unionByName(
         _range_pairs(layout, keyed.join(names, is_hot, "left_semi"), num_ranges or -(-n_rows // hot_key_rows)))
 

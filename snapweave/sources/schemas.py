@@ -3,14 +3,20 @@
 Imports are often described by an Avro schema file.  The conversion covers
 what such files hold for flat and nested records: primitives, ``[null, T]``
 unions (nullable T), records, arrays, maps, enums, fixed, and the date /
-timestamp / decimal logical types.  Other unions have no Spark equivalent and
-raise.
+timestamp / decimal logical types.  A union of int and long reads as long, one of
+float and double as double, any other of several types as a struct with one
+nullable field per member (``member0``, ``member1``...), as Spark's Avro source
+does.  Defaults are kept in the form Spark casts from: the stored numbers of
+logical types become dates, times and decimals, and a union's default is its
+first member's.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
+from decimal import Decimal
 
 from pyspark.sql import types as T
 
@@ -53,10 +59,7 @@ def avro_type(node, names: dict | None = None) -> tuple[T.DataType, bool]:
         return names[node], False
     if isinstance(node, list):
         members = [m for m in node if m != "null"]
-        if len(members) != 1:
-            raise ValueError(f"union {node} has no Spark equivalent (only [null, T] has)")
-        dtype, _ = avro_type(members[0], names)
-        return dtype, len(members) != len(node)
+        return _union([avro_type(m, names)[0] for m in members]), len(members) != len(node)
     kind = node.get("type")
     logical = _logical(node)
     if kind == "record":
@@ -80,6 +83,56 @@ def avro_type(node, names: dict | None = None) -> tuple[T.DataType, bool]:
     return dtype, False
 
 
+def _union(members: list[T.DataType]) -> T.DataType:
+    kinds = {type(m) for m in members}
+    if not members:
+        return T.NullType()
+    if len(members) == 1:
+        return members[0]
+    if kinds <= {T.IntegerType, T.LongType}:
+        return T.LongType()
+    if kinds <= {T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    return T.StructType([T.StructField(f"member{i}", m, True) for i, m in enumerate(members)])
+
+
+EPOCH = dt.datetime(1970, 1, 1)
+
+
+def default_value(node, dtype: T.DataType, default):
+    """A field's Avro default as JSON that Spark reads as ``dtype``."""
+    if default is None:
+        return None
+    if isinstance(node, list):
+        members = [m for m in node if m != "null"]
+        if node[0] == "null" or not members:
+            raise ValueError(f"the default {default!r} of union {node} is not of its first member")
+        if isinstance(dtype, T.StructType) and len(members) > 1:
+            return {"member0": default_value(node[0], dtype["member0"].dataType, default)}
+        return default_value(node[0], dtype, default)
+    if isinstance(dtype, T.DateType):
+        return (EPOCH + dt.timedelta(days=default)).date().isoformat()
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        unit = 1000 if node["logicalType"].endswith("millis") else 1
+        text = (EPOCH + dt.timedelta(microseconds=default * unit)).isoformat(sep=" ")
+        return text + "+00:00" if isinstance(dtype, T.TimestampType) else text
+    if isinstance(dtype, T.DecimalType):
+        unscaled = int.from_bytes(default.encode("latin-1"), "big", signed=True)
+        return str(Decimal(unscaled).scaleb(-dtype.scale))
+    if isinstance(node, dict):
+        inner = node["type"] if isinstance(node["type"], (dict, list)) else node
+        if inner is not node:
+            return default_value(inner, dtype, default)
+    if isinstance(dtype, T.ArrayType) and isinstance(node, dict) and "items" in node:
+        return [default_value(node["items"], dtype.elementType, x) for x in default]
+    if isinstance(dtype, T.MapType) and isinstance(node, dict) and "values" in node:
+        return {k: default_value(node["values"], dtype.valueType, x) for k, x in default.items()}
+    if isinstance(dtype, T.StructType) and isinstance(node, dict) and "fields" in node:
+        return {f["name"]: default_value(f["type"], dtype[f["name"]].dataType, default[f["name"]])
+                for f in node["fields"] if f["name"] in default}
+    return default
+
+
 def _remember(node: dict, dtype: T.DataType, names: dict) -> None:
     names[node["name"]] = dtype
     if node.get("namespace"):
@@ -92,7 +145,7 @@ def avro_record(node: dict, names: dict | None = None) -> T.StructType:
     fields = []
     for field in node["fields"]:
         dtype, nullable = avro_type(field["type"], names)
-        default = field.get("default")
+        default = default_value(field["type"], dtype, field.get("default"))
         fields.append(T.StructField(field["name"], dtype, nullable, None if default is None else {DEFAULT_KEY: default}))
     return T.StructType(fields)
 
