@@ -27,10 +27,11 @@ _ROOT = os.path.dirname(os.path.abspath(__file__))
 if _ROOT not in sys.path:
     sys.path.insert(0, _ROOT)
 
-from snapweave import (compact, diff, diff_summary, extract, merge, mutation_pairs,  # noqa: E402
-                       mutation_stats, nearest_label, to_date)
+from snapweave import (append_snapshot, compact, diff, diff_summary, extract, extract_stored, merge,  # noqa: E402
+                       mutation_pairs, mutation_stats, nearest_label, read_store, render_log, to_date, write_store)
 from snapweave.functions.labels import snapshot_time_ms  # noqa: E402
 from snapweave.sources import derived  # noqa: E402
+from snapweave.sources.schemas import avro_record  # noqa: E402
 from snapweave.sources import read_snapshot, write_output  # noqa: E402
 from snapweave.sources.stage import stage_path, stage_table  # noqa: E402
 
@@ -208,6 +209,53 @@ def q_diff_reader_defaults(spark, sf_dir):
     return diff(orig, dest)
 
 
+DEFAULT_DATE_MS = 820454400000  # Fixed value: 1996-01-01 as a timestamp-millis default.
+
+
+def q_diff_logical_default(spark, sf_dir):
+    """diff through an Avro reader schema whose timestamp default fills the column the origin lacks."""
+    first, second = list(_orders(spark, sf_dir).values())[:2]
+    paths = [stage_path(spark, "import") for _ in range(2)]
+    write_output(first.drop("o_orderdate"), paths[0])
+    write_output(second.withColumn("o_orderdate", F.lit("1996-01-01 00:00:00").cast("timestamp")), paths[1])
+    date = {"name": "o_orderdate", "type": {"type": "long", "logicalType": "timestamp-millis"}, "default": DEFAULT_DATE_MS}
+    schema = avro_record({"type": "record", "name": "order", "fields": [
+        {"name": "o_orderkey", "type": "long"}, {"name": "o_orderstatus", "type": ["null", "string"]}, date]})
+    orig, dest = (read_snapshot(spark, path, schema=schema) for path in paths)
+    return diff(orig, dest)
+
+
+def q_read_mixed_files(spark, sf_dir):
+    """One import whose part files were written with two schemas: no column and no value is lost."""
+    orders, path = derived.table(spark, sf_dir, "orders"), stage_path(spark, "mixed")
+    old = F.col("o_orderkey") % 3 == 0
+    write_output(orders.where(old).select("o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey")), path)
+    write_output(orders.where(~old).select("o_orderkey", "o_custkey", "o_orderpriority"), path, mode="append")
+    return read_snapshot(spark, path).select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+def q_extract_stored_middle(spark, sf_dir):
+    """A middle import of a 200-import history stored by mask: only the parts that hold it are read."""
+    path = stage_path(spark, "store")
+    write_store(derived.long_history(spark, sf_dir), path, max_parts=64)
+    return extract_stored(spark, path, derived.LONG_LABELS[99])
+
+
+def q_store_round_trip(spark, sf_dir):
+    """The merge of three imports written as a store and read back with its masks."""
+    path = stage_path(spark, "store")
+    write_store(_merged_orders(spark, sf_dir), path)
+    return read_store(spark, path)
+
+
+def q_merge_appended(spark, sf_dir):
+    """Three imports appended to a log, each writing its changes only; rendered, it equals the merge."""
+    path = stage_path(spark, "log")
+    for label, snapshot in _orders(spark, sf_dir).items():
+        append_snapshot(path, label, snapshot)
+    return render_log(spark, path)
+
+
 def q_nearest_supplier(spark, sf_dir):
     """Each part name matched to the closest supplier name by edit distance."""
     part, supplier = derived.table(spark, sf_dir, "part"), derived.table(spark, sf_dir, "supplier")
@@ -293,6 +341,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mutation_stats_by_price": q_mutation_stats_by_price,
         "merge_widened": q_merge_widened,
         "diff_reader_defaults": q_diff_reader_defaults,
+        "diff_logical_default": q_diff_logical_default,
+        "read_mixed_files": q_read_mixed_files,
+        "extract_stored_middle": q_extract_stored_middle,
+        "store_round_trip": q_store_round_trip,
+        "merge_appended": q_merge_appended,
         "nearest_supplier": q_nearest_supplier,
         "nearest_label": q_nearest_label,
         "snapshot_times": q_snapshot_times,
@@ -389,6 +442,18 @@ def oracle_sql() -> dict[str, str]:
             "SELECT k, CAST(max(a) AS VARCHAR) || CAST(max(b) AS VARCHAR) AS diffmask FROM u GROUP BY k"),
         "diff_reader_defaults": _diff_sql(oc, _order_ctes()).replace(
             "s0 AS (", "raw0 AS (", 1).replace("s1 AS (", f"s0 AS (SELECT {_cols(defaulted)} FROM raw0),\ns1 AS (", 1),
+        "diff_logical_default": (
+            f"WITH {_order_ctes()},\n"
+            "a AS (SELECT o_orderkey, o_orderstatus, TIMESTAMP '1996-01-01 00:00:00' AS o_orderdate FROM s0),\n"
+            "b AS (SELECT o_orderkey, o_orderstatus, TIMESTAMP '1996-01-01 00:00:00' AS o_orderdate FROM s1)\n"
+            "SELECT *, 'kernel' AS type FROM (SELECT * FROM a INTERSECT SELECT * FROM b)\n"
+            "UNION ALL SELECT *, 'add' AS type FROM (SELECT * FROM b EXCEPT SELECT * FROM a)\n"
+            "UNION ALL SELECT *, 'del' AS type FROM (SELECT * FROM a EXCEPT SELECT * FROM b)"),
+        "read_mixed_files": ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END "
+                             "AS o_orderpriority FROM orders"),
+        "extract_stored_middle": derived.long_history_sql(99),
+        "store_round_trip": _merged_sql(oc, _order_ctes()) + "\nSELECT * FROM m",
+        "merge_appended": _merged_sql(oc, _order_ctes()) + "\nSELECT * FROM m",
         "nearest_supplier": (
             "SELECT p_partkey, p_name, s_name AS nearest_label, distance FROM (SELECT p_partkey, p_name, s_name, "
             "CAST(levenshtein(p_name, s_name) AS INTEGER) AS distance, row_number() OVER (PARTITION BY p_partkey "

@@ -6,9 +6,9 @@ Spark's own expressions, aggregates and exchanges.
 """
 
 from .functions.mask import LEGEND_KEY, MASK_COLUMN, attach_legend, legend_of
-from .operators import (compact, diff, diff_summary, extract, extract_at,
-                        intervals, merge, mutation_pairs, mutation_stats, nearest_label, to_date,
-                        write_diff)
+from .operators import (append_snapshot, compact, diff, diff_summary, extract, extract_at, extract_stored,
+                        intervals, merge, mutation_pairs, mutation_stats, nearest_label, read_store,
+                        render_log, to_date, write_diff, write_store)
 from .sources import drop_staged, read_snapshot, read_snapshots, stage_table, write_output
 
 __version__ = "0.1.0"
@@ -17,5 +17,6 @@ __all__ = [
     "LEGEND_KEY", "MASK_COLUMN", "attach_legend", "legend_of", "compact",
     "diff", "diff_summary", "extract", "extract_at", "intervals", "merge", "mutation_pairs",
     "mutation_stats", "nearest_label", "to_date", "write_diff", "read_snapshot",
+    "append_snapshot", "render_log", "write_store", "read_store", "extract_stored",
     "read_snapshots", "stage_table", "drop_staged", "write_output",
 ]

@@ -36,13 +36,18 @@ LABEL_BYTES = 300         # what a broadcast label takes beside its text
 _VALUE, _BEST, _SCORED = "__value", "__best", "__scored"
 
 
-def profile(text: Column) -> list[Column]:
-    """Number of characters of each class (code point modulo ``CLASSES``)."""
+def profile(text: Column) -> Column:
+    """Number of characters of each class (code point modulo ``CLASSES``), as an array."""
+    def counts(codes):
+        return F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda k: F.size(F.filter(codes, lambda x: x == k)))
+
     codes = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c) % CLASSES)
-    def of(k: int) -> Column:
-        return F.size(F.filter(codes, lambda x: x == k))
+    return F.transform(F.array(codes), counts)[0].alias("profile")
+
 
-    return [of(k).alias(f"p{k}") for k in range(CLASSES)]
+def _spread(names: tuple[str, ...]) -> list[Column]:
+    """The entries of a stored profile as columns, under each of ``names``."""
+    return [F.get("profile", k).alias(f"{name}{k}") for name in names for k in range(CLASSES)]
 
 
 def _bound() -> Column:
@@ -60,31 +65,33 @@ class LabelTree:
     def __init__(self, candidates: DataFrame, label: str, order_by: str):
         labels = (candidates.select(named(label).cast("string").alias("label"), named(order_by).alias("order"))
                   .where(F.col("label").isNotNull()).groupBy("label").agg(F.min("order").alias("order")))
-        labels = stage_table(labels.select("label", "order", *profile(F.col("label"))), "labels")
-        self.size = labels.count()
-        ranges = max(1, -(-self.size // RANGE_LABELS))
-        keys = [F.length("label"), *[F.col(f"p{k}") for k in range(CLASSES)], F.col("label")]
+        labels = stage_table(labels.select("label", "order", profile(F.col("label"))), "labels")
+        size, octets = labels.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("label") + LABEL_BYTES), F.lit(0))).first()
+        ranges = max(1, -(-size // RANGE_LABELS))
+        keys = [F.length("label"), F.col("profile"), F.col("label")]
         placed = stage_table(labels.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
                              .withColumn("at", F.monotonically_increasing_id()), "labels-placed")
-        self.levels = self._levels(placed)
-        self.labels = placed.select(F.shiftright("at", FAN_BITS).alias("parent"), "label", F.col("order").alias("first"),
-                                    *[F.col(f"p{k}").alias(f"{end}{k}") for end in ("lo", "hi") for k in range(CLASSES)])
-        size = placed.agg(F.sum(F.octet_length("label") + LABEL_BYTES)).first()[0] or 0
-        if size <= BROADCAST_LABEL_BYTES:
+        self.levels = self._levels(placed, size, ranges)
+        self.labels = placed.select(F.shiftright("at", FAN_BITS).alias("parent"), "label", F.col("order").alias("first"), *_spread(("lo", "hi")))
+        if octets <= BROADCAST_LABEL_BYTES:
             self.labels = F.broadcast(self.labels)
 
     @staticmethod
-    def _levels(placed: DataFrame) -> list[DataFrame]:
+    def _shifts(size: int, ranges: int) -> list[int]:
+        """Shifts that turn a label's number into its node at each level, leaves first."""
+        if ranges > 1:
+            # a number is the task's above bit 33 and the place within it below
+            return [6, 12, 18, 24, *[s for s in (39, 45, 51, 57) if ranges > 1 << (s - 33 - FAN_BITS) << FAN_BITS]]
+        nodes, shifts = -(-size >> FAN_BITS), [FAN_BITS]
+        while nodes > 1 << FAN_BITS:
+            nodes, shifts = -(-nodes >> FAN_BITS), [*shifts, shifts[-1] + FAN_BITS]
+        return shifts
+
+    @classmethod
+    def _levels(cls, placed: DataFrame, size: int, ranges: int) -> list[DataFrame]:
         """Tables ``node, parent, first, lo, hi`` from the top down; the last is of the leaves."""
-        out, shifts = [], [FAN_BITS]
-        # numbers of rows end below the task's bits, so shifts of 24 and more count tasks
-        for shift in (12, 18, 24, 39, 45, 51, 57, 63):
-            if placed.select(F.shiftright("at", shifts[-1])).distinct().count() <= 1 << FAN_BITS:
-                break
-            shifts.append(shift)
-        below = placed.select(F.col("at").alias("node"), F.col("order").alias("first"),
-                              *[F.col(f"p{k}").alias(f"{end}{k}") for end in ("lo", "hi") for k in range(CLASSES)])
-        done = 0
+        out, shifts, done = [], cls._shifts(size, ranges), 0
+        below = placed.select(F.col("at").alias("node"), F.col("order").alias("first"), *_spread(("lo", "hi")))
         for i, shift in enumerate(shifts):
             spans = [f(f"{end}{k}").alias(f"{end}{k}") for end, f in (("lo", F.min), ("hi", F.max)) for k in range(CLASSES)]
             below = below.groupBy(F.shiftright("node", shift - done).alias("node")).agg(F.min("first").alias("first"), *spans)
@@ -100,30 +107,31 @@ class LabelTree:
         return (walked.withColumnRenamed("node", "parent").join(level, "parent")
                 .select(*kept, "parent", below, "first", _bound().alias("bound")))
 
-    @staticmethod
-    def _scored(met: DataFrame) -> DataFrame:
-        """``vid, best, scored`` of rows ``vid, value, label, first``."""
-        best = F.struct(F.levenshtein("value", "label").alias("distance"), F.col("first").alias("order"), F.col("label"))
-        return met.groupBy("vid").agg(F.min(best).alias("best"), F.count("*").alias("scored"))
-
     def nearest(self, values: DataFrame) -> DataFrame:
         """``value, best, scored`` of each row of ``value`` (distinct, not null)."""
         ps = [f"p{k}" for k in range(CLASSES)]
-        values = stage_table(values.select("value", F.monotonically_increasing_id().alias("vid"), *profile(F.col("value"))), "values")
-        walked = values.select("vid", *ps, F.lit(-1).cast("long").alias("node"))
+        values = stage_table(values.select("value", F.monotonically_increasing_id().alias("vid"), profile(F.col("value"))), "values")
+        known = values.select("vid", "value", *_spread(("p",)))
+        best = F.struct(F.levenshtein("value", "label").alias("distance"), F.col("first").alias("order"), F.col("label"))
+
+        walked = known.select("vid", *ps, F.lit(-1).cast("long").alias("node"))
         for level in self.levels:
             nearest = self._children(walked, level).groupBy("vid", *ps).agg(F.min(F.struct("bound", "first", "node")).alias("c"))
             walked = nearest.select("vid", *ps, F.col("c.node").alias("node"))
-        leaf = stage_table(walked.select("vid", F.col("node").alias("done")), "first-leaf")
-        first = stage_table(self._scored(self._children(values.join(leaf, "vid").withColumn("node", F.col("done")), self.labels, "label")), "first-best")
-        goal = stage_table(values.join(leaf, "vid").join(first.select("vid", F.col("best.distance").alias("goal"), F.col("best.order").alias("place")), "vid"), "goals")
+        at_leaf = walked.select("vid", "node").join(known, "vid")
+        first = stage_table(self._children(at_leaf, self.labels, "label").groupBy("vid", "parent")
+                            .agg(F.min(best).alias("best"), F.count("*").alias("scored")), "first-best")
+
+        goal = known.join(first.select("vid", F.col("parent").alias("done"), F.col("best.distance").alias("goal"),
+                                       F.col("best.order").alias("place")), "vid")
         # the order decides on a tie only, so an equal bound still counts where it may come earlier
         beats = (F.col("bound") < F.col("goal")) | ((F.col("bound") == F.col("goal")) & ~F.coalesce(F.col("first") > F.col("place"), F.lit(False)))
         walked = goal.withColumn("node", F.lit(-1).cast("long"))
         for level in self.levels:
             walked = self._children(walked, level).where(beats).select(*goal.columns, "node")
         rest = self._children(walked.where("node != done"), self.labels, "label").where(beats)
-        found = (first.unionByName(self._scored(rest)).groupBy("vid").agg(F.min("best").alias("best"), F.sum("scored").alias("scored")))
+        more = rest.groupBy("vid").agg(F.min(best).alias("best"), F.count("*").alias("scored"))
+        found = first.select("vid", "best", "scored").unionByName(more).groupBy("vid").agg(F.min("best").alias("best"), F.sum("scored").alias("scored"))
         return values.select("vid", "value").join(found, "vid").select("value", "best", "scored")
 
 

@@ -11,9 +11,13 @@ what changes between imports.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.mask import with_legend
+
 # The snapshot labels of the derived series (their times feed to_date).
 ORDER_LABELS = (
     "/bi/orders/importdatetime=2014-01-18T01_16_16p01_00",
@@ -55,6 +59,27 @@ def duplicated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(orders.where(F.col("o_orderkey") % 11 == 0))
 
 
+# A long series: one import a day, each order in the imports of one interval.
+LONG_LABELS = tuple(f"/bi/orders/importdatetime={date.fromordinal(date(2014, 1, 1).toordinal() + i)}T01_16_16p01_00"
+                    for i in range(200))
+
+
+def long_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``orders`` as a merged series of 200 imports: present from one import to another, by their keys."""
+    n = len(LONG_LABELS)
+    first = (F.col("o_custkey") % n).cast("int")
+    last = F.greatest(first, (F.col("o_orderkey") % n).cast("int"))
+    mask = F.concat(F.repeat(F.lit("0"), first), F.repeat(F.lit("1"), last - first + 1), F.repeat(F.lit("0"), n - 1 - last))
+    return table(spark, sf_dir, "orders").select("*", with_legend(mask, LONG_LABELS))
+
+
+def long_history_sql(position: int) -> str:
+    """The orders present at one position of :func:`long_history`."""
+    n = len(LONG_LABELS)
+    return (f"SELECT * FROM orders WHERE o_custkey % {n} <= {position} "
+            f"AND greatest(o_custkey % {n}, o_orderkey % {n}) >= {position}")
+
+
 def lineitem_snapshot(spark: SparkSession, sf_dir: str, i: int) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey")

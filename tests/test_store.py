@@ -1,0 +1,132 @@
+"""Histories stored by mask, and histories that grow by appended changes."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapweave import (append_snapshot, attach_legend, extract, extract_stored, legend_of, merge, read_store, render_log, to_date, write_store)
+from snapweave.operators.log import CHANGES, log_legend
+from snapweave.operators.store import PART, stored_masks
+from snapweave.sources import derived
+from tests.conftest import SF_SMALL, rows
+
+
+def history(spark, n, records, seed=0):
+    """A masked table of ``n`` snapshots with few and repeated masks."""
+    r = random.Random(seed)
+    masks = ["".join(r.choice("01") for _ in range(n)) for _ in range(9)] + ["1" * n]
+    data = [(i, r.choice("xyz"), r.choice([masks[-1], r.choice(masks)])) for i in range(records)]
+    df = spark.createDataFrame(data, "id int, `a.b` string, diffmask string")
+    return attach_legend_dotted(df, [f"/d/{i:03d}" for i in range(n)])
+
+
+def attach_legend_dotted(df, labels):
+    from snapweave.functions.mask import with_legend
+    return df.select("id", F.col("`a.b`"), with_legend(F.col("diffmask"), labels))
+
+
+@pytest.mark.parametrize("max_parts", [1, 3, 1024])
+def test_every_label_and_the_whole_table_come_back(spark, tmp_path, max_parts):
+    masked = history(spark, 7, 200)
+    path = str(tmp_path / "store")
+    write_store(masked, path, max_parts=max_parts)
+    back = read_store(spark, path)
+    assert legend_of(back) == legend_of(masked) and back.columns == masked.columns and rows(back) == rows(masked)
+    for label in legend_of(masked):
+        assert rows(extract_stored(spark, path, label)) == rows(extract(masked, label))
+    assert stored_masks(spark, path).agg(F.sum("records")).first()[0] == 200
+
+
+def test_a_middle_label_of_a_long_legend_reads_only_its_parts(spark, tmp_path):
+    masked = derived.long_history(spark, SF_SMALL).where("o_orderkey < 400")
+    path = str(tmp_path / "store")
+    write_store(masked, path, max_parts=2000)
+    label = derived.LONG_LABELS[99]
+    got = extract_stored(spark, path, label)
+    masks = {r[PART]: r["diffmask"] for r in stored_masks(spark, path).collect()}
+    assert len(masks) == stored_masks(spark, path).count() > 50          # one part for each mask
+    holding = {p for p, m in masks.items() if m[99] == "1"}
+    assert 0 < len(holding) < len(masks)
+    # the partition filter alone decides: there is no join and no other filter, and the rows are right
+    plan = _plan(got)
+    assert re.search(rf"PartitionFilters: \[[^\]]*{PART}", plan) and "Join" not in plan and "Filter " not in plan.replace("PartitionFilters", "")
+    assert rows(got, "o_orderkey") == rows(extract(masked, label), "o_orderkey")
+
+
+def _plan(df):
+    jvm = df.sparkSession._jvm
+    mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return re.sub(r"\s+", " ", df._jdf.queryExecution().explainString(mode))
+
+
+def test_store_edges(spark, tmp_path):
+    empty = attach_legend(spark.createDataFrame([], "id int, diffmask string"), ["/a", "/b"])
+    write_store(empty, str(tmp_path / "e"))
+    assert extract_stored(spark, str(tmp_path / "e"), "/a").collect() == [] and read_store(spark, str(tmp_path / "e")).collect() == []
+    wrong = attach_legend(spark.createDataFrame([(1, "001")], "id int, diffmask string"), ["/a", "/b"])
+    with pytest.raises(Exception, match="2 snapshots is expected"):
+        write_store(wrong, str(tmp_path / "w"))
+    with pytest.raises(ValueError, match="__part"):
+        write_store(wrong.withColumnRenamed("id", "__part"), str(tmp_path / "n"))
+    with pytest.raises(KeyError):
+        extract_stored(spark, str(tmp_path / "e"), "/c")
+    assert extract_stored(spark, str(tmp_path / "e"), "/bx", match="nearest").collect() == []
+
+
+@pytest.mark.parametrize("seed, order", [(0, "sorted"), (1, "shuffled")])
+def test_appended_imports_equal_their_merge(spark, tmp_path, seed, order):
+    """Random imports of 70 (two mask words), appended one by one in any order, with repeated rows and nulls."""
+    r = random.Random(seed)
+    labels = [f"/d/{i:03d}" for i in range(6 if order == "shuffled" else 9)]
+    if order == "shuffled":
+        r.shuffle(labels)
+    frames = {}
+    for label in labels:
+        data = [(r.choice([None, *range(12)]), r.choice("xy")) for _ in range(r.randrange(0, 25))]
+        frames[label] = spark.createDataFrame(data, "id int, v string")
+    path = str(tmp_path / "log")
+    for label in labels:
+        append_snapshot(path, label, frames[label])
+    got, want = render_log(spark, path), merge(frames)
+    assert legend_of(got) == legend_of(want) == sorted(labels) and rows(got, "id", "v", "diffmask") == rows(want, "id", "v", "diffmask")
+
+
+def test_masks_longer_than_a_word(spark):
+    from snapweave.functions.mask import WORD_BITS, MaskLayout
+    from snapweave.operators.log import _from_position_on
+    layout = MaskLayout.of([str(i) for i in range(150)])
+    for p in (0, 1, 62, 63, 64, 125, 126, 149):
+        words = _from_position_on(layout, p)
+        text = "".join(format(w, f"0{layout.width(k)}b") for k, w in enumerate(words))
+        assert text == "0" * p + "1" * (150 - p) and max(words) < 1 << WORD_BITS
+
+
+def test_only_changes_are_written(spark, tmp_path):
+    path = str(tmp_path / "log")
+    first = spark.range(1000)
+    assert append_snapshot(path, "/a", first) == 1000
+    assert append_snapshot(path, "/b", first) == 0
+    assert append_snapshot(path, "/c", first.where("id != 5").unionByName(spark.range(1000, 1002))) == 3
+    folders = [folder for _, folder in log_legend(spark, path)]
+    assert [spark.read.parquet(f"{path}/{CHANGES}/{f}").count() for f in folders] == [1000, 0, 3]
+    masks = {r["id"]: r["diffmask"] for r in render_log(spark, path).collect()}
+    assert masks[0] == "111" and masks[5] == "110" and masks[1001] == "001" and len(masks) == 1002
+    with pytest.raises(ValueError, match="already"):
+        append_snapshot(path, "/b", first)
+
+
+def test_a_log_takes_evolving_schemas_and_feeds_the_other_jobs(spark, tmp_path):
+    labels = list(derived.ORDER_LABELS)
+    frames = derived.order_snapshots(spark, SF_SMALL)
+    frames[labels[0]] = frames[labels[0]].drop("o_orderpriority")
+    path = str(tmp_path / "log")
+    for label in labels:
+        append_snapshot(path, label, frames[label])
+    got, want = render_log(spark, path), merge(frames)
+    assert rows(got, *want.columns) == rows(want)
+    assert extract(got, labels[1]).count() == extract(want, labels[1]).count()
+    assert to_date(got).where("dm_from_datetime IS NULL").count() == 0
+    with pytest.raises(ValueError, match="no import"):
+        render_log(spark, str(tmp_path / "none"))
