@@ -3,13 +3,21 @@
 Base spans (email, ip, card, phone) come from fixed patterns with their checks.
 Each, whole and with the spaces inside it, is a seed under its context: the two
 words before it, or what there is at the start of the text.  Contexts with
-enough distinct seeds of one kind are patterns.  Every other place under such a
+enough distinct seeds of one kind may be patterns.  Every other place under such a
 context is an instance too: a word without the punctuation around it, or, where
 words with a digit follow one another, the whole run of them.  Instances and
 patterns form a graph.  A pattern's score for a kind is the mean belief of its
-distinct instances; an instance that is no seed takes the noisy-or of its
-patterns' scores.  After some rounds, patterns of high score extract their other
-instances as further spans of the same kind.
+distinct instances: 1 for a seed of the kind, 0 for one of another, and for any other
+instance the noisy-or of its *other* patterns' scores, so that no pattern vouches
+for itself.  Scores start from the seeds alone and rise until they change by less
+than a tolerance.  Patterns of high score extract their other instances as further
+spans of the same kind.
+
+Seeds must be at least ``min_seeds`` of a pattern's distinct instances.  That rule is
+checked before any span is made, in two exact steps: words without a digit or @ sign
+are never seeds, and the marks they leave in a bitmap of fixed width are no more than
+the distinct ones; then they are counted.  So contexts of everyday words go early,
+and spans, graph and rounds are about as large as the seeds.
 
 Counts are of distinct instances, so copies of a passage do not add weight, and
 every join is on contexts or token texts that are aggregated first.
@@ -48,7 +56,8 @@ EDGE = r"[\p{Punct}&&[^+]]"
 class PiiParams:
     min_support: int = 5          # distinct seeds of a pattern
     min_score: float = 0.9
-    rounds: int = 3
+    min_seeds: float = 0.5        # share of seeds among a pattern's distinct instances
+    tolerance: float = 1e-4       # of scores between rounds
     context_chars: int = 80       # a longer pair of words counts by its digest
 
 
@@ -147,27 +156,66 @@ def instances(text: Column, hits: Column) -> Column:
 
 
 def supported(seeds: DataFrame, p: PiiParams) -> DataFrame:
-    """``context, kind, support`` of contexts with enough distinct seeds, from distinct ``context, token, seed``."""
+    """``context, kind, support, seeds`` of contexts with enough distinct seeds, from distinct ``context, token, seed``."""
     counts = seeds.groupBy("context", F.col("seed").alias("kind")).agg(F.count("*").alias("support"))
-    return counts.where(F.col("support") >= p.min_support)
+    everything = seeds.groupBy("context").agg(F.count_distinct("token").alias("seeds"))
+    return counts.where(F.col("support") >= p.min_support).join(everything, "context")
+
+
+MARKS = 4                 # longs of a context's bitmap
+
+
+def plain_word(word: Column) -> Column:
+    """A word without the punctuation around it; null where it may touch a base span or nothing is left."""
+    bare = F.regexp_replace(F.regexp_replace(word, f"^{EDGE}++", ""), rf"(?<!{EDGE}){EDGE}++$", "")
+    return F.when(~word.rlike("[0-9@]") & (bare != ""), bare)
+
+
+def places(docs: DataFrame, key: Column, mark: Column, body: Column, p: PiiParams) -> DataFrame:
+    """``__id, __v, i, context, word`` of every word."""
+    words = F.array_remove(F.split(body, SPACE), "")
+    return docs.select(key, mark, F.posexplode(F.arrays_zip(contexts(body, p).alias("context"), words.alias("word"))).alias("i", "z")) \
+        .select("__id", "__v", "i", F.col("z.context").alias("context"), F.col("z.word").alias("word"))
+
+
+def marked_few(words: DataFrame, support: DataFrame, p: PiiParams) -> DataFrame:
+    """Rows of ``support`` whose context's words mark few enough bits for its seeds."""
+    met = words.join(support.select("context").distinct(), "context").select("context", plain_word(F.col("word")).alias("w")).where("w IS NOT NULL")
+    bit = F.pmod(F.xxhash64("w"), F.lit(64 * MARKS)).cast("int")
+    marks = [F.bit_or(F.when(F.floor(F.col("b") / 64) == k, F.expr("shiftleft(1L, b % 64)"))).alias(f"m{k}") for k in range(MARKS)]
+    marked = met.select("context", bit.alias("b")).groupBy("context").agg(*marks)
+    fewest = marked.select("context", sum(F.coalesce(F.bit_count(f"m{k}"), F.lit(0)) for k in range(MARKS)).alias("words"))
+    return _enough(support, fewest, p)
+
+
+def _enough(support: DataFrame, words: DataFrame, p: PiiParams) -> DataFrame:
+    """``support`` without the contexts that have too many other instances, given ``context, words`` (at least so many)."""
+    share = F.col("support") >= p.min_seeds * (F.col("seeds") + F.coalesce("words", F.lit(0)))
+    return support.join(words, "context", "left").where(share).drop("words")
 
 
 def confident_patterns(edges: DataFrame, support: DataFrame, p: PiiParams) -> DataFrame:
     """``context, kind`` of high score, from distinct ``context, token, seed`` (seed: kind or null)."""
-    # only contexts with enough seeds of one kind are patterns
-    graph = staged(edges.join(support, "context").select("context", "kind", "token", "support", F.when(
-        F.col("seed").isNotNull(), (F.col("seed") == F.col("kind")).cast("double")).alias("fixed")), "pii-graph")
-    belief = graph.select("token", "kind", F.coalesce("fixed", F.lit(0.0)).alias("belief")) \
-        .groupBy("token", "kind").agg(F.max("belief").alias("belief"))
-    scores = None
-    for _ in range(p.rounds):
-        scores = (graph.join(belief, ["token", "kind"]).groupBy("context", "kind")
-                  .agg(F.avg("belief").alias("score")))
-        scores = staged(scores, "pii-scores")
-        miss = F.sum(F.log(F.greatest(1.0 - F.col("score"), F.lit(1e-12))))
-        belief = (graph.join(scores, ["context", "kind"]).groupBy("token", "kind")
-                  .agg(F.coalesce(F.max("fixed"), 1.0 - F.exp(miss)).alias("belief")))
-    return scores.where(F.col("score") >= p.min_score).select("context", "kind")
+    sizes = edges.groupBy("context").agg(F.count("*").alias("size"))
+    kept = support.join(sizes, "context").where(F.col("support") >= p.min_seeds * F.col("size"))
+    scores = staged(kept.select("context", "kind", "support", "size", (F.col("support") / F.col("size")).alias("score")), "pii-scores")
+    loose = staged(edges.where("seed IS NULL").select("context", "token").join(scores.select("context", "kind"), "context"), "pii-graph")
+
+    def miss(score):
+        return F.log(F.greatest(1.0 - score, F.lit(1e-12)))
+
+    while True:
+        now = loose.join(scores.select("context", "kind", "score"), ["context", "kind"]).withColumn("miss", miss(F.col("score")))
+        all_ = now.groupBy("token", "kind").agg(F.sum("miss").alias("total"))
+        # its own share taken out, so only other patterns speak for an instance
+        belief = now.join(all_, ["token", "kind"]).groupBy("context", "kind").agg(
+            F.sum(F.greatest(1.0 - F.exp(F.least(F.col("total") - F.col("miss"), F.lit(0.0))), F.lit(0.0))).alias("belief"))
+        raised = scores.select("context", "kind", "support", "size", F.col("score").alias("before")).join(belief, ["context", "kind"], "left")
+        score = F.greatest("before", (F.col("support") + F.coalesce("belief", F.lit(0.0))) / F.col("size"))
+        scores = staged(raised.withColumn("score", score), "pii-scores")
+        change = scores.agg(F.max(F.col("score") - F.col("before"))).first()[0]
+        if not change or change < p.tolerance:
+            return scores.where(F.col("score") >= p.min_score).select("context", "kind")
 
 
 def find_pii(docs: DataFrame, params: PiiParams = PiiParams(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -176,17 +224,22 @@ def find_pii(docs: DataFrame, params: PiiParams = PiiParams(), doc_id: str = "do
     version = F.xxhash64(body).alias("version")
     held = staged(docs.select(F.col(quoted(doc_id)).alias("doc_id"), version, seed_spans(body, params).alias("seeds")), "pii")
 
-    seeds = held.select(F.explode("seeds").alias("s")).select("s.context", "s.token", F.col("s.kind").alias("seed")).distinct()
+    seeds = staged(held.select(F.explode("seeds").alias("s")).select("s.context", "s.token", F.col("s.kind").alias("seed"))
+                   .groupBy("context", "token").agg(F.min("seed").alias("seed")), "pii-seeds")
     # staged, as several joins read it
     support = staged(supported(seeds, params), "pii-support")
-    # contexts alone first, so that spans are made only of the words under a supported one
     key, mark = F.col(quoted(doc_id)).alias("__id"), F.xxhash64(body).alias("__v")
-    hits = (docs.select(key, mark, F.posexplode(contexts(body, params)).alias("i", "context"))
-            .join(support.select("context").distinct(), "context")
+    words = places(docs, key, mark, body, params)
+    support = staged(marked_few(words, support, params), "pii-marked")
+    # places alone first, so that spans are made only of the words under a pattern that may score
+    met = staged(words.join(support.select("context").distinct(), "context"), "pii-places")
+    plain = met.select("context", plain_word(F.col("word")).alias("w")).where("w IS NOT NULL").distinct().groupBy("context").agg(F.count("*").alias("words"))
+    support = staged(_enough(support, plain, params), "pii-support")
+    hits = (met.join(support.select("context").distinct(), "context")
             .groupBy("__id", "__v").agg(F.collect_set(F.struct("i", "context")).alias("hits")))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__v"))
     texts = docs.select(F.col(quoted(doc_id)).alias("doc_id"), version, body.alias("text"))
-    found = (texts.join(hits, same).select("doc_id", "version", F.explode(instances(F.col("text"), F.col("hits"))).alias("t"))
+    found = (texts.join(staged(hits, "pii-hits"), same).select("doc_id", "version", F.explode(instances(F.col("text"), F.col("hits"))).alias("t"))
              .groupBy("doc_id", "version").agg(F.collect_set("t").alias("found"))
              .withColumnsRenamed({"doc_id": "__id", "version": "__v"}))
     off_base = held.join(found, same).select("doc_id", "version", F.filter("found", lambda t: ~F.exists(

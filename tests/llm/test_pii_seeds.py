@@ -39,3 +39,84 @@ def test_offsets_between_odd_gaps(spark):
     odd = "  \U0001F600 é\t\tCall  me \n (55  66,\t77!) zz"
     at = odd.index("55")
     assert more(spark, [*texts, odd]) == {odd: f"phone:{at}:{odd.index('77') + 2}"}
+
+
+def test_a_pattern_does_not_vouch_for_itself(spark):
+    texts = [f"You can call me +1 (017) 555-77{i}" for i in range(10, 15)] + [f"You can call me {w}" for w in ("tomorrow", "Bob", "later", "maybe")]
+    assert more(spark, texts) == {}
+
+
+def plain_patterns(edges, support, p):
+    """The scores over dictionaries: {(context, kind)} at or above min_score."""
+    import math
+    size, loose = {}, {}
+    for c, t, k in edges:
+        size[c] = size.get(c, 0) + 1
+        if k is None:
+            loose.setdefault(c, set()).add(t)
+    score = {(c, k): n / size[c] for c, k, n in support if n >= p.min_seeds * size[c]}
+    while True:
+        new = {}
+        for (c, k), s in score.items():
+            belief = 0.0
+            for t in loose.get(c, ()):
+                others = [v for (d, j), v in score.items() if j == k and d != c and t in loose.get(d, ())]
+                belief += 1 - math.prod(max(1 - v, 1e-12) for v in others)
+            n = next(n for d, j, n in support if (d, j) == (c, k))
+            new[c, k] = max(s, (n + belief) / size[c])
+        done = max((new[x] - score[x] for x in score), default=0) < p.tolerance
+        score = new
+        if done:
+            return {x for x, v in score.items() if v >= p.min_score}
+
+
+def test_scores_against_a_plain_version(spark):
+    import random
+    p = pii.PiiParams(min_support=2)
+    for seed in range(3):
+        r = random.Random(seed)
+        edges = {}
+        for c in range(12):
+            for k in range(r.randrange(2, 14)):
+                edges[f"c{c}", f"seed{c}-{k}"] = r.choice([0, 0, 0, 1])
+            for k in r.sample(range(8), r.randrange(0, 5)):
+                edges[f"c{c}", f"loose{k}"] = None
+        rows = [(c, t, k) for (c, t), k in edges.items()]
+        support = {}
+        for c, t, k in rows:
+            if k is not None:
+                support[c, k] = support.get((c, k), 0) + 1
+        support = [(c, k, n) for (c, k), n in support.items() if n >= p.min_support]
+        got = pii.confident_patterns(spark.createDataFrame(rows, "context string, token string, seed int"),
+                                     spark.createDataFrame(support, "context string, kind int, support long"), p)
+        assert {(x["context"], x["kind"]) for x in got.collect()} == plain_patterns(rows, support, p)
+
+
+def test_early_pruning_never_drops_a_pattern_that_passes(spark):
+    """Contexts with shares around the limit: those that the bitmap and the counts let through are exactly those by plain counts."""
+    texts = []
+    for c in range(6):
+        texts += [f"name{c} is {w}{c}{i}@example.com" for i in range(8) for w in ("a",)]
+        texts += [f"name{c} is word{chr(97 + i)}" for i in range(3 * c)] + [f"name{c} is (worda), yes"]
+    want = {t for t in texts for c in range(6) if t.startswith(f"name{c} ") and "@" not in t and 8 / (8 + max(3 * c, 1)) >= 0.5}
+    p = pii.PiiParams(min_score=0.5)
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), p).collect()
+    assert {texts[r["doc_id"]] for r in rows if len(r["spans"]) > len(r["base"])} == want
+
+
+def test_planted_contexts_at_size(spark):
+    """Unseen identifiers under three planted contexts among many everyday texts are found; no everyday word is."""
+    import random
+    r = random.Random(9)
+    words = [a + b for a in "the of and in to".split() for b in "al er in on st us".split()]
+    texts = [" ".join(r.choice(words) for _ in range(40)) for _ in range(600)]
+    planted = []
+    for i in range(90):
+        head, tail = (" ".join(r.choice(words) for _ in range(5)) for _ in range(2))
+        context, known, unseen = [("reach me at", f"user{i}@example.com", f"user{i} at example"), ("server address is", f"10.1.{i}.7", "hostname"),
+                                  ("dial us on", f"+44 (0)20 7946 0{100 + i}", f"ext{i}")][i % 3]
+        texts.append(f"{head} {context} {known} {tail}")
+        if i % 30 < 3:
+            planted.append(f"{head} {context} {unseen} {tail}")
+    found = more(spark, texts + planted)
+    assert set(found) == set(planted)
