@@ -1,7 +1,9 @@
 """Line dedup by a deletion-neighbourhood join.
 
 A line is dropped when an earlier line (by document id, then line number) is
-equal to it or within one edit: one character inserted, deleted or replaced.
+equal to it or, where both have at least ``edit_chars`` code points, within one
+edit: one character inserted, deleted or replaced.  In a shorter line one edit may
+make another word, so only equality counts there.
 Two lines are that close exactly when they agree after deleting one character
 of the longer and, if they are equally long, the one at the same place of the
 other.  So a line emits, for each place, the hash of what is left and of the
@@ -19,7 +21,8 @@ lines whose half met another.  Counts per key are pre-aggregated.
 
 Defined results: lines without a word, or shorter than ``min_chars`` (1 in the
 query and the pipeline, so that every line with a word takes part), are left
-alone; a null text has no lines; null ids come last; lines at the same id and
+alone; a null text has no lines; null ids come last, by line number, then in the order of their texts'
+hashes; lines at the same id and
 number (repeated rows) do not drop one another; an empty table gives an empty
 result; extra columns are carried by :func:`dedup_lines`.
 """
@@ -44,7 +47,9 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame
 
 
 def _position() -> Column:
-    return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("line_no").alias("line"))
+    # texts without an id are told apart by their hash
+    text = F.when(F.col("id").isNull(), F.col("version")).otherwise(0)
+    return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("line_no").alias("line"), text.alias("text"))
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -79,14 +84,14 @@ def _stretches(start: Column, stop: Column, width: Column) -> Column:
         s.alias("start"), F.least(s + width, stop).alias("stop")))
 
 
-def near_lines(lines: DataFrame) -> DataFrame:
-    """``h1, h2, near``: distinct lines with the position of an earlier line within one edit."""
+def near_lines(lines: DataFrame, edit_chars: int) -> DataFrame:
+    """``h1, h2, keeper``: distinct lines with the position of an earlier equal line or, of long enough ones, one within one edit."""
     keyed = _half_keys(lines)
     names = ["k00", "k01", "k10", "k11"]
     distinct = staged(keyed.groupBy("h1", "h2").agg(
         F.min(_position()).alias("first"), F.count("*").alias("n"), F.min("size").alias("size"),
         *[F.min(k).alias(k) for k in names]), "lines")
-    halves = distinct.select("h1", "h2", "first", "size", F.explode(F.array(*[
+    halves = distinct.where(F.col("size") >= edit_chars).select("h1", "h2", "first", "size", F.explode(F.array(*[
         F.struct(F.lit(int(k[1])).alias("more"), F.lit(int(k[2])).alias("half"), F.col(k).alias("key")) for k in names]))
         .alias("e")).select("h1", "h2", "first", "size", "e.more", "e.half", "e.key")
     met = _shared(halves).groupBy("h1", "h2").agg(
@@ -123,19 +128,19 @@ def near_lines(lines: DataFrame) -> DataFrame:
             .select("h1", "h2", F.least("first", "near").alias("keeper")))
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", text: str = "text", edit_chars: int = 20) -> DataFrame:
     """``id, version, dropped``: per text the sorted numbers of its dropped lines."""
     lines = _lines(docs, doc_id, text, min_chars)
     # staged, so that the join below reads two plain exchanges and a hot line's rows can be split
-    keepers = staged(near_lines(lines), "line-keepers")
+    keepers = staged(near_lines(lines, edit_chars), "line-keepers")
     rows = lines.select("id", "version", "line_no", *_digest(F.col("line")), _position().alias("at"))
     gone = rows.join(keepers, ["h1", "h2"]).where(F.col("keeper") < F.col("at"))
     return gone.groupBy("id", "version").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
 
 
-def line_report(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", text: str = "text", edit_chars: int = 20) -> DataFrame:
     """One row per document: ``doc_id, n_lines, n_dropped, dropped`` (line numbers from 0, comma-joined)."""
-    gone = dropped_lines(docs, min_chars, doc_id, text)
+    gone = dropped_lines(docs, min_chars, doc_id, text, edit_chars)
     mine = docs.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("version"),
                        F.coalesce(F.size(F.split(F.col(quoted(text)), "\n")), F.lit(0)).cast("long").alias("n_lines"))
     same = mine["id"].eqNullSafe(gone["id"]) & (mine["version"] == gone["version"])
@@ -145,9 +150,9 @@ def line_report(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", te
         F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 20, doc_id: str = "doc_id", text: str = "text", edit_chars: int = 20) -> DataFrame:
     """``docs`` with dropped lines cut out of the text; a document left without a word goes."""
-    gone = dropped_lines(docs, min_chars, doc_id, text).select(
+    gone = dropped_lines(docs, min_chars, doc_id, text, edit_chars).select(
         F.col("id").alias("__id"), F.col("version").alias("__v"), "dropped")
     body = F.col(quoted(text))
     same = F.col(quoted(doc_id)).eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__v"))

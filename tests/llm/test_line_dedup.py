@@ -9,8 +9,8 @@ def rest(line, size, at):
     return size, at, line[:at], line[len(line) - tail:] if tail else ""
 
 
-def brute(docs, min_chars=20):
-    """Dropped (id, line number) by comparing every line with every variant of every other."""
+def brute(docs, min_chars=20, edit_chars=20):
+    """Dropped (id, line number) by comparing every line with every variant of every other that is long enough."""
     places = {}
     for i, text in docs:
         for n, line in enumerate((text or "").split("\n") if text is not None else []):
@@ -18,13 +18,14 @@ def brute(docs, min_chars=20):
                 places.setdefault(line, []).append((i is None, i or 0, n))
     first = {}
     for line, at in places.items():
-        for size in (len(line), len(line) + 1):
+        for size in (len(line), len(line) + 1) if len(line) >= edit_chars else ():
             for p in range(size):
                 key = rest(line, size, p)
                 first[key] = min(first.get(key, min(at)), min(at))
     out = set()
     for line, at in places.items():
-        low = min([*at, *(first[rest(line, size, p)] for size in (len(line), len(line) + 1) for p in range(size))])
+        sizes = (len(line), len(line) + 1) if len(line) >= edit_chars else ()
+        low = min([*at, *(first[rest(line, size, p)] for size in sizes for p in range(size))])
         out |= {(None if a[0] else a[1], a[2]) for a in at if a > low}
     return out
 
@@ -73,3 +74,16 @@ def test_one_edit_in_a_very_long_line(spark):
     docs = [(1, line), (2, line[:20_000] + "#" + line[20_000:]), (3, line[:5] + line[6:]), (4, line[:-1] + "##")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert found(line_dedup.line_report(df)) == {(2, 0), (3, 0)}
+
+
+def test_edits_count_from_a_length_on(spark):
+    docs = [(1, "a\nb\n7\nab\nIt.\nIst.\na"), (2, "b\nnineteen characters\nnineteen charakters"), (3, "twenty characters ok\ntwenty charakters ok")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(line_dedup.line_report(df, 1)) == {(1, 6), (2, 0), (3, 1)} == brute(docs, 1)
+    assert found(line_dedup.line_report(df, 1, edit_chars=1)) == brute(docs, 1, 1) > {(1, 1), (1, 5), (2, 2)}
+
+
+def test_texts_without_an_id_are_told_apart(spark):
+    docs = [(None, "one line of twenty characters and more\nfirst"), (None, "one line of twenty characters and more\nsecond")]
+    report = line_dedup.line_report(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r["n_dropped"] for r in report.collect()) == [0, 1]

@@ -3,8 +3,8 @@
 import random
 
 import corpus_pipeline
-from snapweave.llm import queries
-from tests.llm import test_line_dedup, test_simhash
+from snapweave.llm import line_dedup, queries
+from tests.llm import test_line_dedup
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -15,6 +15,8 @@ def test_short_lines_against_brute_force(spark, tmp_path):
     docs = [(i, "\n".join("".join(r.choice("ab é") for _ in range(r.randrange(9))) for _ in range(r.randrange(6))),
              "en", "s", 1) for i in range(200)]
     spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    edits = line_dedup.line_report(spark.createDataFrame(docs, DOCS), min_chars=1, edit_chars=1)
+    assert test_line_dedup.found(edits) == test_line_dedup.brute([d[:2] for d in docs], min_chars=1, edit_chars=1)
     want = test_line_dedup.brute([d[:2] for d in docs], min_chars=1)
     assert want and test_line_dedup.found(queries.op1_line_dedup(spark, str(tmp_path))) == want
 
@@ -29,23 +31,3 @@ def test_a_copy_with_a_short_line_goes_whole(spark):
     docs = spark.createDataFrame([(1, text, "en", "s", 1), (2, text, "en", "s", 1), (3, "Contents\nof its own", "en", "s", 1)], DOCS)
     out = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup_stage(spark, docs, SF).collect()}
     assert out == {1: text, 3: "of its own"}
-
-
-def test_stages_after_a_floorless_line_dedup(spark):
-    """As test_pipeline's first test, with the line dedup that the stage now does."""
-    kept = corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
-    rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
-    gone = test_line_dedup.brute(rows, min_chars=1)
-    want = {}
-    for i, text in rows:
-        left = "\n".join(x for n, x in enumerate(text.split("\n")) if (i, n) not in gone)
-        if left.strip() or len(left) == len(text):
-            want[i] = left
-    cut = corpus_pipeline.line_dedup_stage(spark, kept, SF)
-    assert {r["doc_id"]: r["text"] for r in cut.collect()} == want
-    assert all(r["n_chars"] == len(r["text"]) for r in cut.collect())
-    one = corpus_pipeline.simhash_near_dedup(spark, cut, SF)
-    prints = [(i, test_simhash.print_of(t)) for i, t in want.items()]
-    assert {r["doc_id"] for r in one.collect()} == set(test_simhash.groups(prints))
-    clean = corpus_pipeline.benchmark_decontamination(spark, one, SF)
-    assert 0.95 * one.count() < clean.count() <= one.count()
