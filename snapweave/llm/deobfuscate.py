@@ -12,6 +12,7 @@ within words, interpolated with bigrams and letters.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -33,28 +34,67 @@ CACHED = 1 << 16
 
 _SIGNS = "".join(map(re.escape, LOOK_ALIKES))
 _TOKEN = rf"[^\W_{_SIGNS}]|[{_SIGNS}]"
-SUSPECT = re.compile(rf"(?<![\w{_SIGNS}])(?=[^\W\d_]*+[{_SIGNS}]|[^\W\d_]*?([^\W\d_])\1\1)[\w{_SIGNS}]++")
+_LETTER = r"[^\W\d_]"
+SUSPECT = re.compile(rf"(?<![\w{_SIGNS}])(?=[\w{_SIGNS}]*?(?:{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER}|({_LETTER})\1\1))[\w{_SIGNS}]++")
 APART = re.compile(rf"(?<![\w{_SIGNS}])(?:{_TOKEN})(?:[ .\-_*~](?:{_TOKEN})(?![^\W_{_SIGNS}]|[{_SIGNS}])){{2,}}+")
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(_LETTER)
 
 
-def _code_table() -> np.ndarray:
-    """Symbol of each code point below U+0250; those above are ``OTHER`` but for punctuation."""
-    table = np.zeros(0x250, np.int64)
+# of each code point: its symbol, whether it is a letter, a look-alike or a separator
+CHUNK = 1 << 20           # characters looked at together
+
+
+@lru_cache(1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    symbol = np.where(letter, OTHER, BREAK)
     for point in range(0x250):
-        c = chr(point).lower()
-        table[point] = CODE.get(c, OTHER if c.isalpha() else BREAK)
-    return table
+        symbol[point] = CODE.get(chr(point).lower(), symbol[point])
+    sign, separator = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+    sign[[ord(c) for c in LOOK_ALIKES]] = True
+    separator[[ord(c) for c in SEPARATORS]] = True
+    return symbol, letter, sign, separator
+
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
-TABLE = _code_table()
+
+def letters(points: np.ndarray) -> np.ndarray:
+    return _tables()[1][points]
 
 
 def symbols(text: str) -> np.ndarray:
     """The symbols of a text, a break on both sides."""
-    points = np.frombuffer(f"\n{text}\n".encode("utf-32-le", "surrogatepass"), np.uint32)
-    known = TABLE[np.minimum(points, 0x24F)]
-    return np.where(points < 0x250, known, np.where((points >= 0x2000) & (points < 0x2070) | (points >= 0x1F000), BREAK, OTHER))
+    return _tables()[0][code_points(f"\n{text}\n")]
+
+
+def chunks(texts: list[str]):
+    """Consecutive lists of texts of about ``CHUNK`` characters; a longer text comes alone."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > CHUNK:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
+def suspects(texts: list[str]) -> np.ndarray:
+    """Numbers of the texts that may hold a suspect stretch."""
+    points = code_points("\n".join(texts))
+    if len(points) < 3:
+        return np.zeros(0, np.int64)
+    _, letter, sign, separator = (t[points] for t in _tables())
+    at = [np.flatnonzero(letter[:-1] & sign[1:] | sign[:-1] & letter[1:]),
+          np.flatnonzero(letter[:-2] & (points[:-2] == points[1:-1]) & (points[1:-1] == points[2:]))]
+    token = np.concatenate(([False], letter | sign, [False]))
+    one = token[1:-1] & ~token[:-2] & ~token[2:]
+    at.append(np.flatnonzero(one[:-4] & separator[1:-3] & one[2:-2] & separator[3:-1] & one[4:]))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return np.unique(np.searchsorted(ends, np.concatenate(at), side="right"))
 
 
 def count_trigrams(texts, counts: np.ndarray) -> None:
@@ -93,6 +133,16 @@ class Restorer:
         self.costs = costs.tolist()
         self.cache: dict[str, str] = {}
 
+    def restore_all(self, texts: list[str]) -> list[str]:
+        """Restored texts; those without a suspect stretch are told by one look at their characters."""
+        out = []
+        for held in chunks(texts):
+            held = list(held)
+            for k in suspects(held):
+                held[k] = self.restore(held[k])
+            out += held
+        return out
+
     def restore(self, text: str) -> str:
         text = APART.sub(self._stretch, text)
         return SUSPECT.sub(self._stretch, text)

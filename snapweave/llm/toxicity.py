@@ -2,7 +2,7 @@
 
 Three things are learned.  The character model that restoration needs comes from
 the trigrams of every text (:mod:`.deobfuscate`); labels play no part in it.  Signs are whole
-words (of bounded length) and beginnings of words; each counts the labelled texts
+words (of bounded length) and beginnings of words, as 64-bit hashes; each counts the labelled texts
 that hold it, and one that is surely commoner in toxic texts has a weight, the low
 end of its log-odds.  A text's evidence is its strongest sign, the sum over its words and that
 sum by length; a logistic regression on these few numbers gives the score.
@@ -20,8 +20,6 @@ a half unless most labels are 1; repeated rows are scored alike; an empty table
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import quoted, staged
-from .deobfuscate import SYMBOLS, Restorer, count_trigrams, surprise
+from .deobfuscate import SYMBOLS, Restorer, chunks, code_points, count_trigrams, letters, surprise
 
-WORD = re.compile(r"[^\W\d_]+")
 WHOLE = 32                # a longer word is known by its beginnings alone
+SEED, FACTOR = np.uint64(0xCBF29CE484222325), np.uint64(0x100000001B3)    # Fixed values: FNV-1a
 
 
 @dataclass(frozen=True)
@@ -52,7 +50,8 @@ class ToxicityModel:
     """The costs of the character model, the signs' weights and the regression."""
 
     costs: np.ndarray
-    signs: dict[str, list[float]]   # weights by all labels, without one toxic text, without one other text
+    signs: np.ndarray             # hashes, rising
+    weights: np.ndarray           # (3, signs): by all labels, without one toxic text, without one other text
     regression: np.ndarray        # (centre, spread, coefficient) of each input
     constant: float               # the score where there is no regression
 
@@ -87,17 +86,53 @@ def restore_texts(docs: DataFrame, costs: np.ndarray, text: str = "text", output
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
         restorer = Restorer(held.value)
-        return texts.map(lambda t: None if t is None else restorer.restore(t))
+        restored = pd.Series(restorer.restore_all(texts.fillna("").tolist()), index=texts.index)
+        return restored.where(texts.notna(), None)
 
     return docs.withColumn(output, run(F.col(quoted(text))))
 
 
 # ------------------------------------------------------------------ signs
 
-def signs_of(word: str, p: ToxicityParams) -> list[str]:
-    """A word, marked as whole, and its beginnings."""
-    forms = [word[:k] for k in p.beginnings if len(word) >= k]
-    return [word + "$", *forms] if len(word) <= WHOLE else forms
+def word_signs(texts: list[str], p: ToxicityParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hashes, which hashes count) of each word; a row of hashes is the whole word, then its beginnings."""
+    points = code_points("\n".join(texts).lower())
+    letter = np.concatenate(([False], letters(points), [False]))
+    start = np.flatnonzero(letter[1:-1] & ~letter[:-2])
+    length = np.flatnonzero(letter[1:-1] & ~letter[2:]) + 1 - start
+    number = np.searchsorted(np.cumsum([len(t.lower()) + 1 for t in texts]), start, side="right")
+    hashes = np.zeros((1 + len(p.beginnings), len(start)), np.uint64)
+    counts = np.zeros(hashes.shape, bool)
+    counts[0] = length <= WHOLE
+    h, some = np.full(len(start), SEED), np.arange(len(start))
+    for k in range(1, WHOLE + 1):
+        some = some[length[some] >= k]
+        if not len(some):
+            break
+        h[some] = (h[some] ^ points[start[some] + k - 1]) * FACTOR
+        if k in p.beginnings:
+            row = 1 + p.beginnings.index(k)
+            hashes[row, some], counts[row, some] = h[some], True
+    hashes[0] = (h ^ np.uint64(ord("$"))) * FACTOR
+    return number, hashes, counts
+
+
+def evidence(texts: list[str], signs: np.ndarray, weights: np.ndarray, p: ToxicityParams) -> np.ndarray:
+    """The numbers of each text: strongest sign, sum over its words, the sum by length, and their squares."""
+    out = []
+    for held in chunks(texts):
+        number, hashes, counts = word_signs(held, p)
+        weight = np.zeros(len(number))
+        if len(signs):
+            for row, known in zip(hashes, counts, strict=True):
+                at = np.minimum(np.searchsorted(signs, row), len(signs) - 1)
+                np.maximum(weight, np.where(known & (signs[at] == row), weights[at], 0.0), out=weight)
+        strongest = np.zeros(len(held))
+        np.maximum.at(strongest, number, weight)
+        total, words = (np.bincount(number, w, minlength=len(held)) for w in (weight, None))
+        x = np.stack([strongest, np.log1p(total), np.log1p(1000 * total / (20 + words))], axis=1)
+        out.append(np.hstack([x, x ** 2]))
+    return np.vstack(out) if out else np.zeros((0, 6))
 
 
 def sign_weight(toxic: Column, other: Column, n_toxic: int, n_other: int, p: ToxicityParams) -> Column:
@@ -107,68 +142,52 @@ def sign_weight(toxic: Column, other: Column, n_toxic: int, n_other: int, p: Tox
     return F.when((toxic >= p.min_texts) & (odds > p.sure * error), odds - (p.sure - 1) * error).otherwise(0.0)
 
 
-class Evidence:
-    """The numbers of a text: strongest sign, sum over its words, the sum by length."""
-
-    INPUTS = 6
-
-    def __init__(self, signs: dict[str, list[float]], which: int, p: ToxicityParams):
-        self.known = {s: w[which] for s, w in signs.items() if w[which] > 0}
-        self.least = min(p.beginnings)
-        self.starts = {s.removesuffix("$")[:self.least] for s in self.known}
-        self.p = p
-
-    def weight(self, word: str) -> float:
-        if word[:self.least] not in self.starts:
-            return 0.0
-        return max((self.known.get(s, 0.0) for s in signs_of(word, self.p)), default=0.0)
-
-    def of(self, restored: str) -> list[float]:
-        words = Counter(WORD.findall(restored.lower()))
-        found = [(self.weight(w), n) for w, n in words.items()]
-        strongest = max((w for w, _ in found), default=0.0)
-        total = sum(w * n for w, n in found)
-        a, b = np.log1p(total), np.log1p(1000 * total / (20 + sum(words.values())))
-        return [strongest, a, b, strongest ** 2, a ** 2, b ** 2]
-
-
 def _sign_counts(train: DataFrame, p: ToxicityParams) -> DataFrame:
     """``sign, toxic, other``: labelled texts that hold each sign."""
+    def held_signs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Each sign that a text holds, once, with the text's number."""
+        number, hashes, counts = word_signs(texts, p)
+        found = [np.unique(np.stack([number[c].astype(np.uint64), h[c]]), axis=1) for h, c in zip(hashes, counts, strict=True)]
+        both = np.concatenate(found, axis=1)
+        return both[0].astype(np.int64), both[1]
+
     def run(batches):
         for batch in batches:
-            # summed within a batch, so common signs travel once
-            counts = {0: Counter(), 1: Counter()}
-            for text, label in zip(batch.column("restored").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                words = set(WORD.findall(text.lower()))
-                counts[label].update({s for word in words for s in signs_of(word, p)})
-            for label, found in counts.items():
-                n, none = list(found.values()), [0] * len(found)
-                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(n if label else none, pa.int64()),
-                                                  pa.array(none if label else n, pa.int64())], names=["sign", "toxic", "other"])
-
-    parts = train.select("restored", "toxic").mapInArrow(run, "sign string, toxic long, other long")
+            labels = np.array(batch.column("toxic").to_pylist(), np.int64)
+            done = 0
+            for texts in chunks(batch.column("restored").to_pylist()):
+                number, sign = held_signs(texts)
+                label = labels[done:done + len(texts)][number]
+                done += len(texts)
+                # summed within a chunk, so common signs travel once
+                kinds, where = np.unique(sign, return_inverse=True)
+                toxic, other = (np.bincount(where, w, minlength=len(kinds)).astype(np.int64) for w in (label, 1 - label))
+                yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(toxic), pa.array(other)], names=["sign", "toxic", "other"])
+
+    parts = train.select("restored", "toxic").mapInArrow(run, "sign long, toxic long, other long")
     return parts.groupBy("sign").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def sure_signs(train: DataFrame, n_toxic: int, n_other: int, p: ToxicityParams) -> dict[str, list[float]]:
-    """The signs with a weight; all others stay in the cluster."""
+def sure_signs(train: DataFrame, n_toxic: int, n_other: int, p: ToxicityParams) -> tuple[np.ndarray, np.ndarray]:
+    """The signs with a weight, and their weights; all others stay in the cluster."""
     toxic, other = F.col("toxic"), F.col("other")
     weights = F.array(sign_weight(toxic, other, n_toxic, n_other, p), sign_weight(toxic - 1, other, n_toxic - 1, n_other, p),
                       sign_weight(toxic, F.greatest(other - 1, F.lit(0)), n_toxic, n_other - 1, p))
     known = _sign_counts(train, p).where(toxic >= p.min_texts).select("sign", weights.alias("w")).where(F.array_max("w") > 0)
-    return {r["sign"]: r["w"] for r in known.collect()}
+    rows = sorted((r["sign"] % (1 << 64), r["w"]) for r in known.collect())
+    return np.array([s for s, _ in rows], np.uint64), np.array([w for _, w in rows]).reshape(-1, 3).T
 
 
-def _evidence_rows(train: DataFrame, signs: dict[str, list[float]], p: ToxicityParams) -> list:
+def _evidence_rows(train: DataFrame, signs: np.ndarray, weights: np.ndarray, p: ToxicityParams) -> list:
     """(inputs, label) of each learning text, its own share taken out; few numbers for a bounded number of rows."""
-    held = train.sparkSession.sparkContext.broadcast(signs)
+    held = train.sparkSession.sparkContext.broadcast((signs, weights))
 
     def run(batches):
-        without = {1: Evidence(held.value, 1, p), 0: Evidence(held.value, 2, p)}
+        signs, weights = held.value
         for batch in batches:
-            labels = batch.column("toxic").to_pylist()
-            rows = [without[y].of(t) for t, y in zip(batch.column("restored").to_pylist(), labels, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32())], names=["x", "y"])
+            texts, labels = batch.column("restored").to_pylist(), np.array(batch.column("toxic").to_pylist(), np.int64)
+            x = np.where(labels[:, None] == 1, evidence(texts, signs, weights[1], p), evidence(texts, signs, weights[2], p))
+            yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(labels, pa.int32())], names=["x", "y"])
 
     return train.select("restored", "toxic").mapInArrow(run, "x array<double>, y int").collect()
 
@@ -206,11 +225,11 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     constant = (n_toxic + 0.5) / (n_toxic + n_other + 2)
     if not n_toxic or not n_other:
-        return ToxicityModel(costs, {}, np.zeros((3, 0)), constant)
-    signs = sure_signs(train, n_toxic, n_other, p)
-    taught = _evidence_rows(train, signs, p)
+        return ToxicityModel(costs, np.zeros(0, np.uint64), np.zeros((3, 0)), np.zeros((3, 0)), constant)
+    signs, weights = sure_signs(train, n_toxic, n_other, p)
+    taught = _evidence_rows(train, signs, weights, p)
     x = np.array([r["x"] for r in taught])
-    return ToxicityModel(costs, signs, logistic(x, np.array([r["y"] for r in taught]), p), constant)
+    return ToxicityModel(costs, signs, weights, logistic(x, np.array([r["y"] for r in taught]), p), constant)
 
 
 # ------------------------------------------------------------------ scores
@@ -225,8 +244,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, params: ToxicityParams =
         m = held.value
         if not m.regression.shape[1]:
             return pd.Series(np.full(len(texts), m.constant))
-        restorer, evidence = Restorer(m.costs), Evidence(m.signs, 0, params)
-        rows = np.array([evidence.of(restorer.restore(t) if t else "") for t in texts]).reshape(len(texts), Evidence.INPUTS)
+        rows = evidence(Restorer(m.costs).restore_all(texts.fillna("").tolist()), m.signs, m.weights[0], params)
         centre, spread, w = m.regression
         z = (np.hstack([np.ones((len(rows), 1)), rows]) - centre) / spread
         return pd.Series(1 / (1 + np.exp(-np.clip(z @ w, -500, 500))))
