@@ -14,9 +14,9 @@ than a tolerance.  Patterns of high score extract their other instances as furth
 spans of the same kind.
 
 Seeds must be at least ``min_seeds`` of a pattern's distinct instances.  That rule is
-checked before any span is made, in two exact steps: words without a digit or @ sign
-are never seeds, and the marks they leave in a bitmap of fixed width are no more than
-the distinct ones; then they are counted.  So contexts of everyday words go early,
+checked before any span is made, in exact steps: words without a digit or @ sign
+are never seeds, and the marks they leave in a bitmap of fixed width, first over one
+text in sixteen and then over all, are no more than the distinct ones; then they are counted.  So contexts of everyday words go early,
 and spans, graph and rounds are about as large as the seeds.
 
 Counts are of distinct instances, so copies of a passage do not add weight, and
@@ -163,6 +163,7 @@ def supported(seeds: DataFrame, p: PiiParams) -> DataFrame:
 
 
 MARKS = 4                 # longs of a context's bitmap
+FIRST = 16                # one text in so many gives the first bound
 
 
 def plain_word(word: Column) -> Column:
@@ -230,6 +231,10 @@ def find_pii(docs: DataFrame, params: PiiParams = PiiParams(), doc_id: str = "do
     support = staged(supported(seeds, params), "pii-support")
     key, mark = F.col(quoted(doc_id)).alias("__id"), F.xxhash64(body).alias("__v")
     words = places(docs, key, mark, body, params)
+    # words of some texts are no more than those of all, so they bound every context from below:
+    # everyday contexts go before all texts are met, and what stays is decided over all
+    some = places(docs.where(F.pmod(F.xxhash64(F.lit(6), body), F.lit(FIRST)) == 0), key, mark, body, params)
+    support = staged(marked_few(some, support, params), "pii-marked")
     support = staged(marked_few(words, support, params), "pii-marked")
     # places alone first, so that spans are made only of the words under a pattern that may score
     met = staged(words.join(support.select("context").distinct(), "context"), "pii-places")
