@@ -4,9 +4,10 @@ Imports are often described by an Avro schema file.  The conversion covers
 what such files hold for flat and nested records: primitives, ``[null, T]``
 unions (nullable T), records, arrays, maps, enums, fixed, and the date /
 timestamp / decimal logical types.  A union of int and long reads as long, one of
-float and double as double, any other of several types as a struct with one
-nullable field per member (``member0``, ``member1``...), as Spark's Avro source
-does.  Defaults are kept in the form Spark casts from: the stored numbers of
+float and double as double.  Any other of several types raises in :func:`avro_record`
+unless ``member_structs`` is set; :func:`load_schema` sets it, and reads such a union
+as a struct with one nullable field per member (``member0``, ``member1``...), as
+Spark's Avro source does.  Defaults are kept in the form Spark casts from: the stored numbers of
 logical types become dates, times and decimals, and a union's default is its
 first member's.
 """
@@ -48,7 +49,7 @@ def _logical(node: dict) -> T.DataType | None:
     return None
 
 
-def avro_type(node, names: dict | None = None) -> tuple[T.DataType, bool]:
+def avro_type(node, names: dict | None = None, member_structs: bool = False) -> tuple[T.DataType, bool]:
     """(Spark type, nullable) of an Avro schema node; ``names`` holds the named types met so far."""
     names = {} if names is None else names
     if isinstance(node, str):
@@ -59,31 +60,31 @@ def avro_type(node, names: dict | None = None) -> tuple[T.DataType, bool]:
         return names[node], False
     if isinstance(node, list):
         members = [m for m in node if m != "null"]
-        return _union([avro_type(m, names)[0] for m in members]), len(members) != len(node)
+        return _union([avro_type(m, names, member_structs)[0] for m in members], member_structs), len(members) != len(node)
     kind = node.get("type")
     logical = _logical(node)
     if kind == "record":
-        dtype = avro_record(node, names)
+        dtype = avro_record(node, names, member_structs)
     elif logical is not None:
         dtype = logical
     elif kind == "array":
-        element, nullable = avro_type(node["items"], names)
+        element, nullable = avro_type(node["items"], names, member_structs)
         return T.ArrayType(element, nullable), False
     elif kind == "map":
-        value, nullable = avro_type(node["values"], names)
+        value, nullable = avro_type(node["values"], names, member_structs)
         return T.MapType(T.StringType(), value, nullable), False
     elif kind == "enum":
         dtype = T.StringType()
     elif kind == "fixed":
         dtype = T.BinaryType()
     else:
-        return avro_type(kind, names)
+        return avro_type(kind, names, member_structs)
     if "name" in node:
         _remember(node, dtype, names)
     return dtype, False
 
 
-def _union(members: list[T.DataType]) -> T.DataType:
+def _union(members: list[T.DataType], member_structs: bool) -> T.DataType:
     kinds = {type(m) for m in members}
     if not members:
         return T.NullType()
@@ -93,6 +94,8 @@ def _union(members: list[T.DataType]) -> T.DataType:
         return T.LongType()
     if kinds <= {T.FloatType, T.DoubleType}:
         return T.DoubleType()
+    if not member_structs:
+        raise ValueError(f"a union of {[m.simpleString() for m in members]} reads as a struct of members; set member_structs")
     return T.StructType([T.StructField(f"member{i}", m, True) for i, m in enumerate(members)])
 
 
@@ -139,12 +142,12 @@ def _remember(node: dict, dtype: T.DataType, names: dict) -> None:
         names[f"{node['namespace']}.{node['name']}"] = dtype
 
 
-def avro_record(node: dict, names: dict | None = None) -> T.StructType:
+def avro_record(node: dict, names: dict | None = None, member_structs: bool = False) -> T.StructType:
     """A record's fields; a default other than null is kept in the field's metadata."""
     names = {} if names is None else names
     fields = []
     for field in node["fields"]:
-        dtype, nullable = avro_type(field["type"], names)
+        dtype, nullable = avro_type(field["type"], names, member_structs)
         default = default_value(field["type"], dtype, field.get("default"))
         fields.append(T.StructField(field["name"], dtype, nullable, None if default is None else {DEFAULT_KEY: default}))
     return T.StructType(fields)
@@ -156,7 +159,7 @@ def load_schema(spec: str) -> T.StructType:
         with open(spec) as fh:
             text = fh.read()
         if spec.endswith(".avsc"):
-            return avro_record(json.loads(text))
+            return avro_record(json.loads(text), member_structs=True)
         if spec.endswith(".json"):
             return T.StructType.fromJson(json.loads(text))
         spec = text

@@ -91,7 +91,7 @@ def test_every_kind_of_default(spark, tmp_path, kind, default, want):
 
 def test_unions_of_several_types():
     schema = avro_record({"type": "record", "name": "r", "fields": [
-        {"name": "a", "type": ["null", "int", "string"]}, {"name": "b", "type": ["int", "long"]}, {"name": "c", "type": ["float", "null", "double"]}]})
+        {"name": "a", "type": ["null", "int", "string"]}, {"name": "b", "type": ["int", "long"]}, {"name": "c", "type": ["float", "null", "double"]}]}, member_structs=True)
     assert schema.simpleString() == "struct<a:struct<member0:int,member1:string>,b:bigint,c:double>"
     assert [f.nullable for f in schema.fields] == [True, False, True]
 
