@@ -27,8 +27,9 @@ _ROOT = os.path.dirname(os.path.abspath(__file__))
 if _ROOT not in sys.path:
     sys.path.insert(0, _ROOT)
 
-from snapweave import (append_snapshot, compact, diff, diff_summary, extract, extract_stored, merge,  # noqa: E402
-                       mutation_pairs, mutation_stats, nearest_label, read_store, render_log, to_date, write_store)
+from snapweave import (append_snapshot, bucket_digests, compact, diff, diff_by_digest, diff_summary, extract,  # noqa: E402
+                       extract_stored, import_catalogue, last_imports, merge, mutation_pairs, mutation_stats,
+                       nearest_label, read_imports, read_store, render_log, to_date, update_mutation_stats, write_store)
 from snapweave.functions.labels import snapshot_time_ms  # noqa: E402
 from snapweave.sources import derived  # noqa: E402
 from snapweave.sources.schemas import avro_record  # noqa: E402
@@ -256,6 +257,47 @@ def q_merge_appended(spark, sf_dir):
     return render_log(spark, path)
 
 
+def q_mutation_stats_updated(spark, sf_dir):
+    """Mutation statistics after two imports of a log, brought up to date for the third."""
+    path = stage_path(spark, "log")
+    stats = None
+    for i, (label, snapshot) in enumerate(_orders(spark, sf_dir).items()):
+        append_snapshot(path, label, snapshot)
+        if i == 1:
+            stats = stage_table(mutation_stats(render_log(spark, path), "o_orderkey"), "stats")
+    return _fields_text(update_mutation_stats(spark, path, stats, "o_orderkey"))
+
+
+def _stored_imports(spark, sf_dir) -> str:
+    """The three imports of orders, each written to its folder under one root."""
+    root = stage_path(spark, "imports")
+    for label, snapshot in _orders(spark, sf_dir).items():
+        write_output(snapshot, f"{root}/{label.rsplit('/', 1)[1]}")
+    return root
+
+
+def q_merge_last_two(spark, sf_dir):
+    """The last two imports of a root, found in its catalogue, merged."""
+    return merge(read_imports(last_imports(import_catalogue(spark, _stored_imports(spark, sf_dir)), 2)))
+
+
+def q_diff_by_digest(spark, sf_dir):
+    """diff of two stored imports with stored digests, by day: only days that changed are shuffled."""
+    before, after = list(read_imports(import_catalogue(spark, _stored_imports(spark, sf_dir))).values())[:2]
+    stored = [stage_table(bucket_digests(side, by="o_orderdate"), "digests") for side in (before, after)]
+    return diff_by_digest(before, after, *stored, by="o_orderdate")
+
+
+def q_compact_sorted(spark, sf_dir):
+    """compact packed without a shuffle, each part sorted: same rows."""
+    return compact(derived.duplicated_orders(spark, sf_dir), cluster="sorted")
+
+
+def q_compact_curve(spark, sf_dir):
+    """compact along a curve over customer and day: same rows."""
+    return compact(derived.duplicated_orders(spark, sf_dir), num_files=16, cluster="curve", by=["o_custkey", "o_orderdate"])
+
+
 def q_nearest_supplier(spark, sf_dir):
     """Each part name matched to the closest supplier name by edit distance."""
     part, supplier = derived.table(spark, sf_dir, "part"), derived.table(spark, sf_dir, "supplier")
@@ -346,6 +388,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "extract_stored_middle": q_extract_stored_middle,
         "store_round_trip": q_store_round_trip,
         "merge_appended": q_merge_appended,
+        "mutation_stats_updated": q_mutation_stats_updated,
+        "merge_last_two": q_merge_last_two,
+        "diff_by_digest": q_diff_by_digest,
+        "compact_sorted": q_compact_sorted,
+        "compact_curve": q_compact_curve,
         "nearest_supplier": q_nearest_supplier,
         "nearest_label": q_nearest_label,
         "snapshot_times": q_snapshot_times,
@@ -434,6 +481,12 @@ def oracle_sql() -> dict[str, str]:
                          "GROUP BY type"),
         "compact": twice,
         "compact_range": twice,
+        "compact_sorted": twice,
+        "compact_curve": twice,
+        "diff_by_digest": _diff_sql(oc, _order_ctes()),
+        "mutation_stats_updated": _stats_sql(oc, _order_ctes(), "o_orderkey"),
+        "merge_last_two": _merged_sql(oc, ",\n".join(f"s{i - 1} AS ({derived.order_snapshot_sql(i)})" for i in (1, 2)), n=2)
+        + "\nSELECT * FROM m",
         "mutation_stats_by_date": _stats_sql(oc, _order_ctes(), "o_orderdate"),
         "mutation_stats_by_price": _stats_sql(oc, _order_ctes(), "o_totalprice"),
         "merge_widened": (

@@ -3,7 +3,7 @@
     spark-submit --py-files snapweave.zip snapweave_submit.py <job> [args]
     python -m snapweave.cli <job> [args]          (local session)
 
-    compact  <input> <output> [--num-files N | --target-mb N] [--cluster none|range]
+    compact  <input> <output> [--num-files N | --target-mb N] [--cluster none|sorted|curve|range] [--by COLUMNS]
     diff     <origin> <dest> <output> [--schema DDL|file.avsc|file.json] [--mode set|count]
     merge    <dir,dir,...> <output>
     extract  <masked input> <label> <output> [--match exact|nearest]
@@ -54,7 +54,8 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("input")
     c.add_argument("output")
     c.add_argument("--num-files", type=int, default=None, help="parts (default: by --target-mb)")
-    c.add_argument("--cluster", default="none", choices=["none", "range"])
+    c.add_argument("--cluster", default="none", choices=["none", "sorted", "curve", "range"])
+    c.add_argument("--by", type=lambda t: t.split(","), help="columns of the curve, comma-joined")
     c.add_argument("--target-mb", type=int, default=128, help="size of a part when --num-files is not given")
 
     d = sub.add_parser("diff")
@@ -116,7 +117,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
 
     if args.job == "compact":
         # compact lays out its own files (its --num-files); keep that layout.
-        write(compact(read(args.input), args.num_files, args.cluster, args.target_mb << 20), args.output, relayout=False)
+        write(compact(read(args.input), args.num_files, args.cluster, args.target_mb << 20, args.by), args.output, relayout=False)
         return {"job": "compact"}
     if args.job == "diff":
         schema = load_schema(args.schema) if args.schema else None

@@ -82,14 +82,20 @@ def _from_position_on(layout: MaskLayout, position: int) -> list[int]:
     return [0 if k < first else (1 << (bit + 1)) - 1 if k == first else (1 << layout.width(k)) - 1 for k in range(layout.num_words)]
 
 
-def render_log(spark: SparkSession, path: str) -> DataFrame:
-    """The masked table of a log: each record once with its mask, the legend sorted as ``merge`` sorts it."""
-    legend = log_legend(spark, path)
+def render_log(spark: SparkSession, path: str, imports: int | None = None, where=None) -> DataFrame:
+    """The masked table of a log: each record once with its mask, the legend sorted as ``merge`` sorts it.
+
+    ``imports`` takes the log as it was after so many imports.  ``where``, a function
+    of a DataFrame, picks records before they are grouped.
+    """
+    legend = log_legend(spark, path)[:imports]
     if not legend:
         raise ValueError(f"no import has been added to {path}")
     labels = [label for label, _ in legend]
     layout = MaskLayout.of(labels)
     changes = _changes(spark, path, legend)
+    if where is not None:
+        changes = where(changes)
     keys = [named(c) for c in changes.columns if c != AT]
     words = layout.word_names(taken=changes.columns)
     tables = list(zip(*[_from_position_on(layout, p) for p in range(len(labels))], strict=True))

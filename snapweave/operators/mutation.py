@@ -77,16 +77,6 @@ def _differs(a: Column, b: Column, dtype: T.DataType) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def _has_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType):
-        return True
-    if isinstance(dtype, T.ArrayType):
-        return _has_map(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return any(_has_map(f.dataType) for f in dtype.fields)
-    return False
-
-
 def _mask_order(order: str) -> Column:
     mask = F.col(MASK_COLUMN)
     if order == "reference":

@@ -145,3 +145,13 @@ def conform_columns(df: DataFrame, target: T.StructType) -> list[Column]:
 
 def conform(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.select(*conform_columns(df, target))
+
+
+def has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(has_map(f.dataType) for f in dtype.fields)
+    return False
