@@ -7,8 +7,8 @@ make another word, so only equality counts there.
 Two lines are that close exactly when they agree after deleting one character
 of the longer and, if they are equally long, the one at the same place of the
 other.  So a line emits, for each place, the hash of what is left and of the
-place; equal keys meet, and the earliest line of a key is the candidate, whose
-edit distance is verified.
+place; equal keys meet, and the earliest line of a key is the candidate.  It is
+verified by comparing what is left of both texts, which is an edit distance of at most one.
 
 Emitting every place of every line would multiply the corpus, so the
 neighbourhood is built in three steps that lose nothing.  A line first deletes
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import quoted, staged
 
+LAST_CHARS = 16     # a stretch this short is cut into its places
+
 
 def _digest(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
@@ -84,6 +86,41 @@ def _stretches(start: Column, stop: Column, width: Column) -> Column:
         s.alias("start"), F.least(s + width, stop).alias("stop")))
 
 
+def _cut(seed: int, text: Column, start: Column, stop: Column, s: Column, e: Column) -> list[Column]:
+    """[s, e) of a stretch [start, stop): the hashes of what lies before and after it, carried on."""
+    tail = stop - e
+    head = F.substring(text, F.lit(1), s - start)
+    rest = F.when(tail > 0, F.substring(text, F.length(text) - tail + 1, tail)).otherwise("")
+    return [F.xxhash64(F.lit(seed), F.col(f"a{seed}"), head).alias(f"a{seed}"), F.xxhash64(F.lit(seed), F.col(f"b{seed}"), rest).alias(f"b{seed}")]
+
+
+def _places(blocks: DataFrame) -> DataFrame:
+    """``h1, h2, first, longer, p, v1, v2``: each place p of the blocks with the hash of the line without it.
+
+    A block is cut into sixteenths until a stretch has at most ``LAST_CHARS`` places.  A
+    stretch carries its own characters and hashes of those before and after it, so a
+    place costs a short hash, and a line costs its length for each round of cuts.
+    """
+    widest = blocks.agg(F.max(F.col("stop") - F.col("start"))).first()[0] or 0
+    tail = F.col("longer") - F.col("stop")
+    size = F.length("line")
+    ends = [F.substring("line", F.lit(1), F.col("start")), F.when(tail > 0, F.substring(F.col("line"), size - tail + 1, tail)).otherwise("")]
+    part = blocks.select("h1", "h2", "first", "longer", "start", "stop", *[
+        F.xxhash64(F.lit(seed), end).alias(f"{name}{seed}") for seed in (0, 1) for name, end in zip("ab", ends, strict=True)],
+        F.substring(F.col("line"), F.col("start") + 1, size - F.col("start") - tail).alias("part"))
+    old = [F.col("part"), F.col("start"), F.col("stop")]
+    while widest > LAST_CHARS:
+        step = F.greatest(F.lit(LAST_CHARS), F.ceil((F.col("stop") - F.col("start")) / 16).cast("int"))
+        s, e = F.col("s.start"), F.col("s.stop")
+        inner = F.substring(F.col("part"), s - F.col("start") + 1, F.length("part") - (s - F.col("start")) - (F.col("stop") - e))
+        part = part.select("*", F.explode(_stretches(F.col("start"), F.col("stop"), step)).alias("s")).select(
+            "h1", "h2", "first", "longer", s.alias("start"), e.alias("stop"), *_cut(0, *old, s, e), *_cut(1, *old, s, e), inner.alias("part"))
+        widest = max(LAST_CHARS, -(-widest // 16))
+    at = part.select("*", F.explode(F.sequence("start", F.col("stop") - 1)).alias("p"))
+    keys = [F.xxhash64(F.col("longer"), F.col("p"), *_cut(seed, *old, F.col("p"), F.col("p") + 1)).alias(f"v{seed + 1}") for seed in (0, 1)]
+    return at.select("h1", "h2", "first", "longer", "p", *keys)
+
+
 def near_lines(lines: DataFrame, edit_chars: int) -> DataFrame:
     """``h1, h2, keeper``: distinct lines with the position of an earlier equal line or, of long enough ones, one within one edit."""
     keyed = _half_keys(lines)
@@ -113,17 +150,16 @@ def near_lines(lines: DataFrame, edit_chars: int) -> DataFrame:
         .select("h1", "h2", "longer", "s.start", "s.stop", F.xxhash64(
             *_rest(F.col("line"), F.col("longer"), F.col("s.start"), F.col("s.stop"))).alias("key")))
     close = staged(_shared(blocks).drop("key"), "met-blocks")
-    rest = _rest(F.col("line"), F.col("longer"), F.col("p"), F.col("p") + 1)
-    places = (close.join(texts.select("h1", "h2", "first", "line"), ["h1", "h2"])
-              .select("h1", "h2", "first", "line", "longer", F.explode(F.sequence("start", F.col("stop") - 1)).alias("p"))
-              .select("h1", "h2", "first", F.xxhash64(*rest).alias("v1"), F.xxhash64(F.lit(1), *rest).alias("v2")))
+    places = _places(close.join(texts.select("h1", "h2", "first", "line"), ["h1", "h2"]))
     earliest = places.groupBy("v1", "v2").agg(F.min("first").alias("near"), F.count("*").alias("n")).where("n > 1")
     candidate = (places.join(earliest, ["v1", "v2"]).where(F.col("near") < F.col("first"))
-                 .groupBy("h1", "h2").agg(F.min("near").alias("near")))
+                 .groupBy("h1", "h2").agg(F.min(F.struct("near", "longer", "p")).alias("e")).select("h1", "h2", "e.near", "e.longer", "e.p"))
     mine = texts.select("h1", "h2", "line")
     other = texts.select(F.col("first").alias("near"), F.col("line").alias("other"))
+    # lines that agree without the place are within one edit; Spark's levenshtein takes the square of their length
+    left = [F.struct(*_rest(F.col(x), F.col("longer"), F.col("p"), F.col("p") + 1)) for x in ("line", "other")]
     checked = (candidate.join(mine, ["h1", "h2"]).join(other, "near")
-               .where(F.levenshtein("line", "other", 1) >= 0).groupBy("h1", "h2").agg(F.min("near").alias("near")))
+               .where(left[0] == left[1]).groupBy("h1", "h2").agg(F.min("near").alias("near")))
     return (distinct.join(checked, ["h1", "h2"], "left").where("n > 1 OR near IS NOT NULL")
             .select("h1", "h2", F.least("first", "near").alias("keeper")))
 

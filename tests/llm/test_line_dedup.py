@@ -87,3 +87,9 @@ def test_texts_without_an_id_are_told_apart(spark):
     docs = [(None, "one line of twenty characters and more\nfirst"), (None, "one line of twenty characters and more\nsecond")]
     report = line_dedup.line_report(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(r["n_dropped"] for r in report.collect()) == [0, 1]
+
+
+def test_long_runs_of_one_character_cost_their_length(spark):
+    size = 1_000_000
+    docs = [(1, "a" * size), (2, "a" * (size + 1)), (3, "a" * 600_000 + "b" + "a" * (size - 600_001)), (4, "a" * (size + 3))]
+    assert found(line_dedup.line_report(spark.createDataFrame(docs, "doc_id long, text string"))) == {(2, 0), (3, 0)}
