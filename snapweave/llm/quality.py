@@ -5,8 +5,13 @@ are compared with references of each language by Jensen-Shannon distance; the
 language whose two distances have the smallest sum counts.  References are
 sums over all documents that carry a language and pass the base rules.  Texts
 below the length guards keep the base verdict, since short histograms are
-noise.  Everything is built-in functions inside one row, so no document is
-shuffled.
+noise.  All words that are not common share one bin, so a text of rare words is far
+from every language.  The limit of the word distance comes from its spread over all
+documents above the guard whose number of words has the same binary length: the upper
+quartile plus ``fence`` times the distance of the quartiles, counted in bins of a
+thousandth.  A short histogram scatters more, so a longer text never gets a wider
+limit than a shorter one.  Everything is built-in functions
+inside one row, so no document is shuffled.
 
 Defined results: a null or empty text has no words and fails the base rules;
 a null language takes no part in the references but is judged like any other;
@@ -41,18 +46,19 @@ class QualityParams:
     common_words: int = 32          # per language
     common_word_chars: int = 5      # function words are short
     guard_words: int = 50           # below: no divergence verdict
-    guard_common: int = 10          # below: no word-histogram verdict
     max_char_distance: float = 0.32
-    max_word_distance: float = 0.92
+    fence: float = 3.0              # quartile distances above the upper quartile
+    min_word_limit: float = 0.3     # documents of one kind have no spread; closer than this is no divergence
 
 
 @dataclass
 class References:
-    """Common words, and per language the share of each class and common word."""
+    """Common words, and per language the share of each class, and of each common word and all others."""
 
     words: list[str] = field(default_factory=list)
     chars: dict[str, list[float]] = field(default_factory=dict)
     common: dict[str, list[float]] = field(default_factory=dict)
+    word_limits: list[float] = field(default_factory=list)     # of the word distance, by binary length of the number of words
 
 
 def repeated_words(words: Column, window: int) -> Column:
@@ -95,6 +101,12 @@ def _runs(ids: Column) -> Column:
     return let(F.sort_array(ids), count)
 
 
+def _others(runs: Column, n_words: Column, k: int) -> Column:
+    """The bin of all other words, if there are any, as a run of its own."""
+    bin_of = lambda n: F.filter(F.array(F.struct(F.lit(k).alias("k"), n.cast("int").alias("n"))), lambda x: x["n"] > 0)
+    return bin_of(n_words - F.aggregate(runs, F.lit(0), lambda a, r: a + r["n"]))
+
+
 def _short_words(words: Column, p: QualityParams) -> Column:
     return F.transform(F.filter(words, lambda w: F.length(w) <= p.common_word_chars), lambda w: F.lower(w))
 
@@ -125,7 +137,7 @@ def with_features(docs: DataFrame, words: list[str], p: QualityParams, text: str
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("__words"), p.repeat_window).alias("n_repeat_words"),
         F.array(*[count_chars(t, outside) for _, outside in CLASSES]).alias("classes"),
-        _runs(ids).alias("common")))
+        let(_runs(ids), lambda r: F.concat(r, _others(r, F.size("__words"), len(words)))).alias("common")))
     b = F.col("__base")
     known = F.aggregate(b["classes"], F.lit(0), lambda a, x: a + x)
     spaces = b["n_chars"] - b["word_chars"]
@@ -149,7 +161,7 @@ def references(features: DataFrame, words: list[str], lang: str = "lang") -> Ref
     out = References(words=words)
     for name in sorted({r["lang"] for r in rows}):
         chars = [0.0] * (len(CLASSES) + 2)
-        common = [0.0] * len(words)
+        common = [0.0] * (len(words) + 1)
         for r in rows:
             if r["lang"] == name:
                 if r["k"] < 0:
@@ -185,6 +197,11 @@ def js_distance(shares: Column, reference: list[float]) -> Column:
     return F.when(F.size(shares) > 0, F.sqrt(F.greatest(F.least(div, F.lit(1.0)), F.lit(0.0))))
 
 
+def _size_class(n_words: Column) -> Column:
+    """Binary length of a number, less one; 0 for none."""
+    return (F.length(F.bin(F.greatest(n_words, F.lit(1)))) - 1).cast("int")
+
+
 def _verdict(refs: References, p: QualityParams) -> Column:
     """``struct<char_distance, word_distance, lang, kept>`` of a features row.
 
@@ -211,12 +228,13 @@ def _verdict(refs: References, p: QualityParams) -> Column:
     n_chars = F.aggregate(f["classes"], F.lit(0), lambda a, x: a + x)
     n_common = F.aggregate(f["common"], F.lit(0), lambda a, r: a + r["n"])
 
+    limits = refs.word_limits or [1.0]
+    limit = F.get(F.lit(limits), F.least(_size_class(f["n_words"]), F.lit(len(limits) - 1)))
+
     def judged(best):
-        far_chars = (f["n_words"] >= p.guard_words) & (best["c"] > p.max_char_distance)
-        # a long text without common words has no word distance: it is as far as can be
-        far_words = (f["n_words"] >= p.guard_words) & F.when(n_common >= p.guard_common, best["w"] > p.max_word_distance) \
-            .otherwise((f["n_words"] >= 4 * p.guard_words) & (n_common == 0))
-        kept = ~f["base_failed"] & ~F.coalesce(far_chars, F.lit(False)) & ~F.coalesce(far_words, F.lit(False))
+        long_enough = f["n_words"] >= p.guard_words
+        far = (best["c"] > p.max_char_distance) | (best["w"] > limit)
+        kept = ~f["base_failed"] & ~(long_enough & F.coalesce(far, F.lit(False)))
         return F.struct(best["c"].alias("char_distance"), best["w"].alias("word_distance"), best["lang"].alias("lang"),
                         kept.alias("kept"))
 
@@ -226,11 +244,39 @@ def _verdict(refs: References, p: QualityParams) -> Column:
     return let(let(of_counts, nearest), judged)
 
 
+def word_limits(features: DataFrame, refs: References, p: QualityParams) -> list[float]:
+    """By binary length of the number of words, the fence above the word distances of all sound documents."""
+    f = F.col(FEATURES)
+    judged = features.where(~f["base_failed"] & (f["n_words"] >= p.guard_words)).select(
+        _size_class(f["n_words"]).alias("size"), F.floor(_verdict(refs, p)["word_distance"] * 1000).alias("bin"))
+    by_size: dict[int, list] = {}
+    for r in judged.groupBy("size", "bin").count().orderBy("bin").collect():     # at most 64 x 1,001 rows
+        by_size.setdefault(r["size"], []).append((r["bin"] / 1000, r["count"]))
+
+    def quantile(bins, share):
+        below, total = 0, sum(n for _, n in bins)
+        for at, n in bins:
+            below += n
+            if below >= share * total:
+                return at
+
+    limits, limit = [], 1.0
+    for size in range(max(by_size, default=-1) + 1):
+        if size in by_size:
+            low, high = quantile(by_size[size], 0.25), quantile(by_size[size], 0.75)
+            limit = min(limit, max(high + p.fence * (high - low), p.min_word_limit))
+        limits.append(limit)
+    return limits
+
+
 def _features_and_references(docs: DataFrame, p: QualityParams, text: str, lang: str,
                              keep: list[str]) -> tuple[DataFrame, References]:
     words = common_words(docs, p, text, lang)
     features = staged(with_features(docs, words, p, text).select(*[quoted(c) for c in keep], FEATURES), "quality")
-    return features, references(features, words, lang)
+    refs = references(features, words, lang)
+    if refs.chars:
+        refs.word_limits = word_limits(features, refs, p)
+    return features, refs
 
 
 def judge(docs: DataFrame, params: QualityParams = QualityParams(), doc_id: str = "doc_id",

@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 
 from snapweave.llm import quality
@@ -61,3 +62,61 @@ def test_odd_documents_go_and_clean_ones_stay(spark, documents):
     judged = quality.judge(documents).collect()
     sound = [r for r in judged if not r["base_failed"]]
     assert sum(r["kept"] for r in sound) > 0.85 * len(sound)
+
+
+def _gibberish(r, n):
+    return " ".join("".join(r.choice("etaoinshrdlucmfwypvbgk") for _ in range(r.randrange(2, 9))) for _ in range(n))
+
+
+def test_word_check_alone_finds_gibberish_and_tables(spark, documents):
+    r = random.Random(3)
+    texts = [_gibberish(r, n) for n in (190, 190, 5000)] + [" | ".join(_gibberish(r, 150).split())]
+    odd = spark.createDataFrame([(10**9 + i, t, None, "s", 1) for i, t in enumerate(texts)],     # in no reference
+                                "doc_id long, text string, lang string, source string, n_chars long")
+    both = documents.select(odd.columns).union(odd)
+    # the character check is off: its distance is at most one
+    judged = quality.judge(both, quality.QualityParams(max_char_distance=1.0)).collect()
+    assert [x["kept"] for x in judged if x["doc_id"] >= 10**9] == [False] * len(texts)
+
+
+def test_full_verdict_matches_plain_python(spark, documents):
+    import numpy as np
+    p = quality.QualityParams()
+    rows = [(x["doc_id"], x["text"] or "", x["lang"]) for x in documents.select("doc_id", "text", "lang").collect()]
+    top = {}
+    for _, t, lang in rows:
+        if lang is not None:
+            top.setdefault(lang, collections.Counter()).update(w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t) if len(w) <= 5)
+    words = sorted({w for c in top.values() for w, _ in sorted(c.items(), key=lambda e: (-e[1], e[0]))[:p.common_words]})
+
+    def hists(t):
+        found = collections.Counter(w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t) if len(w) <= 5)
+        common = [found[w] for w in words]
+        spaces = len(re.findall(r"[\x20\x09-\x0D]", t))
+        classes = [sum(c in "aeiou" for c in t), sum(c.isupper() for c in t), sum(c in "0123456789" for c in t),
+                   sum(c in "#*$%&|<>" for c in t), sum(c in ".,;:!?'\"()-" for c in t), sum(ord(c) > 127 for c in t), spaces]
+        return np.array([*classes, max(len(t) - sum(classes), 0)], float), np.array([*common, base(t)[0] - sum(common)], float)
+
+    share = lambda x: x / max(x.sum(), 1)
+    term = lambda x: sum(v * math.log2(v) for v in x if v > 0)
+    js = lambda a, b: math.sqrt(max((term(a) + term(b)) / 2 - term((a + b) / 2), 0))
+    feats = {i: (*hists(t), base(t)) for i, t, _ in rows}
+    refs = {}
+    for i, _, lang in rows:
+        if lang is not None and not feats[i][2][5]:
+            c, w = refs.get(lang, (0, 0))
+            refs[lang] = (c + feats[i][0], w + feats[i][1])
+    best = {i: min((js(share(c), share(rc)) + js(share(w), share(rw)), js(share(c), share(rc)), js(share(w), share(rw)))
+                   for rc, rw in refs.values()) for i, (c, w, _) in feats.items()}
+    sizes = {}
+    for i, (_, _, b) in feats.items():
+        if not b[5] and b[0] >= p.guard_words:
+            sizes.setdefault(b[0].bit_length() - 1, []).append(math.floor(best[i][2] * 1000) / 1000)
+    limits, limit = {}, 1.0
+    for size in sorted(sizes):
+        d = sorted(sizes[size])
+        low, high = d[math.ceil(len(d) / 4) - 1], d[math.ceil(3 * len(d) / 4) - 1]
+        limit = limits[size] = min(limit, max(high + p.fence * (high - low), p.min_word_limit))
+    want = {i: not b[5] and not (b[0] >= p.guard_words and (best[i][1] > p.max_char_distance or best[i][2] > limits[b[0].bit_length() - 1]))
+            for i, (_, _, b) in feats.items()}
+    assert {x["doc_id"]: x["kept"] for x in quality.judge(documents).collect()} == want
