@@ -19,13 +19,12 @@ SQL does not express; tests compare the stages with brute-force versions.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapweave.llm import decontaminate, line_dedup, mixing, quality, simhash
-from snapweave.llm.common import shared_folder, table
+from snapweave.llm.common import table
+from snapweave.sources.stage import stage_path
 
 ORACLE_SQL = None
 
@@ -61,7 +60,7 @@ STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup_stage),
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage's rows are written to the shared folder and reread."""
-    root = f"{shared_folder(spark)}/llm-pipeline-{uuid.uuid4().hex}"
+    root = stage_path(spark, "llm-pipeline")
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         path = f"{root}/{number}"

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from ..sources.stage import stage_table
 
 # The white space that separates words.
@@ -79,9 +78,5 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage_table(df, f"llm-{name}")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/")
-
-
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

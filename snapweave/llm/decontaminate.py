@@ -6,19 +6,20 @@ stream through it word by word; the state gives the longest run of words ending
 here that some item contains.  A run of ``window`` words is a hit of every item
 that has this window; an item with fewer words is one window of its own.
 
-The automaton is shipped to the tasks, so its size is checked: a benchmark of
-more than ``shard_words`` words is cut into shards of whole items, of which a
-task holds one at a time, and more than ``max_words`` words are refused.
+Automata are built in tasks and written to the shared folder, each over at most
+``shard_words`` item words, so a benchmark of any size has its automata and a task
+holds one at a time; the driver only sees their names.  An item above that size
+is cut into pieces that overlap by a window less a word, which loses no window.
 
 Defined results: a null text has no words, so no hit; an item without words or
 a null item has no window; items that repeat an id count once; a null item id
 marks words as hit but is not listed; an empty benchmark hits nothing; rows are
-judged one by one, so repeated rows and other columns do not matter.
+judged one by one, so repeated rows and other columns do not matter; the longest
+match is followed within one piece of an item.
 """
 
 from __future__ import annotations
 
-import hashlib
 import pickle
 import re
 from collections.abc import Iterable, Iterator
@@ -29,10 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import quoted
+from .files import committed, new_folder, open_folder
 
 # Every ASCII character that is not a digit or a letter separates words.
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 NORMAL = bytes(0x20 if b in SEPARATORS else (b + 32 if 0x41 <= b <= 0x5A else b) for b in range(256))
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"   # before A-Z are lower-cased
 WORD = re.compile("[^ ]+")      # in normalised text
 
 
@@ -40,7 +43,6 @@ WORD = re.compile("[^ ]+")      # in normalised text
 class DecontaminationParams:
     window: int = 10
     shard_words: int = 200_000    # one automaton, about 150 MB in a task
-    max_words: int = 5_000_000    # of the whole benchmark; more raises
     max_coverage: float = 0.5     # a document with more of its words hit is dropped
 
 
@@ -164,25 +166,53 @@ class Automaton:
         return hits, longest
 
 
-def build_shards(benchmark: DataFrame, params: DecontaminationParams, item_id: str = "item_id",
-                 text: str = "text") -> list[bytes]:
-    """Pickled automata of at most ``shard_words`` words each (an item is never cut)."""
-    rows = (benchmark.where(F.col(text).isNotNull())
-            .select(F.col(item_id).cast("string").alias("id"), F.col(text).cast("binary").alias("text")).toLocalIterator())
-    shards, part, size, total = [], [], 0, 0
-    for row in rows:
-        words = words_of(bytes(row["text"]))
-        total += len(words)
-        if total > params.max_words:
-            raise ValueError(f"the benchmark has more than max_words={params.max_words} words; split it")
-        if part and size + len(words) > params.shard_words:
-            shards.append(pickle.dumps(Automaton(part, params.window)))
-            part, size = [], 0
-        part.append((row["id"], words))
-        size += len(words)
+def pack_items(rows: Iterable[tuple[str | None, bytes]], p: DecontaminationParams) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """Items in groups of at most ``shard_words`` words, longer items in overlapping pieces."""
+    limit, overlap = max(p.shard_words, p.window), p.window - 1
+    part, size = [], 0
+    for item_id, text in rows:
+        words = words_of(text)
+        for at in range(0, max(len(words) - overlap, 1), limit - overlap):
+            piece = words[at:at + limit]
+            if part and size + len(piece) > limit:
+                yield part
+                part, size = [], 0
+            part.append((item_id, piece))
+            size += len(piece)
     if part:
-        shards.append(pickle.dumps(Automaton(part, params.window)))
-    return shards
+        yield part
+
+
+def write_shards(benchmark: DataFrame, params: DecontaminationParams, item_id: str = "item_id",
+                 text: str = "text") -> tuple[str, list[str]]:
+    """The folder of the automata's files and their names; tasks build and write them.
+
+    Items are dealt to shards by hash, copies of one text under several ids as well.
+    A repeated task packs its items in the same order, so it writes the same files.
+    """
+    folder = new_folder(benchmark.sparkSession, "automata")
+    items = (benchmark.where(F.col(quoted(text)).isNotNull())
+             .select(F.col(quoted(item_id)).cast("string").alias("id"), F.col(quoted(text)).cast("string").alias("text")))
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(ITEM_WORD)))).first()[0] or 0
+    if not total:
+        return folder, []
+    # a quarter more shards than full ones, so few spill into a second file
+    shards = 1 if total <= params.shard_words else -(-5 * total // (4 * params.shard_words))
+    dealt = items.distinct().withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)))
+
+    def build(found: pa.Table) -> pa.Table:
+        shard = found.column("shard")[0].as_py()
+        rows = sorted(zip(found.column("id").to_pylist(), found.column("text").to_pylist(), strict=True),
+                      key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+        names = []
+        for k, part in enumerate(pack_items(((i, t.encode()) for i, t in rows), params)):
+            names.append(f"{shard}-{k}")
+            with committed(folder, names[-1]) as out:
+                pickle.dump(Automaton(part, params.window), out)
+        return pa.table({"name": pa.array(names, pa.string())})
+
+    names = dealt.groupBy("shard").applyInArrow(build, "name string")
+    return folder, sorted(r["name"] for r in names.collect())
 
 
 SCHEMA = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("longest", pa.int64()),
@@ -222,25 +252,30 @@ def _cut(data: bytes, hits: bytearray) -> bytes:
     return "".join(out).encode()
 
 
-def _scanner(shards, cut: bool):
+def _scanner(folder: str, names: list[str], cut: bool):
+    def opened(name: str) -> Automaton:
+        fs, path = open_folder(folder)
+        with fs.open_input_stream(f"{path}/{name}", compression=None) as file:
+            return pickle.loads(file.read())
+
     def find(rows: list[_Found], load) -> None:
-        for k in range(len(shards.value)):
-            automaton = load(k)
+        for name in names:
+            automaton = load(name)
             for row in rows:
                 row.add(automaton)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a single shard stays loaded; of several, one is held at a time
-        only = pickle.loads(shards.value[0]) if len(shards.value) == 1 else None
+        only = opened(names[0]) if len(names) == 1 else None
 
-        def load(k: int) -> Automaton:
-            return only if only is not None else pickle.loads(shards.value[k])
+        def load(name: str) -> Automaton:
+            return only if only is not None else opened(name)
 
         for batch in batches:
             keys = batch.select(range(batch.num_columns - 1))
             rows = [_Found(x.as_py()) for x in batch.column(batch.num_columns - 1)]
             find(rows, load)
-            if not shards.value:
+            if not names:
                 for r in rows:
                     r.n_words = len(words_of(r.data))
             counts = [sum(r.hits) if r.hits else 0 for r in rows]
@@ -263,14 +298,13 @@ def _scanner(shards, cut: bool):
 
 def _scan(docs: DataFrame, text: str, benchmark: DataFrame, p: DecontaminationParams, cut: bool) -> DataFrame:
     """``docs`` without the text column, plus the scan's columns (names of position, so none clash)."""
-    spark = docs.sparkSession
-    shards = spark.sparkContext.broadcast(build_shards(benchmark, p))
+    folder, names = write_shards(benchmark, p)
     others = [c for c in docs.columns if c != text]
     narrow = docs.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(others)],
                          F.col(quoted(text)).cast("binary").alias("t"))
     fields = [f"c{i} {narrow.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(others))]
     schema = ", ".join([*fields, "n_words long, n_hit long, longest long, items array<string>, clean string"])
-    return narrow.mapInArrow(_scanner(shards, cut), schema)
+    return narrow.mapInArrow(_scanner(folder, names, cut), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, params: DecontaminationParams = DecontaminationParams(),
@@ -293,7 +327,3 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, params: Decontamination
     out = _scan(docs, text, benchmark, params, cut=True)
     kept = out.where((F.col("n_hit") <= params.max_coverage * F.col("n_words")))
     return kept.select(*[(F.col("clean") if c == text else F.col(f"c{others.index(c)}")).alias(c) for c in docs.columns])
-
-
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

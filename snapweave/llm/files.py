@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import SparkSession
 
-from .common import shared_folder
+from ..sources.stage import stage_path
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A fresh, empty folder under the shared folder, as a URI every task can open."""
-    root = shared_folder(spark)
-    if "://" not in root:
-        root = "file://" + (root.removeprefix("file:") if root.startswith("file:") else root)
-    folder = f"{root}/llm-{kind}-{uuid.uuid4().hex}"
+    """A fresh, empty folder under the shared folder, as a URI every task can open; ``drop_staged`` deletes it."""
+    folder = stage_path(spark, f"llm-{kind}")
+    if "://" not in folder:
+        folder = "file://" + folder.removeprefix("file:")
     fs, path = open_folder(folder)
     fs.create_dir(path, recursive=True)
     return folder

@@ -75,8 +75,28 @@ def test_edges(spark, edge_docs, no_docs):
     assert clean.schema == edge_docs.schema
 
 
-def test_refuses_a_benchmark_over_its_bound(spark, documents):
-    import pytest
-    items = spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")
-    with pytest.raises(ValueError, match="max_words"):
-        D.contamination(documents, items, D.DecontaminationParams(max_words=4))
+def test_items_longer_than_a_shard(spark):
+    r = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(40)]
+    items = [(k, " ".join(r.choice(vocabulary) for _ in range(r.choice((3, 12, 90))))) for k in range(30)]
+    items += [(100 + k, items[0][1]) for k in range(3)]      # one text under several ids
+    docs = [(k, " ".join([r.choice(vocabulary) for _ in range(5)] + items[k % 30][1].split()[:40])) for k in range(40)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    params = D.DecontaminationParams(window=4, shard_words=25)
+    folder, names = D.write_shards(table, params)
+    assert len(names) > sum(len(t.split()) for _, t in items) / 25
+    rows = D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), table, params).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in rows} == {i: brute(t, items, 4) for i, t in docs}
+
+
+def test_pack_keeps_every_window_within_the_limit():
+    p = D.DecontaminationParams(window=4, shard_words=10)
+    for seed in range(50):
+        r = random.Random(seed)
+        rows = [(str(k), b" ".join(b"%d" % r.randrange(50) for _ in range(r.randrange(60)))) for k in range(6)]
+        parts = list(D.pack_items(rows, p))
+        assert all(sum(len(w) for _, w in part) <= 10 for part in parts)
+
+        def windows(pairs):
+            return {(i, tuple(w[k:k + 4])) for i, w in pairs for k in range(max(len(w) - 3, 1)) if w and (len(w) >= 4 or k == 0)}
+        assert windows((i, w) for part in parts for i, w in part) == windows((i, t.split()) for i, t in rows)
