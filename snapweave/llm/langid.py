@@ -5,14 +5,15 @@ text is lower-cased, compressed whole with every dictionary, and belongs to the
 whose dictionary makes it smallest.  A narrow margin between the two smallest
 sizes marks the answer as rejected; the prediction itself is still returned.
 
-The dictionaries are the only thing learned: at most ``sample_docs`` whole
-texts and ``dict_bytes`` bytes for each language, chosen by hash of the id.
+The dictionaries are the only thing learned: for each language at most
+``sample_docs`` distinct stretches and ``dict_bytes`` bytes.  Texts are chosen by
+their hash; one longer than ``stretch_chars`` gives a stretch at a place its hash
+names, so a language of long texts only is learned as well.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 equal sizes go to the language with more learning rows, then by name; without
 any learning row every text is ``und``; repeated rows are judged alike; rows
-with a null language or a null text are not learned from; null ids can be
-learned from; an empty table gives an empty result.
+with a null language or a null text are not learned from; ids are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from .common import quoted
 class LanguageParams:
     sample_docs: int = 256
     dict_bytes: int = 1 << 17
+    stretch_chars: int = 1 << 14  # at most four bytes each, so half of dict_bytes
     level: int = 3
     min_margin: float = 0.01
     max_languages: int = 500      # refuses more: every text is compressed once for each
@@ -41,30 +43,35 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, p: LanguageParams, doc_id: str = "doc_id", text: str = "text",
-          lang: str = "lang") -> list[tuple[str, bytes]]:
+def learn(docs: DataFrame, p: LanguageParams, text: str = "text", lang: str = "lang") -> list[tuple[str, bytes]]:
     """(language, dictionary), the language with the most learning rows first."""
-    rows = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text"),
-                       F.col(quoted(lang)).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # the low bits of the hash place the stretch, the high bits choose the text
+    mark = F.xxhash64(F.lit(7), "text")
+    rows = (docs.select(F.col(quoted(text)).alias("text"), F.col(quoted(lang)).alias("lang"))
+            .where("text IS NOT NULL AND lang IS NOT NULL").withColumn("mark", mark))
+    counts = {r["lang"]: r for r in rows.groupBy("lang").agg(
+        F.count("*").alias("n"), F.approx_count_distinct("mark").alias("texts")).collect()}
     if len(counts) > p.max_languages:
         raise ValueError(f"{len(counts)} languages; max_languages is {p.max_languages}")
     if not counts:
         return []
-    # a hash share that leaves about four times the wanted rows, then the exact rank among those
-    share = F.shiftrightunsigned(F.xxhash64(F.lit(7), "id", "text"), 11) / F.lit(float(1 << 53))
-    wanted = F.coalesce(*[F.when(F.col("lang") == name, F.lit(min(1.0, 4.0 * p.sample_docs / n + 64.0 / n)))
-                          for name, n in counts.items()])
-    order = Window.partitionBy("lang").orderBy("share", "text")
-    sample = (rows.where((F.octet_length("text") <= p.dict_bytes) & (share < wanted)).withColumn("share", share)
-              .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= p.sample_docs)
-              .select("lang", "rank", F.lower("text").cast("binary").alias("text")).orderBy("lang", "rank"))
+    # a hash share that leaves about four times the wanted texts, then the exact rank among those
+    share = F.shiftrightunsigned("mark", 11) / F.lit(float(1 << 53))
+    wanted = F.coalesce(*[F.when(F.col("lang") == name, F.lit(min(1.0, (4.0 * p.sample_docs + 64.0) / max(r["texts"], 1))))
+                          for name, r in counts.items()])
+    room = F.greatest(F.length("text") - p.stretch_chars, F.lit(0)) + 1
+    stretch = F.substring(F.col("text"), F.pmod("mark", room).cast("int") + 1, F.lit(p.stretch_chars))
+    # copies fall together before the window, so a text that fills a third of the rows counts once
+    chosen = rows.where(share < wanted).select("lang", "mark", F.lower(stretch).alias("text")).distinct()
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("mark", 11), "text")
+    sample = (chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= p.sample_docs)
+              .select("lang", "rank", F.col("text").cast("binary").alias("text")).orderBy("lang", "rank"))
     out: dict[str, bytes] = {name: b"" for name in counts}
     for r in sample.toLocalIterator():
         body = bytes(r["text"])
         if len(out[r["lang"]]) + len(body) < p.dict_bytes:
             out[r["lang"]] += body + b"\n"
-    names = sorted(out, key=lambda name: (-counts[name], name))
+    names = sorted(out, key=lambda name: (-counts[name]["n"], name))
     return [(name, out[name]) for name in names]
 
 

@@ -68,6 +68,21 @@ def test_held_out_fold_is_never_learned(spark):
     assert {int(n) for n in re.findall(rb"number (\d+)", learned["en"])} == set(range(40)) - out
 
 
+def test_languages_of_long_texts_only_and_of_many_copies(spark):
+    r = random.Random(3)
+    words = {"aa": ["kotu", "miral", "senda", "vop"], "bb": ["grix", "wolm", "ptar", "nesk"]}
+    rows = [(None, "aa", " ".join(r.choice(words["aa"]) for _ in range(60_000))) for _ in range(3)]
+    rows += [(k, "bb", "the same text every time") for k in range(3000)]
+    rows += [(k, "bb", " ".join(r.choice(words["bb"]) for _ in range(30))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    p = langid.LanguageParams()
+    learned = dict(langid.learn(docs, p))
+    assert len(learned["aa"]) > 10_000 and all(len(body) <= p.dict_bytes for body in learned.values())
+    assert learned["bb"].count(b"the same text") == 1 and learned["bb"].count(b"\n") == 41
+    changed = docs.withColumn("doc_id", F.col("doc_id") * 17 + 5)
+    assert dict(langid.learn(changed, p)) == learned          # ids decide nothing
+
+
 def test_language_edges(edge_docs, no_docs):
     learned = langid.learn(edge_docs, langid.LanguageParams())
     rows = langid.identify(edge_docs, learned).collect()
