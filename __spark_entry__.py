@@ -28,7 +28,7 @@ if _ROOT not in sys.path:
     sys.path.insert(0, _ROOT)
 
 from snapweave import (append_snapshot, bucket_digests, compact, diff, diff_by_digest, diff_summary, extract,  # noqa: E402
-                       extract_stored, import_catalogue, last_imports, merge, mutation_pairs, mutation_stats,
+                       extract_stored, import_catalogue, last_imports, merge, merge_labelled, mutation_pairs, mutation_stats,
                        nearest_label, read_imports, read_store, render_log, to_date, update_mutation_stats, write_store)
 from snapweave.functions.labels import snapshot_time_ms  # noqa: E402
 from snapweave.sources import derived  # noqa: E402
@@ -281,6 +281,24 @@ def q_merge_last_two(spark, sf_dir):
     return merge(read_imports(last_imports(import_catalogue(spark, _stored_imports(spark, sf_dir)), 2)))
 
 
+def _shipments(spark, sf_dir) -> DataFrame:
+    """Who shipped what on each day, the day as the label of an import: about 2,500 imports."""
+    lines = derived.table(spark, sf_dir, "lineitem")
+    return lines.select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_suppkey", "l_returnflag", "l_linestatus")
+
+
+def q_merge_long_legend(spark, sf_dir):
+    """The merge of an import per shipping day: masks of thousands of characters, a plan of constant width."""
+    return merge_labelled(_shipments(spark, sf_dir), "day")
+
+
+def q_merge_long_appended(spark, sf_dir):
+    """The same in two steps: the days before 1998 as a written history, then the others merged into it."""
+    days = _shipments(spark, sf_dir)
+    history = stage_table(merge_labelled(days.where("day < '1998'"), "day"), "long-history")
+    return merge_labelled(days.where("day >= '1998'"), "day", history=history)
+
+
 def q_diff_by_digest(spark, sf_dir):
     """diff of two stored imports with stored digests, by day: only days that changed are shuffled."""
     before, after = list(read_imports(import_catalogue(spark, _stored_imports(spark, sf_dir))).values())[:2]
@@ -390,6 +408,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_appended": q_merge_appended,
         "mutation_stats_updated": q_mutation_stats_updated,
         "merge_last_two": q_merge_last_two,
+        "merge_long_legend": q_merge_long_legend,
+        "merge_long_appended": q_merge_long_appended,
         "diff_by_digest": q_diff_by_digest,
         "compact_sorted": q_compact_sorted,
         "compact_curve": q_compact_curve,
@@ -459,6 +479,16 @@ def _extract_sql(i) -> str:
     return f"WITH {_order_ctes()}\nSELECT DISTINCT * FROM s{i}"
 
 
+_LONG_SQL = """
+WITH has AS (SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d') AS day, l_suppkey, l_returnflag, l_linestatus FROM lineitem),
+place AS (SELECT day, row_number() OVER (ORDER BY day) AS pos FROM (SELECT DISTINCT day FROM has)),
+held AS (SELECT l_suppkey, l_returnflag, l_linestatus, list(pos) AS l FROM has JOIN place USING (day) GROUP BY ALL),
+cells AS (SELECT l_suppkey, l_returnflag, l_linestatus, l, unnest(range(1, (SELECT count(*) FROM place) + 1)) AS pos FROM held)
+SELECT l_suppkey, l_returnflag, l_linestatus,
+       string_agg(CASE WHEN list_contains(l, pos) THEN '1' ELSE '0' END, '' ORDER BY pos) AS diffmask
+FROM cells GROUP BY l_suppkey, l_returnflag, l_linestatus"""
+
+
 def oracle_sql() -> dict[str, str]:
     oc, lc = ORDER_COLS, LINE_COLS
     c = _cols(oc)
@@ -483,6 +513,8 @@ def oracle_sql() -> dict[str, str]:
         "compact_range": twice,
         "compact_sorted": twice,
         "compact_curve": twice,
+        "merge_long_legend": _LONG_SQL,
+        "merge_long_appended": _LONG_SQL,
         "diff_by_digest": _diff_sql(oc, _order_ctes()),
         "mutation_stats_updated": _stats_sql(oc, _order_ctes(), "o_orderkey"),
         "merge_last_two": _merged_sql(oc, ",\n".join(f"s{i - 1} AS ({derived.order_snapshot_sql(i)})" for i in (1, 2)), n=2)

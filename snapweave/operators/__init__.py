@@ -6,6 +6,7 @@ from .digest import bucket_digests, diff_by_digest
 from .extract import extract, extract_at
 from .history import intervals, to_date
 from .log import append_snapshot, render_log
+from .long_merge import merge_labelled
 from .match import nearest_label
 from .merge import merge
 from .mutation import mutation_pairs, mutation_stats
@@ -16,5 +17,5 @@ __all__ = [
     "compact", "diff", "diff_summary", "write_diff", "extract", "extract_at", "intervals",
     "to_date", "nearest_label", "merge", "mutation_pairs", "mutation_stats",
     "append_snapshot", "render_log", "write_store", "read_store", "extract_stored",
-    "bucket_digests", "diff_by_digest", "update_mutation_stats",
+    "merge_labelled", "bucket_digests", "diff_by_digest", "update_mutation_stats",
 ]
