@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import resolve_label
 from ..functions.mask import LEGEND_KEY, MASK_COLUMN, ONE, checked_mask, legend_of, resolve_legend, with_legend
-from ..plans.schema import named
+from ..plans.schema import has_map, named
 from ..sources.snapshots import write_output
 from ..sources.stage import stage_table
 
@@ -69,7 +69,8 @@ def write_store(masked: DataFrame, path: str, snapshots=None, max_parts: int = M
     names = [c for c in masked.columns if c != MASK_COLUMN]
     coded = masked.join(_small(masks.select(MASK_ID, PART, MASK_COLUMN)), MASK_COLUMN).select(*[named(c) for c in names], MASK_ID, PART)
     parts = masks.select(PART).distinct().count()
-    spread = F.xxhash64(*[named(f.name) for f in masked.schema.fields if f.name in names and not _unhashed(f.dataType)])
+    # maps have no hash; where every column is one, a record's place in its mask does not matter
+    spread = F.xxhash64(*[named(f.name) for f in masked.schema.fields if f.name in names and not has_map(f.dataType)] or [F.lit(0)])
     placed = coded.repartitionByRange(max(1, parts * files_per_part), PART, MASK_ID, spread).sortWithinPartitions(PART, MASK_ID)
     write_output(masks.select(MASK_ID, with_legend(F.col(MASK_COLUMN), labels), PART, "records").coalesce(1), f"{path}/{MASKS}")
     # an empty file keeps the columns of a history without records
@@ -77,11 +78,6 @@ def write_store(masked: DataFrame, path: str, snapshots=None, max_parts: int = M
     write_output(placed, f"{path}/{RECORDS}", partition_by=PART)
 
 
-def _unhashed(dtype) -> bool:
-    from .mutation import _has_map
-    return _has_map(dtype)
-
-
 def stored_masks(spark: SparkSession, path: str) -> DataFrame:
     """The mask dictionary of a store, with the legend on its mask column."""
     return spark.read.parquet(f"{path}/{MASKS}")

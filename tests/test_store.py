@@ -75,6 +75,20 @@ def test_store_edges(spark, tmp_path):
     assert extract_stored(spark, str(tmp_path / "e"), "/bx", match="nearest").collect() == []
 
 
+@pytest.mark.parametrize("columns", [["id", "m"], ["m"], ["s", "l"], []])
+def test_columns_without_a_hash_are_stored(spark, tmp_path, columns):
+    """Maps, also inside structs and arrays, beside other columns, alone, and no data column at all."""
+    data = [(i, {"k": i % 3}, ({"x": i},), [{"y": i}], m) for i, m in enumerate(["10", "11", "11", "01", "11"])] * 2
+    data += [(None, None, None, None, "10")]
+    df = spark.createDataFrame(data, "id int, m map<string,int>, s struct<a:map<string,int>>, l array<map<string,int>>, diffmask string")
+    masked = attach_legend(df.select(*columns, "diffmask"), ["/a", "/b"])
+    path = str(tmp_path / "maps")
+    write_store(masked, path, max_parts=2, files_per_part=3)
+    assert rows(read_store(spark, path)) == rows(masked)
+    for label in ("/a", "/b"):
+        assert rows(extract_stored(spark, path, label)) == rows(extract(masked, label))
+
+
 @pytest.mark.parametrize("seed, order", [(0, "sorted"), (1, "shuffled")])
 def test_appended_imports_equal_their_merge(spark, tmp_path, seed, order):
     """Random imports of 70 (two mask words), appended one by one in any order, with repeated rows and nulls."""
