@@ -200,6 +200,17 @@ def _ranged(layout: _Layout, keyed: DataFrame, num_ranges: int) -> DataFrame:
     return stored.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
 
 
+def _range_count(keyed: DataFrame, n_rows: int, hot_key_rows: int) -> int:
+    """Ranges for so many hot rows: of about ``hot_key_rows`` rows, but only as many as tasks can use.
+
+    Each range is a task, a file and a block in every shuffle file, and any number of them
+    gives the same pairs.  So beyond the shuffle partitions there are only as many as keep
+    a range near ``HOT_KEY_ROWS`` rows, which a task takes as it takes an ordinary group.
+    """
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(-(-n_rows // hot_key_rows), max(tasks, -(-n_rows // HOT_KEY_ROWS)))
+
+
 def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int) -> DataFrame:
     """Any group size: a global range split, pairs inside ranges, then pairs across their ends."""
     ranged = _ranged(layout, keyed, num_ranges)
@@ -228,7 +239,8 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
     Groups of at most ``hot_key_rows`` rows are walked by a per-key window;
     larger (hot) groups by the range split, which spreads one group over many
     tasks.  ``num_ranges`` sets the range count of the latter; by default a
-    range has about ``hot_key_rows`` rows.
+    range has about ``hot_key_rows`` rows, or more where that would make more ranges
+    than ``spark.sql.shuffle.partitions``, up to about ``HOT_KEY_ROWS``.
 
     The keys are counted as soon as this is called, which reads the key column
     once more; give a stored table (or :func:`snapweave.sources.stage.stage_table`
@@ -251,7 +263,7 @@ def _pairs(layout: _Layout, hot_key_rows: int, num_ranges: int | None) -> DataFr
         names = F.broadcast(names)
     is_hot = named(layout.key) == F.col(_HOT)
     return _window_pairs(layout, keyed.join(names, is_hot, "left_anti")).unionByName(
-        _range_pairs(layout, keyed.join(names, is_hot, "left_semi"), num_ranges or -(-n_rows // hot_key_rows)))
+        _range_pairs(layout, keyed.join(names, is_hot, "left_semi"), num_ranges or _range_count(keyed, n_rows, hot_key_rows)))
 
 
 def mutation_stats(masked: DataFrame, key: str, order: str = "reference",

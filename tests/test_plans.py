@@ -104,6 +104,19 @@ def test_hot_key_split_is_exact_with_and_without_exchange_reuse(spark, ranges):
             spark.conf.unset("spark.sql.exchange.reuse")
 
 
+@pytest.mark.parametrize("most, ranges", [(1_000_000, 8), (50, None)])
+def test_a_low_threshold_makes_no_task_for_every_few_rows(spark, monkeypatch, most, ranges):
+    """Ranges follow the shuffle partitions, or the rows over ``HOT_KEY_ROWS``, not the threshold of the hot keys."""
+    from snapweave.operators import mutation
+    masked = merge(derived.order_snapshots(spark, SF_SMALL))
+    base = _stats(mutation_stats(masked, "o_orderstatus", hot_key_rows=10**9))
+    asked, split = [], mutation._ranged
+    monkeypatch.setattr(mutation, "HOT_KEY_ROWS", most)
+    monkeypatch.setattr(mutation, "_ranged", lambda layout, keyed, n: asked.append(n) or split(layout, keyed, n))
+    assert _stats(mutation_stats(masked, "o_orderstatus", hot_key_rows=1)) == base
+    assert asked == [ranges or -(-masked.where("o_orderstatus IS NOT NULL").count() // most)]
+
+
 def test_more_hot_keys_than_are_broadcast(spark, monkeypatch):
     from snapweave.operators import mutation
     monkeypatch.setattr(mutation, "BROADCAST_KEYS", 1)
