@@ -65,12 +65,15 @@ LONG_LABELS = tuple(f"/bi/orders/importdatetime={date.fromordinal(date(2014, 1,
 
 
 def long_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of ``orders`` as a merged series of 200 imports: present from one import to another, by their keys."""
+    """All of ``orders`` as a merged series of 200 imports: present from one import to another, by their keys.
+
+    An order without a customer is in none.
+    """
     n = len(LONG_LABELS)
     first = (F.col("o_custkey") % n).cast("int")
     last = F.greatest(first, (F.col("o_orderkey") % n).cast("int"))
     mask = F.concat(F.repeat(F.lit("0"), first), F.repeat(F.lit("1"), last - first + 1), F.repeat(F.lit("0"), n - 1 - last))
-    return table(spark, sf_dir, "orders").select("*", with_legend(mask, LONG_LABELS))
+    return table(spark, sf_dir, "orders").select("*", with_legend(F.coalesce(mask, F.repeat(F.lit("0"), n)), LONG_LABELS))
 
 
 def long_history_sql(position: int) -> str:

@@ -55,6 +55,21 @@ def test_a_middle_label_of_a_long_legend_reads_only_its_parts(spark, tmp_path):
     assert rows(got, "o_orderkey") == rows(extract(masked, label), "o_orderkey")
 
 
+def test_the_long_history_follows_its_sql_on_null_keys(spark, tmp_path):
+    """Rows with a null customer, a null key or both, and repeated rows."""
+    duckdb = pytest.importorskip("duckdb")
+    keys = [(None, None), (None, 99), (99, None), (98, None), (99, 5), (5, 99), (5, 98), (100, 150), (5, 150), (5, 150)]
+    spark.createDataFrame(keys, "o_custkey long, o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    masked = derived.long_history(spark, str(tmp_path))
+    write_store(masked, str(tmp_path / "store"), max_parts=3)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    want = spark.createDataFrame(con.execute(derived.long_history_sql(99)).fetchall(), "o_custkey long, o_orderkey long")
+    got = extract_stored(spark, str(tmp_path / "store"), derived.LONG_LABELS[99])
+    assert rows(got) == rows(want) and got.count() == 5
+    assert rows(read_store(spark, str(tmp_path / "store"))) == rows(masked)
+
+
 def _plan(df):
     jvm = df.sparkSession._jvm
     mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
