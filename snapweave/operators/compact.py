@@ -45,12 +45,17 @@ def orderable(name: str, dtype: T.DataType) -> Column:
     return col
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's size of the plan: the files' bytes of a scan, ``UNKNOWN_BYTES`` or more where it knows none."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Parts of about ``target_bytes``, from the plan's size (a scan's is its files' bytes).
 
     Where Spark knows no size, the number of partitions stays.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = plan_bytes(df)
     if size >= UNKNOWN_BYTES:
         return max(1, df.rdd.getNumPartitions())
     return max(1, -(-size // target_bytes))

@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from ..functions.mask import MASK_COLUMN
 from ..plans.schema import named
 from ..sources.stage import stage_table
-from .compact import orderable
+from .compact import TARGET_FILE_BYTES, orderable, plan_bytes
 
 # The mutation record.
 FIELDS = "fields"
@@ -205,10 +205,11 @@ def _range_count(keyed: DataFrame, n_rows: int, hot_key_rows: int) -> int:
 
     Each range is a task, a file and a block in every shuffle file, and any number of them
     gives the same pairs.  So beyond the shuffle partitions there are only as many as keep
-    a range near ``HOT_KEY_ROWS`` rows, which a task takes as it takes an ordinary group.
+    a range near ``HOT_KEY_ROWS`` rows, which a task takes as it takes an ordinary group,
+    and near ``TARGET_FILE_BYTES`` of the input, for wide records.
     """
     tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(-(-n_rows // hot_key_rows), max(tasks, -(-n_rows // HOT_KEY_ROWS)))
+    return min(-(-n_rows // hot_key_rows), max(tasks, -(-n_rows // HOT_KEY_ROWS), -(-plan_bytes(keyed) // TARGET_FILE_BYTES)))
 
 
 def _range_pairs(layout: _Layout, keyed: DataFrame, num_ranges: int) -> DataFrame:
@@ -240,7 +241,7 @@ def mutation_pairs(masked: DataFrame, key: str, order: str = "reference",
     larger (hot) groups by the range split, which spreads one group over many
     tasks.  ``num_ranges`` sets the range count of the latter; by default a
     range has about ``hot_key_rows`` rows, or more where that would make more ranges
-    than ``spark.sql.shuffle.partitions``, up to about ``HOT_KEY_ROWS``.
+    than ``spark.sql.shuffle.partitions``, up to about ``HOT_KEY_ROWS`` or 128 MB.
 
     The keys are counted as soon as this is called, which reads the key column
     once more; give a stored table (or :func:`snapweave.sources.stage.stage_table`

@@ -117,6 +117,15 @@ def test_a_low_threshold_makes_no_task_for_every_few_rows(spark, monkeypatch, mo
     assert asked == [ranges or -(-masked.where("o_orderstatus IS NOT NULL").count() // most)]
 
 
+def test_wide_records_get_more_ranges(spark, monkeypatch):
+    from snapweave.operators import mutation
+    masked = merge(derived.order_snapshots(spark, SF_SMALL))
+    monkeypatch.setattr(mutation, "TARGET_FILE_BYTES", 100)
+    assert mutation._range_count(masked, 1000, 50) == 20 and mutation._range_count(masked, 1000, 5) > 8
+    monkeypatch.setattr(mutation, "plan_bytes", lambda df: 1 << 70)     # unknown: the threshold decides
+    assert mutation._range_count(masked, 1000, 5) == 200
+
+
 def test_more_hot_keys_than_are_broadcast(spark, monkeypatch):
     from snapweave.operators import mutation
     monkeypatch.setattr(mutation, "BROADCAST_KEYS", 1)
